@@ -8,6 +8,7 @@ shuffled at all; when they are large, it falls back to a sort-merge join on the
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,13 @@ from corpusmap import schemas
 from corpusmap.schemas import CHUNK_KEY, NODE_KEY, PAGE_KEY
 
 
+Time = Column | datetime.datetime | str
+
+
+def _timestamp(as_of: Time) -> Column:
+    return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp")
+
+
 def last_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Of several rows for one key the last in ``order`` counts.
 
@@ -65,10 +73,10 @@ def upsert_columns(
     return insert_missing(update_columns(table, narrow, keys, columns), narrow, keys)
 
 
-def upsert_pages(pages: DataFrame, changes: DataFrame, as_of: Column, order: Sequence[str]) -> DataFrame:
+def upsert_pages(pages: DataFrame, changes: DataFrame, as_of: Time, order: Sequence[str]) -> DataFrame:
     """New and changed pages in, stamped ``as_of``; ``order`` says which of two duplicates is later."""
     latest = last_per_key(changes, PAGE_KEY, order)
-    return replace_rows(pages, latest.withColumn("extracted_at", as_of.cast("timestamp")), PAGE_KEY)
+    return replace_rows(pages, latest.withColumn("extracted_at", _timestamp(as_of)), PAGE_KEY)
 
 
 def upsert_chunks(chunks: DataFrame, listing: DataFrame, reset_paths: bool = False) -> DataFrame:
@@ -138,9 +146,9 @@ def _mark(chunks: DataFrame, done: DataFrame, path: str, values: Mapping[str, Co
     return update_columns(chunks, changes, CHUNK_KEY, [path, *values])
 
 
-def mark_downloaded(chunks: DataFrame, done: DataFrame, as_of: Column) -> DataFrame:
-    return _mark(chunks, done, "chunk_archive_path", {"downloaded_at": as_of.cast("timestamp")})
+def mark_downloaded(chunks: DataFrame, done: DataFrame, as_of: Time) -> DataFrame:
+    return _mark(chunks, done, "chunk_archive_path", {"downloaded_at": _timestamp(as_of)})
 
 
-def mark_unpacked(chunks: DataFrame, done: DataFrame, as_of: Column) -> DataFrame:
-    return _mark(chunks, done, "chunk_extracted_path", {"unpacked_at": as_of.cast("timestamp")})
+def mark_unpacked(chunks: DataFrame, done: DataFrame, as_of: Time) -> DataFrame:
+    return _mark(chunks, done, "chunk_extracted_path", {"unpacked_at": _timestamp(as_of)})

@@ -36,7 +36,7 @@ def list_archives(path: str) -> list[str]:
         if "://" not in item and any(c in item for c in "*?["):
             found += sorted(glob.glob(item))
             continue
-        files, local = _open_filesystem(item)
+        files, local = open_filesystem(item)
         info = files.get_file_info(local)
         if info.type == pafs.FileType.Directory:
             entries = files.get_file_info(pafs.FileSelector(local, recursive=True))
@@ -49,7 +49,7 @@ def list_archives(path: str) -> list[str]:
     return found
 
 
-def _open_filesystem(path: str):
+def open_filesystem(path: str):
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
@@ -66,7 +66,7 @@ class ArchiveReader(DataSourceReader):
         return [ArchivePartition(p) for p in list_archives(self.path)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
-        files, local = _open_filesystem(partition.path)
+        files, local = open_filesystem(partition.path)
         with files.open_input_stream(local, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
             seen = 0
             for member in tar:

@@ -23,3 +23,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
+
+
+def pytest_collection_modifyitems(items):
+    """Functions of test modules travel to the Python workers by value; workers cannot import them."""
+    from pyspark import cloudpickle
+
+    for module in {item.module for item in items}:
+        cloudpickle.register_pickle_by_value(module)
