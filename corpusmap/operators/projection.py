@@ -121,7 +121,7 @@ def project_clusters(
     namespace: str | None = None,
     limit: int | None = None,
     cluster_col: str = "cluster_node_id",
-    max_group_docs: int = 4000,
+    max_group_docs: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(namespace, page_id, three_d_vector) for every page with a reduced vector in a cluster that has
     pages without coordinates.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.functions.text import collapse_whitespace, page_text
-from corpusmap.operators.joins import child_topics, neighbouring_topics, node_page_lines
+from corpusmap.operators.joins import child_topics, neighbouring_topics
 from corpusmap.schemas import NODE_KEY, PAGE_KEY
 from corpusmap.sources.languages import with_language
 
@@ -66,17 +66,16 @@ def _prompt(ask: str, slot: str, content: Column, neighbours: Column | None) ->
     return collapse_whitespace(F.concat(*parts))
 
 
-def leaf_prompts(work: DataFrame, pages: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(namespace, node_id, prompt) of leaves; a leaf without pages gets no prompt."""
-    lines = node_page_lines(pages, vectors)
+def leaf_prompts(work: DataFrame, lines: DataFrame) -> DataFrame:
+    """(namespace, node_id, prompt) of leaves, ``lines`` from ``node_page_lines``; a leaf without pages
+    gets no prompt."""
     return work.select(*NODE_KEY).join(lines, NODE_KEY, "left").select(
         *NODE_KEY, _prompt(ASK_PAGES, PAGES_SLOT, F.col("page_lines"), None).alias("prompt")
     )
 
 
-def leaf_contrast_prompts(work: DataFrame, nodes: DataFrame, pages: DataFrame, vectors: DataFrame) -> DataFrame:
+def leaf_contrast_prompts(work: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
     """The same with the siblings' first labels. Nodes without a parent are left out."""
-    lines = node_page_lines(pages, vectors)
     near = neighbouring_topics(nodes)
     return work.select(*NODE_KEY).join(near, NODE_KEY).join(lines, NODE_KEY, "left").select(
         *NODE_KEY, _prompt(ASK_PAGES, PAGES_SLOT, F.col("page_lines"), F.col("neighbouring_topics")).alias("prompt")

@@ -1,7 +1,13 @@
-"""The working steps from landed archives to a labelled tree, over tables kept as Parquet versions.
+"""The working steps from landed archives to a labelled tree, over Parquet tables.
 
-Every step reads the newest version of the tables it needs and writes the next version of those it
-changes, so a step that fails leaves the last version in place and can simply be run again.
+The vector table of the operators is kept as four narrow tables, one per column a step fills: a step
+that adds 3-D coordinates must not read or rewrite every embedding. Whether a page has a vector is
+then whether it has a row, which a scan of the keys answers.
+
+A table is a base folder plus the changes since. A step that touches some rows adds a change folder;
+reading lays the changes over the base with anti joins on the changed keys, which are broadcast while
+they are small, so the base is not shuffled. ``compact`` folds the changes in. A folder counts once
+its ``_SUCCESS`` is written, so a step that fails leaves nothing behind and can be run again.
 """
 
 from __future__ import annotations
@@ -10,19 +16,35 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmap import schemas
 from corpusmap.operators import embedding, pca, projection, status, tree, updates, worklists
 from corpusmap.operators.prompts import Labeler, fill_top_terms, keyword_labeler, node_top_terms
 from corpusmap.plans.labelling import LabelRun, label_trees
-from corpusmap.schemas import PAGE_KEY
+from corpusmap.schemas import CHUNK_KEY, NODE_KEY, PAGE_KEY
 from corpusmap.session import cut_lineage
 from corpusmap.sources import archives, articles, catalogue
 
+
+def _vector_part(column: str) -> T.StructType:
+    return T.StructType([f for f in schemas.PAGE_VECTOR.fields if f.name in (*PAGE_KEY, column)])
+
+
+# name -> (schema, key)
 TABLES = {
-    "chunk_log": schemas.CHUNK_LOG, "page_log": schemas.PAGE_LOG, "page_vector": schemas.PAGE_VECTOR,
-    "cluster_tree": schemas.CLUSTER_TREE,
+    "chunk_log": (schemas.CHUNK_LOG, CHUNK_KEY),
+    "page_log": (schemas.PAGE_LOG, PAGE_KEY),
+    "cluster_tree": (schemas.CLUSTER_TREE, NODE_KEY),
+    "embedding_vector": (_vector_part("embedding_vector"), PAGE_KEY),
+    "reduced_vector": (_vector_part("reduced_vector"), PAGE_KEY),
+    "cluster_node_id": (_vector_part("cluster_node_id"), PAGE_KEY),
+    "three_d_vector": (_vector_part("three_d_vector"), PAGE_KEY),
 }
+VECTOR_PARTS = ["embedding_vector", "reduced_vector", "cluster_node_id", "three_d_vector"]
+# Tables whose changes never repeat a key, so that reading is a plain union.
+DISJOINT = {"embedding_vector"}
+MAX_CHANGES = 16
 
 
 class Corpus:
@@ -32,40 +54,75 @@ class Corpus:
         self.languages = languages
 
     # ------------------------------------------------------------ tables
-    def _versions(self, name: str) -> list[int]:
+    def _folders(self, name: str) -> tuple[int, list[int]]:
+        """Number of the newest base (0: none) and the changes made to it, in order."""
         files, local = archives.open_filesystem(f"{self.root}/{name}")
         entries = files.get_file_info(archives.pafs.FileSelector(local, allow_not_found=True))
-        found = [(e.path, re.fullmatch(r"v(\d+)", e.base_name)) for e in entries]
+        found = [re.fullmatch(r"v(\d+)(?:-(\d+))?", e.base_name) for e in entries]
         done = [
-            int(m.group(1)) for path, m in found
-            if m and files.get_file_info(f"{path}/_SUCCESS").type != archives.pafs.FileType.NotFound
+            (int(m[1]), int(m[2] or 0)) for m in found
+            if m and files.get_file_info(f"{local}/{m[0]}/_SUCCESS").type != archives.pafs.FileType.NotFound
         ]
-        return sorted(done)
+        base = max((b for b, change in done if change == 0), default=0)
+        return base, sorted(change for b, change in done if b == base and change)
 
-    def table(self, name: str) -> DataFrame:
-        versions = self._versions(name)
-        if not versions:
-            return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.root}/{name}/v{versions[-1]}")
+    def _read(self, name: str, folder: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name][0]).parquet(f"{self.root}/{name}/{folder}")
 
-    def save(self, name: str, df: DataFrame) -> None:
-        number = (self._versions(name) or [0])[-1] + 1
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].fields]
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{name}/v{number}")
+    def table(self, name: str) -> DataFrame:
+        """The current rows of a table; ``page_vector`` joins its four parts."""
+        if name == "page_vector":
+            return self._page_vector()
+        schema, key = TABLES[name]
+        base, changes = self._folders(name)
+        rows = self._read(name, f"v{base}") if base else self.spark.createDataFrame([], schema)
+        if name in DISJOINT and changes:
+            added = self._read(name, "{" + ",".join(f"v{base}-{c}" for c in changes) + "}")
+            return rows.unionByName(added)
+        for change in changes:
+            rows = updates.replace_rows(rows, self._read(name, f"v{base}-{change}"), key)
+        return rows
+
+    def _write(self, name: str, df: DataFrame, folder: str) -> None:
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name][0].fields]
+        df.select(*columns).write.mode("overwrite").parquet(f"{self.root}/{name}/{folder}")
+
+    def replace(self, name: str, df: DataFrame) -> None:
+        self._write(name, df, f"v{self._folders(name)[0] + 1}")
+
+    def change(self, name: str, df: DataFrame) -> None:
+        """Add rows that replace those of the same key; ``df`` has one row per key."""
+        base, changes = self._folders(name)
+        self._write(name, df, f"v{base}-{(changes or [0])[-1] + 1}")
+        if len(changes) + 1 > MAX_CHANGES:
+            self.compact(name)
+
+    def compact(self, name: str) -> None:
+        self.replace(name, self.table(name))
+
+    def _keys(self, name: str) -> DataFrame:
+        """Keys that have a vector part, the part itself stood in for by a flag."""
+        return self.table(name).select(*PAGE_KEY, F.lit(True).alias(name))
+
+    def _page_vector(self) -> DataFrame:
+        rows = self.table(VECTOR_PARTS[0])
+        for part in VECTOR_PARTS[1:]:
+            rows = rows.join(self.table(part), PAGE_KEY, "left")
+        return rows.withColumn("cluster_id", F.lit(None).cast("bigint")).select(*schemas.PAGE_VECTOR.fieldNames())
 
     # ------------------------------------------------------------ steps
     def refresh(self, listing: DataFrame, namespace: str, language: str | None = None) -> None:
         """Register the chunks of a catalogue listing."""
-        self.save("chunk_log", catalogue.register_chunks(self.table("chunk_log"), listing, namespace, language))
+        self.replace("chunk_log", catalogue.register_chunks(self.table("chunk_log"), listing, namespace, language))
 
     def landed(self, done: DataFrame, as_of: updates.Time) -> None:
         """Note archives that have been fetched: (namespace, chunk_name, chunk_archive_path)."""
-        self.save("chunk_log", updates.mark_downloaded(self.table("chunk_log"), done, as_of))
+        self.replace("chunk_log", updates.mark_downloaded(self.table("chunk_log"), done, as_of))
 
     def unpack(
         self, as_of: updates.Time, namespace: str | None = None, limit: int | None = None, mode: str = "failfast"
     ) -> DataFrame:
-        """Read the next archives into the page table; returns the pages of each chunk.
+        """Read the next archives into the page table; returns the pages read from each chunk.
 
         Archives must lie under ``.../{namespace}/{chunk_name}.tar.gz``. Lines that are no pages stop the
         step, or are left out in mode ``permissive``.
@@ -76,20 +133,22 @@ class Corpus:
         if not paths:
             return self.spark.createDataFrame([], "namespace string, chunk_name string, page_count bigint")
         lines = archives.read_archives(self.spark, ",".join(paths))
-        found = cut_lineage(articles.pages_from_lines(lines, mode), "pages")
-        self.save("page_log", updates.upsert_pages(self.table("page_log"), found, as_of, ["chunk_name", "line_no"]))
+        found = articles.pages_from_lines(lines, mode)
+        empty = self.table("page_log").limit(0)
+        newest = cut_lineage(updates.upsert_pages(empty, found, as_of, ["chunk_name", "line_no"]), "pages")
+        self.change("page_log", newest)
         done = todo.withColumn("chunk_extracted_path", F.col("chunk_archive_path"))
-        self.save("chunk_log", updates.mark_unpacked(chunks, done, as_of))
-        return status.pages_per_chunk(self.table("page_log"), todo)
+        self.replace("chunk_log", updates.mark_unpacked(chunks, done, as_of))
+        return status.pages_per_chunk(newest, todo)
 
     def embed(
         self, embedder: embedding.Embedder | None = None, namespace: str | None = None, chunk_name: str | None = None,
         limit: int | None = None, dims: int = 2048, calls: int | None = None,
     ) -> DataFrame:
         """Embed pages that lack it, at most ``limit``; returns the pages that failed."""
-        pages, vectors = self.table("page_log"), self.table("page_vector")
+        pages = self.table("page_log")
         scope = pages if chunk_name is None else pages.filter(F.col("chunk_name") == chunk_name)
-        todo = worklists.pages_within_budget(scope, vectors, limit, namespace)
+        todo = worklists.pages_within_budget(scope, self._keys("embedding_vector"), limit, namespace)
         if limit is not None:
             todo = cut_lineage(todo, "todo")
         texts = pages.join(todo.select(*PAGE_KEY), PAGE_KEY, "left_semi")
@@ -98,42 +157,54 @@ class Corpus:
         else:
             made = embedding.embed_pages(texts, embedder, calls=calls)
         made = cut_lineage(made, "embeddings")
-        good = made.filter(F.col("error").isNull()).drop("error")
-        self.save("page_vector", updates.upsert_embeddings(vectors, good))
+        self.change("embedding_vector", made.filter(F.col("error").isNull()))
         return made.filter(F.col("error").isNotNull()).select(*PAGE_KEY, "error")
 
     def reduce(self, target_dim: int = 100, batch_size: int = 10_000, namespace: str | None = None) -> None:
-        vectors = self.table("page_vector")
-        self.save("page_vector", pca.reduce_table(
-            vectors, target_dim=target_dim, batch_size=batch_size, namespace=namespace
+        self.change("reduced_vector", pca.reduce_vectors(
+            self.table("embedding_vector"), target_dim, batch_size, namespace, strict=namespace is not None
         ))
 
     def recursive_cluster(self, settings: tree.TreeSettings = tree.TreeSettings(), namespace: str | None = None) -> int:
         """Throw the trees away and build them anew; returns the number of nodes made."""
-        nodes, vectors = tree.rebuild(self.table("page_vector"), self.table("cluster_tree"), settings, namespace)
-        self.save("cluster_tree", nodes)
-        self.save("page_vector", vectors)
+        here = F.lit(True) if namespace is None else F.col("namespace") == namespace
+        reduced = self.table("reduced_vector")
+        kept = self.table("cluster_tree").filter(~here)
+        nodes, assignments = tree.build_trees(reduced, kept, settings, namespace)
+        # pages that are under no leaf any more must lose their old one
+        placed = reduced.filter(here).select(*PAGE_KEY).join(assignments, PAGE_KEY, "left")
+        self.change("cluster_node_id", placed)
+        self.replace("cluster_tree", kept.unionByName(nodes, allowMissingColumns=True))
         return worklists.in_namespace(self.table("cluster_tree"), namespace).count()
 
     def project(self, method: str = "pca3", namespace: str | None = None, limit: int | None = None) -> None:
-        vectors = self.table("page_vector")
-        placed = projection.project_clusters(vectors, method, namespace, limit)
-        self.save("page_vector", updates.set_three_d_vectors(vectors, placed))
+        """Lay out clusters that have pages without coordinates."""
+        vectors = self.table("reduced_vector").join(self.table("cluster_node_id"), PAGE_KEY).join(
+            self._keys("three_d_vector"), PAGE_KEY, "left"
+        )
+        self.change("three_d_vector", projection.project_clusters(vectors, method, namespace, limit))
 
     def topics(
         self, mode: str, labeler: Labeler = keyword_labeler, limit: int | None = None, namespace: str | None = None,
         **options,
     ) -> LabelRun:
-        pages, vectors = self.table("page_log"), self.table("page_vector")
         run = label_trees(
-            self.table("cluster_tree"), pages, vectors, self.languages, labeler, mode, limit, namespace, **options
+            self.table("cluster_tree"), self.table("page_log"), self.table("cluster_node_id"), self.languages, labeler,
+            mode, limit, namespace, **options
         )
-        self.save("cluster_tree", run.nodes)
+        self.replace("cluster_tree", run.nodes)
         return run
 
     def top_terms(self, n: int = 10) -> None:
-        terms = node_top_terms(self.table("page_log"), self.table("page_vector"), n)
-        self.save("cluster_tree", fill_top_terms(self.table("cluster_tree"), terms))
+        terms = node_top_terms(self.table("page_log"), self.table("cluster_node_id"), n)
+        self.replace("cluster_tree", fill_top_terms(self.table("cluster_tree"), terms))
 
     def status(self) -> DataFrame:
-        return status.status_report(*(self.table(name) for name in TABLES))
+        """The status report; of the vector parts only keys are read."""
+        parts = [self._keys(p) for p in VECTOR_PARTS if p != "cluster_node_id"]
+        present = self.table("cluster_node_id").withColumn("cluster_id", F.lit(None).cast("bigint"))
+        for part in parts:
+            present = present.unionByName(part, allowMissingColumns=True)
+        return status.status_report(
+            self.table("chunk_log"), self.table("page_log"), present, self.table("cluster_tree")
+        )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from corpusmap.functions.ranking import number_rows
 from corpusmap.operators import prompts
 from corpusmap.operators.graph import ROOT_SUFFIX, root_labels
+from corpusmap.operators.joins import node_page_lines
 from corpusmap.operators.updates import clear_labels, set_labels
 from corpusmap.operators.worklists import (
     MODES, check_limit, in_namespace, labelling_worklist, nodes_for_labelling, with_leaf_flag,
@@ -97,10 +98,19 @@ def label_trees(
             labels = labels.join(ready, NODE_KEY, "left").select(*NODE_KEY, F.coalesce("_ready", column).alias(column))
         state = cut_lineage(set_labels(state, labels, [column]), "labels")
 
-    leaves = take(labelling_worklist(state, 1, mode), ["node_id"])
-    name(prompts.leaf_prompts(leaves, pages, vectors), "first_label")
+    def page_lines(work: DataFrame) -> DataFrame:
+        members = vectors.join(
+            work.select("namespace", F.col("node_id").alias("cluster_node_id")), ["namespace", "cluster_node_id"], "left_semi"
+        )
+        return cut_lineage(node_page_lines(pages, members), "lines")
+
+    open_first, open_final = (labelling_worklist(state, step, mode) for step in (1, 2))
+    # without a limit both leaf passes quote the same pages, so their text is gathered once
+    lines = page_lines(open_first.unionByName(open_final).distinct()) if limit is None else None
+    leaves = take(open_first, ["node_id"])
+    name(prompts.leaf_prompts(leaves, page_lines(leaves) if lines is None else lines), "first_label")
     leaves = take(labelling_worklist(state, 2, mode), ["node_id"])
-    name(prompts.leaf_contrast_prompts(leaves, state, pages, vectors), "final_label")
+    name(prompts.leaf_contrast_prompts(leaves, state, page_lines(leaves) if lines is None else lines), "final_label")
 
     deepest_first = [F.desc("depth"), "node_id"]
     before_stems = state

@@ -148,7 +148,8 @@ def a3b(spark, sf):
 def structured_lines(spark, sf):
     """Sections are lines, their parts are sentences, those parts' parts are clauses; one table with a
     nested one; one reference with a map."""
-    docs = table(spark, sf, "documents")
+    # the table is one small file, its structured form about twenty times as large
+    docs = table(spark, sf, "documents").repartition(spark.sparkContext.defaultParallelism)
 
     def part(kind, value, children):
         link = F.struct(F.col("source").alias("url"), value.alias("text"))

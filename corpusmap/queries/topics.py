@@ -74,7 +74,7 @@ def g1(spark, sf):
     WHERE depth = 2"""))
 def g2a(spark, sf):
     leaves = leaf_nodes(fx.cluster_tree(spark, sf))
-    return prompts.leaf_prompts(leaves, fx.page_log(spark, sf), fx.page_vector(spark, sf))
+    return prompts.leaf_prompts(leaves, g2_lines(spark, sf))
 
 
 @query("g2b_leaf_contrast_prompts", with_views("page_log page_vector cluster_tree", f"""
@@ -83,7 +83,7 @@ def g2a(spark, sf):
     FROM cluster_tree JOIN lines USING (namespace, node_id) JOIN sib USING (namespace, node_id) WHERE depth = 2"""))
 def g2b(spark, sf):
     nodes = fx.cluster_tree(spark, sf)
-    return prompts.leaf_contrast_prompts(leaf_nodes(nodes), nodes, fx.page_log(spark, sf), fx.page_vector(spark, sf))
+    return prompts.leaf_contrast_prompts(leaf_nodes(nodes), nodes, g2_lines(spark, sf))
 
 
 @query("g2c_stem_prompts", with_views("cluster_tree", f"""
@@ -139,7 +139,7 @@ def digest_sql(prompt):
            CAST({HALVINGS} AS INT) AS errors FROM asked"""))
 def g4(spark, sf):
     nodes = fx.cluster_tree(spark, sf)
-    asked = prompts.leaf_prompts(leaf_nodes(nodes), fx.page_log(spark, sf), fx.page_vector(spark, sf))
+    asked = prompts.leaf_prompts(leaf_nodes(nodes), g2_lines(spark, sf))
     systems = prompts.system_prompts(nodes, fx.languages(spark))
     return prompts.label_prompts(asked, systems, digest_labeler, calls=8, pause=(0, 0))
 
@@ -196,12 +196,12 @@ def g5(spark, sf):
     WITH {FOUR_PASSES}, placed_leaves AS (
       SELECT *, row_number() OVER (PARTITION BY namespace ORDER BY node_id) AS pos,
              count(*) OVER (PARTITION BY namespace) AS leaves FROM labelled WHERE depth = 2)
-    SELECT t.namespace, t.node_id, CASE WHEN pos <= 20 THEN p.first_label END AS first_label,
+    SELECT t.namespace, t.node_id, CASE WHEN pos <= 8 THEN p.first_label END AS first_label,
            CAST(NULL AS VARCHAR) AS final_label
     FROM cluster_tree t LEFT JOIN placed_leaves p USING (namespace, node_id)"""))
 def g5_limit(spark, sf):
     """A limit below every namespace's number of leaves ends the run within pass 1."""
-    return run_labels(spark, sf, mode="refresh", limit=20).nodes.select(*NODE_LABELS)
+    return run_labels(spark, sf, mode="refresh", limit=8).nodes.select(*NODE_LABELS)
 
 
 @query("g6_shared_limit", with_views("cluster_tree", """

@@ -74,3 +74,9 @@ def write_table(df: DataFrame, path: str, key: str) -> None:
     df.repartitionByRange("namespace", key).sortWithinPartitions("namespace", key).write.partitionBy(
         "namespace"
     ).parquet(path)
+
+
+def save_bucketed(df: DataFrame, name: str, buckets: int, key: tuple[str, ...] = ("namespace", "page_id")) -> None:
+    """A catalogue table bucketed and sorted by the page key: joins of pages and vectors on it need no
+    shuffle. Use the same number of buckets for all of them."""
+    df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key).mode("overwrite").saveAsTable(name)
