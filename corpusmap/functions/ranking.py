@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from corpusmap.session import cut_lineage
 
-# orderBy().limit(n) keeps n rows per task and merges them in one task; past this many rows the
-# numbering below is used instead.
-SMALL_LIMIT = 100_000
+# orderBy().limit(n) sends n rows of every task to a single one; past this many rows the numbering
+# below is used instead.
+SMALL_LIMIT = 1000
 
 
 def first_n_per_group(

@@ -20,15 +20,25 @@ from corpusmap.operators.updates import set_reduced_vectors
 from corpusmap.operators.worklists import check_limit, vectors_with
 from corpusmap.session import cut_lineage
 
-GROUPS_HELD = 4
+# What a task may hold in sums before it sends them off.
+HELD_BYTES = 256 << 20
 
 
 def moment_sums(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Per group: slot 0 holds the vector sum, slot i + 1 row i of the sum of outer products.
 
-    Each task sends d + 1 rows per group it meets, so the scan is packed into a few tasks per core
-    first; a task that meets more than a few groups sends what it has and starts over.
+    Each task sends d + 1 rows per group it meets, so the scan is packed into a few tasks per core. Where
+    the tasks would meet so many groups that this outgrows the vectors or a task's memory, the vectors
+    are first ranged by group, which splits hot groups and gathers small ones.
     """
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    work = df.select(key, vector).coalesce(tasks)
+    dims = (work.select(F.size(vector)).first() or [0])[0]
+    met = work.groupBy(key, F.spark_partition_id().alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    per_task = met.groupBy("_task").agg(F.count(F.lit(1)).alias("_groups"), F.sum("_n").alias("_n"))
+    seen = per_task.agg(F.sum("_groups").alias("pairs"), F.max("_groups").alias("most"), F.sum("_n").alias("rows")).first()
+    if seen["rows"] and (seen["pairs"] * dims > seen["rows"] or seen["most"] * dims * dims * 8 > HELD_BYTES):
+        work = work.repartitionByRange(tasks, key, F.xxhash64(vector)).sortWithinPartitions(key)
 
     def run(batches):
         held: dict[str, list] = {}
@@ -36,7 +46,7 @@ def moment_sums(df: DataFrame, key: str, vector: str) -> DataFrame:
             for name, rows in by_group(batch, key):
                 x = matrix(rows.column(vector))
                 if name not in held:
-                    if len(held) == GROUPS_HELD:
+                    if held and (len(held) + 1) * x.shape[1] ** 2 * 8 > HELD_BYTES:
                         yield from (_moment_rows(key, g, *held[g]) for g in held)
                         held.clear()
                     held[name] = [0, np.zeros(x.shape[1]), np.zeros((x.shape[1], x.shape[1]))]
@@ -46,9 +56,7 @@ def moment_sums(df: DataFrame, key: str, vector: str) -> DataFrame:
                 sums[2] += x.T @ x
         yield from (_moment_rows(key, g, *held[g]) for g in held)
 
-    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
-    partial = df.select(key, vector).coalesce(tasks).mapInArrow(run, SUM_SCHEMA.format(key=key))
-    return add_up(partial, key)
+    return add_up(work.mapInArrow(run, SUM_SCHEMA.format(key=key)), key)
 
 
 def _moment_rows(key, name, n, total, outer) -> pa.RecordBatch:

@@ -15,6 +15,7 @@ from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.functions.text import collapse_whitespace, page_text
 from corpusmap.operators.joins import child_topics, neighbouring_topics
 from corpusmap.schemas import NODE_KEY, PAGE_KEY
+from corpusmap.session import broadcast_if_small, cut_lineage
 from corpusmap.sources.languages import with_language
 
 SYSTEM = (
@@ -129,7 +130,7 @@ def label_prompts(
     ``systems`` has one row per namespace. ``calls`` caps how many tasks call at a time. Write the
     result out before using it twice.
     """
-    work = prompts.join(F.broadcast(systems), "namespace").select(*NODE_KEY, "system_prompt", "prompt")
+    work = prompts.join(broadcast_if_small(systems), "namespace").select(*NODE_KEY, "system_prompt", "prompt")
     if calls is not None:
         work = work.repartition(calls)
 
@@ -163,11 +164,12 @@ def node_top_terms(pages: DataFrame, vectors: DataFrame, n: int = 10) -> DataFra
     words = members.join(pages.select(*PAGE_KEY, text.alias("text")), PAGE_KEY).select(
         *NODE_KEY, F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("term")
     ).filter(F.col("term") != "")
-    counts = words.groupBy(*NODE_KEY, "term").agg(F.count(F.lit(1)).alias("uses"))
+    counts = cut_lineage(words.groupBy(*NODE_KEY, "term").agg(F.count(F.lit(1)).alias("uses")), "terms")
     spread = counts.groupBy("namespace", "term").agg(F.count(F.lit(1)).alias("nodes_with"))
-    totals = counts.select(*NODE_KEY).distinct().groupBy("namespace").agg(F.count(F.lit(1)).alias("nodes"))
+    nodes = counts.select(*NODE_KEY).distinct()
+    totals = cut_lineage(nodes.groupBy("namespace").agg(F.count(F.lit(1)).alias("nodes")), "totals")
     score = F.round(F.col("uses") * F.log((F.col("nodes") + 1) / F.col("nodes_with")), 6)
-    scored = counts.join(spread, ["namespace", "term"]).join(F.broadcast(totals), "namespace").select(
+    scored = counts.join(spread, ["namespace", "term"]).join(broadcast_if_small(totals), "namespace").select(
         *NODE_KEY, "term", score.alias("score")
     )
     return first_n_per_group(scored, NODE_KEY, [F.desc("score"), "term"], n, rank="rank")

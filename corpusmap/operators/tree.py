@@ -122,7 +122,11 @@ def _split_big_nodes(rows: DataFrame, big: DataFrame, depth: int, settings: Tree
         keyed, sizes, "node", "x", settings.max_k, dims, settings.passes, settings.max_iter, seed=settings.seed
     )
     placed = clustering.assign(keyed, "node", "x", centres, table_bytes)
-    placed = cut_lineage(placed.sortWithinPartitions("node", "cluster"), "placed")
+    # ranges of (node, cluster, page) keep each child in few tasks and a hot child in many; the next
+    # depth's scans then send sums for the nodes of their range only
+    placed = cut_lineage(
+        placed.repartitionByRange("node", "cluster", "page_id").sortWithinPartitions("node", "cluster"), "placed"
+    )
     scores = clustering.cosine_silhouette(placed, "node", "x", "cluster", settings.max_k, dims)
     passes = (F.col("clusters") >= 2) & F.coalesce(F.col("silhouette") >= settings.min_silhouette, F.lit(True))
     # k is bounded, so the mean over a node's centres is one small array expression
@@ -204,13 +208,19 @@ def build_trees(
     )
     page_paths = grown.filter(F.col("page_id").isNotNull()).select(*PAGES)
     node_rows = grown.filter(F.col("page_id").isNull()).select(*NODES)
-    for part in leaf_pages:
-        page_paths = page_paths.unionByName(part)
     for part in big_nodes:
         node_rows = node_rows.unionByName(part)
-    numbered = _number_nodes(node_rows, nodes, settings)
-    leaf_ids = numbered.filter(F.col("depth") > 0).select("namespace", "path", F.col("node_id").alias("cluster_node_id"))
-    assignments = page_paths.join(leaf_ids, ["namespace", "path"]).select("namespace", "page_id", "cluster_node_id")
+    numbered = cut_lineage(_number_nodes(node_rows, nodes, settings), "tree")
+    leaves = numbered.filter((F.col("depth") > 0) & (F.col("child_count") == 0)).select(
+        "namespace", "path", "doc_count", F.col("node_id").alias("cluster_node_id")
+    )
+    placed = ["namespace", "page_id", "cluster_node_id"]
+    assignments = page_paths.join(leaves, ["namespace", "path"]).select(*placed)
+    if leaf_pages:
+        # a big leaf may hold most of the pages: too hot for a shuffle key, and there are few of them
+        big_ids = broadcast_if_small(leaves.filter(F.col("doc_count") > settings.big_node_docs))
+        for part in leaf_pages:
+            assignments = assignments.unionByName(part.join(big_ids, ["namespace", "path"]).select(*placed))
     return numbered.select(*schemas.CLUSTER_TREE.fieldNames()), assignments
 
 

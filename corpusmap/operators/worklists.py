@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmap.functions.ranking import take_in_order
+from corpusmap.functions.ranking import SMALL_LIMIT, take_in_order
 from corpusmap.functions.text import is_blank
-from corpusmap.schemas import PAGE_KEY
+from corpusmap.schemas import CHUNK_KEY, PAGE_KEY
+from corpusmap.session import broadcast_if_small, cut_lineage
 
 
 def in_namespace(df: DataFrame, namespace: str | None) -> DataFrame:
@@ -79,10 +80,28 @@ def chunks_needing_embedding(pages: DataFrame, vectors: DataFrame, namespace: st
 def pages_within_budget(
     pages: DataFrame, vectors: DataFrame, limit: int | None, namespace: str | None = None
 ) -> DataFrame:
-    """The next ``limit`` pages, chunk by chunk; the last chunk may be taken in part."""
+    """The next ``limit`` pages, chunk by chunk; the last chunk may be taken in part.
+
+    Counts per chunk say which chunks fit in whole, so only the chunk the limit falls into is put in
+    order.
+    """
     check_limit(limit)
     todo = pages_needing_embedding(pages, vectors, namespace)
-    return take_in_order(todo, ["namespace", "chunk_name", "page_id"], limit)
+    if limit is None or limit <= SMALL_LIMIT:
+        return take_in_order(todo, ["namespace", "chunk_name", "page_id"], limit)
+    # one row per archive, so a single task can add them up
+    before = F.sum("_n").over(Window.orderBy(*CHUNK_KEY).rowsBetween(Window.unboundedPreceding, -1))
+    chunks = todo.groupBy(*CHUNK_KEY).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.coalesce(before, F.lit(0))
+    ).filter(F.col("_before") < limit)
+    chunks = cut_lineage(chunks, "budget")
+    fits = F.col("_before") + F.col("_n") <= limit
+    whole = todo.join(broadcast_if_small(chunks.filter(fits).select(*CHUNK_KEY)), CHUNK_KEY, "left_semi")
+    last = chunks.filter(~fits).first()
+    if last is None:
+        return whole
+    cut = pages_needing_embedding(pages, vectors, last["namespace"], last["chunk_name"])
+    return whole.unionByName(take_in_order(cut, ["page_id"], limit - last["_before"]))
 
 
 def vectors_with(vectors: DataFrame, columns: Sequence[str], namespace: str | None = None) -> DataFrame:

@@ -132,7 +132,7 @@ class Corpus:
         paths = [row["chunk_archive_path"] for row in todo.select("chunk_archive_path").collect()]
         if not paths:
             return self.spark.createDataFrame([], "namespace string, chunk_name string, page_count bigint")
-        lines = archives.read_archives(self.spark, ",".join(paths))
+        lines = archives.read_archives(self.spark, "\n".join(paths))
         found = articles.pages_from_lines(lines, mode)
         empty = self.table("page_log").limit(0)
         newest = cut_lineage(updates.upsert_pages(empty, found, as_of, ["chunk_name", "line_no"]), "pages")

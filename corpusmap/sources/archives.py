@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 BATCH_LINES = 4096
+BATCH_BYTES = 16 << 20
 COLUMNS = "archive string, member string, line_no bigint, line string"
 
 
@@ -30,9 +31,9 @@ class ArchivePartition(InputPartition):
 
 
 def list_archives(path: str) -> list[str]:
-    """Archive paths for a file, a folder, a local glob pattern or a comma separated list."""
+    """Archive paths for a file, a folder, a local glob pattern, or several of these, one per line."""
     found: list[str] = []
-    for item in path.split(","):
+    for item in path.split("\n"):
         if "://" not in item and any(c in item for c in "*?["):
             found += sorted(glob.glob(item))
             continue
@@ -84,12 +85,14 @@ class ArchiveReader(DataSourceReader):
 def _line_batches(archive: str, member: str, lines) -> Iterator[pa.RecordBatch]:
     numbers: list[int] = []
     texts: list[str] = []
+    size = 0
     for number, line in enumerate(lines, start=1):
         numbers.append(number)
         texts.append(line.decode("utf-8").rstrip("\r\n"))
-        if len(texts) == BATCH_LINES:
+        size += len(line)
+        if len(texts) == BATCH_LINES or size >= BATCH_BYTES:
             yield _batch(archive, member, numbers, texts)
-            numbers, texts = [], []
+            numbers, texts, size = [], [], 0
     if texts:
         yield _batch(archive, member, numbers, texts)
 

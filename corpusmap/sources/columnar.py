@@ -30,8 +30,13 @@ def floats_from_blob(blobs: pa.Array) -> pa.Array:
 @F.arrow_udf(T.BinaryType())
 def blob_from_floats(vectors: pa.Array) -> pa.Array:
     """A float list to little-endian float32 bytes."""
-    out = [None if v is None else np.asarray(v, "<f4").tobytes() for v in vectors.to_pylist()]
-    return pa.array(out, pa.binary())
+    lengths = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(lengths) * 4]).astype("<i4")
+    values = vectors.flatten().to_numpy(zero_copy_only=False).astype("<f4")
+    set_bits = pa.array(vectors.is_valid()).buffers()[1] if vectors.null_count else None
+    return pa.Array.from_buffers(
+        pa.binary(), len(vectors), [set_bits, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())]
+    )
 
 
 def vector_from_text(text: Column) -> Column:

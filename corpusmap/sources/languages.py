@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmap.session import broadcast_if_small
+
 # Language name, ISO 639-1 code, namespace.
 LANGUAGES = [
     ("Chinese", "zh", "zhwiki_namespace_0"),
@@ -81,9 +83,10 @@ def namespace_index(languages: DataFrame) -> DataFrame:
 def with_language(df: DataFrame, languages: DataFrame, strict: bool = True) -> DataFrame:
     """Add ``language`` by namespace; ``strict`` fails on a namespace that is not listed.
 
-    The language table has one row per language edition, a few hundred at most, hence the hint.
+    The language table has one row per language edition, a few hundred, so it is broadcast after a
+    count; a join by shuffle would put a whole namespace into one task.
     """
-    joined = df.join(F.broadcast(namespace_index(languages)), "namespace", "left")
+    joined = df.join(broadcast_if_small(namespace_index(languages)), "namespace", "left")
     if not strict:
         return joined
     missing = F.raise_error(F.concat(F.lit("no language for namespace "), F.col("namespace")))

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from corpusmap.functions import ranking
 from corpusmap.functions.ranking import first_n_per_group, number_rows, take_in_order
+from corpusmap.operators import worklists
 
 
 def skewed(spark, n=3000):
@@ -34,3 +35,14 @@ def test_take_in_order_beyond_the_small_limit(spark, monkeypatch):
     taken = {r["id"] for r in take_in_order(df, ["k", "id"], 500).collect()}
     assert taken == {r["id"] for r in df.orderBy("k", "id").limit(500).collect()}
     assert take_in_order(df, ["id"], None) is df
+
+
+def test_budget_by_chunk_counts(spark):
+    pages = skewed(spark).select(
+        F.lit("n").alias("namespace"), F.concat(F.lit("c"), F.col("k")).alias("chunk_name"), F.col("id").alias("page_id")
+    )
+    vectors = pages.filter("page_id % 10 = 1").select("namespace", "page_id", F.lit(True).alias("embedding_vector"))
+    left = pages.filter("page_id % 10 <> 1").orderBy("namespace", "chunk_name", "page_id")
+    for limit in (1001, 1500, 2699, 2700, 5000):
+        taken = worklists.pages_within_budget(pages.repartition(5), vectors, limit)
+        assert {tuple(r) for r in taken.select(*left.columns).collect()} == {tuple(r) for r in left.limit(limit).collect()}

@@ -256,3 +256,18 @@ def test_large_and_small_clusters_project_alike(spark):
     one_task = sorted(map(tuple, projection.project_clusters(df, max_group_docs=100).collect()))
     by_scan = sorted(map(tuple, projection.project_clusters(df, max_group_docs=10).collect()))
     assert np.allclose([r[2] for r in one_task], [r[2] for r in by_scan], atol=1e-4)
+
+
+def test_interleaved_groups_are_ranged_first(spark, monkeypatch):
+    """Many small groups in every task, and one with a third of the rows: sums must still be right."""
+    x = blobs(1200, 5, seed=9)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 40}", i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "namespace string, page_id bigint, x array<float>").repartition(8)
+    for held in (pca.HELD_BYTES, 500):
+        monkeypatch.setattr(pca, "HELD_BYTES", held)
+        got = {(r["namespace"], r["i"], r["j"]): r for r in pca.covariances(df, "namespace", "x").collect()}
+        for name in ("hot", "g1"):
+            mine = np.array([r[2] for r in rows if r[0] == name])
+            expected = np.cov(mine.T)
+            assert got[name, 0, 0]["n"] == len(mine)
+            assert np.allclose([[got[name, i, j]["covariance"] for j in range(5)] for i in range(5)], expected, atol=1e-5)
