@@ -61,25 +61,27 @@ def scan_with_tables(
     are broadcast; past ROUND_BYTES in total the groups are dealt out over several rounds by a hash of
     their key, each of which scans ``df`` for its own groups. Rows of unknown groups are left out.
     """
-    spark = df.sparkSession
-    rounds = max(1, math.ceil(tables.count() * table_bytes / ROUND_BYTES))
+    most = max(1, ROUND_BYTES // max(table_bytes, 1))
+    first = tables.select(key, "values").limit(most + 1).collect()
+    if len(first) <= most:
+        return _scan(df, key, first, work, schema)
+    rounds = math.ceil(tables.count() / most)
     parts = None
     for number in range(rounds):
         mine = F.pmod(F.xxhash64(key), F.lit(rounds)) == number
-        chosen = tables if rounds == 1 else tables.filter(mine)
-        held = {row[key]: np.array(row["values"], np.float64) for row in chosen.select(key, "values").collect()}
-        shared = spark.sparkContext.broadcast(held)
-        rows = df if rounds == 1 else df.filter(mine)
-        part = rows.mapInArrow(_worker(work, shared), schema)
+        part = _scan(df.filter(mine), key, tables.select(key, "values").filter(mine).collect(), work, schema)
         parts = part if parts is None else parts.unionByName(part)
     return parts
 
 
-def _worker(work, shared):
+def _scan(df: DataFrame, key: str, rows: list, work, schema: str) -> DataFrame:
+    held = {row[key]: np.array(row["values"], np.float64) for row in rows}
+    shared = df.sparkSession.sparkContext.broadcast(held)
+
     def run(batches: Batches) -> Batches:
         yield from work(batches, shared.value)
 
-    return run
+    return df.mapInArrow(run, schema)
 
 
 SUM_SCHEMA = "{key} string, slot int, n bigint, total array<double>"

@@ -228,13 +228,21 @@ def f6_gated(spark, sf):
     )
 
 
-@query("f7_inner_centroids")
+@query("f7_inner_centroids", with_views("page_vector", """
+    SELECT namespace, CAST(8 AS INT) AS dims, true AS is_mean_of_children FROM page_vector WHERE reduced_vector IS NOT NULL
+    GROUP BY namespace HAVING count(*) >= 10"""))
 def f7(spark, sf):
-    """Centroids of inner nodes next to the size and the mean of their child nodes' pages."""
-    vectors, nodes, assigned = tree_tables(spark, sf)
-    return nodes.filter("centroid is not null").select(
-        "namespace", "node_id", "depth", "doc_count", "child_count",
-        F.transform("centroid", lambda v: F.round(v.cast("double"), 6)).cast("string").alias("centroid"),
+    """In trees of one split the root's centroid is the mean over its leaves of the mean page vector,
+    each leaf counting once."""
+    settings = tree.TreeSettings(leaf_target=8, max_k=10, max_depth=1, min_silhouette=0.0, max_iter=500)
+    vectors, nodes, assigned = tree_tables(spark, sf, settings)
+    pages = vectors.select("namespace", "page_id", "reduced_vector").join(assigned, ["namespace", "page_id"])
+    means = F.array(*[F.avg(F.col("reduced_vector")[i].cast("double")) for i in range(8)])
+    leaves = pages.groupBy("namespace", "cluster_node_id").agg(means.alias("m"))
+    overall = leaves.groupBy("namespace").agg(F.array(*[F.avg(F.col("m")[i]) for i in range(8)]).alias("expected"))
+    gaps = F.zip_with("centroid", "expected", lambda a, b: F.abs(a - b))
+    return nodes.filter("centroid is not null").join(overall, "namespace").select(
+        "namespace", F.size("centroid").alias("dims"), F.forall(gaps, lambda g: g < 1e-5).alias("is_mean_of_children")
     )
 
 
