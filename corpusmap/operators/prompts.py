@@ -111,7 +111,7 @@ def call_labeler(labeler: Labeler, system: str, prompt: str, pause: tuple[float,
     for failed in range(ATTEMPTS):
         try:
             label = labeler(system, prompt)
-            return (label.strip() or None if label else None), failed
+            return (label.strip() if label else None), failed
         except ServerError as error:
             if not 500 <= error.status_code <= 599 or failed == ATTEMPTS - 1:
                 raise

@@ -183,7 +183,9 @@ def structured_lines(spark, sf):
         F.struct(F.col("source").alias("value")).alias("text"),
     )
     line = F.to_json(F.struct(
-        F.col("doc_id").alias("identifier"),
+        F.col("doc_id").alias("identifier"), F.col("text").alias("name"), F.lit("2024-01-02T03:04:05Z").alias("dateModified"),
+        F.struct(F.col("lang").alias("identifier")).alias("inLanguage"),
+        F.struct(F.struct(F.col("n_chars").alias("editCount")).alias("editor")).alias("version"),
         F.array(part("infobox", F.col("source"), F.array())).alias("infoboxes"),
         F.transform(F.split("text", "\n"), lambda x: part("line", x, sentences(x))).alias("articleSections"),
         F.array(grid).alias("tables"), F.array(reference).alias("references"),
@@ -237,6 +239,25 @@ def a4_cells(spark, sf):
     return structured.flatten_tables(contents(spark, sf), ["page_id"])
 
 
+@query("a4_structured_scan", """
+    SELECT doc_id AS identifier, text AS name, lang AS language, n_chars AS edit_count, CAST(1 AS INT) AS infoboxes,
+           CAST(len(string_split(text, chr(10))) AS INT) AS sections, CAST(1 AS INT) AS tables, CAST(0 AS INT) AS entities,
+           'r' || CAST(doc_id AS VARCHAR) AS reference, source AS reference_source, '2024-01-02 03:04:05' AS modified
+    FROM documents""")
+def a4_scan(spark, sf):
+    """Scalar and list members of structured contents, read, written and read again."""
+    keyed = structured_lines(spark, sf)
+    once = structured.parse_structured(keyed.select("line"))
+    rows = structured.parse_structured(structured.structured_lines(once))
+    return rows.select(
+        "identifier", "name", F.col("inLanguage.identifier").alias("language"), F.col("version.editor.editCount").alias("edit_count"),
+        F.size("infoboxes").alias("infoboxes"), F.size("articleSections").alias("sections"), F.size("tables").alias("tables"),
+        F.size("additionalEntities").alias("entities"), F.col("references")[0]["identifier"].alias("reference"),
+        F.col("references")[0]["metadata"]["source"].alias("reference_source"),
+        F.col("dateModified").cast("string").alias("modified"),
+    )
+
+
 @query("a4_structured_references", """
     SELECT doc_id AS page_id, 0 AS position, 'r' || CAST(doc_id AS VARCHAR) AS identifier, '' AS "group", source AS text,
            '' AS source, 'lang' AS key, lang AS value FROM documents
@@ -249,7 +270,7 @@ def a4_references(spark, sf):
 
 # ---------------------------------------------------------------- A5 to A11
 @query("a5_language_table", """
-    SELECT language, max(iso_code) AS iso_code, arg_max(namespace, src) AS namespace
+    SELECT language, max(iso_code) AS iso_code, arg_max(namespace, src) AS namespace, min(src) AS line_no
     FROM (SELECT upper(lang) AS language, lang AS iso_code, lang || '_' || source AS namespace,
                  CAST(substring(source, 4) AS INT) AS src FROM documents) GROUP BY language""")
 def a5(spark, sf):
@@ -353,6 +374,34 @@ def a7(spark, sf):
     )
 
 
+@query("a7_columnar_tree", with_views("cluster_tree placed", """
+    SELECT namespace, node_id, parent_id, depth, doc_count, first_label,
+           CASE WHEN depth = 2 THEN CAST(doc_count AS DOUBLE) END AS first_value, depth = 1 AS has_terms,
+           CASE WHEN depth = 1 THEN 'term ' || CAST(node_id AS VARCHAR) END AS term,
+           CASE WHEN depth = 2 THEN (SELECT min(page_id) FROM placed p WHERE p.namespace = t.namespace
+                                     AND p.base + 12 + p.label * 4 + p.slot = t.node_id) END AS first_sample
+    FROM cluster_tree t"""))
+def a7_tree(spark, sf):
+    """Nodes in stored form, centroid as bytes and lists as JSON text, to columns."""
+    pages = fx.page_vector(spark, sf).groupBy("namespace", F.col("cluster_node_id").alias("node_id")).agg(
+        F.min("page_id").alias("first_page")
+    )
+    nodes = fx.cluster_tree(spark, sf).drop("centroid", "top_terms", "sample_doc_ids").join(pages, ["namespace", "node_id"], "left")
+    centroid = F.when(F.col("depth") == 2, F.array(F.col("doc_count").cast("float"), F.lit(1.5).cast("float")))
+    term = F.concat(F.lit("term "), F.col("node_id").cast("string"))
+    stored = nodes.withColumns({
+        "centroid": columnar.blob_from_floats(centroid),
+        "top_terms": F.when(F.col("depth") == 1, F.to_json(F.array(term, F.lit("other")))),
+        "sample_doc_ids": F.when(F.col("depth") == 2, F.to_json(F.array("first_page"))),
+    })
+    loaded = columnar.columnar_tree(stored)
+    return loaded.select(
+        "namespace", "node_id", "parent_id", "depth", "doc_count", "first_label",
+        F.col("centroid")[0].cast("double").alias("first_value"), F.coalesce(F.size("top_terms") == 2, F.lit(False)).alias("has_terms"),
+        F.col("top_terms")[0].alias("term"), F.col("sample_doc_ids")[0].alias("first_sample"),
+    )
+
+
 @query("a8_three_d_text", """
     SELECT event_id, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 6) AS x, 0.0::DOUBLE AS y,
            CASE WHEN user_id % 2 = 0 THEN 0.0 ELSE round(CAST(CAST(value / 4 AS FLOAT) AS DOUBLE), 6) END AS z

@@ -106,7 +106,13 @@ CATALOGUE = {
 LINK = struct(url=S, text=S, images=listed(IMAGE))
 CITATION = struct(identifier=S, group=S, text=S)
 REFERENCE_TEXT = struct(value=S, links=listed(LINK))
+VARIANTS = listed(T.VariantType())
 REFERENCE = struct(
     identifier=S, group=S, type=S, metadata=T.MapType(S, S), text=REFERENCE_TEXT,
     source=REFERENCE_TEXT,
 )
+STRUCTURED_CONTENT = struct(
+    name=S, identifier=L, abstract=S, description=S, version=VERSION, url=S, dateCreated=TS, dateModified=TS,
+    mainEntity=ENTITY, additionalEntities=listed(ENTITY), isPartOf=PROJECT, inLanguage=LANGUAGE, infoboxes=VARIANTS,
+    articleSections=VARIANTS, tables=VARIANTS, references=listed(REFERENCE), image=IMAGE,
+)

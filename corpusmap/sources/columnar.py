@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -70,6 +72,23 @@ def columnar_vectors(stored: DataFrame) -> DataFrame:
     return stored.withColumns(changed)
 
 
+def columnar_tree(stored: DataFrame) -> DataFrame:
+    """Tree rows with the centroid as a float list and the JSON text lists as lists."""
+    return stored.withColumns({
+        "centroid": floats_from_blob("centroid"),
+        "top_terms": F.from_json("top_terms", "array<string>"),
+        "sample_doc_ids": F.from_json("sample_doc_ids", "array<bigint>"),
+    })
+
+
+def convert(stored: Mapping[str, DataFrame], target: str) -> None:
+    """The four stored tables as columnar Parquet tables under ``target``."""
+    keys = {"chunk_log": "chunk_name", "page_log": "page_id", "page_vector": "page_id", "cluster_tree": "node_id"}
+    decode = {"page_vector": columnar_vectors, "cluster_tree": columnar_tree}
+    for name, df in stored.items():
+        write_table(decode[name](df) if name in decode else df, f"{target}/{name}", keys[name])
+
+
 def write_table(df: DataFrame, path: str, key: str) -> None:
     """Parquet partitioned by namespace, each folder cut into files by key range.
 

@@ -72,12 +72,15 @@ def last_row_per_language(raw: DataFrame) -> DataFrame:
     return trimmed.groupBy("language").agg(
         F.max_by("iso_code", "line_no").alias("iso_code"),
         F.max_by("namespace", "line_no").alias("namespace"),
+        F.min("line_no").alias("line_no"),
     )
 
 
 def namespace_index(languages: DataFrame) -> DataFrame:
-    """One row per namespace; of languages that share one, the last by name counts."""
-    return languages.groupBy("namespace").agg(F.max("language").alias("language"))
+    """One row per namespace; of languages that share one, the last in the file counts, or by name
+    where the table has no line numbers."""
+    order = "line_no" if "line_no" in languages.columns else "language"
+    return languages.groupBy("namespace").agg(F.max_by("language", order).alias("language"))
 
 
 def with_language(df: DataFrame, languages: DataFrame, strict: bool = True) -> DataFrame:

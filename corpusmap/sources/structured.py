@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusmap.schemas import CITATION, IMAGE, LINK, REFERENCE
+from corpusmap.schemas import CITATION, IMAGE, LINK, REFERENCE, STRUCTURED_CONTENT
 
 VARIANTS = "array<variant>"
 MAX_DEPTH = 8
@@ -21,6 +22,22 @@ def parse_contents(lines: DataFrame, keys: list[str]) -> DataFrame:
     return lines.select(*keys, F.parse_json("line").alias("content"))
 
 
+def parse_structured(lines: DataFrame) -> DataFrame:
+    """Typed members of structured contents from ``line``; parts and tables stay VARIANT, missing lists
+    are empty."""
+    rows = lines.select(F.from_json("line", STRUCTURED_CONTENT).alias("_c")).select("_c.*")
+    return rows.select(*[
+        F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) if isinstance(f.dataType, T.ArrayType)
+        else F.col(f.name)
+        for f in STRUCTURED_CONTENT.fields
+    ])
+
+
+def structured_lines(rows: DataFrame) -> DataFrame:
+    """One JSON line per row of ``parse_structured``."""
+    return rows.select(F.to_json(F.struct(*STRUCTURED_CONTENT.fieldNames()), {"ignoreNullFields": "false"}).alias("line"))
+
+
 def _list(value: Column, path: str) -> Column:
     return F.coalesce(F.try_variant_get(value, path, VARIANTS), F.array().cast(VARIANTS))
 

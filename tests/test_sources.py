@@ -165,3 +165,27 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE bucketed_pages")
         spark.sql("DROP TABLE bucketed_vectors")
+
+
+def test_convert_all_tables(spark, sf_dir, tmp_path):
+    from corpusmap import fixtures as fx
+
+    vectors = fx.page_vector(spark, sf_dir)
+    nodes = fx.cluster_tree(spark, sf_dir)
+    columnar.convert({
+        "chunk_log": fx.chunk_log(spark, sf_dir),
+        "page_log": fx.page_log(spark, sf_dir),
+        "page_vector": vectors.withColumns({
+            "embedding_vector": columnar.blob_from_floats("embedding_vector"),
+            "reduced_vector": columnar.blob_from_floats("reduced_vector"),
+            "three_d_vector": columnar.text_from_vector(F.col("three_d_vector")),
+        }),
+        "cluster_tree": nodes.withColumns({
+            "centroid": F.lit(None).cast("binary"), "top_terms": F.lit('["a","b"]'), "sample_doc_ids": F.lit("[3,1]"),
+        }),
+    }, str(tmp_path))
+    back = spark.read.parquet(str(tmp_path / "page_vector")).select(vectors.columns)
+    assert back.exceptAll(vectors).isEmpty() and back.count() == vectors.count()
+    tree = spark.read.parquet(str(tmp_path / "cluster_tree"))
+    assert tree.filter("top_terms[1] = 'b' and sample_doc_ids[0] = 3").count() == nodes.count()
+    assert spark.read.parquet(str(tmp_path / "page_log")).count() == 200

@@ -49,7 +49,7 @@ def test_retries():
 
     with pytest.raises(prompts.ServerError):
         prompts.call_labeler(bad_request, "s", "x", (0, 0))
-    assert prompts.call_labeler(lambda s, p: "  ", "s", "x") == (None, 0)
+    assert prompts.call_labeler(lambda s, p: "  ", "s", "x") == ("", 0)
     assert prompts.call_labeler(lambda s, p: None, "s", "x") == (None, 0)
 
 
