@@ -39,7 +39,7 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         _ns(F.col("lang")).alias("namespace"),
         F.col("doc_id").alias("page_id"),
-        F.substring(first_line, 1, 80).alias("title"),
+        first_line.alias("title"),
         F.concat(_ns(F.col("lang")), F.lit("_chunk_"), F.substr("source", F.lit(4))).alias("chunk_name"),
         F.concat(F.lit("https://"), F.col("lang"), F.lit(".example.org/"), F.col("doc_id").cast("string")).alias("url"),
         _fixed_time().alias("extracted_at"),
@@ -158,7 +158,7 @@ _FIRST = "split_part(text, chr(10), 1)"
 
 VIEWS_SQL = {
     "page_log": f"""
-        SELECT {_NS} AS namespace, doc_id AS page_id, substring({_FIRST}, 1, 80) AS title,
+        SELECT {_NS} AS namespace, doc_id AS page_id, {_FIRST} AS title,
                {_NS} || '_chunk_' || substring(source, 4) AS chunk_name,
                'https://' || lang || '.example.org/' || CAST(doc_id AS VARCHAR) AS url,
                TIMESTAMP '{FIXED_TIME}' AS extracted_at,

@@ -6,32 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ABSTRACT_CLIP = 500
+WHITESPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x85]+"
 
 
 def collapse_whitespace(text: Column) -> Column:
-    """Runs of white space become one blank, none at either end; NBSP and friends count too."""
-    return F.trim(F.regexp_replace(text, r"[\s\p{Z}]+", " "))
+    """Runs of white space become one blank, none at either end.
+
+    White space is what Python's ``str.split`` takes for it: NBSP, the information separators and the
+    next-line mark count too.
+    """
+    return F.trim(F.regexp_replace(text, WHITESPACE, " "))
 
 
 def clip(text: Column, length: int = ABSTRACT_CLIP) -> Column:
     return F.substring(text, 1, length)
 
 
-def first_half(text: Column) -> Column:
-    """The retry form of a text that was too long, halved by code points."""
-    return F.substr(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))
-
-
 def is_blank(text: Column) -> Column:
     return text.isNull() | (text == "")
 
 
-def strip(text: Column) -> Column:
-    """Outer white space off, empty results to NULL."""
-    trimmed = F.regexp_replace(text, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    return F.when(trimmed != "", trimmed)
-
-
 def page_line(title: Column, abstract: Column) -> Column:
     """``title`` alone, or ``title: abstract`` when there is one."""
     return F.concat(

@@ -23,7 +23,7 @@ from corpusmap.operators import embedding, pca, projection, status, tree, update
 from corpusmap.operators.prompts import Labeler, fill_top_terms, keyword_labeler, node_top_terms
 from corpusmap.plans.labelling import LabelRun, label_trees
 from corpusmap.schemas import CHUNK_KEY, NODE_KEY, PAGE_KEY
-from corpusmap.session import cut_lineage
+from corpusmap.session import cut_lineage, scratch
 from corpusmap.sources import archives, articles, catalogue
 
 
@@ -40,6 +40,7 @@ TABLES = {
     "reduced_vector": (_vector_part("reduced_vector"), PAGE_KEY),
     "cluster_node_id": (_vector_part("cluster_node_id"), PAGE_KEY),
     "three_d_vector": (_vector_part("three_d_vector"), PAGE_KEY),
+    "embedding_error": (schemas.struct(namespace=schemas.S, page_id=schemas.L, error=schemas.S), PAGE_KEY),
 }
 VECTOR_PARTS = ["embedding_vector", "reduced_vector", "cluster_node_id", "three_d_vector"]
 # Tables whose changes never repeat a key, so that reading is a plain union.
@@ -128,18 +129,20 @@ class Corpus:
         step, or are left out in mode ``permissive``.
         """
         chunks = self.table("chunk_log")
-        todo = cut_lineage(worklists.chunks_to_unpack(chunks, namespace, limit), "unpack")
-        paths = [row["chunk_archive_path"] for row in todo.select("chunk_archive_path").collect()]
-        if not paths:
-            return self.spark.createDataFrame([], "namespace string, chunk_name string, page_count bigint")
-        lines = archives.read_archives(self.spark, "\n".join(paths))
-        found = articles.pages_from_lines(lines, mode)
-        empty = self.table("page_log").limit(0)
-        newest = cut_lineage(updates.upsert_pages(empty, found, as_of, ["chunk_name", "line_no"]), "pages")
-        self.change("page_log", newest)
-        done = todo.withColumn("chunk_extracted_path", F.col("chunk_archive_path"))
-        self.replace("chunk_log", updates.mark_unpacked(chunks, done, as_of))
-        return status.pages_per_chunk(newest, todo)
+        with scratch(self.spark):
+            todo = cut_lineage(worklists.chunks_to_unpack(chunks, namespace, limit), "unpack")
+            paths = [row["chunk_archive_path"] for row in todo.select("chunk_archive_path").collect()]
+            counts = []
+            if paths:
+                lines = archives.read_archives(self.spark, "\n".join(paths))
+                found = articles.pages_from_lines(lines, mode)
+                empty = self.table("page_log").limit(0)
+                newest = cut_lineage(updates.upsert_pages(empty, found, as_of, ["chunk_name", "line_no"]), "pages")
+                self.change("page_log", newest)
+                done = todo.withColumn("chunk_extracted_path", F.col("chunk_archive_path"))
+                self.replace("chunk_log", updates.mark_unpacked(chunks, done, as_of))
+                counts = status.pages_per_chunk(newest, todo).collect()  # one row per archive
+        return self.spark.createDataFrame(counts, "namespace string, chunk_name string, page_count bigint")
 
     def embed(
         self, embedder: embedding.Embedder | None = None, namespace: str | None = None, chunk_name: str | None = None,
@@ -148,33 +151,37 @@ class Corpus:
         """Embed pages that lack it, at most ``limit``; returns the pages that failed."""
         pages = self.table("page_log")
         scope = pages if chunk_name is None else pages.filter(F.col("chunk_name") == chunk_name)
-        todo = worklists.pages_within_budget(scope, self._keys("embedding_vector"), limit, namespace)
-        if limit is not None:
-            todo = cut_lineage(todo, "todo")
-        texts = pages.join(todo.select(*PAGE_KEY), PAGE_KEY, "left_semi")
-        if embedder is None:
-            made = embedding.hashed_embeddings(texts, dims).withColumn("error", F.lit(None).cast("string"))
-        else:
-            made = embedding.embed_pages(texts, embedder, calls=calls)
-        made = cut_lineage(made, "embeddings")
-        self.change("embedding_vector", made.filter(F.col("error").isNull()))
-        return made.filter(F.col("error").isNotNull()).select(*PAGE_KEY, "error")
+        with scratch(self.spark):
+            todo = worklists.pages_within_budget(scope, self._keys("embedding_vector"), limit, namespace)
+            if limit is not None:
+                todo = cut_lineage(todo, "todo")
+            texts = pages.join(todo.select(*PAGE_KEY), PAGE_KEY, "left_semi")
+            if embedder is None:
+                made = embedding.hashed_embeddings(texts, dims).withColumn("error", F.lit(None).cast("string"))
+            else:
+                made = embedding.embed_pages(texts, embedder, calls=calls)
+            made = cut_lineage(made, "embeddings")
+            self.change("embedding_vector", made.filter(F.col("error").isNull()))
+            self.replace("embedding_error", made.filter(F.col("error").isNotNull()))
+        return self.table("embedding_error")
 
     def reduce(self, target_dim: int = 100, batch_size: int = 10_000, namespace: str | None = None) -> None:
-        self.change("reduced_vector", pca.reduce_vectors(
-            self.table("embedding_vector"), target_dim, batch_size, namespace, strict=namespace is not None
-        ))
+        with scratch(self.spark):
+            self.change("reduced_vector", pca.reduce_vectors(
+                self.table("embedding_vector"), target_dim, batch_size, namespace, strict=namespace is not None
+            ))
 
     def recursive_cluster(self, settings: tree.TreeSettings = tree.TreeSettings(), namespace: str | None = None) -> int:
         """Throw the trees away and build them anew; returns the number of nodes made."""
         here = F.lit(True) if namespace is None else F.col("namespace") == namespace
         reduced = self.table("reduced_vector")
         kept = self.table("cluster_tree").filter(~here)
-        nodes, assignments = tree.build_trees(reduced, kept, settings, namespace)
-        # pages that are under no leaf any more must lose their old one
-        placed = reduced.filter(here).select(*PAGE_KEY).join(assignments, PAGE_KEY, "left")
-        self.change("cluster_node_id", placed)
-        self.replace("cluster_tree", kept.unionByName(nodes, allowMissingColumns=True))
+        with scratch(self.spark):
+            nodes, assignments = tree.build_trees(reduced, kept, settings, namespace)
+            # pages that are under no leaf any more must lose their old one
+            placed = reduced.filter(here).select(*PAGE_KEY).join(assignments, PAGE_KEY, "left")
+            self.change("cluster_node_id", placed)
+            self.replace("cluster_tree", kept.unionByName(nodes, allowMissingColumns=True))
         return worklists.in_namespace(self.table("cluster_tree"), namespace).count()
 
     def project(self, method: str = "pca3", namespace: str | None = None, limit: int | None = None) -> None:
@@ -182,22 +189,26 @@ class Corpus:
         vectors = self.table("reduced_vector").join(self.table("cluster_node_id"), PAGE_KEY).join(
             self._keys("three_d_vector"), PAGE_KEY, "left"
         )
-        self.change("three_d_vector", projection.project_clusters(vectors, method, namespace, limit))
+        with scratch(self.spark):
+            self.change("three_d_vector", projection.project_clusters(vectors, method, namespace, limit))
 
     def topics(
         self, mode: str, labeler: Labeler = keyword_labeler, limit: int | None = None, namespace: str | None = None,
         **options,
     ) -> LabelRun:
-        run = label_trees(
-            self.table("cluster_tree"), self.table("page_log"), self.table("cluster_node_id"), self.languages, labeler,
-            mode, limit, namespace, **options
-        )
-        self.replace("cluster_tree", run.nodes)
+        with scratch(self.spark):
+            run = label_trees(
+                self.table("cluster_tree"), self.table("page_log"), self.table("cluster_node_id"), self.languages,
+                labeler, mode, limit, namespace, **options
+            )
+            self.replace("cluster_tree", run.nodes)
+        run.nodes = self.table("cluster_tree")
         return run
 
     def top_terms(self, n: int = 10) -> None:
-        terms = node_top_terms(self.table("page_log"), self.table("cluster_node_id"), n)
-        self.replace("cluster_tree", fill_top_terms(self.table("cluster_tree"), terms))
+        with scratch(self.spark):
+            terms = node_top_terms(self.table("page_log"), self.table("cluster_node_id"), n)
+            self.replace("cluster_tree", fill_top_terms(self.table("cluster_tree"), terms))
 
     def status(self) -> DataFrame:
         """The status report; of the vector parts only keys are read."""

@@ -112,11 +112,15 @@ def label_trees(
     leaves = take(labelling_worklist(state, 2, mode), ["node_id"])
     name(prompts.leaf_contrast_prompts(leaves, state, page_lines(leaves) if lines is None else lines), "final_label")
 
+    def near(depth: int) -> DataFrame:
+        """The nodes a prompt at this depth can quote: siblings and children."""
+        return state.filter(F.col("depth").isin(depth, depth + 1))
+
     deepest_first = [F.desc("depth"), "node_id"]
     before_stems = state
     stems = take(labelling_worklist(state, 3, mode), deepest_first)
     for depth in _depths(stems):
-        name(prompts.stem_prompts(stems.filter(F.col("depth") == depth), state), "first_label")
+        name(prompts.stem_prompts(stems.filter(F.col("depth") == depth), near(depth)), "first_label")
     if strict_compat:
         chosen = labelling_worklist(before_stems, 4, mode, strict_compat).select(*NODE_KEY)
         again = state.join(chosen, NODE_KEY, "left_semi")
@@ -124,7 +128,7 @@ def label_trees(
         again = labelling_worklist(state, 4, mode)
     stems = take(again, deepest_first)
     for depth in _depths(stems):
-        name(prompts.stem_contrast_prompts(stems.filter(F.col("depth") == depth), state), "final_label")
+        name(prompts.stem_contrast_prompts(stems.filter(F.col("depth") == depth), near(depth)), "final_label")
 
     finished = [ns for ns, n in used.items() if limit is None or n < limit]
     roots = root_labels(state.filter(F.col("namespace").isin(finished)), languages, root_suffix)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmap import fixtures as fx
 from corpusmap.fixtures import table, with_views
-from corpusmap.functions.text import collapse_whitespace
+from corpusmap.functions.text import WHITESPACE, collapse_whitespace
 from corpusmap.operators import graph, prompts
 from corpusmap.operators.joins import node_page_lines
 from corpusmap.operators.worklists import leaf_nodes, with_leaf_flag
@@ -19,7 +19,7 @@ NODE_LABELS = ("namespace", "node_id", "first_label", "final_label")
 
 
 def squeeze(sql):
-    return f"trim(regexp_replace({sql}, '[\\s\\p{{Z}}]+', ' ', 'g'))"
+    return f"trim(regexp_replace({sql}, '{WHITESPACE}', ' ', 'g'))"
 
 
 def prompt_sql(ask, slot, content, neighbours=None):

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +44,28 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_folders: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders made inside the block at its end; frames read from them end with it too."""
+    before = len(_folders)
+    try:
+        yield
+    finally:
+        made = _folders[before:]
+        del _folders[before:]
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in made:
+            path = hadoop(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -65,7 +86,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     Call it on narrow key tables that are already written out: the count scans them once.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def drop_if_present(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.drop(*[n for n in names if n in df.columns])

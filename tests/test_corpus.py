@@ -77,8 +77,8 @@ def test_steps(corpus, spark, sf_dir):
 
 
 def test_limited_labels_resume(corpus):
-    first = corpus.topics("refresh", limit=7)
-    assert set(first.processed.values()) == {7}
+    first = corpus.topics("refresh", limit=3)
+    assert set(first.processed.values()) == {3}
     nodes = corpus.table("cluster_tree")
     assert nodes.filter("parent_id is null and first_label is not null").isEmpty()
     rest = corpus.topics("resume")
