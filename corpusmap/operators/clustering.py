@@ -88,7 +88,7 @@ def train(
     for _ in range(passes):
         totals = _slot_sum_scan(rows, key, vector, centres, table_bytes)
         moved = slots_to_table(
-            totals.withColumn("mean", F.transform("total", lambda v: v / F.col("n"))), key, "mean"
+            totals.withColumn("mean", F.transform("total", lambda v: v / F.greatest("n", F.lit(1)))), key, "mean"
         ).select(key, F.col("values").alias("new"), "counts")
         # a cluster without rows keeps its centre
         kept = F.zip_with(

@@ -271,3 +271,16 @@ def test_interleaved_groups_are_ranged_first(spark, monkeypatch):
             expected = np.cov(mine.T)
             assert got[name, 0, 0]["n"] == len(mine)
             assert np.allclose([[got[name, i, j]["covariance"] for j in range(5)] for i in range(5)], expected, atol=1e-5)
+
+
+def test_training_keeps_the_centre_of_an_emptied_cluster(spark, monkeypatch):
+    """A start centre no row is nearest to stays where it is."""
+    start = [[0.0, 0.0], [10.0, 10.0], [500.0, 500.0]]
+    monkeypatch.setattr(clustering, "starting_centres", lambda *a, **k: spark.createDataFrame(
+        [("g", start)], "node string, values array<array<double>>"))
+    rows = spark.createDataFrame(
+        [("g", i, [float(i % 2 * 10 + 1), float(i % 2 * 10)]) for i in range(40)], "node string, page_id bigint, x array<float>"
+    )
+    sizes = spark.createDataFrame([("g", 40, 3)], "node string, n bigint, k int")
+    got = clustering.train(rows, sizes, "node", "x", 3, 2).first()["values"]
+    assert got == [[1.0, 0.0], [11.0, 10.0], [500.0, 500.0]]
