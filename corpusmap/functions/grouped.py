@@ -113,3 +113,36 @@ def slots_to_table(totals: DataFrame, key: str, value: str = "total") -> DataFra
     """Slot rows of each group as one list of lists, in slot order."""
     listed = totals.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("slot", "n", value))).alias("_s"))
     return listed.select(key, F.col(f"_s.{value}").alias("values"), F.col("_s.n").alias("counts"), F.col("_s.slot").alias("slots"))
+
+
+def map_small_groups(
+    df: DataFrame, keys: list[str], order: list[str], work: Callable[[pa.Table], pa.Table], schema: str
+) -> DataFrame:
+    """Run ``work`` on every group's rows, for many groups of bounded size.
+
+    The rows are brought together and sorted by key, and each task cuts its stream where the key
+    changes. It holds one batch and one open group; unlike a grouped map it pays per batch, not per
+    group, for getting rows to Python.
+    """
+    arranged = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Batches) -> Batches:
+        open_rows: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if open_rows is not None:
+                rows = pa.concat_tables([open_rows, rows])
+            rows = rows.combine_chunks()
+            changed = np.zeros(max(len(rows) - 1, 0), bool)
+            for name in keys:
+                codes = rows.column(name).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                changed |= codes[1:] != codes[:-1]
+            bounds = [0, *(np.flatnonzero(changed) + 1).tolist()]
+            done = [work(rows.slice(a, b - a)) for a, b in zip(bounds, bounds[1:])]
+            if done:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+            open_rows = rows.slice(bounds[-1])
+        if open_rows is not None and len(open_rows):
+            yield from work(open_rows).combine_chunks().to_batches()
+
+    return arranged.mapInArrow(run, schema)

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmap.functions.grouped import float_lists, map_small_groups, matrix
 from corpusmap.functions.kmeans import seeded, unit_rows
-from corpusmap.functions.ranking import first_n_per_group
+from corpusmap.functions.ranking import first_n_per_group, take_in_order
 from corpusmap.operators import pca
-from corpusmap.operators.status import clusters_needing_projection
-from corpusmap.operators.worklists import in_namespace
+from corpusmap.operators.worklists import check_limit, in_namespace
 from corpusmap.session import broadcast_if_small, cut_lineage
 
 # Neighbours per page, dimensions of the projection.
 NEIGHBOURS = 30
 DIMENSIONS = 3
 BLOCK_ROWS = 2000
+EXACT_ROWS = 300
 METHODS = ("pca3", "neighbour")
 
 
@@ -91,11 +93,15 @@ def neighbour_layout(ids: np.ndarray, x: np.ndarray, name: str, k: int = NEIGHBO
     root = 1.0 / np.sqrt(links.sum(1))
     walk = links * root[:, None] * root[None, :]
     trivial = (1.0 / root) / np.linalg.norm(1.0 / root)
-    basis = seeded(42, name).standard_normal((n, DIMENSIONS))
-    for _ in range(steps):
-        basis = walk @ basis + basis
-        basis -= np.outer(trivial, trivial @ basis)
-        basis, _ = np.linalg.qr(basis)
+    if n <= EXACT_ROWS:
+        _, axes = np.linalg.eigh(walk - np.outer(trivial, trivial))
+        basis = axes[:, ::-1][:, :DIMENSIONS]
+    else:
+        basis = seeded(42, name).standard_normal((n, DIMENSIONS))
+        for _ in range(steps):
+            basis = walk @ basis + basis
+            basis -= np.outer(trivial, trivial @ basis)
+            basis, _ = np.linalg.qr(basis)
     largest = basis[np.abs(basis).argmax(0), np.arange(DIMENSIONS)]
     return basis * np.where(largest < 0, -1.0, 1.0) * np.sqrt(n)
 
@@ -132,35 +138,37 @@ def project_clusters(
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
-    wanted = cut_lineage(clusters_needing_projection(vectors, namespace, limit, cluster_col), "clusters")
-    rows = in_namespace(vectors, namespace).select(
-        "namespace", "page_id", F.col(cluster_col).alias("cluster"), F.col("reduced_vector").alias("x")
-    ).filter(F.col("x").isNotNull() & F.col("cluster").isNotNull())
+    check_limit(limit)
     keys = ["namespace", "cluster"]
-    rows = rows.join(broadcast_if_small(wanted.select(*keys)), keys, "left_semi")
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    large = cut_lineage(sizes.filter(F.col("n") > max_group_docs).select(*keys), "large")
-    large_keys = broadcast_if_small(large)  # at most one row per max_group_docs pages
-
-    def layout(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page_id")
-        x = np.array(pdf["x"].tolist(), np.float64)
+    members = in_namespace(vectors, namespace).select(
+        "namespace", "page_id", F.col(cluster_col).alias("cluster"), F.col("reduced_vector").alias("x"),
+        F.col("three_d_vector").isNull().alias("_open"),
+    ).filter(F.col("cluster").isNotNull())
+    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if("_open").alias("_open"))
+    wanted = cut_lineage(take_in_order(sizes.filter(F.col("_open") > 0).select(*keys, "n"), keys, limit), "clusters")
+    rows = members.filter(F.col("x").isNotNull()).drop("_open")
+    small = wanted.filter(F.col("n") <= max_group_docs).select(*keys)
+    large = wanted.filter(F.col("n") > max_group_docs).select(*keys)  # at most one row per max_group_docs pages
+
+    def layout(group: pa.Table) -> pa.Table:
+        x = matrix(group.column("x").combine_chunks())
         if method == "neighbour":
-            name = f"{pdf['namespace'].iloc[0]}/{pdf['cluster'].iloc[0]}"
-            placed = neighbour_layout(pdf["page_id"].to_numpy(), x, name)
+            name = f"{group.column('namespace')[0]}/{group.column('cluster')[0]}"
+            placed = neighbour_layout(group.column("page_id").to_numpy(), x, name)
         else:
             placed = component_layout(x)
-        return pd.DataFrame({
-            "namespace": pdf["namespace"].to_numpy(), "page_id": pdf["page_id"].to_numpy(),
-            "three_d_vector": placed.astype(np.float32).tolist(),
+        return pa.table({
+            "namespace": group.column("namespace"), "page_id": group.column("page_id"),
+            "three_d_vector": float_lists(placed.astype(np.float32)),
         })
 
-    done = rows.join(large_keys, keys, "left_anti").groupBy(*keys).applyInPandas(
-        layout, "namespace string, page_id bigint, three_d_vector array<float>"
+    done = map_small_groups(
+        rows.join(broadcast_if_small(small), keys, "left_semi"), keys, ["page_id"], layout,
+        "namespace string, page_id bigint, three_d_vector array<float>",
     )
     if large.isEmpty():
         return done
-    wide = rows.join(large_keys, keys, "left_semi").withColumn("node", F.concat_ws("/", *keys)).drop("cluster")
+    wide = rows.join(broadcast_if_small(large), keys, "left_semi").withColumn("node", F.concat_ws("/", *keys)).drop("cluster")
     bases = cut_lineage(pca.fit(wide, "node", "x", DIMENSIONS), "bases")
     placed = pca.transform(wide, "node", "x", bases, DIMENSIONS, "three_d_vector")
     return done.unionByName(placed.select("namespace", "page_id", "three_d_vector"))
