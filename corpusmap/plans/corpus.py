@@ -23,7 +23,7 @@ from corpusmap.operators import embedding, pca, projection, status, tree, update
 from corpusmap.operators.prompts import Labeler, fill_top_terms, keyword_labeler, node_top_terms
 from corpusmap.plans.labelling import LabelRun, label_trees
 from corpusmap.schemas import CHUNK_KEY, NODE_KEY, PAGE_KEY
-from corpusmap.session import cut_lineage, scratch
+from corpusmap.session import cut_lineage, exists, list_folder, scratch
 from corpusmap.sources import archives, articles, catalogue
 
 
@@ -57,13 +57,9 @@ class Corpus:
     # ------------------------------------------------------------ tables
     def _folders(self, name: str) -> tuple[int, list[int]]:
         """Number of the newest base (0: none) and the changes made to it, in order."""
-        files, local = archives.open_filesystem(f"{self.root}/{name}")
-        entries = files.get_file_info(archives.pafs.FileSelector(local, allow_not_found=True))
-        found = [re.fullmatch(r"v(\d+)(?:-(\d+))?", e.base_name) for e in entries]
-        done = [
-            (int(m[1]), int(m[2] or 0)) for m in found
-            if m and files.get_file_info(f"{local}/{m[0]}/_SUCCESS").type != archives.pafs.FileType.NotFound
-        ]
+        folder = f"{self.root}/{name}"
+        found = [re.fullmatch(r"v(\d+)(?:-(\d+))?", entry) for entry in list_folder(self.spark, folder)]
+        done = [(int(m[1]), int(m[2] or 0)) for m in found if m and exists(self.spark, f"{folder}/{m[0]}/_SUCCESS")]
         base = max((b for b, change in done if change == 0), default=0)
         return base, sorted(change for b, change in done if b == base and change)
 

@@ -138,15 +138,15 @@ def f4(spark, sf):
         distance = F.transform("values", lambda c: F.aggregate(
             F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, g: t + g))
         return placed.withColumn("d", distance).select(
-            "page_id", "cluster", F.get("d", F.col("cluster")).alias(name), F.array_min("d").alias("least")
+            "node", "page_id", "cluster", F.get("d", F.col("cluster")).alias(name), F.array_min("d").alias("least")
         )
 
-    before = gaps(start, "gap").agg(F.sum("gap").alias("before"))
-    after = gaps(centres, "gap").agg(
+    before = gaps(start, "gap").groupBy("node").agg(F.sum("gap").alias("before"))
+    after = gaps(centres, "gap").groupBy("node").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("gap") - F.col("least")).alias("excess"),
         F.count_distinct("cluster").alias("clusters"), F.sum("gap").alias("after"),
     )
-    return after.join(before, F.lit(True)).select(
+    return after.join(before, "node").select(
         "n", (F.col("excess") < 1e-9).alias("all_nearest"), (F.col("clusters") == 10).alias("all_filled"),
         (F.col("after") <= F.col("before")).alias("tighter_than_start"),
     )

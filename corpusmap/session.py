@@ -44,6 +44,23 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Spark itself sees them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def list_folder(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if it is missing."""
+    files, path = hadoop_path(spark, folder)
+    return [entry.getPath().getName() for entry in files.listStatus(path)] if files.exists(path) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, found = hadoop_path(spark, path)
+    return files.exists(found)
+
+
 _folders: list[str] = []
 
 
@@ -62,10 +79,9 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         made = _folders[before:]
         del _folders[before:]
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path
         for folder in made:
-            path = hadoop(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            files, path = hadoop_path(spark, folder)
+            files.delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:

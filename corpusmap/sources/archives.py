@@ -52,7 +52,7 @@ def list_archives(path: str) -> list[str]:
 
 def open_filesystem(path: str):
     if "://" in path:
-        return pafs.FileSystem.from_uri(path)
+        return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return pafs.LocalFileSystem(), path
 
 

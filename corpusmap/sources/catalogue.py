@@ -40,6 +40,11 @@ def batches_of_hour(batches: DataFrame, time: datetime.datetime) -> DataFrame:
     return batches.filter((F.col("dt") == f"{time:%Y-%m-%d}") & (F.col("hour") == f"{time:%H}"))
 
 
+def read_batches_of_hour(spark: SparkSession, root: str, time: datetime.datetime) -> DataFrame:
+    """The listing that landed under ``root/batches/YYYY-MM-DD/HH``."""
+    return read_catalogue(spark, "batches", f"{root}/batches/{time:%Y-%m-%d}/{time:%H}")
+
+
 def register_chunks(
     chunks: DataFrame, listing: DataFrame, namespace: str | Column, language: str | None = None
 ) -> DataFrame:

@@ -189,3 +189,26 @@ def test_convert_all_tables(spark, sf_dir, tmp_path):
     tree = spark.read.parquet(str(tmp_path / "cluster_tree"))
     assert tree.filter("top_terms[1] = 'b' and sample_doc_ids[0] = 3").count() == nodes.count()
     assert spark.read.parquet(str(tmp_path / "page_log")).count() == 200
+
+
+def test_batches_of_an_hour(spark, tmp_path):
+    import datetime
+
+    folder = tmp_path / "batches" / "2024-01-05" / "07"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"identifier": "b1", "dateModified": "2024-01-05T07:10:00Z", "size": {"value": 2.5}}\n')
+    time = datetime.datetime(2024, 1, 5, 7, 59)
+    row = catalogue.read_batches_of_hour(spark, str(tmp_path), time).first()
+    assert row["identifier"] == "b1" and row["size"]["value"] == 2.5
+    prefix = spark.range(1).select(catalogue.batch_prefix(F.lit(time)).alias("p")).first()["p"]
+    assert prefix == "batches/2024-01-05/07"
+
+
+def test_images_of_parts(spark):
+    part = {"name": "x", "images": [{"contentUrl": "i", "width": 3}], "links": [{"url": "u", "images": [{"contentUrl": "j"}]}]}
+    df = spark.createDataFrame([(1, json.dumps({"articleSections": [part, {"name": "y"}]}))], "page_id int, line string")
+    parts = structured.flatten_parts(structured.parse_contents(df, ["page_id"]), ["page_id"])
+    assert parts.count() == 2
+    image = structured.part_images(parts, ["page_id"]).first()
+    assert (image["path"], image["contentUrl"], image["width"]) == ("0", "i", 3)
+    assert structured.part_links(parts, ["page_id"]).first()["images"][0]["contentUrl"] == "j"
