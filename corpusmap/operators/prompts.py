@@ -125,20 +125,24 @@ def label_prompts(
     prompts: DataFrame, systems: DataFrame, labeler: Labeler, calls: int | None = None,
     pause: tuple[float, float] = PAUSE,
 ) -> DataFrame:
-    """(namespace, node_id, label, errors); a NULL prompt gives a NULL label without a call.
+    """(namespace, node_id, label, errors); a NULL prompt gives ``ready_label``, if there is that column,
+    or a NULL label, without a call.
 
     ``systems`` has one row per namespace. ``calls`` caps how many tasks call at a time. Write the
     result out before using it twice.
     """
-    work = prompts.join(broadcast_if_small(systems), "namespace").select(*NODE_KEY, "system_prompt", "prompt")
+    ready = F.col("ready_label") if "ready_label" in prompts.columns else F.lit(None).cast("string")
+    work = prompts.withColumn("ready_label", ready).join(broadcast_if_small(systems), "namespace").select(
+        *NODE_KEY, "system_prompt", "prompt", "ready_label"
+    )
     if calls is not None:
         work = work.repartition(calls)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [
-                (None, 0) if prompt is None else call_labeler(labeler, system, prompt, pause)
-                for system, prompt in zip(batch["system_prompt"], batch["prompt"])
+                (ready, 0) if prompt is None else call_labeler(labeler, system, prompt, pause)
+                for system, prompt, ready in zip(batch["system_prompt"], batch["prompt"], batch["ready_label"])
             ]
             yield pd.DataFrame({
                 "namespace": batch["namespace"].to_numpy(), "node_id": batch["node_id"].to_numpy(),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,27 +76,24 @@ def label_trees(
     pages, vectors = in_namespace(pages, namespace), in_namespace(vectors, namespace)
     systems = cut_lineage(prompts.system_prompts(state, languages), "systems")
     used = {row["namespace"]: 0 for row in systems.select("namespace").collect()}
-    errors = 0
+    answers: list[DataFrame] = []
 
-    def take(work: DataFrame, order: Sequence) -> DataFrame:
-        """The part of a worklist within the limit, counted."""
+    def take(work: DataFrame, order: Sequence) -> tuple[DataFrame, list[int]]:
+        """The part of a worklist within the limit, counted, and the depths in it, deepest first."""
         if limit is not None:
             work = first_nodes(work, order, {ns: limit - n for ns, n in used.items()})
         work = cut_lineage(work, "work")
-        for row in work.groupBy("namespace").count().collect():
+        counts = work.groupBy("namespace", "depth").count().collect()
+        for row in counts:
             used[row["namespace"]] += row["count"]
-        return work
+        return work, sorted({row["depth"] for row in counts}, reverse=True)
 
     def name(asked: DataFrame, column: str) -> None:
         """Get labels for prompts and put them into the state."""
-        nonlocal state, errors
-        asked = cut_lineage(asked, "prompts")
+        nonlocal state
         found = cut_lineage(prompts.label_prompts(asked, systems, labeler, calls, pause), "labels")
-        errors += found.agg(F.sum("errors")).first()[0] or 0
+        answers.append(found.select("errors"))
         labels = found.select(*NODE_KEY, F.col("label").alias(column))
-        if "ready_label" in asked.columns:
-            ready = asked.filter(F.col("ready_label").isNotNull()).select(*NODE_KEY, F.col("ready_label").alias("_ready"))
-            labels = labels.join(ready, NODE_KEY, "left").select(*NODE_KEY, F.coalesce("_ready", column).alias(column))
         state = cut_lineage(set_labels(state, labels, [column]), "labels")
 
     def page_lines(work: DataFrame) -> DataFrame:
@@ -107,9 +105,9 @@ def label_trees(
     open_first, open_final = (labelling_worklist(state, step, mode) for step in (1, 2))
     # without a limit both leaf passes quote the same pages, so their text is gathered once
     lines = page_lines(open_first.unionByName(open_final).distinct()) if limit is None else None
-    leaves = take(open_first, ["node_id"])
+    leaves, _ = take(open_first, ["node_id"])
     name(prompts.leaf_prompts(leaves, page_lines(leaves) if lines is None else lines), "first_label")
-    leaves = take(labelling_worklist(state, 2, mode), ["node_id"])
+    leaves, _ = take(labelling_worklist(state, 2, mode), ["node_id"])
     name(prompts.leaf_contrast_prompts(leaves, state, page_lines(leaves) if lines is None else lines), "final_label")
 
     def near(depth: int) -> DataFrame:
@@ -118,25 +116,21 @@ def label_trees(
 
     deepest_first = [F.desc("depth"), "node_id"]
     before_stems = state
-    stems = take(labelling_worklist(state, 3, mode), deepest_first)
-    for depth in _depths(stems):
+    stems, depths = take(labelling_worklist(state, 3, mode), deepest_first)
+    for depth in depths:
         name(prompts.stem_prompts(stems.filter(F.col("depth") == depth), near(depth)), "first_label")
     if strict_compat:
         chosen = labelling_worklist(before_stems, 4, mode, strict_compat).select(*NODE_KEY)
         again = state.join(chosen, NODE_KEY, "left_semi")
     else:
         again = labelling_worklist(state, 4, mode)
-    stems = take(again, deepest_first)
-    for depth in _depths(stems):
+    stems, depths = take(again, deepest_first)
+    for depth in depths:
         name(prompts.stem_contrast_prompts(stems.filter(F.col("depth") == depth), near(depth)), "final_label")
 
     finished = [ns for ns, n in used.items() if limit is None or n < limit]
     roots = root_labels(state.filter(F.col("namespace").isin(finished)), languages, root_suffix)
     both = roots.select(*NODE_KEY, F.col("root_label").alias("first_label"), F.col("root_label").alias("final_label"))
     state = cut_lineage(set_labels(state, both, ["first_label", "final_label"]), "labels")
+    errors = reduce(DataFrame.unionByName, answers).agg(F.sum("errors")).first()[0] or 0
     return LabelRun(set_labels(nodes, state, ["first_label", "final_label"]), used, errors)
-
-
-def _depths(work: DataFrame) -> list[int]:
-    """Depths in a worklist, deepest first; at most the tree's depth."""
-    return sorted((row["depth"] for row in work.select("depth").distinct().collect()), reverse=True)
