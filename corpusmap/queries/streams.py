@@ -129,7 +129,7 @@ def h3(spark, sf):
     log = new_folder(spark, "log")
     stream = changes.article_stream(spark, folder, schema, "parquet", files_per_batch=1)
     changes.deliver(stream, changes.log_newest(log), new_folder(spark, "offsets")).awaitTermination()
-    state = changes.compact(spark, log, schema, new_folder(spark, "base"))
+    state, _ = changes.compact(spark, log, schema, new_folder(spark, "base"))
     return state.select(*EVENT_COLUMNS, F.col("event.offset").alias("offset"))
 
 

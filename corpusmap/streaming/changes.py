@@ -3,7 +3,8 @@
 The state is a log, not a table that is rewritten with each batch: a micro-batch is reduced to the
 newest event per article and written as one folder ``batch_id=n``. Writing the same batch again
 replaces its folder, so a restart neither loses nor doubles anything. Readers take the newest event
-per key over the log; ``compact`` folds it into a base once in a while.
+per key over the log; ``compact`` folds it into a base once in a while, after which only later batches
+are read.
 """
 
 from __future__ import annotations
@@ -53,14 +54,33 @@ def log_newest(log: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
-def latest_state(spark: SparkSession, log: str, schema: T.StructType, base: DataFrame | None = None) -> DataFrame:
-    """Newest event of every article in the log, on top of ``base`` if there is one."""
-    rows = spark.read.schema(schema).parquet(log).select(*schema.fieldNames())
+def _logged(spark: SparkSession, log: str, schema: T.StructType, after: int) -> DataFrame:
+    """Rows of the batches later than ``after``; only their folders are read."""
+    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(with_batch).parquet(log).filter(F.col("batch_id") > after)
+
+
+def latest_state(
+    spark: SparkSession, log: str, schema: T.StructType, base: DataFrame | None = None, after: int = -1
+) -> DataFrame:
+    """Newest event of every article: the batches later than ``after`` on top of ``base``."""
+    rows = _logged(spark, log, schema, after).select(*schema.fieldNames())
     return newest_events(rows if base is None else base.unionByName(rows))
 
 
-def compact(spark: SparkSession, log: str, schema: T.StructType, target: str, base: DataFrame | None = None) -> DataFrame:
-    """Write the latest state as a new base, in ranges of the key, and return it."""
-    state = latest_state(spark, log, schema, base)
+def compact(
+    spark: SparkSession, log: str, schema: T.StructType, target: str, base: DataFrame | None = None, after: int = -1
+) -> tuple[DataFrame, int]:
+    """Write the latest state as a new base, in ranges of the key. Returns it and the last batch in it,
+    which later reads pass as ``after``."""
+    last = _logged(spark, log, schema, after).agg(F.max("batch_id")).first()[0]
+    last = after if last is None else last
+    state = newest_events(_upto(_logged(spark, log, schema, after), last, schema, base))
     state.repartitionByRange(*ARTICLE_KEY).sortWithinPartitions(*ARTICLE_KEY).write.parquet(target)
-    return spark.read.schema(schema).parquet(target)
+    return spark.read.schema(schema).parquet(target), last
+
+
+def _upto(rows: DataFrame, last: int, schema: T.StructType, base: DataFrame | None) -> DataFrame:
+    # batches may go on arriving while the base is written
+    rows = rows.filter(F.col("batch_id") <= last).select(*schema.fieldNames())
+    return rows if base is None else base.unionByName(rows)

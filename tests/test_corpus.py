@@ -84,3 +84,22 @@ def test_limited_labels_resume(corpus):
     rest = corpus.topics("resume")
     assert all(n > 0 for n in rest.processed.values())
     assert corpus.table("cluster_tree").filter("final_label is null").isEmpty()
+
+
+def test_changes_lie_over_the_base_and_fold_in(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("corpusmap.plans.corpus.MAX_CHANGES", 3)
+    corpus = Corpus(spark, str(tmp_path), fx.languages(spark))
+    schema = "namespace string, page_id bigint, cluster_node_id bigint"
+
+    def rows():
+        return sorted((r["page_id"], r["cluster_node_id"]) for r in corpus.table("cluster_node_id").collect())
+
+    assert rows() == []
+    for step in range(6):
+        corpus.change("cluster_node_id", spark.createDataFrame([("n", step, step), ("n", 99, step)], schema))
+        assert rows() == [(i, i) for i in range(step + 1)] + [(99, step)]
+    base, changes = corpus._folders("cluster_node_id")
+    assert base >= 1 and len(changes) <= 3
+    (tmp_path / "cluster_node_id" / "v50").mkdir()  # a step that did not finish
+    (tmp_path / "cluster_node_id" / f"v{base}-40").mkdir()
+    assert rows() == [(i, i) for i in range(6)] + [(99, 5)]

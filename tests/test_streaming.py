@@ -50,9 +50,12 @@ def test_a_repeated_batch_changes_nothing(spark, sf_dir, tmp_path):
     once = state_of(changes.latest_state(spark, log, events.schema))
     handle(events, 0)
     assert state_of(changes.latest_state(spark, log, events.schema)) == once
-    base = changes.compact(spark, log, events.schema, str(tmp_path / "base"))
+    base, last = changes.compact(spark, log, events.schema, str(tmp_path / "base"))
+    assert last == 0
     handle(events.filter("event.offset < 10"), 1)
-    assert state_of(changes.latest_state(spark, log, events.schema, base)) == once
+    assert state_of(changes.latest_state(spark, log, events.schema, base, last)) == once
+    again, last = changes.compact(spark, log, events.schema, str(tmp_path / "base2"), base, last)
+    assert last == 1 and state_of(again) == once
 
 
 def test_replay_bounds(spark, sf_dir):
