@@ -128,14 +128,14 @@ def _split_big_nodes(rows: DataFrame, big: DataFrame, depth: int, settings: Tree
         placed.repartitionByRange("node", "cluster", "page_id").sortWithinPartitions("node", "cluster"), "placed"
     )
     scores = clustering.cosine_silhouette(placed, "node", "x", "cluster", settings.max_k, dims)
-    passes = (F.col("clusters") >= 2) & F.coalesce(F.col("silhouette") >= settings.min_silhouette, F.lit(True))
+    splits = (F.col("clusters") >= 2) & F.coalesce(F.col("silhouette") >= settings.min_silhouette, F.lit(True))
     # k is bounded, so the mean over a node's centres is one small array expression
     centre_mean = F.transform(
-        F.sequence(F.lit(0), F.lit(dims - 1)),
+        F.sequence(F.lit(0), F.size(F.col("values")[0]) - 1),
         lambda i: (F.aggregate("values", F.lit(0.0), lambda a, c: a + F.get(c, i)) / F.size("values")).cast("float"),
     )
     verdicts = cut_lineage(
-        scores.select("node", passes.alias("splits"))
+        scores.select("node", splits.alias("splits"))
         .join(centres.select("node", centre_mean.alias("centroid")), "node")
         .join(big.withColumn("node", node_key()), "node"),
         "verdicts",

@@ -167,11 +167,12 @@ def f5(spark, sf):
     return scored.select("n", "clusters", F.round("silhouette", 6).alias("silhouette"))
 
 
-SETTINGS = tree.TreeSettings(leaf_target=8, max_k=10, max_depth=4, min_silhouette=0.0, big_node_docs=100)
+SETTINGS = tree.TreeSettings(leaf_target=8, max_k=10, max_depth=4, min_silhouette=0.0, big_node_docs=200)
 
 
 def tree_tables(spark, sf, settings=SETTINGS):
-    vectors = fx.page_vector(spark, sf)
+    """Reduced vectors of all embedded pages, the trees over them, and the pages' leaves."""
+    vectors = cut_lineage(pca.reduce_vectors(fx.page_vector(spark, sf), 8, strict=False), "reduced")
     nodes, assigned = tree.build_trees(vectors, fx.cluster_tree(spark, sf), settings)
     return vectors, cut_lineage(nodes, "tree"), cut_lineage(assigned, "assigned")
 
@@ -181,7 +182,7 @@ def tree_tables(spark, sf, settings=SETTINGS):
            CAST(0 AS BIGINT) AS wrong_doc_sums, CAST(0 AS BIGINT) AS wrong_child_counts, CAST(0 AS BIGINT) AS wrong_depths,
            CAST(0 AS BIGINT) AS wrong_order, CAST(0 AS BIGINT) AS small_inner_nodes, CAST(0 AS BIGINT) AS wrong_centroids,
            CAST(0 AS BIGINT) AS misplaced_samples
-    FROM page_vector WHERE reduced_vector IS NOT NULL GROUP BY namespace HAVING count(*) >= {SETTINGS.max_k}"""))
+    FROM page_vector GROUP BY namespace HAVING count(*) >= {SETTINGS.max_k}"""))
 def f6(spark, sf):
     """Trees of all namespaces, big nodes split by table-wide jobs, checked for what every tree obeys."""
     _, nodes, assigned = tree_tables(spark, sf)
@@ -217,7 +218,7 @@ def f6(spark, sf):
 @query("f6_gated_tree", with_views("page_vector cluster_tree", """
     SELECT namespace, CAST(0 AS SMALLINT) AS depth, CAST(count(*) AS INT) AS doc_count, CAST(0 AS INT) AS child_count,
            (SELECT max(node_id) FROM cluster_tree) + row_number() OVER (ORDER BY namespace) AS node_id
-    FROM page_vector WHERE reduced_vector IS NOT NULL GROUP BY namespace HAVING count(*) >= 20"""))
+    FROM page_vector GROUP BY namespace HAVING count(*) >= 20"""))
 def f6_gated(spark, sf):
     """A silhouette bar no split reaches leaves each namespace with its root alone."""
     settings = tree.TreeSettings(leaf_target=20, max_k=20, min_silhouette=0.95, big_node_docs=100)
@@ -229,7 +230,7 @@ def f6_gated(spark, sf):
 
 
 @query("f7_inner_centroids", with_views("page_vector", """
-    SELECT namespace, CAST(8 AS INT) AS dims, true AS is_mean_of_children FROM page_vector WHERE reduced_vector IS NOT NULL
+    SELECT namespace, CAST(8 AS INT) AS dims, true AS is_mean_of_children FROM page_vector
     GROUP BY namespace HAVING count(*) >= 10"""))
 def f7(spark, sf):
     """In trees of one split the root's centroid is the mean over its leaves of the mean page vector,

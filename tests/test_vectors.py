@@ -284,3 +284,18 @@ def test_training_keeps_the_centre_of_an_emptied_cluster(spark, monkeypatch):
     sizes = spark.createDataFrame([("g", 40, 3)], "node string, n bigint, k int")
     got = clustering.train(rows, sizes, "node", "x", 3, 2).first()["values"]
     assert got == [[1.0, 0.0], [11.0, 10.0], [500.0, 500.0]]
+
+
+@pytest.mark.parametrize("big_node_docs", [10_000, 30])
+def test_namespaces_may_differ_in_width(spark, big_node_docs):
+    df = frame(spark, blobs(90, 6), "a").unionByName(frame(spark, blobs(90, 4), "b"))
+    settings = tree.TreeSettings(leaf_target=15, max_k=5, max_depth=2, min_silhouette=0.0, big_node_docs=big_node_docs)
+    nodes, assigned = tree.build_trees(df, settings=settings)
+    widths = {(r["namespace"], len(r["centroid"])) for r in nodes.collect() if r["centroid"]}
+    assert widths == {("a", 6), ("b", 4)} and assigned.count() == 180
+
+
+def test_a_large_leaf_target_beats_the_task_bound(spark):
+    settings = tree.TreeSettings(leaf_target=100, max_k=5, min_silhouette=0.0, big_node_docs=20)
+    nodes, assigned = tree.build_trees(frame(spark, blobs(90)), settings=settings)
+    assert nodes.count() == 1 and assigned.isEmpty()
