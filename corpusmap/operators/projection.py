@@ -24,8 +24,13 @@ METHODS = ("pca3", "neighbour")
 
 
 def top_neighbours(query_ids, query: np.ndarray, ids: np.ndarray, unit: np.ndarray, k: int):
-    """For each query row the k nearest other rows: parallel arrays (query id, id, distance)."""
-    distance = 1.0 - query @ unit.T
+    """For each query row the k nearest other rows: parallel arrays (query id, id, distance).
+
+    Distances are rounded so that equal vectors tie whatever block they are met in; two zero vectors
+    are equal too.
+    """
+    distance = np.maximum(np.round(1.0 - query @ unit.T, 12), 0.0)
+    distance[np.ix_(~query.any(1), ~unit.any(1))] = 0.0
     distance[query_ids[:, None] == ids[None, :]] = np.inf
     k = min(k, len(ids))
     order = np.lexsort((np.broadcast_to(ids, distance.shape), distance), axis=1)[:, :k]
@@ -45,11 +50,18 @@ def cluster_neighbours(
     A cluster of up to ``block_rows`` pages is one block and one task. A larger one is cut into blocks
     by id hash and each pair of blocks is a task of its own that keeps k candidates per page; the
     best k of all blocks follow from a rank per page. Memory per task is two blocks whatever the
-    cluster's size; the work is that of an exact search, quadratic in the cluster.
+    cluster's size; the work is that of an exact search, quadratic in the cluster's distinct vectors.
+
+    Of the copies of one vector only the first k + 1 are searched: no later one can be among the k
+    nearest of any page, and its own neighbours are the first k copies.
     """
-    sizes = cut_lineage(rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks")), "blocks")
+    rows = rows.select(*keys, "page_id", vector)
+    searched = cut_lineage(first_n_per_group(rows, [*keys, vector], ["page_id"], k + 1, rank="_copy"), "searched")
+    sizes = cut_lineage(
+        searched.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks")), "blocks"
+    )
     several = sizes.filter(F.col("_blocks") > 1)  # at most one row per block_rows pages
-    placed = rows.select(*keys, "page_id", vector).join(broadcast_if_small(several), keys, "left").withColumn(
+    placed = searched.drop("_copy").join(broadcast_if_small(several), keys, "left").withColumn(
         "_blocks", F.coalesce("_blocks", F.lit(1))
     ).withColumn("_block", F.pmod(F.xxhash64("page_id"), F.col("_blocks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("_blocks") - 1)
@@ -76,7 +88,15 @@ def cluster_neighbours(
         return frame
 
     candidates = asked.unionByName(offered).groupBy(*keys, "_ask", "_offer").applyInPandas(run, schema)
-    return first_n_per_group(candidates, [*keys, "page_id"], ["distance", "neighbour_id"], k, rank="rank")
+    found = first_n_per_group(candidates, [*keys, "page_id"], ["distance", "neighbour_id"], k, rank="rank")
+    many = searched.groupBy(*keys, vector).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_copy").alias("rank"), F.col("page_id").alias("neighbour_id")))).alias("_copies")
+    ).filter(F.size("_copies") > k).withColumn("_copies", F.slice("_copies", 1, k))
+    later = rows.join(searched.select(*keys, "page_id"), [*keys, "page_id"], "left_anti")
+    copies = later.join(broadcast_if_small(cut_lineage(many, "copies")), [*keys, vector]).select(
+        *keys, "page_id", F.inline("_copies")
+    )
+    return found.unionByName(copies.withColumn("distance", F.lit(0.0)).select(*found.columns))
 
 
 def neighbour_layout(ids: np.ndarray, x: np.ndarray, name: str, k: int = NEIGHBOURS, steps: int = 200) -> np.ndarray:
