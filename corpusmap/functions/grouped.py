@@ -112,7 +112,7 @@ def add_up(partial: DataFrame, key: str) -> DataFrame:
 def slots_to_table(totals: DataFrame, key: str, value: str = "total") -> DataFrame:
     """Slot rows of each group as one list of lists, in slot order."""
     listed = totals.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("slot", "n", value))).alias("_s"))
-    return listed.select(key, F.col(f"_s.{value}").alias("values"), F.col("_s.n").alias("counts"), F.col("_s.slot").alias("slots"))
+    return listed.select(key, F.col(f"_s.{value}").alias("values"), F.col("_s.n").alias("counts"))
 
 
 def map_small_groups(

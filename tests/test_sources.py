@@ -212,3 +212,13 @@ def test_images_of_parts(spark):
     image = structured.part_images(parts, ["page_id"]).first()
     assert (image["path"], image["contentUrl"], image["width"]) == ("0", "i", 3)
     assert structured.part_links(parts, ["page_id"]).first()["images"][0]["contentUrl"] == "j"
+
+
+def test_articles_written_and_read_back(spark, tmp_path):
+    line = ('{"identifier": 5, "name": "N", "date_modified": "2024-02-03T04:05:06Z", "license": [{"name": "L"}], '
+            '"version": {"identifier": 9, "tags": ["t"], "scores": {"revert_risk": {"prediction": true, "probability": {"false": 0.25, "true": 0.75}}}}}')
+    rows = articles.parse_articles(spark.createDataFrame([(line,)], "line string"))
+    articles.write_articles(rows, str(tmp_path / "out"))
+    back = articles.read_articles(spark, str(tmp_path / "out"))
+    assert back.first() == rows.first()
+    assert back.first()["version"]["scores"]["revert_risk"]["probability"]["false"] == 0.25

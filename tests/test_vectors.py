@@ -302,3 +302,11 @@ def test_a_large_leaf_target_beats_the_task_bound(spark):
     settings = tree.TreeSettings(leaf_target=100, max_k=5, min_silhouette=0.0, big_node_docs=20)
     nodes, assigned = tree.build_trees(frame(spark, blobs(90)), settings=settings)
     assert nodes.count() == 1 and assigned.isEmpty()
+
+
+def test_reduce_table_fills_the_column(spark):
+    x = blobs(50)
+    rows = [("n", i, v.tolist() if i < 40 else None, None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "namespace string, page_id bigint, embedding_vector array<float>, reduced_vector array<float>")
+    filled = pca.reduce_table(df, target_dim=3)
+    assert filled.filter("size(reduced_vector) = 3").count() == 40 and filled.count() == 50
