@@ -98,14 +98,16 @@ def status_report(chunks: DataFrame, pages: DataFrame, vectors: DataFrame, nodes
     All four inputs shrink to one row per namespace before they meet, so a namespace that holds a
     third of the pages is one partial count per map task.
     """
-    per_depth = nodes.groupBy("namespace", "depth").agg(F.count(F.lit(1)).alias("n"))
-    depths = per_depth.groupBy("namespace").agg(
-        F.array_sort(F.collect_list(F.struct("depth", "n"))).alias("levels")
-    ).select(
-        "namespace",
-        F.array_join(F.transform("levels", lambda x: F.concat_ws(":", x["depth"], x["n"])), ",").alias("depth_counts"),
+    per_depth = nodes.groupBy("namespace", "depth").agg(
+        F.count(F.lit(1)).alias("n"), _set("first_label", "first"), _set("final_label", "final")
     )
-    parts = [chunk_status(chunks), page_count(pages), vector_status(vectors), tree_status(nodes), depths]
+    trees = per_depth.groupBy("namespace").agg(
+        F.sum("n").alias("tree_nodes"), F.sum("first").alias("first_label_count"), F.sum("final").alias("final_label_count"),
+        F.array_sort(F.collect_list(F.struct("depth", "n"))).alias("levels"),
+    )
+    depth_counts = F.array_join(F.transform("levels", lambda x: F.concat_ws(":", x["depth"], x["n"])), ",")
+    trees = trees.withColumn("depth_counts", depth_counts).drop("levels")
+    parts = [chunk_status(chunks), page_count(pages), vector_status(vectors), trees]
     report = reduce(lambda left, right: left.join(right, "namespace", "left"), parts)
     counts = [name for name, kind in report.dtypes if kind == "bigint"]
     return report.fillna(0, subset=counts).fillna("", subset=["depth_counts"])

@@ -11,7 +11,7 @@ A node's place is its path, ``03.17.``: fixed-width cluster numbers, so that tex
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,8 @@ from corpusmap.operators.worklists import check_limit, reduced_vectors
 from corpusmap.session import broadcast_if_small, cut_lineage
 
 SAMPLE_DOCS = 10
+# Vectors one task may hold; lowers big_node_docs where the vectors are wide.
+TASK_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -175,6 +177,10 @@ def build_trees(
         .withColumn("path", F.lit("")), "roots",
     )
     rows = rows.join(broadcast_if_small(roots.select("namespace")), "namespace", "left_semi").withColumn("path", F.lit(""))
+    width = rows.select(F.size("x")).first()
+    if width is not None:
+        held = max(1, TASK_BYTES // (8 * width[0]))
+        settings = replace(settings, big_node_docs=min(settings.big_node_docs, held))
     small: list[DataFrame] = []
     leaf_pages: list[DataFrame] = []
     big_nodes: list[DataFrame] = []

@@ -310,3 +310,14 @@ def test_reduce_table_fills_the_column(spark):
     df = spark.createDataFrame(rows, "namespace string, page_id bigint, embedding_vector array<float>, reduced_vector array<float>")
     filled = pca.reduce_table(df, target_dim=3)
     assert filled.filter("size(reduced_vector) = 3").count() == 40 and filled.count() == 50
+
+
+def test_wide_vectors_lower_the_task_bound(spark, monkeypatch):
+    monkeypatch.setattr(tree, "TASK_BYTES", 60 * 6 * 8)
+    sizes = []
+    grow = tree._split_big_nodes
+    monkeypatch.setattr(tree, "_split_big_nodes", lambda rows, big, *a: sizes.extend(r["n"] for r in big.collect()) or grow(rows, big, *a))
+    settings = tree.TreeSettings(leaf_target=12, max_k=6, max_depth=5, min_silhouette=0.0)
+    nodes, assigned = tree.build_trees(frame(spark, blobs(200)), settings=settings)
+    check_tree(nodes.collect(), assigned.collect(), 200, settings)
+    assert sizes and min(sizes) > 60
