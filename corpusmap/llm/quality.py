@@ -52,7 +52,7 @@ RULES = (
     Rule(0, "too_short", "n_words < 50"),
     Rule(1, "repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule(2, "symbols", "10 * n_symbols > 3 * n_words"),
-    Rule(3, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(3, "repeated_lines", "2 * n_dup_lines > n_lines"),
     Rule(4, "shouting", "2 * n_upper > n_letters AND n_letters > 0"),
     Rule(5, "word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
     Rule(6, "marks", "10 * n_marks > 3 * word_chars"),

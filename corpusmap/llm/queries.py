@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmap.llm import bpe, quality, sharding
+from corpusmap.llm import bpe, decontamination, language, line_dedup, quality, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,7 +73,7 @@ def sha256_of_ids(ids: Column) -> Column:
     ),
     ledger AS (
         SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
-            + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (10 * n_dup_lines > 3 * n_lines)::BIGINT
+            + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
             + 16 * (2 * n_upper > n_letters AND n_letters > 0)::BIGINT
             + 32 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::BIGINT
             + 64 * (10 * n_marks > 3 * word_chars)::BIGINT)::BIGINT AS failed
@@ -103,3 +103,54 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_shards")
 def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir), 16)
+
+
+@query("op10_language")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs, language.train(docs.filter(~language.held_out())))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@query("op4_secrets")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["number"] < len(secret_scan.BASE))
+
+    def count(kind: secret_scan.Kind) -> Column:
+        number = secret_scan.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["number"] == number)).cast("long")
+
+    return found.select(
+        "doc_id", count(secret_scan.ASSIGN).alias("n_assign"), count(secret_scan.ACCESS).alias("n_access"),
+        count(secret_scan.HEX).alias("n_hex"), F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"), "n_copied", "n_live", "most_owners",
+    )
+
+
+@query("op6_decontamination")
+def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op7_lines", """
+    WITH lines AS (
+        SELECT doc_id, source, i, line, trim(line, ' ' || chr(9) || chr(13)) AS body
+        FROM (
+            SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM documents WHERE text IS NOT NULL
+        )
+    ),
+    spread AS (SELECT body FROM lines WHERE body <> '' GROUP BY body HAVING count(DISTINCT source) >= 10),
+    marked AS (SELECT l.*, s.body IS NOT NULL AS gone FROM lines l LEFT JOIN spread s ON l.body = s.body),
+    joined AS (
+        SELECT doc_id, count(*) FILTER (WHERE body <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
+        FROM marked GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_removed, 0) AS n_removed, j.text
+    FROM documents d LEFT JOIN joined j USING (doc_id)
+""")
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
