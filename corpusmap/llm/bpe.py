@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmap.llm import words as W
+from corpusmap.llm.shared import share
 
 NEVER = 1 << 62
 FINAL = 256  # added to the last byte of a word, which is a symbol of its own
@@ -256,7 +257,7 @@ def load(spark: SparkSession, path: str):
 
     Its size is that of the vocabulary file, a few MB, whatever the data.
     """
-    return spark.sparkContext.broadcast(WordBpe(path))
+    return share(spark, WordBpe(path))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,7 +271,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     shared = load(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         for piece in W.pieces(batches, "_text"):
             ids = model.encode_batch(piece.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays([piece.column("_id"), _lists(ids)], names=["_id", "ids"])
@@ -284,7 +285,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     shared = load(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         for piece in W.pieces(batches, "_text"):
             ids = model.encode_batch(piece.column("_text").to_pylist())
             texts = [model.decode(row.tolist()) for row in ids]
@@ -302,7 +303,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     shared = load(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         for batch in batches:
             texts = [model.decode(row) for row in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(texts, pa.string())], names=["_id", "decoded"])

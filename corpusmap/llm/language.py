@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.llm import words as W
+from corpusmap.llm.shared import share
 from corpusmap.session import cut_lineage
 
 ORDER = 3
@@ -177,10 +178,10 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"),
         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"),
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+        held = shared()
         for piece in W.pieces(batches, "_text", PIECE):
             n = piece.num_rows
             told = piece.column("_letter").to_numpy(zero_copy_only=False)

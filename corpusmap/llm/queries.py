@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmap.llm import bpe, decontamination, language, line_dedup, quality, secret_scan, sharding
+from corpusmap.llm import bpe, decontamination, language, line_dedup, quality, secret_scan, sharding, token_counts
+from corpusmap.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +155,26 @@ def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query("op9_token_totals")
+def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; those labelled toxic go, with a retry of that batch; those labelled poor are
+    counted anew by another tokenizer."""
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    bytes_bpe = token_counts.TiktokenCounter("byte_bpe_50k", tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    pieces = token_counts.PieceCounter("piece_bpe_32k", tokenizer_path("piece_bpe_32k.model"))
+    toxic = labels.filter("toxic = 1").select("doc_id").distinct()
+    poor = labels.filter("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
+    nothing = F.lit(None).cast("string")
+    gone = toxic.select("doc_id", F.lit("delete").alias("change"), *[nothing.alias(c) for c in ("source", "lang", "text")])
+
+    ledger = token_counts.TokenLedger(spark, new_folder(spark, "token-ledger"))
+    ledger.apply(1, docs.withColumn("change", F.lit("insert")), bytes_bpe)
+    ledger.apply(2, gone, bytes_bpe)
+    ledger.apply(2, gone, bytes_bpe)
+    ledger.apply(3, docs.join(poor, "doc_id", "left_semi").withColumn("change", F.lit("revise")), pieces)
+    return ledger.totals()
