@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmap.llm import bpe, decontamination, language, line_dedup, quality, secret_scan, sharding, token_counts
+from corpusmap.llm import bpe, decontamination, language, line_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
 from corpusmap.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def sha256_of_ids(ids: Column) -> Column:
     return F.sha2(F.array_join(ids.cast("array<string>"), " "), 256)
 
 
+@query("op1_substrings")
+def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_quality_rules", """
     WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     worded AS (
