@@ -166,8 +166,11 @@ def train(
     return Model(names, class_of, a, row_of, bits)
 
 
-def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, ``lang_pred``, ``score`` and ``bits_per_byte`` of every row's whole text, without a shuffle.
+def predict(
+    docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """id, ``lang_pred``, ``score`` and ``bits_per_byte`` of every row's whole text, without a shuffle, and
+    the columns in ``carry`` as they are.
 
     The language is the one whose statistics give the text the shortest code, of equal ones the first by
     name; the score is its probability against the others. A text that is null or without any letter,
@@ -177,7 +180,10 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     rows = docs.select(
         F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"),
         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"),
+        *[F.col(c).alias(f"_carry{k}") for k, c in enumerate(carry)],
     )
+    kinds = dict(rows.dtypes)
+    carried = [f"_carry{k}" for k in range(len(carry))]
     shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,12 +200,16 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 names = np.where(told, np.array(held.languages, object)[best], UNKNOWN)
                 rate = least / np.maximum(np.diff(W.text_bytes(piece.column("_text"))[1]), 1)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("_id"), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(rate)],
-                names=["_id", "lang_pred", "score", "bits_per_byte"],
+                [
+                    piece.column("_id"), pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(rate),
+                    *(piece.column(c) for c in carried),
+                ],
+                names=["_id", "lang_pred", "score", "bits_per_byte", *carried],
             )
 
-    schema = f"_id {dict(rows.dtypes)['_id']}, lang_pred string, score double, bits_per_byte double"
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    schema = f"_id {kinds['_id']}, lang_pred string, score double, bits_per_byte double"
+    found = rows.mapInArrow(run, ", ".join([schema, *(f"{c} {kinds[c]}" for c in carried)]))
+    return found.withColumnsRenamed({"_id": id_col, **dict(zip(carried, carry))})
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

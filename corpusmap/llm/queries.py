@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmap.llm import bpe, decontamination, language, line_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
+from corpusmap.llm import bpe, decontamination, language, line_dedup, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
 from corpusmap.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,6 +135,11 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_near_duplicates")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), width=2, least=80)
+
+
 @query("op6_decontamination")
 def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
