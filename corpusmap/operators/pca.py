@@ -27,18 +27,17 @@ HELD_BYTES = 256 << 20
 def moment_sums(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Per group: slot 0 holds the vector sum, slot i + 1 row i of the sum of outer products.
 
-    Each task sends d + 1 rows per group it meets, so the scan is packed into a few tasks per core. Where
+    Each scan task sends d + 1 rows per group it meets; they are combined before and after the shuffle. Where
     the tasks would meet so many groups that this outgrows the vectors or a task's memory, the vectors
     are first ranged by group, which splits hot groups and gathers small ones.
     """
-    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
-    work = df.select(key, vector).coalesce(tasks)
+    work = df.select(key, vector)
     dims = (work.select(F.size(vector)).first() or [0])[0]
     met = work.groupBy(key, F.spark_partition_id().alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
     per_task = met.groupBy("_task").agg(F.count(F.lit(1)).alias("_groups"), F.sum("_n").alias("_n"))
     seen = per_task.agg(F.sum("_groups").alias("pairs"), F.max("_groups").alias("most"), F.sum("_n").alias("rows")).first()
     if seen["rows"] and (seen["pairs"] * dims > seen["rows"] or seen["most"] * dims * dims * 8 > HELD_BYTES):
-        work = work.repartitionByRange(tasks, key, F.xxhash64(vector)).sortWithinPartitions(key)
+        work = work.repartitionByRange(key, F.xxhash64(vector)).sortWithinPartitions(key)
 
     def run(batches):
         held: dict[str, list] = {}

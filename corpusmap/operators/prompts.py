@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,21 +20,23 @@ from corpusmap.schemas import NODE_KEY, PAGE_KEY
 from corpusmap.session import broadcast_if_small, cut_lineage
 from corpusmap.sources.languages import with_language
 
-SYSTEM = (
-    "You name topics in many languages. From page titles, abstracts and the topics of smaller groups you find"
-    " the short description that fits all of them best and still tells the group apart from others."
-)
-RULES = (
-    "Answer with the topic alone. Take a few words, or as much in scripts without word spaces; be descriptive and"
-    " brief, not curt. Punctuate only where the words need it, write no sentence and no closing mark, and begin with"
-    " a capital letter where the language has them."
-)
-CONTRAST = "Keep it as distinct from the neighbouring topics as it can be while it still describes its own group well."
-ASK_PAGES = "Find the best common topic of the pages below."
-ASK_TOPICS = "Find the best common topic of the group topics below."
-PAGES_SLOT = "The pages are:"
-TOPICS_SLOT = "The group topics are:"
-NEIGHBOURS_SLOT = "The neighbouring topics are:"
+@dataclass(frozen=True)
+class Prompts:
+    """Texts sent to a model; ``{content}`` and ``{neighbours}`` are filled in.
+
+    The defaults only say what is given and what is wanted back. A project passes its own.
+    """
+
+    system: str = "Topic labels."
+    leaf: str = "One label for this group. The pages are: {content}."
+    leaf_contrast: str = "One label for this group. The pages are: {content}. Other groups: {neighbours}."
+    stem: str = "One label above these. The group topics are: {content}."
+    stem_contrast: str = "One label above these. The group topics are: {content}. Other groups: {neighbours}."
+
+
+DEFAULT = Prompts()
+# Fixed value: the sentence that names the language.
+LANGUAGE_SENTENCE = "Generated output should only be in {language}."
 
 # Attempts per label, seconds between them, prompt length up to which it is not cut.
 ATTEMPTS = 5
@@ -50,55 +54,60 @@ class ServerError(Exception):
         self.status_code = status_code
 
 
-def system_prompt(language: Column) -> Column:
-    return F.concat(F.lit(f"{SYSTEM} Generated output should only be in "), language, F.lit("."))
+def filled(template: str, **slots: Column) -> Column:
+    """A template with its slots replaced by columns; a NULL fills a slot with nothing."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.coalesce(slots[x], F.lit("")) if k % 2 else F.lit(x) for k, x in enumerate(parts)])
+
+
+def system_prompt(language: Column, texts: Prompts = DEFAULT) -> Column:
+    return filled(f"{texts.system} {LANGUAGE_SENTENCE}", language=language)
 
 
-def system_prompts(namespaces: DataFrame, languages: DataFrame) -> DataFrame:
+def system_prompts(namespaces: DataFrame, languages: DataFrame, texts: Prompts = DEFAULT) -> DataFrame:
     return with_language(namespaces.select("namespace").distinct(), languages).select(
-        "namespace", system_prompt(F.col("language")).alias("system_prompt")
+        "namespace", system_prompt(F.col("language"), texts).alias("system_prompt")
     )
 
 
-def _prompt(ask: str, slot: str, content: Column, neighbours: Column | None) -> Column:
-    parts = [F.lit(f"{ask} {RULES if neighbours is None else CONTRAST + ' ' + RULES} {slot} "), content, F.lit(".")]
-    if neighbours is not None:
-        parts += [F.lit(f" {NEIGHBOURS_SLOT} "), F.coalesce(neighbours, F.lit("")), F.lit(".")]
-    return collapse_whitespace(F.concat(*parts))
+def _prompt(template: str, content: Column, neighbours: Column | None = None) -> Column:
+    """The filled template, NULL without content."""
+    slots = {"content": content} if neighbours is None else {"content": content, "neighbours": neighbours}
+    return F.when(content.isNotNull(), collapse_whitespace(filled(template, **slots)))
 
 
-def leaf_prompts(work: DataFrame, lines: DataFrame) -> DataFrame:
+def leaf_prompts(work: DataFrame, lines: DataFrame, texts: Prompts = DEFAULT) -> DataFrame:
     """(namespace, node_id, prompt) of leaves, ``lines`` from ``node_page_lines``; a leaf without pages
     gets no prompt."""
     return work.select(*NODE_KEY).join(lines, NODE_KEY, "left").select(
-        *NODE_KEY, _prompt(ASK_PAGES, PAGES_SLOT, F.col("page_lines"), None).alias("prompt")
+        *NODE_KEY, _prompt(texts.leaf, F.col("page_lines")).alias("prompt")
     )
 
 
-def leaf_contrast_prompts(work: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
+def leaf_contrast_prompts(work: DataFrame, nodes: DataFrame, lines: DataFrame, texts: Prompts = DEFAULT) -> DataFrame:
     """The same with the siblings' first labels. Nodes without a parent are left out."""
     near = neighbouring_topics(nodes)
     return work.select(*NODE_KEY).join(near, NODE_KEY).join(lines, NODE_KEY, "left").select(
-        *NODE_KEY, _prompt(ASK_PAGES, PAGES_SLOT, F.col("page_lines"), F.col("neighbouring_topics")).alias("prompt")
+        *NODE_KEY, _prompt(texts.leaf_contrast, F.col("page_lines"), F.col("neighbouring_topics")).alias("prompt")
     )
 
 
-def stem_prompts(work: DataFrame, nodes: DataFrame) -> DataFrame:
+def stem_prompts(work: DataFrame, nodes: DataFrame, texts: Prompts = DEFAULT) -> DataFrame:
     """(namespace, node_id, prompt) of inner nodes from their children's first labels."""
     below = child_topics(nodes, "first_label")
     return work.select(*NODE_KEY).join(below, NODE_KEY).select(
-        *NODE_KEY, _prompt(ASK_TOPICS, TOPICS_SLOT, F.col("child_topics"), None).alias("prompt")
+        *NODE_KEY, _prompt(texts.stem, F.col("child_topics")).alias("prompt")
     )
 
 
-def stem_contrast_prompts(work: DataFrame, nodes: DataFrame) -> DataFrame:
+def stem_contrast_prompts(work: DataFrame, nodes: DataFrame, texts: Prompts = DEFAULT) -> DataFrame:
     """Inner nodes from their children's final and their siblings' first labels.
 
     A node without siblings has no prompt but ``first_label`` as ``ready_label``.
     """
     below = child_topics(nodes, "final_label")
     near = neighbouring_topics(nodes)
-    prompt = _prompt(ASK_TOPICS, TOPICS_SLOT, F.col("child_topics"), F.col("neighbouring_topics"))
+    prompt = _prompt(texts.stem_contrast, F.col("child_topics"), F.col("neighbouring_topics"))
     alone = F.col("sibling_count") == 0
     return (
         work.select(*NODE_KEY, "first_label").join(below, NODE_KEY).join(near, NODE_KEY)
@@ -154,8 +163,8 @@ def label_prompts(
 
 def keyword_labeler(system: str, prompt: str) -> str | None:
     """Offline stand-in for a model: the most frequent longer words of the quoted content."""
-    content = prompt.partition(PAGES_SLOT)[2] or prompt.partition(TOPICS_SLOT)[2]
-    words = [w.strip(".,;:!?()").lower() for w in content.partition(NEIGHBOURS_SLOT)[0].split()]
+    content = re.split(r" are: | Other groups: ", prompt + " ")[1:2] or [""]
+    words = [w.strip(".,;:!?()").lower() for w in content[0].split()]
     ranked = sorted(Counter(w for w in words if len(w) > 3).items(), key=lambda item: (-item[1], item[0]))
     return " ".join(w for w, _ in ranked[:3]).capitalize() or None
 

@@ -50,7 +50,7 @@ def replay(
         rows = rows.filter(published >= F.lit(since))
     for column, bounds in ((offset, offsets), (published, since_per_partition)):
         for number, bound in (bounds or {}).items():
-            rows = rows.filter(_unless(part == number, column >= F.lit(bound)))
+            rows = rows.filter(_unless(F.coalesce(part == number, F.lit(False)), column >= F.lit(bound)))
     return rows
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmap import schemas
+from corpusmap.functions.checks import must
 from corpusmap.schemas import CHUNK_KEY, NODE_KEY, PAGE_KEY
 
 
@@ -35,6 +36,13 @@ def last_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     return picked.select(*keys, "_last.*")
 
 
+def one_per_key(changes: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """(keys, columns) with one row per key: of several the last in ``order``, of equal ones that with
+    the largest values."""
+    last = F.max_by(F.struct(*columns), F.struct(*order, *columns))
+    return changes.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
+
+
 def replace_rows(table: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert of whole rows: changed keys out, all changes in. ``changes`` has one row per key."""
     kept = table.join(changes.select(*keys), list(keys), "left_anti")
@@ -91,20 +99,38 @@ def upsert_chunks(chunks: DataFrame, listing: DataFrame, reset_paths: bool = Fal
     return upsert_columns(chunks, changes, CHUNK_KEY, reset)
 
 
-def upsert_embeddings(vectors: DataFrame, embeddings: DataFrame) -> DataFrame:
-    return upsert_columns(vectors, embeddings, PAGE_KEY, ["embedding_vector"])
+def _set(
+    table: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """``update_columns`` where a key may come several times."""
+    return update_columns(table, one_per_key(changes, keys, columns, order), keys, columns)
+
+
+# Of changes with one key the last in ``order`` counts, see ``one_per_key``.
+
+
+def upsert_embeddings(vectors: DataFrame, embeddings: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    columns = ["embedding_vector"]
+    return upsert_columns(vectors, one_per_key(embeddings, PAGE_KEY, columns, order), PAGE_KEY, columns)
 
 
-def set_reduced_vectors(vectors: DataFrame, reduced: DataFrame) -> DataFrame:
-    return update_columns(vectors, reduced, PAGE_KEY, ["reduced_vector"])
+def set_reduced_vectors(vectors: DataFrame, reduced: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    return _set(vectors, reduced, PAGE_KEY, ["reduced_vector"], order)
 
 
-def set_three_d_vectors(vectors: DataFrame, projected: DataFrame) -> DataFrame:
-    return update_columns(vectors, projected, PAGE_KEY, ["three_d_vector"])
+def set_three_d_vectors(vectors: DataFrame, projected: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    return _set(vectors, projected, PAGE_KEY, ["three_d_vector"], order)
 
 
 def insert_nodes(nodes: DataFrame, added: DataFrame) -> DataFrame:
-    return nodes.unionByName(added, allowMissingColumns=True)
+    """The tree with more nodes; a key that is there already, or twice among the new ones, fails."""
+    counts = added.groupBy(*NODE_KEY).agg(F.count(F.lit(1)).alias("_times"))
+    known = nodes.select(*NODE_KEY).join(counts.select(*NODE_KEY), NODE_KEY, "left_semi").distinct()
+    known = known.withColumn("_known", F.lit(1))
+    keyed = added.join(counts, NODE_KEY).join(known, NODE_KEY, "left")
+    message = F.concat_ws(" ", F.lit("node is there already:"), *NODE_KEY)
+    fresh = must(keyed, (F.col("_times") == 1) & F.col("_known").isNull(), message).select(*added.columns)
+    return nodes.unionByName(fresh, allowMissingColumns=True)
 
 
 def with_child_counts(nodes: DataFrame) -> DataFrame:
@@ -120,12 +146,12 @@ def with_child_counts(nodes: DataFrame) -> DataFrame:
     )
 
 
-def set_labels(nodes: DataFrame, labels: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return update_columns(nodes, labels, NODE_KEY, columns)
+def set_labels(nodes: DataFrame, labels: DataFrame, columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    return _set(nodes, labels, NODE_KEY, columns, order)
 
 
-def assign_leaves(vectors: DataFrame, assignments: DataFrame) -> DataFrame:
-    return update_columns(vectors, assignments, PAGE_KEY, ["cluster_node_id"])
+def assign_leaves(vectors: DataFrame, assignments: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    return _set(vectors, assignments, PAGE_KEY, ["cluster_node_id"], order)
 
 
 def delete_tree(nodes: DataFrame, vectors: DataFrame, namespace: str) -> tuple[DataFrame, DataFrame]:
@@ -143,7 +169,7 @@ def clear_labels(nodes: DataFrame, namespace: str | None = None) -> DataFrame:
 
 def _mark(chunks: DataFrame, done: DataFrame, path: str, values: Mapping[str, Column]) -> DataFrame:
     changes = done.select(*CHUNK_KEY, path).withColumns(dict(values))
-    return update_columns(chunks, changes, CHUNK_KEY, [path, *values])
+    return _set(chunks, changes, CHUNK_KEY, [path, *values], ())
 
 
 def mark_downloaded(chunks: DataFrame, done: DataFrame, as_of: Time) -> DataFrame:

@@ -62,6 +62,7 @@ def label_trees(
     calls: int | None = None,
     root_suffix: str = ROOT_SUFFIX,
     pause: tuple[float, float] = prompts.PAUSE,
+    texts: prompts.Prompts = prompts.DEFAULT,
 ) -> LabelRun:
     """Label the nodes of one or all namespaces.
 
@@ -74,7 +75,7 @@ def label_trees(
     scope = nodes_for_labelling(clear_labels(nodes, namespace) if mode == "refresh" else nodes, namespace)
     state = cut_lineage(with_leaf_flag(scope), "labels")
     pages, vectors = in_namespace(pages, namespace), in_namespace(vectors, namespace)
-    systems = cut_lineage(prompts.system_prompts(state, languages), "systems")
+    systems = cut_lineage(prompts.system_prompts(state, languages, texts), "systems")
     used = {row["namespace"]: 0 for row in systems.select("namespace").collect()}
     answers: list[DataFrame] = []
 
@@ -106,9 +107,9 @@ def label_trees(
     # without a limit both leaf passes quote the same pages, so their text is gathered once
     lines = page_lines(open_first.unionByName(open_final).distinct()) if limit is None else None
     leaves, _ = take(open_first, ["node_id"])
-    name(prompts.leaf_prompts(leaves, page_lines(leaves) if lines is None else lines), "first_label")
+    name(prompts.leaf_prompts(leaves, page_lines(leaves) if lines is None else lines, texts), "first_label")
     leaves, _ = take(labelling_worklist(state, 2, mode), ["node_id"])
-    name(prompts.leaf_contrast_prompts(leaves, state, page_lines(leaves) if lines is None else lines), "final_label")
+    name(prompts.leaf_contrast_prompts(leaves, state, page_lines(leaves) if lines is None else lines, texts), "final_label")
 
     def near(depth: int) -> DataFrame:
         """The nodes a prompt at this depth can quote: siblings and children."""
@@ -118,7 +119,7 @@ def label_trees(
     before_stems = state
     stems, depths = take(labelling_worklist(state, 3, mode), deepest_first)
     for depth in depths:
-        name(prompts.stem_prompts(stems.filter(F.col("depth") == depth), near(depth)), "first_label")
+        name(prompts.stem_prompts(stems.filter(F.col("depth") == depth), near(depth), texts), "first_label")
     if strict_compat:
         chosen = labelling_worklist(before_stems, 4, mode, strict_compat).select(*NODE_KEY)
         again = state.join(chosen, NODE_KEY, "left_semi")
@@ -126,7 +127,7 @@ def label_trees(
         again = labelling_worklist(state, 4, mode)
     stems, depths = take(again, deepest_first)
     for depth in depths:
-        name(prompts.stem_contrast_prompts(stems.filter(F.col("depth") == depth), near(depth)), "final_label")
+        name(prompts.stem_contrast_prompts(stems.filter(F.col("depth") == depth), near(depth), texts), "final_label")
 
     finished = [ns for ns, n in used.items() if limit is None or n < limit]
     roots = root_labels(state.filter(F.col("namespace").isin(finished)), languages, root_suffix)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -22,13 +23,11 @@ def squeeze(sql):
     return f"trim(regexp_replace({sql}, '{WHITESPACE}', ' ', 'g'))"
 
 
-def prompt_sql(ask, slot, content, neighbours=None):
-    """The prompt of ``prompts._prompt`` as a SQL expression."""
-    if neighbours is None:
-        return squeeze(f"'{ask} {prompts.RULES} {slot} ' || {content} || '.'")
-    return squeeze(
-        f"'{ask} {prompts.CONTRAST} {prompts.RULES} {slot} ' || {content} || '. {prompts.NEIGHBOURS_SLOT} ' || {neighbours} || '.'"
-    )
+def prompt_sql(template, content, neighbours="''"):
+    """A filled prompt template as a SQL expression."""
+    parts = re.split(r"\{(\w+)\}", template)
+    slots = {"content": content, "neighbours": neighbours}
+    return squeeze(" || ".join(f"{slots[x]}" if k % 2 else f"'{x}'" for k, x in enumerate(parts)))
 
 
 LINES = """
@@ -56,14 +55,14 @@ def children(labels, column):
       FROM {labels} WHERE parent_id IS NOT NULL GROUP BY namespace, parent_id"""
 
 
-PAGES_ONLY = prompt_sql(prompts.ASK_PAGES, prompts.PAGES_SLOT, "page_lines")
-PAGES_CONTRAST = prompt_sql(prompts.ASK_PAGES, prompts.PAGES_SLOT, "page_lines", "near")
-TOPICS_ONLY = prompt_sql(prompts.ASK_TOPICS, prompts.TOPICS_SLOT, "below")
-TOPICS_CONTRAST = prompt_sql(prompts.ASK_TOPICS, prompts.TOPICS_SLOT, "below", "near")
+PAGES_ONLY = prompt_sql(prompts.DEFAULT.leaf, "page_lines")
+PAGES_CONTRAST = prompt_sql(prompts.DEFAULT.leaf_contrast, "page_lines", "near")
+TOPICS_ONLY = prompt_sql(prompts.DEFAULT.stem, "below")
+TOPICS_CONTRAST = prompt_sql(prompts.DEFAULT.stem_contrast, "below", "near")
 
 
 @query("g1_system_prompts", with_views("page_log languages", f"""
-    SELECT DISTINCT namespace, '{prompts.SYSTEM} Generated output should only be in ' || language || '.' AS system_prompt
+    SELECT DISTINCT namespace, '{prompts.DEFAULT.system} Generated output should only be in ' || language || '.' AS system_prompt
     FROM page_log JOIN languages USING (namespace)"""))
 def g1(spark, sf):
     return prompts.system_prompts(fx.page_log(spark, sf), fx.languages(spark))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmap.functions.checks import must
 from corpusmap.schemas import ARTICLE, PAGE_LINE
 
 # Fixed value: how article dates are written.
@@ -45,8 +46,7 @@ def pages_from_lines(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     if mode != "failfast":
         raise ValueError(f"mode must be failfast or permissive, got {mode!r}")
     message = F.concat(F.col("error"), F.lit(": "), F.substring("line", 1, 100))
-    checked = F.when(F.col("error").isNotNull(), F.raise_error(message).cast("bigint")).otherwise(F.col("page_id"))
-    return parsed.withColumn("page_id", checked).select(*columns)
+    return must(parsed, F.col("error").isNull(), message).select(*columns)
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:

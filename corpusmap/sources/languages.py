@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmap.functions.checks import must
 from corpusmap.session import broadcast_if_small
 
 # Language name, ISO 639-1 code, namespace.
@@ -92,5 +93,4 @@ def with_language(df: DataFrame, languages: DataFrame, strict: bool = True) -> D
     joined = df.join(broadcast_if_small(namespace_index(languages)), "namespace", "left")
     if not strict:
         return joined
-    missing = F.raise_error(F.concat(F.lit("no language for namespace "), F.col("namespace")))
-    return joined.withColumn("language", F.coalesce("language", missing.cast("string")))
+    return must(joined, F.col("language").isNotNull(), F.concat(F.lit("no language for namespace "), F.col("namespace")))
