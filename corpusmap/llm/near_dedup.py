@@ -18,6 +18,8 @@ U64 = np.uint64
 NODES_PER_CHUNK = 1 << 15
 # Rows of one key that are compared by one task; the rows of a larger key are dealt out in blocks.
 BLOCK_ROWS = 2000
+# Shingles of one label that are compared by one task with the sets that visit them.
+BLOCK_SHINGLES = 1 << 19
 KEY_BITS = 48
 
 
@@ -150,7 +152,7 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
     """(a, b): each node with the smallest nodes of its keys, the ``centres`` it shares most keys with, and
     (a, null) for a node that shares keys, which marks it.
 
-    Linear in the nodes, whatever the size of a key's group; what it leaves open, ``mixed_pairs`` completes.
+    Linear in the nodes, whatever the size of a key's group; what it leaves open, ``mixed_labels`` completes.
     """
 
     def publish(table: pa.Table) -> pa.Table:
@@ -211,13 +213,13 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
     return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(pair, "a bigint, b bigint")
 
 
-def mixed_pairs(nodes: DataFrame, signature: Signature, chunks: int, least: int) -> DataFrame:
-    """(a, b), a < b: all pairs of nodes with a common key, different labels, at most ``distance``
-    differences, and sizes that allow ``least`` percent.
+def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int) -> DataFrame:
+    """(a, b), a < b: all pairs of labels with nodes that have a common key, at most ``distance`` differences,
+    and sizes that allow ``least`` percent.
 
     ``nodes`` has node, label, n_shingles and sig. Keys whose nodes all have one label are told apart first
-    and need no pairs. Rows of a key beyond BLOCK_ROWS are dealt out by blocks, each two of which meet in a
-    task of their own.
+    and need no comparison. Rows of a key beyond BLOCK_ROWS are dealt out by blocks, each two of which meet in
+    a task of their own. However many nodes of two labels are close, a task reports the labels once.
     """
 
     def publish(table: pa.Table) -> pa.Table:
@@ -246,8 +248,8 @@ def mixed_pairs(nodes: DataFrame, signature: Signature, chunks: int, least: int)
             yield from C.answers(chunk[order], (keys[order], True), (total[order], False))
 
     def deal(table: pa.Table, told: pa.Table) -> pa.Table:
-        """Rows (bucket, packed cell, block, node, label, size, signature) of the mixed keys."""
-        schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *((f"p{k}", pa.binary()) for k in range(5)), ("sigs", pa.binary())])
+        """Rows (bucket, packed cell, side, label, size, signature) of the mixed keys."""
+        schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *((f"p{k}", pa.binary()) for k in range(4)), ("sigs", pa.binary())])
         if not len(table) or not len(told):
             return schema.empty_table()
         keys, rows = _entries(table, signature)
@@ -272,19 +274,19 @@ def mixed_pairs(nodes: DataFrame, signature: Signature, chunks: int, least: int)
         bounds = C.bucket_bounds(cell, chunks)
         chunk = table.column("chunk")[0].as_py()
         batch = C.by_bucket(
-            chunk, chunks, cell, (cell, True), (side, False), (nodes_here[rows], False), (labels[rows], False), (sizes[rows], False)
+            chunk, chunks, cell, (cell, True), (side, False), (labels[rows], False), (sizes[rows], False)
         )
         filled = np.flatnonzero(np.diff(bounds))
         packed = [sigs[rows[bounds[b] : bounds[b + 1]]].tobytes() for b in filled]
         return pa.Table.from_arrays([*batch.columns, pa.array(packed, pa.binary())], schema=schema)
 
     def compare(table: pa.Table) -> pa.Table:
-        _, (cell, side, node, label, size) = C.gather(table, (True, False, False, False, False))
+        _, (cell, side, label, size) = C.gather(table, (True, False, False, False))
         sigs = rows_of_bytes(table.column("sigs"), signature.values)
         order = np.lexsort((size, cell))
-        cell, side, node, label, size = (x[order] for x in (cell, side, node, label, size))
+        cell, side, label, size = (x[order] for x in (cell, side, label, size))
         size = size.astype(np.int64)
-        found = [np.empty((2, 0), U64)]
+        found = [np.empty((2, 0), np.int64)]
         left = np.arange(len(cell))
         step = 1
         while True:  # each row with the one ``step`` places on, while that is in its cell and small enough
@@ -296,16 +298,16 @@ def mixed_pairs(nodes: DataFrame, signature: Signature, chunks: int, least: int)
             fits = (label[a] != label[b]) & ((side[a] == 0) | (side[a] != side[b]))
             a, b = a[fits], b[fits]
             near = (sigs[order[a]] != sigs[order[b]]).sum(1) <= signature.distance
-            a, b = node[a[near]], node[b[near]]
-            found.append(np.array([np.minimum(a, b), np.maximum(a, b)]))
+            a, b = label[a[near]].view(np.int64), label[b[near]].view(np.int64)
+            found.append(np.unique(np.array([np.minimum(a, b), np.maximum(a, b)]), axis=1))
             step += 1
         pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": pa.array(pairs[0].view(np.int64)), "b": pa.array(pairs[1].view(np.int64))})
+        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
     cols = [C.chunk_of(chunks, "node").alias("chunk"), "node", "label", "n_shingles", "sig"]
     by_chunk = nodes.select(*cols).groupBy("chunk")
     told = C.ask(by_chunk.applyInArrow(publish, f"bucket int, chunk int, {C.planes(4)}"), answer, 2)
-    dealt = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(deal, f"bucket int, chunk int, {C.planes(5)}, sigs binary")
+    dealt = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(deal, f"bucket int, chunk int, {C.planes(4)}, sigs binary")
     return dealt.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
@@ -352,6 +354,72 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def linked_labels(pairs: DataFrame, named: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """The pairs of labels (a, b) of which some nodes' full sets have ``least`` percent in common.
+
+    The nodes of the larger label stay in blocks of bounded size, sent once; every node of the smaller label
+    visits the blocks. So no pair of nodes becomes a row.
+    """
+    totals = named.groupBy("label").agg(F.sum("n_shingles").alias("total"))
+    one = totals.select(F.col("label").alias("a"), F.col("total").alias("total_a"))
+    two = totals.select(F.col("label").alias("b"), F.col("total").alias("total_b"))
+    sized = pairs.join(one, "a").join(two, "b")
+    first = F.col("total_a") >= F.col("total_b")
+    sized = sized.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("label"),
+        F.ceil(F.greatest("total_a", "total_b") / BLOCK_SHINGLES).alias("blocks"),
+    )
+    held = named.select("node", "label").join(sets, "node")
+    asking = held.select("label", "set").join(sized, "label").select(
+        "big", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("label").alias("small"), F.col("set").alias("visitor")
+    )
+    there = held.join(sized.select(F.col("big").alias("label"), "blocks").distinct(), "label").select(
+        F.col("label").alias("big"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("set").alias("member")
+    )
+    cells = 16 * C.partitions(pairs)
+
+    def compare(asked: pa.Table, blocks: pa.Table) -> pa.Table:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        members: dict[tuple, list] = {}
+        for key, packed in zip(zip(blocks.column("big").to_pylist(), blocks.column("block").to_pylist()), blocks.column("member").to_pylist()):
+            members.setdefault(key, []).append(packed)
+        visits: dict[tuple, dict] = {}
+        for key, small, packed in zip(
+            zip(asked.column("big").to_pylist(), asked.column("block").to_pylist()), asked.column("small").to_pylist(),
+            asked.column("visitor").to_pylist(),
+        ):
+            visits.setdefault(key, {}).setdefault(small, []).append(packed)
+        found = []
+        for key, labels in visits.items():
+            sets_here = [C.unpack(x, True) for x in members.get(key, ())]
+            if not sets_here:
+                continue
+            sizes = np.array([len(x) for x in sets_here])
+            hashes = np.concatenate(sets_here)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner = hashes[order], owner[order]
+            for small, packs in labels.items():
+                if any(_meets(C.unpack(x, True), hashes, owner, sizes, least) for x in packs):
+                    found.append((key[0], small))
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    def cell(df: DataFrame) -> DataFrame:
+        return df.select(C.chunk_of(cells, "big", "block").alias("cell"), *df.columns)
+
+    met = cell(asking).groupBy("cell").cogroup(cell(there).groupBy("cell")).applyInArrow(compare, "a bigint, b bigint")
+    return met.distinct()
+
+
+def _meets(mine: np.ndarray, hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray, least: int) -> bool:
+    """Whether a set has ``least`` percent in common with one of the sets in a sorted list of hashes."""
+    low, high = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+    runs = high - low
+    places = np.arange(runs.sum()) + np.repeat(low - (np.cumsum(runs) - runs), runs)
+    same = np.bincount(owner[places], minlength=len(sizes))
+    return bool((100 * same >= least * (len(mine) + sizes - same)).any())
+
+
 def connect(links: DataFrame) -> DataFrame:
     """(node, label) of the nodes in ``links`` (a, b): the smallest node that can be reached.
 
@@ -381,7 +449,7 @@ def near_duplicates(
     Texts are linked if 100 * shingles in common >= ``least`` * shingles of either. Texts with equal sets
     are one node; nodes that share a key of their signatures are candidates, and all candidates are confirmed
     on their full sets unless they are connected already:
-    first each node with the smallest nodes of its keys, then all pairs that still have different labels.
+    first each node with the smallest nodes of its keys, then all that still have different labels.
 
     A-Z count as lower case, words are runs of anything but ASCII white space. A null text or one without
     words has an empty set and is a component of its own. A null id comes after all others: a component
@@ -405,11 +473,12 @@ def near_duplicates(
     links = cut_lineage(confirm(tried, sets, least), "confirmed")
     labels = connect(links)
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_pairs = mixed_pairs(cut_lineage(named, "named"), signature, chunks, least)
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = cut_lineage(confirm(open_pairs.join(done, ["a", "b"], "left_anti"), sets, least), "confirmed")
+    named = cut_lineage(named, "named")
+    met = cut_lineage(mixed_labels(named, signature, chunks, least), "mixed")
+    more = cut_lineage(linked_labels(met, named.select("node", "label", "n_shingles"), sets, least), "linked")
     if not more.isEmpty():
-        labels = connect(links.unionByName(more))
+        merged = connect(more).select(F.col("node").alias("label"), F.col("label").alias("to"))
+        labels = named.join(broadcast_if_small(merged), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
 
     # The smallest id of a component, by way of its nodes' smallest ids.
     named = every.select("node", "rep").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
