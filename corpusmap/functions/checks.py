@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def must(df: DataFrame, condition: Column, message: Column) -> DataFrame:
@@ -14,3 +15,33 @@ def must(df: DataFrame, condition: Column, message: Column) -> DataFrame:
     """
     failed = F.raise_error(F.coalesce(message, F.lit(""))).cast("boolean")
     return df.filter(F.when(F.coalesce(condition, F.lit(False)), F.lit(True)).otherwise(failed))
+
+
+MODES = ("failfast", "permissive")
+_BROKEN = "_broken"
+
+
+def json_rows(lines: DataFrame, schema: T.StructType, mode: str = "failfast") -> DataFrame:
+    """``lines`` with ``line`` replaced by ``_row``, its members by ``schema``.
+
+    A line that is no JSON object of the schema stops the job in mode ``failfast``; ``permissive`` leaves it
+    to ``rejected_json``.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    parsed = _parsed(lines, schema)
+    whole = F.col("_row").isNotNull() & F.col(f"_row.{_BROKEN}").isNull()
+    message = F.concat(F.lit("not a JSON object of the expected shape: "), F.substring(F.coalesce("line", F.lit("")), 1, 100))
+    good = must(parsed, whole, message) if mode == "failfast" else parsed.filter(whole)
+    return good.withColumn("_row", F.col("_row").dropFields(_BROKEN)).drop("line")
+
+
+def rejected_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The lines that ``json_rows`` leaves out."""
+    parsed = _parsed(lines, schema)
+    return parsed.filter(F.col("_row").isNull() | F.col(f"_row.{_BROKEN}").isNotNull()).drop("_row")
+
+
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    with_broken = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    return lines.withColumn("_row", F.from_json("line", with_broken, {"columnNameOfCorruptRecord": _BROKEN}))

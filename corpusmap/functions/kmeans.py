@@ -7,25 +7,72 @@ import zlib
 import numpy as np
 
 
-def seeded(seed: int, *names: object) -> np.random.Generator:
-    """Generator that depends on the names only, so results do not hang on the partitioning."""
-    return np.random.default_rng([seed, zlib.crc32("/".join(map(str, names)).encode())])
-
-
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Index of the closest centre for each row."""
     return np.argmin((centres**2).sum(1) - 2.0 * (x @ centres.T), axis=1)
 
 
-def spread_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ start: each next centre is drawn with weight squared distance to those chosen."""
-    chosen = [int(rng.integers(len(x)))]
-    gap = ((x - x[chosen[0]]) ** 2).sum(1)
-    while len(chosen) < k and gap.sum() > 0:
-        pick = int(rng.choice(len(x), p=gap / gap.sum()))
-        chosen.append(pick)
-        gap = np.minimum(gap, ((x - x[pick]) ** 2).sum(1))
-    return x[chosen].astype(np.float64)
+# Rounds in which candidates for the first centres are drawn, and how many of them per centre and round.
+DRAW_ROUNDS = 2
+DRAWS_PER_CENTRE = 2
+# Squared shift of all centres, as a share of their squared length, that ends the improvement: what is
+# left when no row moves but sums are added up in another order.
+STILL = 1e-16
+
+
+def draws(ids: np.ndarray, seed: int, name: str, turn: int) -> np.ndarray:
+    """One exponential draw per row. It depends on the row's id and the names only, so a node of any size
+    and any partitioning has the same draws."""
+    salt = np.uint64(zlib.crc32(f"{seed}/{name}/{turn}".encode())) << np.uint64(32)
+    z = ids.astype(np.uint64) ^ salt
+    with np.errstate(over="ignore"):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 0x9E3779B97F4A7C15)):
+            z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    return -np.log(((z >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53)
+
+
+def gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to its nearest centre; 1 without centres."""
+    if not len(centres):
+        return np.ones(len(x))
+    best = np.full(len(x), np.inf)
+    for centre in centres:
+        np.minimum(best, ((x - centre) ** 2).sum(1), out=best)
+    return best
+
+
+def first_drawn(ids: np.ndarray, x: np.ndarray, weights: np.ndarray, turn_draws: np.ndarray, n: int) -> np.ndarray:
+    """Places of ``n`` rows drawn without repeats with chances as their weights: the smallest draw per
+    weight wins. The winners of all rows are among the winners of any parts of them."""
+    with np.errstate(divide="ignore"):
+        race = np.where(weights > 0, turn_draws / weights, np.inf)
+    order = np.lexsort((ids, race))[:n]
+    return order[np.isfinite(race[order])]
+
+
+def pick_centres(ids: np.ndarray, x: np.ndarray, weights: np.ndarray, k: int, seed: int, name: str) -> np.ndarray:
+    """``k`` of the weighted candidates, each drawn with weight times squared distance to those before."""
+    chosen: list[int] = []
+    for turn in range(k):
+        near = gaps(x, x[chosen]) * weights
+        found = first_drawn(ids, x, near, draws(ids, seed, name, 100 + turn), 1)
+        if not len(found):
+            break
+        chosen.append(int(found[0]))
+    return x[chosen]
+
+
+def starting_centres(ids: np.ndarray, x: np.ndarray, k: int, seed: int, name: str) -> np.ndarray:
+    """First centres of a node whose rows are all here; ``clustering.starting_centres`` finds the same ones by
+    scans. Candidates are drawn from all rows in a few rounds, each time by their distance to the
+    candidates so far, and weighted with the rows that are nearest to them."""
+    found = first_drawn(ids, x, np.ones(len(x)), draws(ids, seed, name, 0), 1)
+    for turn in range(1, DRAW_ROUNDS + 1):
+        more = first_drawn(ids, x, gaps(x, x[found]), draws(ids, seed, name, turn), DRAWS_PER_CENTRE * k)
+        found = np.concatenate([found, more])
+    found = found[np.argsort(ids[found])]
+    weights = np.bincount(nearest(x, x[found]), minlength=len(found))
+    return pick_centres(ids[found], x[found], weights, k, seed, name)
 
 
 def slot_sums(x: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,18 +84,15 @@ def slot_sums(x: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np
 
 
 def improve(x: np.ndarray, centres: np.ndarray, max_iter: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lloyd steps until no row moves; an empty cluster keeps its centre."""
-    labels = nearest(x, centres)
+    """Lloyd steps until the centres rest; an empty cluster keeps its centre."""
     for _ in range(max_iter):
-        counts, sums = slot_sums(x, labels, len(centres))
+        counts, sums = slot_sums(x, nearest(x, centres), len(centres))
         filled = counts > 0
-        centres = centres.copy()
+        old, centres = centres, centres.copy()
         centres[filled] = sums[filled] / counts[filled, None]
-        moved = nearest(x, centres)
-        if (moved == labels).all():
+        if ((centres - old) ** 2).sum() <= STILL * max((old**2).sum(), 1e-12):
             break
-        labels = moved
-    return centres, labels
+    return centres, nearest(x, centres)
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:

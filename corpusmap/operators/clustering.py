@@ -3,54 +3,91 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmap.functions import kmeans
 from corpusmap.functions.grouped import (
-    SUM_SCHEMA, add_up, by_group, matrix, scan_with_tables, slots_to_table, sum_rows,
-)
-from corpusmap.functions.kmeans import (
-    improve, nearest, seeded, silhouettes, slot_sums, spread_centres, unit_rows,
+    SUM_SCHEMA, add_up, by_group, float_lists, matrix, scan_with_tables, slots_to_table, sum_rows,
 )
+from corpusmap.functions.kmeans import nearest, silhouettes, slot_sums, unit_rows
 from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.session import broadcast_if_small, cut_lineage
 
-# Rows per node that find the starting centres; below the bound up to which Spark cuts ranks early.
-START_ROWS = 1000
-
-
 def split_count(docs: Column, leaf_target: int, max_k: int) -> Column:
     """How many clusters a node of ``docs`` pages is split into; 1 or less means a leaf."""
     return F.least(F.lit(max_k), F.ceil(docs / F.lit(leaf_target)).cast("int"))
 
 
+def _drawn(rows: DataFrame, key: str, vector: str, tables: DataFrame, table_bytes: int, n: int, turn: int, seed: int) -> DataFrame:
+    """(key, page_id, vector) of the rows of each node that win the draw of this turn against the candidates
+    in ``tables``, at most ``n`` per node. Each task sends its own winners only."""
+
+    def run(batches, held):
+        best: dict[str, tuple] = {}
+        for batch in batches:
+            for name, part in by_group(batch, key):
+                if name not in held:
+                    continue
+                x, ids = matrix(part.column(vector)), part.column("page_id").to_numpy()
+                race = kmeans.draws(ids, seed, name, turn), kmeans.gaps(x, held[name] if turn else x[:0])
+                if name in best:
+                    ids, x = np.concatenate([best[name][0], ids]), np.vstack([best[name][1], x])
+                    race = tuple(np.concatenate([a, b]) for a, b in zip(best[name][2], race))
+                won = kmeans.first_drawn(ids, x, race[1], race[0], n)
+                best[name] = ids[won], x[won], (race[0][won], race[1][won])
+        for name, (ids, x, race) in best.items():
+            with np.errstate(divide="ignore"):
+                place = race[0] / race[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(ids), pa.string()), pa.array(ids, pa.int64()), float_lists(x, pa.float64()), pa.array(place)],
+                names=[key, "page_id", "values", "race"],
+            )
+
+    found = scan_with_tables(
+        rows.select(key, "page_id", vector), key, tables, table_bytes, run, f"{key} string, page_id bigint, values array<double>, race double"
+    )
+    return first_n_per_group(found, [key], ["race", "page_id"], n, rank="rank")
+
+
 def starting_centres(
-    rows: DataFrame, sizes: DataFrame, key: str, vector: str, max_iter: int, seed: int
+    rows: DataFrame, sizes: DataFrame, key: str, vector: str, max_k: int, dims: int, seed: int
 ) -> DataFrame:
-    """(key, values): centres found on at most START_ROWS rows of each node, picked by id hash.
+    """(key, values): first centres of each node in ``sizes`` (key, n, k), drawn from all of its rows.
 
-    ``sizes`` (key, n, k) is one row per node. The hash threshold thins the rows before they are
-    ranked, so that a node of any size sends only about four times what is kept.
+    The same candidates and choices as ``kmeans.starting_centres``: one scan finds the first candidate, one each
+    of the later rounds, and one counts the rows nearest to each candidate. A node has at most
+    1 + DRAW_ROUNDS * DRAWS_PER_CENTRE * k candidates, whatever its size.
     """
-    space = 1 << 24
-    hashed = F.xxhash64("page_id", F.lit(seed))
-    share = F.least(F.lit(1.0), F.lit(4.0 * START_ROWS) / F.col("n"))
-    thinned = rows.join(broadcast_if_small(sizes.select(key, "n", "k")), key).withColumn("_hash", hashed).filter(
-        F.pmod(F.col("_hash"), F.lit(space)) < share * space
-    )
-    sample = first_n_per_group(thinned.select(key, "page_id", vector, "k", "_hash"), [key], ["_hash", "page_id"], START_ROWS)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page_id")
-        name = pdf[key].iloc[0]
-        x = np.array(pdf[vector].tolist(), np.float64)
-        centres = spread_centres(x, int(pdf["k"].iloc[0]), seeded(seed, name))
-        centres, _ = improve(x, centres, max_iter)
-        return pd.DataFrame({key: [name], "values": [centres.tolist()]})
+    most = 1 + kmeans.DRAW_ROUNDS * kmeans.DRAWS_PER_CENTRE * max_k
+    table_bytes = most * dims * 8
+    none = F.array().cast("array<array<double>>")
+    tables = sizes.select(key, none.alias("values"))
+    parts = None
+    for turn in range(kmeans.DRAW_ROUNDS + 1):
+        n = kmeans.DRAWS_PER_CENTRE * max_k if turn else 1
+        found = _drawn(rows, key, vector, tables, table_bytes, n, turn, seed)
+        if turn:  # nodes may differ in k
+            found = found.join(broadcast_if_small(sizes.select(key, "k")), key).filter(F.col("rank") <= kmeans.DRAWS_PER_CENTRE * F.col("k"))
+        found = cut_lineage(found.select(key, "page_id", "values"), "drawn")
+        parts = found if parts is None else parts.unionByName(found)
+        listed = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("page_id", "values"))).alias("_c"))
+        tables = cut_lineage(listed.select(key, F.col("_c.values").alias("values"), F.col("_c.page_id").alias("ids")), "candidates")
+    counts = slots_to_table(_slot_sum_scan(rows, key, vector, tables.select(key, "values"), table_bytes), key).select(key, "counts")
+    known = tables.join(counts, key).join(broadcast_if_small(sizes.select(key, "k")), key)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for name, ids, values, weights, k in zip(*(batch.column(c).to_pylist() for c in (key, "ids", "values", "counts", "k"))):
+                x = np.array(values, np.float64)
+                out.append(kmeans.pick_centres(np.array(ids), x, np.array(weights, np.float64), k, seed, name).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.array(out, pa.list_(pa.list_(pa.float64())))], names=[key, "values"]
+            )
 
-    return sample.groupBy(key).applyInPandas(run, f"{key} string, values array<array<double>>")
+    return known.select(key, "ids", "values", "counts", "k").mapInArrow(run, f"{key} string, values array<array<double>>")
 
 
 def _slot_sum_scan(rows: DataFrame, key: str, vector: str, centres: DataFrame, table_bytes: int) -> DataFrame:
@@ -75,17 +112,15 @@ def _slot_sum_scan(rows: DataFrame, key: str, vector: str, centres: DataFrame, t
 
 
 def train(
-    rows: DataFrame, sizes: DataFrame, key: str, vector: str, max_k: int, dims: int,
-    passes: int = 10, max_iter: int = 50, tolerance: float = 1e-4, seed: int = 42,
+    rows: DataFrame, sizes: DataFrame, key: str, vector: str, max_k: int, dims: int, max_iter: int = 50, seed: int = 42,
 ) -> DataFrame:
-    """Centres (key, values) of all nodes in ``sizes``: a start on a sample, then passes over all rows.
+    """Centres (key, values) of all nodes in ``sizes``, as ``kmeans.improve`` finds them for the rows of one node.
 
-    Each pass is one scan with map-side sums per (node, cluster); it ends early once the centres'
-    squared shift falls below ``tolerance`` of their squared length in every node.
+    Each pass is one scan with map-side sums per (node, cluster); the centres rest when no row has moved.
     """
     table_bytes = max_k * dims * 8
-    centres = cut_lineage(starting_centres(rows, sizes, key, vector, max_iter, seed), "centres")
-    for _ in range(passes):
+    centres = cut_lineage(starting_centres(rows, sizes, key, vector, max_k, dims, seed), "centres")
+    for _ in range(max_iter):
         totals = _slot_sum_scan(rows, key, vector, centres, table_bytes)
         moved = slots_to_table(
             totals.withColumn("mean", F.transform("total", lambda v: v / F.greatest("n", F.lit(1)))), key, "mean"
@@ -100,7 +135,7 @@ def train(
         length = _squares(F.flatten("old"), None)
         worst = joined.select(F.max(shift / F.greatest(length, F.lit(1e-12)))).first()[0]
         centres = joined.select(key, F.col("next").alias("values"))
-        if worst is None or worst <= tolerance:
+        if worst is None or worst <= kmeans.STILL:
             break
     return centres
 

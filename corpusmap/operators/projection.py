@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmap.functions.grouped import float_lists, map_small_groups, matrix
-from corpusmap.functions.kmeans import seeded, unit_rows
+from corpusmap.functions.kmeans import unit_rows
 from corpusmap.functions.ranking import first_n_per_group, take_in_order
 from corpusmap.operators import pca
 from corpusmap.operators.worklists import check_limit, in_namespace
@@ -19,7 +19,6 @@ from corpusmap.session import broadcast_if_small, cut_lineage
 NEIGHBOURS = 30
 DIMENSIONS = 3
 BLOCK_ROWS = 2000
-EXACT_ROWS = 300
 METHODS = ("pca3", "neighbour")
 
 
@@ -99,7 +98,7 @@ def cluster_neighbours(
     return found.unionByName(copies.withColumn("distance", F.lit(0.0)).select(*found.columns))
 
 
-def neighbour_layout(ids: np.ndarray, x: np.ndarray, name: str, k: int = NEIGHBOURS, steps: int = 200) -> np.ndarray:
+def neighbour_layout(ids: np.ndarray, x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     """Spectral layout of the k-neighbour graph: the three smoothest directions over its links."""
     n = len(x)
     if n <= DIMENSIONS + 1:
@@ -113,15 +112,8 @@ def neighbour_layout(ids: np.ndarray, x: np.ndarray, name: str, k: int = NEIGHBO
     root = 1.0 / np.sqrt(links.sum(1))
     walk = links * root[:, None] * root[None, :]
     trivial = (1.0 / root) / np.linalg.norm(1.0 / root)
-    if n <= EXACT_ROWS:
-        _, axes = np.linalg.eigh(walk - np.outer(trivial, trivial))
-        basis = axes[:, ::-1][:, :DIMENSIONS]
-    else:
-        basis = seeded(42, name).standard_normal((n, DIMENSIONS))
-        for _ in range(steps):
-            basis = walk @ basis + basis
-            basis -= np.outer(trivial, trivial @ basis)
-            basis, _ = np.linalg.qr(basis)
+    _, axes = np.linalg.eigh(walk - np.outer(trivial, trivial))
+    basis = axes[:, ::-1][:, :DIMENSIONS]
     largest = basis[np.abs(basis).argmax(0), np.arange(DIMENSIONS)]
     return basis * np.where(largest < 0, -1.0, 1.0) * np.sqrt(n)
 
@@ -153,8 +145,8 @@ def project_clusters(
     pages without coordinates.
 
     Clusters of up to ``max_group_docs`` pages are laid out by one task each. Larger ones go through
-    the grouped principal components, whose scan needs no cluster in one place; ``neighbour`` applies
-    to the former only, since its layout has to see the whole graph.
+    the grouped principal components, whose scan needs no cluster in one place. The layout of ``neighbour``
+    has to see the whole graph of a cluster, so a larger one fails with its name.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
@@ -173,8 +165,7 @@ def project_clusters(
     def layout(group: pa.Table) -> pa.Table:
         x = matrix(group.column("x").combine_chunks())
         if method == "neighbour":
-            name = f"{group.column('namespace')[0]}/{group.column('cluster')[0]}"
-            placed = neighbour_layout(group.column("page_id").to_numpy(), x, name)
+            placed = neighbour_layout(group.column("page_id").to_numpy(), x)
         else:
             placed = component_layout(x)
         return pa.table({
@@ -186,8 +177,11 @@ def project_clusters(
         rows.join(broadcast_if_small(small), keys, "left_semi"), keys, ["page_id"], layout,
         "namespace string, page_id bigint, three_d_vector array<float>",
     )
-    if large.isEmpty():
+    first = large.orderBy(*keys).first()
+    if first is None:
         return done
+    if method == "neighbour":
+        raise ValueError(f"cluster {first['cluster']} of {first['namespace']} has more than {max_group_docs} pages to lay out by neighbours")
     wide = rows.join(broadcast_if_small(large), keys, "left_semi").withColumn("node", F.concat_ws("/", *keys)).drop("cluster")
     bases = cut_lineage(pca.fit(wide, "node", "x", DIMENSIONS), "bases")
     placed = pca.transform(wide, "node", "x", bases, DIMENSIONS, "three_d_vector")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmap import schemas
-from corpusmap.functions.kmeans import improve, mean_silhouette, seeded, spread_centres
+from corpusmap.functions.kmeans import improve, mean_silhouette, starting_centres
 from corpusmap.functions.ranking import first_n_per_group, number_rows
 from corpusmap.operators import clustering
 from corpusmap.operators.updates import assign_leaves, with_child_counts
@@ -39,7 +39,6 @@ class TreeSettings:
     min_silhouette: float = 0.03
     big_node_docs: int = 50_000
     max_iter: int = 50
-    passes: int = 10
     seed: int = 42
 
     def __post_init__(self):
@@ -79,7 +78,7 @@ def grow_subtree(pdf: pd.DataFrame, settings: TreeSettings) -> pd.DataFrame:
     while open_nodes:
         path, members = open_nodes.pop()
         depth, x = len(path) // width, vectors[members]
-        centres, labels = split(x, namespace, path, depth, settings)
+        centres, labels = split(page_ids[members], x, namespace, path, depth, settings)
         sample = page_ids[members[:SAMPLE_DOCS]].tolist() if depth else None
         centroid = None if labels is None else centres.mean(0).astype(np.float32).tolist()
         out.append((namespace, path, None, depth, len(members), centroid, sample))
@@ -92,12 +91,12 @@ def grow_subtree(pdf: pd.DataFrame, settings: TreeSettings) -> pd.DataFrame:
     return frame.astype({"page_id": "Int64", "depth": "Int32", "doc_count": "Int64"})
 
 
-def split(x: np.ndarray, namespace: str, path: str, depth: int, settings: TreeSettings):
+def split(ids: np.ndarray, x: np.ndarray, namespace: str, path: str, depth: int, settings: TreeSettings):
     """(centres, labels) of a node's split, labels None where the node stays a leaf."""
     n, k = len(x), settings.clusters(len(x))
     if n <= settings.leaf_target or depth >= settings.max_depth or k <= 1:
         return None, None
-    centres = spread_centres(x, k, seeded(settings.seed, f"{namespace}/{path}"))
+    centres = starting_centres(ids, x, k, settings.seed, f"{namespace}/{path}")
     centres, labels = improve(x, centres, settings.max_iter)
     filled = len(np.unique(labels))
     if filled < 2:
@@ -118,10 +117,10 @@ def _split_big_nodes(rows: DataFrame, big: DataFrame, depth: int, settings: Tree
     sizes = big.select(
         node_key().alias("node"), "n", clustering.split_count(F.col("n"), settings.leaf_target, settings.max_k).alias("k")
     )
-    dims = keyed.select(F.size("x")).first()[0]
+    dims = keyed.agg(F.max(F.size("x"))).first()[0]  # namespaces may differ in width
     table_bytes = settings.max_k * dims * 8
     centres = clustering.train(
-        keyed, sizes, "node", "x", settings.max_k, dims, settings.passes, settings.max_iter, seed=settings.seed
+        keyed, sizes, "node", "x", settings.max_k, dims, settings.max_iter, seed=settings.seed
     )
     placed = clustering.assign(keyed, "node", "x", centres, table_bytes)
     # ranges of (node, cluster, page) keep each child in few tasks and a hot child in many; the next
@@ -177,10 +176,10 @@ def build_trees(
         .withColumn("path", F.lit("")), "roots",
     )
     rows = rows.join(broadcast_if_small(roots.select("namespace")), "namespace", "left_semi").withColumn("path", F.lit(""))
-    width = rows.select(F.size("x")).first()
-    if width is not None:
-        held = max(1, TASK_BYTES // (8 * width[0]))
-        settings = replace(settings, big_node_docs=min(settings.big_node_docs, held))
+    width = rows.agg(F.max(F.size("x"))).first()[0]
+    if width:
+        # chooses who does the work, not what comes out: both ways draw and improve the same centres
+        settings = replace(settings, big_node_docs=min(settings.big_node_docs, max(1, TASK_BYTES // (8 * width))))
     small: list[DataFrame] = []
     leaf_pages: list[DataFrame] = []
     big_nodes: list[DataFrame] = []

@@ -239,6 +239,68 @@ def a4_cells(spark, sf):
     return structured.flatten_tables(contents(spark, sf), ["page_id"])
 
 
+@query("a4_table_rows", """
+    SELECT doc_id AS page_id, 0 AS position, 't' AS table_id, CAST(n_chars % 100 AS DOUBLE) / 100 AS confidence_score FROM documents
+    UNION ALL SELECT doc_id, 1, 'no cells', NULL FROM documents""")
+def a4_table_rows(spark, sf):
+    line = F.format_string(
+        '{"tables": [{"identifier": "t", "confidence_score": %s, "rows": [[{"value": "x"}]]}, {"identifier": "no cells"}]}',
+        ((F.col("n_chars") % 100) / 100).cast("string"),
+    )
+    lines = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), line.alias("line"))
+    return structured.table_rows(structured.parse_contents(lines, ["page_id"]), ["page_id"])
+
+
+NESTED = "doc_id % 12"
+
+
+@query("a4_deep_parts", f"""
+    SELECT doc_id AS page_id, '0' || repeat('.0', CAST(level AS INT)) AS path, CAST(level AS INT) AS depth,
+           CASE WHEN level = {NESTED} THEN lang END AS value
+    FROM (SELECT doc_id, lang, unnest(range(0, {NESTED} + 1)) AS level FROM documents)""")
+def a4_deep_parts(spark, sf):
+    """Parts nested up to twelve deep."""
+    n = F.expr(f"int({NESTED})")
+    line = F.concat(
+        F.lit('{"infoboxes":['), F.repeat(F.lit('{"hasParts":['), n), F.to_json(F.struct(F.col("lang").alias("value"))),
+        F.repeat(F.lit("]}"), n), F.lit("]}"),
+    )
+    lines = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), line.alias("line"))
+    parts = structured.flatten_parts(structured.parse_contents(lines, ["page_id"]), ["page_id"])
+    return parts.select("page_id", "path", "depth", "value")
+
+
+@query("a4_deep_tables", """
+    SELECT doc_id AS page_id, '0' || repeat('/rows.0.0', CAST(level AS INT)) AS table_path, lang AS value
+    FROM (SELECT doc_id, lang, unnest(range(0, doc_id % 7 + 1)) AS level FROM documents)""")
+def a4_deep_tables(spark, sf):
+    """Tables nested up to seven deep."""
+    n = F.expr("int(doc_id % 7)")
+    cell = F.concat(F.lit('{"rows":[[{"value":"'), "lang", F.lit('"'))
+    line = F.concat(
+        F.lit('{"tables":['), F.repeat(F.concat(cell, F.lit(',"nested_table":')), n), cell, F.lit("}]]}"),
+        F.repeat(F.lit("}]]}"), n), F.lit("]}"),
+    )
+    lines = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), line.alias("line"))
+    cells = structured.flatten_tables(structured.parse_contents(lines, ["page_id"]), ["page_id"])
+    return cells.select("page_id", "table_path", "value")
+
+
+@query("a4_reference_links", """
+    SELECT doc_id AS page_id, 0 AS position, 'text' AS place, 0 AS link_no, source AS url, lang AS text FROM documents
+    UNION ALL SELECT doc_id, 0, 'text', 1, 'u', NULL FROM documents
+    UNION ALL SELECT doc_id, 0, 'source', 0, lang, NULL FROM documents""")
+def a4_reference_links(spark, sf):
+    def link(url, text=None):
+        return F.struct(url.alias("url"), (F.lit(None).cast("string") if text is None else text).alias("text"))
+
+    text = F.struct(F.array(link(F.col("source"), F.col("lang")), link(F.lit("u"))).alias("links"))
+    source = F.struct(F.array(link(F.col("lang"))).alias("links"))
+    line = F.to_json(F.struct(F.array(F.struct(text.alias("text"), source.alias("source"))).alias("references")))
+    lines = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), line.alias("line"))
+    return structured.reference_links(structured.parse_contents(lines, ["page_id"]), ["page_id"]).drop("images")
+
+
 @query("a4_structured_scan", """
     SELECT doc_id AS identifier, text AS name, lang AS language, n_chars AS edit_count, CAST(1 AS INT) AS infoboxes,
            CAST(len(string_split(text, chr(10))) AS INT) AS sections, CAST(1 AS INT) AS tables, CAST(0 AS INT) AS entities,

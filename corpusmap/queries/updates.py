@@ -94,6 +94,32 @@ def e3(spark, sf):
     )
 
 
+@query("e3_repeated_keys", with_views("page_vector", f"""
+    WITH changes AS (SELECT '{EN}' AS namespace, vec_id // 2 AS page_id, embedding AS new_vector FROM embeddings
+                     QUALIFY row_number() OVER (PARTITION BY vec_id // 2 ORDER BY vec_id DESC) = 1)
+    SELECT coalesce(v.namespace, c.namespace) AS namespace, coalesce(v.page_id, c.page_id) AS page_id,
+           round(CAST(coalesce(new_vector, embedding_vector)[1] AS DOUBLE), 6) AS first_value
+    FROM page_vector v FULL JOIN changes c ON v.namespace = c.namespace AND v.page_id = c.page_id"""))
+def e3_repeated(spark, sf):
+    """Two embeddings arrive for each page; the later one counts."""
+    changes = table(spark, sf, "embeddings").select(
+        F.lit(EN).alias("namespace"), F.expr("vec_id div 2").alias("page_id"), F.col("embedding").alias("embedding_vector"), "vec_id"
+    )
+    merged = updates.upsert_embeddings(fx.page_vector(spark, sf), changes, ["vec_id"])
+    return merged.select("namespace", "page_id", _number("embedding_vector", 0).alias("first_value"))
+
+
+@query("e9_repeated_keys", with_views("page_vector", """
+    SELECT v.namespace, v.page_id, coalesce(c.node, v.cluster_node_id) AS cluster_node_id
+    FROM page_vector v LEFT JOIN (SELECT lang || 'wiki_namespace_0' AS namespace, doc_id AS page_id, 900 + 2 AS node FROM documents) c
+      ON v.namespace = c.namespace AND v.page_id = c.page_id"""))
+def e9_repeated(spark, sf):
+    vectors = fx.page_vector(spark, sf)
+    pages = table(spark, sf, "documents").select(F.concat("lang", F.lit("wiki_namespace_0")).alias("namespace"), F.col("doc_id").alias("page_id"))
+    changes = pages.select("*", F.explode(F.expr("array(901L, 902L)")).alias("cluster_node_id"))
+    return updates.assign_leaves(vectors, changes).select("namespace", "page_id", "cluster_node_id")
+
+
 @query("e4_set_reduced_vectors", with_views("page_vector", f"""
     WITH changes AS (SELECT '{EN}' AS namespace, vec_id AS page_id, embedding[9:16] AS new_vector FROM embeddings)
     SELECT v.namespace, v.page_id,

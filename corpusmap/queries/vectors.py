@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from corpusmap import fixtures as fx
@@ -130,7 +132,7 @@ def f4(spark, sf):
         F.lit("all").alias("node"), F.col("vec_id").alias("page_id"), F.col("embedding").alias("x")
     )
     sizes = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.lit(10).alias("k")), "sizes")
-    start = cut_lineage(clustering.starting_centres(rows, sizes, "node", "x", 0, 42), "start")
+    start = cut_lineage(clustering.starting_centres(rows, sizes, "node", "x", 10, 64, 42), "start")
     centres = clustering.train(rows, sizes, "node", "x", 10, 64)
 
     def gaps(found, name):
@@ -215,6 +217,26 @@ def f6(spark, sf):
     return report.join(strays, "namespace", "left").fillna(0, subset=["misplaced_samples"])
 
 
+@query("f6_same_tree_either_way", with_views("page_vector", f"""
+    SELECT namespace, count(*) AS pages, CAST(0 AS BIGINT) AS nodes_that_differ, CAST(0 AS BIGINT) AS pages_that_differ
+    FROM page_vector GROUP BY namespace HAVING count(*) >= {SETTINGS.max_k}"""))
+def f6_same(spark, sf):
+    """The trees by table-wide jobs and by single tasks have the same nodes and the same pages in them."""
+    vectors, *jobs = tree_tables(spark, sf, replace(SETTINGS, big_node_docs=100))
+    _, *tasks = tree_tables(spark, sf, replace(SETTINGS, big_node_docs=50_000))
+    shape = ["namespace", "node_id", "parent_id", "depth", "doc_count", "child_count"]
+    place = ["namespace", "page_id", "cluster_node_id"]
+
+    def differ(k, columns, name):
+        a, b = jobs[k].select(*columns), tasks[k].select(*columns)
+        return a.exceptAll(b).unionByName(b.exceptAll(a)).groupBy("namespace").agg(F.count(F.lit(1)).alias(name))
+
+    pages = tasks[1].groupBy("namespace").agg(F.count(F.lit(1)).alias("pages"))
+    return pages.join(differ(0, shape, "nodes_that_differ"), "namespace", "left").join(
+        differ(1, place, "pages_that_differ"), "namespace", "left"
+    ).fillna(0)
+
+
 @query("f6_gated_tree", with_views("page_vector cluster_tree", """
     SELECT namespace, CAST(0 AS SMALLINT) AS depth, CAST(count(*) AS INT) AS doc_count, CAST(0 AS INT) AS child_count,
            (SELECT max(node_id) FROM cluster_tree) + row_number() OVER (ORDER BY namespace) AS node_id

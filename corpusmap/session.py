@@ -8,8 +8,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(app: str = "corpusmap", cpus: int | None = None) -> SparkSession:
@@ -96,9 +97,23 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint behind a count; beyond ``max_rows`` the planner is left to shuffle.
+def _held_bytes(field: T.StructField) -> Column:
+    """About what one value of a column takes in memory."""
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+        return F.coalesce(F.size(column), F.lit(0)) * 8 + 16
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 16
+    return F.lit(16)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast hint behind a count of rows and bytes; beyond either the planner is left to shuffle.
 
     Call it on narrow key tables that are already written out: the count scans them once.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    width = sum((_held_bytes(field) for field in df.schema.fields), F.lit(0))
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return F.broadcast(df) if found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes else df

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmap.functions.checks import must
+from corpusmap.functions.checks import json_rows, must, rejected_json
 from corpusmap.schemas import ARTICLE, PAGE_LINE
 
 # Fixed value: how article dates are written.
@@ -74,16 +74,20 @@ def _normalise(articles: DataFrame) -> DataFrame:
     return articles.select(*extra, *columns)
 
 
-def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """Full nested articles from newline JSON files; only the selected members are decoded."""
-    return _normalise(spark.read.schema(_with_text_dates(ARTICLE)).json(path))
+def read_articles(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
+    """Full nested articles from newline JSON files."""
+    return parse_articles(spark.read.text(path).select(F.col("value").alias("line")), mode)
 
 
-def parse_articles(lines: DataFrame) -> DataFrame:
-    """The same from a ``line`` column."""
-    parsed = lines.withColumn("_article", F.from_json("line", _with_text_dates(ARTICLE)))
+def parse_articles(lines: DataFrame, mode: str = "failfast") -> DataFrame:
+    """The same from a ``line`` column. ``failfast`` stops at a broken line, ``permissive`` leaves it to
+    ``rejected_articles``."""
     kept = [c for c in lines.columns if c != "line"]
-    return _normalise(parsed.select(*kept, "_article.*"))
+    return _normalise(json_rows(lines, _with_text_dates(ARTICLE), mode).select(*kept, "_row.*"))
+
+
+def rejected_articles(lines: DataFrame) -> DataFrame:
+    return rejected_json(lines, _with_text_dates(ARTICLE))
 
 
 def article_lines(articles: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmap.functions.checks import json_rows, rejected_json
 from corpusmap.operators.updates import upsert_chunks
 from corpusmap.schemas import CATALOGUE
 
@@ -22,9 +23,14 @@ def read_catalogue(spark: SparkSession, kind: str, path: str) -> DataFrame:
     return spark.read.schema(_schema(kind)).json(path)
 
 
-def parse_catalogue(lines: DataFrame, kind: str) -> DataFrame:
+def parse_catalogue(lines: DataFrame, kind: str, mode: str = "failfast") -> DataFrame:
+    """A listing from a ``line`` column; modes as for articles."""
     kept = [c for c in lines.columns if c != "line"]
-    return lines.select(*kept, F.from_json("line", _schema(kind)).alias("_row")).select(*kept, "_row.*")
+    return json_rows(lines, _schema(kind), mode).select(*kept, "_row.*")
+
+
+def rejected_catalogue(lines: DataFrame, kind: str) -> DataFrame:
+    return rejected_json(lines, _schema(kind))
 
 
 def by_identifier(listing: DataFrame, identifier: str | int) -> DataFrame:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmap.functions.checks import must
-from corpusmap.session import broadcast_if_small
+from corpusmap.session import broadcast_if_small, exists
 
 # Language name, ISO 639-1 code, namespace.
 LANGUAGES = [
@@ -38,7 +36,7 @@ class LanguageDataError(Exception):
 
 def read_language_csv(spark: SparkSession, path: str) -> DataFrame:
     """Load and check a language file; raises on a wrong header, an empty field or no rows."""
-    if "://" not in path and not os.path.exists(path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"language file not found: {path}")
     raw = spark.read.csv(path, header=True, enforceSchema=False)
     missing = [name for name in HEADER.values() if name not in raw.columns]

@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmap.functions.checks import json_rows
 from corpusmap.schemas import CITATION, IMAGE, LINK, REFERENCE, STRUCTURED_CONTENT
 
 VARIANTS = "array<variant>"
-MAX_DEPTH = 8
+# Levels looked for at first; twice as many while there are rows on the last one.
+FIRST_DEPTH = 4
 
 
 def parse_contents(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -22,10 +24,10 @@ def parse_contents(lines: DataFrame, keys: list[str]) -> DataFrame:
     return lines.select(*keys, F.parse_json("line").alias("content"))
 
 
-def parse_structured(lines: DataFrame) -> DataFrame:
+def parse_structured(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """Typed members of structured contents from ``line``; parts and tables stay VARIANT, missing lists
-    are empty."""
-    rows = lines.select(F.from_json("line", STRUCTURED_CONTENT).alias("_c")).select("_c.*")
+    are empty. Modes as for articles."""
+    rows = json_rows(lines.select("line"), STRUCTURED_CONTENT, mode).select("_row.*")
     return rows.select(*[
         F.coalesce(F.col(f.name), F.array().cast(f.dataType)).alias(f.name) if isinstance(f.dataType, T.ArrayType)
         else F.col(f.name)
@@ -57,29 +59,44 @@ def _indexed(items: Column, above: Column | None) -> Column:
     return F.transform(items, entry)
 
 
-def flatten_parts(contents: DataFrame, keys: list[str], max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Every part of infoboxes and article sections at every depth, one row each.
+def _all_levels(build, column: str) -> tuple[DataFrame, int]:
+    """``build(depth)`` with enough levels for its last one, ``column`` plus the depth, to be empty everywhere.
 
-    ``path`` numbers the part within its parents from 0, as in ``2.0.1``. Parts deeper than
-    ``max_depth`` levels stop the job instead of being left out.
+    How deep the data nest is found by one aggregate over the last level for each depth tried.
     """
+    depth = FIRST_DEPTH
+    while True:
+        levels = build(depth)
+        deepest = levels.agg(F.max(F.size(f"{column}_{depth}"))).first()[0] or 0
+        if deepest <= 0:
+            return levels, depth
+        depth *= 2
+
+
+def _part_levels(contents: DataFrame, keys: list[str], depth: int) -> DataFrame:
     levels = contents.select(*keys, F.explode(F.array(
         F.struct(F.lit("infobox").alias("section"), _list(F.col("content"), "$.infoboxes").alias("roots")),
         F.struct(F.lit("article_section").alias("section"), _list(F.col("content"), "$.articleSections").alias("roots")),
     )).alias("_s")).select(*keys, "_s.section", _indexed(F.col("_s.roots"), None).alias("_level_0"))
-    for depth in range(1, max_depth + 1):
+    for level in range(1, depth + 1):
         below = F.flatten(F.transform(
-            F.col(f"_level_{depth - 1}"), lambda e: _indexed(_list(e["part"], "$.hasParts"), e["path"])
+            F.col(f"_level_{level - 1}"), lambda e: _indexed(_list(e["part"], "$.hasParts"), e["path"])
         ))
-        levels = levels.withColumn(f"_level_{depth}", below)
-    too_deep = F.raise_error(F.lit(f"parts nest deeper than {max_depth} levels"))
-    every = F.concat(*[F.col(f"_level_{d}") for d in range(max_depth)])
-    checked = F.when(F.size(f"_level_{max_depth}") > 0, too_deep.cast("string")).otherwise(F.lit(""))
-    rows = levels.select(*keys, "section", checked.alias("_checked"), F.explode(every).alias("_e"))
+        levels = levels.withColumn(f"_level_{level}", below)
+    return levels
+
+
+def flatten_parts(contents: DataFrame, keys: list[str]) -> DataFrame:
+    """Every part of infoboxes and article sections at every depth, one row each.
+
+    ``path`` numbers the part within its parents from 0, as in ``2.0.1``. The data say how deep parts nest.
+    """
+    levels, depth = _all_levels(lambda d: _part_levels(contents, keys, d), "_level")
+    every = F.concat(*[F.col(f"_level_{d}") for d in range(depth)])
+    rows = levels.select(*keys, "section", F.explode(every).alias("_e"))
     part = F.col("_e.part")
     return rows.select(
-        *keys, "section",
-        F.concat(F.col("_checked"), F.col("_e.path")).alias("path"),
+        *keys, "section", F.col("_e.path").alias("path"),
         (F.size(F.split("_e.path", r"\.")) - 1).alias("depth"),
         _text(part, "$.name").alias("name"),
         _text(part, "$.type").alias("type"),
@@ -129,11 +146,7 @@ def _table_cells(table: Column, path: Column) -> Column:
     return F.concat(cells("headers"), cells("rows"), cells("footers"))
 
 
-def flatten_tables(contents: DataFrame, keys: list[str], max_depth: int = 3) -> DataFrame:
-    """Every cell of every table, tables nested in cells included.
-
-    ``table_path`` is the table's position; a table inside a cell appends ``/region.row.col``.
-    """
+def _table_levels(contents: DataFrame, keys: list[str], depth: int) -> DataFrame:
     tables = _list(F.col("content"), "$.tables")
     first = F.flatten(F.transform(tables, lambda t, i: _table_cells(t, i.cast("string"))))
     levels = contents.select(*keys, first.alias("_cells_0"))
@@ -144,17 +157,32 @@ def flatten_tables(contents: DataFrame, keys: list[str], max_depth: int = 3) ->
             cell["col"].cast("string"),
         )
 
-    for depth in range(1, max_depth + 1):
-        holders = F.filter(F.col(f"_cells_{depth - 1}"), lambda c: c["nested"].isNotNull())
+    for level in range(1, depth + 1):
+        holders = F.filter(F.col(f"_cells_{level - 1}"), lambda c: c["nested"].isNotNull())
         inner = F.flatten(F.transform(holders, lambda c: _table_cells(c["nested"], nested_path(c))))
-        levels = levels.withColumn(f"_cells_{depth}", inner)
-    too_deep = F.raise_error(F.lit(f"tables nest deeper than {max_depth} levels"))
-    checked = F.when(F.size(f"_cells_{max_depth}") > 0, too_deep.cast("string")).otherwise(F.lit(""))
-    every = F.concat(*[F.col(f"_cells_{d}") for d in range(max_depth)])
-    rows = levels.select(*keys, checked.alias("_checked"), F.explode(every).alias("c"))
+        levels = levels.withColumn(f"_cells_{level}", inner)
+    return levels
+
+
+def flatten_tables(contents: DataFrame, keys: list[str]) -> DataFrame:
+    """Every cell of every table, tables nested in cells included at any depth.
+
+    ``table_path`` is the table's position; a table inside a cell appends ``/region.row.col``.
+    """
+    levels, depth = _all_levels(lambda d: _table_levels(contents, keys, d), "_cells")
+    every = F.concat(*[F.col(f"_cells_{d}") for d in range(depth)])
+    rows = levels.select(*keys, F.explode(every).alias("c"))
     return rows.select(
-        *keys, F.concat(F.col("_checked"), F.col("c.table_path")).alias("table_path"),
-        "c.table_id", "c.region", "c.row", "c.col", "c.value",
+        *keys, "c.table_path", "c.table_id", "c.region", "c.row", "c.col", "c.value",
+    )
+
+
+def table_rows(contents: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per table of the top level, with or without cells: position, id and confidence score."""
+    tables = _list(F.col("content"), "$.tables")
+    return contents.select(*keys, F.posexplode(tables).alias("position", "_t")).select(
+        *keys, "position", _text(F.col("_t"), "$.identifier").alias("table_id"),
+        F.try_variant_get(F.col("_t"), "$.confidence_score", "double").alias("confidence_score"),
     )
 
 
@@ -174,5 +202,17 @@ def references(contents: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def reference_links(contents: DataFrame, keys: list[str]) -> DataFrame:
+    """Links inside references: the reference's position, whether they stand in its text or its source, and
+    their own position."""
+    items = contents.select(*keys, F.posexplode(_list(F.col("content"), "$.references")).alias("position", "_r"))
+    places = [
+        items.select(*keys, "position", F.lit(place).alias("place"),
+                     F.posexplode(F.try_variant_get(F.col("_r"), f"$.{place}.links", f"array<{LINK.simpleString()}>")).alias("link_no", "_l"))
+        for place in ("text", "source")
+    ]
+    return places[0].unionByName(places[1]).select(*keys, "position", "place", "link_no", "_l.*")
+
+
 def reference_metadata(refs: DataFrame, keys: list[str]) -> DataFrame:
     return refs.select(*keys, "position", F.explode("metadata").alias("key", "value"))

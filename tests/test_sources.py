@@ -81,6 +81,9 @@ def test_bad_lines(spark):
     lines = lines_of(spark, '{"id": 1}', '{"name": "no id"}', "{broken", "")
     with pytest.raises(Exception, match="no page id"):
         articles.pages_from_lines(lines.filter("line_no <= 2")).collect()
+    for unrelated in (lambda df: df.count(), lambda df: df.select("title").collect()):
+        with pytest.raises(Exception, match="no page id"):
+            unrelated(articles.pages_from_lines(lines.filter("line_no <= 2")))
     assert [r["page_id"] for r in articles.pages_from_lines(lines, "permissive").collect()] == [1]
     assert {r["line_no"]: r["error"].split()[0] for r in articles.rejected_lines(lines).collect()} == {2: "no", 3: "not", 4: "not"}
 
@@ -101,16 +104,25 @@ def test_article_dates_and_lists(spark):
         articles.parse_articles(spark.createDataFrame([('{"date_created": "3 February"}',)], "line string")).collect()
 
 
-def test_parts_deeper_than_allowed_stop_the_job(spark):
-    part = {"name": "x", "hasParts": []}
-    for _ in range(4):
+def test_parts_and_tables_nest_without_a_bound(spark):
+    part, cell = {"name": "x", "hasParts": []}, {"value": "v"}
+    for _ in range(10):
         part = {"name": "x", "hasParts": [part]}
-    df = spark.createDataFrame([(1, json.dumps({"infoboxes": [part]}))], "page_id int, line string")
-    contents = structured.parse_contents(df, ["page_id"])
-    paths = [r["path"] for r in structured.flatten_parts(contents, ["page_id"], 5).collect()]
-    assert sorted(paths) == ["0", "0.0", "0.0.0", "0.0.0.0", "0.0.0.0.0"]
-    with pytest.raises(Exception, match="deeper than 4"):
-        structured.flatten_parts(contents, ["page_id"], 4).collect()
+        cell = {"value": "v", "nested_table": {"identifier": "t", "rows": [[cell]]}}
+    line = json.dumps({"infoboxes": [part], "tables": [{"identifier": "t", "rows": [[cell]]}]})
+    contents = structured.parse_contents(spark.createDataFrame([(1, line), (2, "{}")], "page_id int, line string"), ["page_id"])
+    parts = structured.flatten_parts(contents, ["page_id"])
+    assert parts.count() == 11 and sorted(r["path"] for r in parts.collect()) == sorted("0" + ".0" * k for k in range(11))
+    assert structured.flatten_tables(contents, ["page_id"]).select("value").count() == 11
+
+
+def test_broken_json_is_no_article(spark):
+    lines = spark.createDataFrame([('{"identifier": 5}',), ("{broken",), ("[1]",)], "line string")
+    for parse in (articles.parse_articles, lambda x, *m: catalogue.parse_catalogue(x, "codes", *m), structured.parse_structured):
+        with pytest.raises(Exception, match="not a JSON object"):
+            parse(lines).count()
+        assert parse(lines, "permissive").count() == 1
+    assert articles.rejected_articles(lines).count() == catalogue.rejected_catalogue(lines, "codes").count() == 2
 
 
 def test_catalogue_kinds(spark, tmp_path):

@@ -69,3 +69,23 @@ def test_null_label_overwrites(spark, sf_dir):
 def test_arguments(spark, sf_dir, call):
     with pytest.raises(ValueError):
         call(fx.chunk_log(spark, sf_dir))
+
+
+def test_several_changes_of_one_key_leave_one_row(spark):
+    keyed = "namespace string, page_id bigint"
+    table = spark.createDataFrame([("n", 1, [1.0])], f"{keyed}, embedding_vector array<float>")
+    changes = spark.createDataFrame(
+        [("n", 1, [2.0], 1), ("n", 1, [3.0], 2), ("n", 2, [9.0], 1), ("n", 2, [4.0], 5)], f"{keyed}, embedding_vector array<float>, seq int"
+    )
+    got = sorted(map(tuple, updates.upsert_embeddings(table, changes, ["seq"]).collect()))
+    assert got == [("n", 1, [3.0]), ("n", 2, [4.0])]
+    assert updates.upsert_embeddings(table, changes.drop("seq")).count() == 2
+
+
+def test_a_node_is_inserted_once(spark):
+    keyed = "namespace string, node_id bigint, depth smallint"
+    nodes = spark.createDataFrame([("n", 1, 0)], keyed)
+    assert updates.insert_nodes(nodes, spark.createDataFrame([("n", 2, 1), ("m", 1, 0)], keyed)).count() == 3
+    for bad in ([("n", 1, 5)], [("n", 3, 1), ("n", 3, 2)]):
+        with pytest.raises(Exception, match="node is there already"):
+            updates.insert_nodes(nodes, spark.createDataFrame(bad, keyed)).count()

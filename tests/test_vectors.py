@@ -151,6 +151,18 @@ def test_tree_in_one_task_and_by_jobs(spark, big_node_docs):
     assert len(sizes) > 10 and sum(sizes) == 700
 
 
+def test_tree_does_not_depend_on_who_splits_its_nodes(spark):
+    df, results = frame(spark, blobs(600)), []
+    for big_node_docs in (10_000, 200, 40):
+        settings = tree.TreeSettings(leaf_target=15, max_k=5, min_silhouette=0.0, big_node_docs=big_node_docs)
+        nodes, assigned = tree.build_trees(df, settings=settings)
+        results.append((
+            sorted((r["node_id"], r["parent_id"], r["doc_count"]) for r in nodes.collect()),
+            sorted((r["page_id"], r["cluster_node_id"]) for r in assigned.collect()),
+        ))
+    assert results[0] == results[1] == results[2]
+
+
 def test_tree_does_not_depend_on_the_partitioning(spark):
     settings = tree.TreeSettings(leaf_target=15, max_k=5, min_silhouette=0.0, big_node_docs=150)
     df = frame(spark, blobs(400))
@@ -245,7 +257,11 @@ def test_projection_covers_every_page(spark, method):
     df = spark.createDataFrame(
         rows, "namespace string, page_id bigint, reduced_vector array<float>, cluster_node_id bigint, three_d_vector array<float>"
     )
-    got = {r["page_id"]: r["three_d_vector"] for r in projection.project_clusters(df, method, max_group_docs=50).collect()}
+    most = 100 if method == "neighbour" else 50
+    if method == "neighbour":
+        with pytest.raises(ValueError, match="cluster 0 of n"):
+            projection.project_clusters(df, method, max_group_docs=50)
+    got = {r["page_id"]: r["three_d_vector"] for r in projection.project_clusters(df, method, max_group_docs=most).collect()}
     assert set(got) == set(range(260)) and all(len(v) == 3 and np.isfinite(v).all() for v in got.values())
     with pytest.raises(ValueError):
         projection.project_clusters(df, "umap")
