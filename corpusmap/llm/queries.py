@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmap.llm import bpe, decontamination, language, line_dedup, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
-from corpusmap.session import new_folder
+from corpusmap.session import broadcast_if_small, cut_lineage, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -187,5 +187,6 @@ def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.apply(1, docs.withColumn("change", F.lit("insert")), bytes_bpe)
     ledger.apply(2, gone, bytes_bpe)
     ledger.apply(2, gone, bytes_bpe)
+    poor = broadcast_if_small(cut_lineage(poor, "poor"), 1_000_000)  # texts stay where they are while the ids are few
     ledger.apply(3, docs.join(poor, "doc_id", "left_semi").withColumn("change", F.lit("revise")), pieces)
     return ledger.totals()
