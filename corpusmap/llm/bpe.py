@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from itertools import chain
 
@@ -19,7 +19,8 @@ from corpusmap.llm.shared import share
 
 NEVER = 1 << 62
 FINAL = 256  # added to the last byte of a word, which is a symbol of its own
-CACHE = 400_000  # entries of a worker's memory of words; it starts anew when full
+CACHE = 150_000  # entries of a worker's memory of words and of pairs; it starts anew when full
+PIECE = 2 << 20
 
 
 def byte_characters() -> list[str]:
@@ -234,12 +235,17 @@ class WordBpe:
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts; words not met before are worked out together."""
         parted = [self.words(text) for text in texts]
+        counts = Counter(chain.from_iterable(parted))
+        here = {word: self.known[word] for word in counts.keys() & self.known.keys()}
+        fresh = sorted(word.encode() for word in counts.keys() - here.keys())
+        new = dict(zip([word.decode() for word in fresh], self.encode_words(fresh)))
+        here.update(new)
+        out = [np.fromiter(chain.from_iterable(map(here.__getitem__, words)), np.int32) for words in parted]
+        # most words come once and never again
+        self.known.update((word, ids) for word, ids in new.items() if counts[word] > 1)
         if len(self.known) > CACHE:
             self.known = dict(self.special_ids)
-        fresh = sorted(w.encode() for w in set().union(*parted) - self.known.keys())
-        self.known.update(zip([w.decode() for w in fresh], self.encode_words(fresh)))
-        found = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(found, words)), np.int32) for words in parted]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' strings joined by blanks, as a vocabulary without a decoder has it."""
@@ -272,7 +278,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared()
-        for piece in W.pieces(batches, "_text"):
+        for piece in W.pieces(batches, "_text", PIECE):
             ids = model.encode_batch(piece.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays([piece.column("_id"), _lists(ids)], names=["_id", "ids"])
 
@@ -286,7 +292,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared()
-        for piece in W.pieces(batches, "_text"):
+        for piece in W.pieces(batches, "_text", PIECE):
             ids = model.encode_batch(piece.column("_text").to_pylist())
             texts = [model.decode(row.tolist()) for row in ids]
             yield pa.RecordBatch.from_arrays(

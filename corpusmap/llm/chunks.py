@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 U64 = np.uint64
 
 
