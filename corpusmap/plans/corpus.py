@@ -130,7 +130,7 @@ class Corpus:
             paths = [row["chunk_archive_path"] for row in todo.select("chunk_archive_path").collect()]
             counts = []
             if paths:
-                lines = archives.read_archives(self.spark, "\n".join(paths))
+                lines = archives.read_archives(self.spark, paths)
                 found = articles.pages_from_lines(lines, mode)
                 empty = self.table("page_log").limit(0)
                 newest = cut_lineage(updates.upsert_pages(empty, found, as_of, ["chunk_name", "line_no"]), "pages")
@@ -158,7 +158,10 @@ class Corpus:
                 made = embedding.embed_pages(texts, embedder, calls=calls)
             made = cut_lineage(made, "embeddings")
             self.change("embedding_vector", made.filter(F.col("error").isNull()))
-            self.replace("embedding_error", made.filter(F.col("error").isNotNull()))
+            # what is known of pages outside this step stays
+            others = self.table("embedding_error").join(made.select(*PAGE_KEY), PAGE_KEY, "left_anti")
+            failed = made.filter(F.col("error").isNotNull()).select(*PAGE_KEY, "error")
+            self.replace("embedding_error", others.unionByName(failed))
         return self.table("embedding_error")
 
     def reduce(self, target_dim: int = 100, batch_size: int = 10_000, namespace: str | None = None) -> None:

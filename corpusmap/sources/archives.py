@@ -6,9 +6,8 @@ batches and are never held whole.
 
 from __future__ import annotations
 
-import glob
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -16,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from corpusmap.session import hadoop_path
+
 BATCH_LINES = 4096
 BATCH_BYTES = 16 << 20
 COLUMNS = "archive string, member string, line_no bigint, line string"
@@ -30,30 +31,36 @@ class ArchivePartition(InputPartition):
         self.path = path
 
 
-def list_archives(path: str) -> list[str]:
-    """Archive paths for a file, a folder, a local glob pattern, or several of these, one per line."""
-    found: list[str] = []
-    for item in path.split("\n"):
-        if "://" not in item and any(c in item for c in "*?["):
-            found += sorted(glob.glob(item))
+def list_archives(spark: SparkSession, path: str) -> list[str]:
+    """Archive paths for a file, a folder or a pattern, as the session's file systems see them: one listing,
+    recursive for a folder."""
+    files, found = hadoop_path(spark, path)
+    matches = files.globStatus(found)
+    if not matches:
+        raise FileNotFoundError(f"no such archive: {path}")
+    out: list[str] = []
+    for match in matches:
+        if not match.isDirectory():
+            out.append(match.getPath().toString())
             continue
-        files, local = open_filesystem(item)
-        info = files.get_file_info(local)
-        if info.type == pafs.FileType.Directory:
-            entries = files.get_file_info(pafs.FileSelector(local, recursive=True))
-            prefix = item[: len(item) - len(local)] if item.endswith(local) else ""
-            found += sorted(prefix + e.path for e in entries if e.path.endswith(".tar.gz"))
-        elif info.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(f"no such archive: {item}")
-        else:
-            found.append(item)
-    return found
+        below = files.listFiles(match.getPath(), True)
+        while below.hasNext():
+            name = below.next().getPath().toString()
+            if name.endswith(".tar.gz"):
+                out.append(name)
+    return sorted(out)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system it is on."""
+    files, found = hadoop_path(spark, path)
+    return files.makeQualified(found).toString()
 
 
 def open_filesystem(path: str):
     if "://" in path:
         return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return pafs.LocalFileSystem(), path
+    return pafs.LocalFileSystem(), path.removeprefix("file:")
 
 
 class ArchiveReader(DataSourceReader):
@@ -64,7 +71,7 @@ class ArchiveReader(DataSourceReader):
             raise ValueError(f"option members must be first or all, got {self.members!r}")
 
     def partitions(self):
-        return [ArchivePartition(p) for p in list_archives(self.path)]
+        return [ArchivePartition(p) for p in self.path.split("\n") if p]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         files, local = open_filesystem(partition.path)
@@ -106,7 +113,8 @@ def _batch(archive: str, member: str, numbers: list[int], texts: list[str]) -> p
 
 
 class ChunkArchiveSource(DataSource):
-    """``spark.read.format("chunk_archive").option("members", "first" | "all").load(path)``"""
+    """``spark.read.format("chunk_archive").option("members", "first" | "all").load(paths)``, one archive per
+    line; ``read_archives`` finds them."""
 
     @classmethod
     def name(cls):
@@ -119,10 +127,16 @@ class ChunkArchiveSource(DataSource):
         return ArchiveReader(self.options)
 
 
-def read_archives(spark: SparkSession, path: str, members: str = "first") -> DataFrame:
-    """Lines of the archives; namespace and chunk name come from ``.../{namespace}/{chunk}.tar.gz``."""
+def read_archives(spark: SparkSession, path: str | Sequence[str], members: str = "first") -> DataFrame:
+    """Lines of the archives; namespace and chunk name come from ``.../{namespace}/{chunk}.tar.gz``.
+
+    ``path`` is a file, folder or pattern, or a list of archives, which is taken as it is. Paths without a
+    scheme are on the cluster's default file system.
+    """
     spark.dataSource.register(ChunkArchiveSource)
-    lines = spark.read.format("chunk_archive").option("members", members).load(path)
+    paths = list_archives(spark, path) if isinstance(path, str) else [qualified(spark, p) for p in path]
+    lines = spark.read.format("chunk_archive").option("members", members).load("\n".join(paths))
+    lines = lines.withColumn("archive", F.regexp_replace("archive", "^file:/+", "/"))
     parts = F.split("archive", "/")
     return lines.select(
         F.element_at(parts, -2).alias("namespace"),
