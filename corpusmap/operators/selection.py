@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmap.operators.worklists import check_limit
@@ -50,9 +50,6 @@ def replay(
         rows = rows.filter(published >= F.lit(since))
     for column, bounds in ((offset, offsets), (published, since_per_partition)):
         for number, bound in (bounds or {}).items():
-            rows = rows.filter(_unless(F.coalesce(part == number, F.lit(False)), column >= F.lit(bound)))
+            # an event without a partition is under no bound
+            rows = rows.filter(part.isNull() | (part != number) | (column >= F.lit(bound)))
     return rows
-
-
-def _unless(applies: Column, holds: Column) -> Column:
-    return ~applies | holds

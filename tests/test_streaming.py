@@ -67,6 +67,8 @@ def test_replay_bounds(spark, sf_dir):
     assert min(r["offset"] for r in kept if r["partition"] == 2) >= 20
     late = datetime.datetime(2030, 1, 1, tzinfo=datetime.timezone.utc)
     assert selection.replay(events, since=late).isEmpty()
+    lost = events.withColumn("event", F.col("event").withField("partition", F.lit(None).cast("bigint")))
+    assert selection.replay(lost, offsets={1: 10, 2: 20}).count() == lost.count()
     assert selection.replay(events, since_per_partition={0: late}).filter("event.partition = 0").isEmpty()
 
 
