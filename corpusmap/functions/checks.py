@@ -44,4 +44,6 @@ def rejected_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     with_broken = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
-    return lines.withColumn("_row", F.from_json("line", with_broken, {"columnNameOfCorruptRecord": _BROKEN}))
+    row = F.from_json("line", with_broken, {"columnNameOfCorruptRecord": _BROKEN})
+    # through a generator, as the optimizer would put a copy of the parser wherever a member is read
+    return lines.select("*", F.explode(F.array(row)).alias("_row"))
