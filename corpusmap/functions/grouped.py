@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,9 +10,15 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-# Largest group tables sent to the executors at a time; more are sent in several rounds.
+from corpusmap.session import broadcast_if_small, cut_lineage
+
+# Largest group tables broadcast to the executors; more of them go to the rows by a shuffle.
 ROUND_BYTES = 64 << 20
+# Rows of one group that meet its table in one task then.
+PART_ROWS = 4096
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -57,21 +62,37 @@ def scan_with_tables(
 ) -> DataFrame:
     """Run ``work`` over the rows of ``df`` with the matrix of each row's group at hand.
 
-    ``tables`` (key, values: list of equal lists) has one row per group of about ``table_bytes``. They
-    are broadcast; past ROUND_BYTES in total the groups are dealt out over several rounds by a hash of
-    their key, each of which scans ``df`` for its own groups. Rows of unknown groups are left out.
+    ``tables`` (key, values: list of equal lists) has one row per group of about ``table_bytes``. Up to
+    ROUND_BYTES in total they are broadcast and the rows stay where they are. Beyond that the tables go to
+    the rows: both are shuffled by group, large groups in parts of PART_ROWS rows, so neither the driver nor
+    a task holds more than one part and one table. Rows of unknown groups are left out. ``df`` is best read
+    from a stored table: parts go by the rows' places in its scan.
     """
     most = max(1, ROUND_BYTES // max(table_bytes, 1))
     first = tables.select(key, "values").limit(most + 1).collect()
     if len(first) <= most:
         return _scan(df, key, first, work, schema)
-    rounds = math.ceil(tables.count() / most)
-    parts = None
-    for number in range(rounds):
-        mine = F.pmod(F.xxhash64(key), F.lit(rounds)) == number
-        part = _scan(df.filter(mine), key, tables.select(key, "values").filter(mine).collect(), work, schema)
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    counts = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("_parts")).filter("_parts > 1")
+    several = broadcast_if_small(cut_lineage(counts, "parts"))  # at most one row per PART_ROWS rows
+    parts = F.coalesce("_parts", F.lit(1))
+    # Row numbers of a scan, so that copies of one vector are dealt out too.
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered.join(several, key, "left").withColumn("_part", F.pmod("_row", parts)).drop("_row", "_parts")
+    held = tables.select(key, "values").join(several, key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
+    ).drop("_parts")
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(group: pa.Table, table: pa.Table) -> pa.Table:
+        if not len(group) or not len(table):
+            return arrow.empty_table()
+        name = table.column(key)[0].as_py()
+        matrices = {name: np.array(table.column("values")[0].as_py(), np.float64)}
+        batches = group.drop_columns(["_part"]).combine_chunks().to_batches()
+        found = [b for b in work(iter(batches), matrices) if b.num_rows]
+        return pa.Table.from_batches(found).select(arrow.names) if found else arrow.empty_table()
+
+    return rows.groupBy(key, "_part").cogroup(held.groupBy(key, "_part")).applyInArrow(run, schema)
 
 
 def _scan(df: DataFrame, key: str, rows: list, work, schema: str) -> DataFrame:

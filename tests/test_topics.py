@@ -106,3 +106,10 @@ def test_arguments(small):
         label_trees(*small, echo, "again")
     with pytest.raises(ValueError):
         label_trees(*small, echo, "refresh", limit=0)
+
+
+def test_calls_bound_the_tasks_that_call(spark):
+    asked = spark.range(60, numPartitions=12).select(F.lit(NS).alias("namespace"), F.col("id").alias("node_id"), F.lit("p").alias("prompt"))
+    systems = spark.createDataFrame([(NS, "s")], "namespace string, system_prompt string")
+    found = prompts.label_prompts(asked, systems, lambda system, prompt: "label", calls=3)
+    assert found.select(F.spark_partition_id().alias("task")).distinct().count() <= 3 and found.count() == 60

@@ -105,8 +105,11 @@ def test_silhouette_against_its_definition(spark):
     assert got["one"]["silhouette"] is None
 
 
-def test_tables_sent_in_rounds(spark, monkeypatch):
+@pytest.mark.parametrize("part_rows", [4096, 7])
+def test_tables_beyond_the_broadcast_bound_go_to_the_rows(spark, monkeypatch, part_rows):
     monkeypatch.setattr(grouped, "ROUND_BYTES", 2000)
+    monkeypatch.setattr(grouped, "PART_ROWS", part_rows)
+    monkeypatch.setattr(grouped, "_scan", None)  # nothing is broadcast
     df = spark.createDataFrame([(f"g{i % 20}", i, [float(i), 1.0]) for i in range(400)], "g string, page_id int, x array<float>")
     centres = spark.createDataFrame([(f"g{i}", [[0.0, 0.0], [200.0, 0.0]]) for i in range(19)], "g string, values array<array<double>>")
     got = clustering.assign(df, "g", "x", centres, 400).collect()
