@@ -135,13 +135,23 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy().astype(np.int64).view(U64)
 
 
-def _entries(table: pa.Table, signature: Signature) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of all keys of a chunk's rows, sorted by key."""
-    keys = keys_of(rows_of_bytes(table.column("sig"), signature.values), signature)
-    rows = np.repeat(np.arange(len(keys)), keys.shape[1])
-    keys = keys.reshape(-1)
+def _entries(table: pa.Table, signature: Signature) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, row, number of the key in its row) of all keys of a chunk's rows, sorted by key."""
+    keys = keys_of(rows_of_bytes(table.column("sig"), signature.values), signature).reshape(-1)
     order = np.argsort(keys, kind="stable")
-    return keys[order], rows[order]
+    return keys[order], order // signature.values, order % signature.values
+
+
+def first_common_key(same: np.ndarray, signature: Signature) -> np.ndarray:
+    """Number of the first key that two signatures have in common, given which of their values are equal;
+    the pairs have one."""
+    parts = same.reshape(len(same), signature.parts, signature.size)
+    equal = parts.sum(2)
+    part = (equal >= signature.size - signature.errors).argmax(1)
+    rows = np.arange(len(same))
+    # a chunk without a difference has all its keys in common, one with a difference that which leaves it out
+    place = np.where(equal[rows, part] == signature.size, 0, parts[rows, part].argmin(1))
+    return part * signature.size + place
 
 
 def _starts(values: np.ndarray) -> np.ndarray:
@@ -156,7 +166,7 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
     """
 
     def publish(table: pa.Table) -> pa.Table:
-        keys, rows = _entries(table, signature)
+        keys, rows, _ = _entries(table, signature)
         new = _starts(keys)
         least = np.minimum.reduceat(_column(table, "node")[rows], new)
         multi = np.diff(np.append(new, len(keys))) > 1
@@ -183,7 +193,7 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         if not len(table) or not len(told):
             return schema.empty_table()
-        keys, rows = _entries(table, signature)
+        keys, rows, _ = _entries(table, signature)
         shared, least = C.gather(told, (True, False))[1]
         order = np.argsort(shared)
         shared, least = shared[order], least[order]
@@ -223,7 +233,7 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
     """
 
     def publish(table: pa.Table) -> pa.Table:
-        keys, rows = _entries(table, signature)
+        keys, rows, _ = _entries(table, signature)
         labels = _column(table, "label")[rows]
         new = _starts(keys)
         low, high = np.minimum.reduceat(labels, new), np.maximum.reduceat(labels, new)
@@ -248,17 +258,17 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
             yield from C.answers(chunk[order], (keys[order], True), (total[order], False))
 
     def deal(table: pa.Table, told: pa.Table) -> pa.Table:
-        """Rows (bucket, packed cell, side, label, size, signature) of the mixed keys."""
+        """Rows (bucket, packed cell, number of the key and side, label, size, signature) of the mixed keys."""
         schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *((f"p{k}", pa.binary()) for k in range(4)), ("sigs", pa.binary())])
         if not len(table) or not len(told):
             return schema.empty_table()
-        keys, rows = _entries(table, signature)
+        keys, rows, number = _entries(table, signature)
         shared, total = C.gather(told, (True, False))[1]
         order = np.argsort(shared)
         shared, total = shared[order], total[order]
         at = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
         hit = shared[at] == keys
-        keys, rows, total = keys[hit], rows[hit], total[at[hit]].astype(np.int64)
+        keys, rows, number, total = keys[hit], rows[hit], number[hit], total[at[hit]].astype(np.int64)
         nodes_here, labels, sizes = (_column(table, c) for c in ("node", "label", "n_shingles"))
         sigs = rows_of_bytes(table.column("sig"), signature.values)
         blocks = -(-total // BLOCK_ROWS)
@@ -268,7 +278,8 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
         low, high = np.minimum(own, other), np.maximum(own, other)
         cell = W.mix(W.mix(keys[entry]) + (low * blocks[entry] + high).astype(U64))
         # 0: all rows of the cell are compared; 1 and 2: the rows of one block with those of the other.
-        side = np.where(low == high, 0, np.where(own == low, 1, 2)).astype(U64)
+        side = np.where(low == high, 0, np.where(own == low, 1, 2))
+        side = (number[entry] * 4 + side).astype(U64)
         order = np.argsort(cell)
         cell, side, rows = cell[order], side[order], rows[entry][order]
         bounds = C.bucket_bounds(cell, chunks)
@@ -285,7 +296,7 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
         sigs = rows_of_bytes(table.column("sigs"), signature.values)
         order = np.lexsort((size, cell))
         cell, side, label, size = (x[order] for x in (cell, side, label, size))
-        size = size.astype(np.int64)
+        size, number, side = size.astype(np.int64), (side >> U64(2)).astype(np.int64), side & U64(3)
         found = [np.empty((2, 0), np.int64)]
         left = np.arange(len(cell))
         step = 1
@@ -297,7 +308,9 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
             a, b = left, left + step
             fits = (label[a] != label[b]) & ((side[a] == 0) | (side[a] != side[b]))
             a, b = a[fits], b[fits]
-            near = (sigs[order[a]] != sigs[order[b]]).sum(1) <= signature.distance
+            same = sigs[order[a]] == sigs[order[b]]
+            near = same.sum(1) >= signature.values - signature.distance
+            near &= first_common_key(same, signature) == number[a]  # a pair counts at one of its keys
             a, b = label[a[near]].view(np.int64), label[b[near]].view(np.int64)
             found.append(np.unique(np.array([np.minimum(a, b), np.maximum(a, b)]), axis=1))
             step += 1

@@ -110,8 +110,9 @@ def test_pairs_within_the_distance_share_a_key():
     two = one.copy()
     for row in two:
         row[random.choice(signature.values, signature.distance, replace=False)] ^= 1
-    met = (near_dedup.keys_of(one, signature) == near_dedup.keys_of(two, signature)).any(1)
-    assert met.all()
+    met = near_dedup.keys_of(one, signature) == near_dedup.keys_of(two, signature)
+    assert met.any(1).all()
+    assert (near_dedup.first_common_key(one == two, signature) == met.argmax(1)).all()
 
 
 def test_op6(spark, rows):
