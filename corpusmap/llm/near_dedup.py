@@ -19,7 +19,7 @@ NODES_PER_CHUNK = 1 << 15
 # Rows of one key that are compared by one task; the rows of a larger key are dealt out in blocks.
 BLOCK_ROWS = 2000
 # Shingles of one label that are compared by one task with the sets that visit them.
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 17
 KEY_BITS = 48
 
 
