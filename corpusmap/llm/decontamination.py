@@ -24,14 +24,15 @@ def normal_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def word_windows(rows: DataFrame, keys: list[str], words: str) -> DataFrame:
-    """One row per place of ``words``: keys, ``at``, and ``w0``... the hashes of the words from there on,
-    null past the end."""
-    hashed = rows.select(*keys, F.transform(words, lambda w: F.xxhash64(w)).alias("_h"))
-    shifted = [F.slice("_h", k + 1, F.size("_h")).alias(f"w{k}") for k in range(SPAN)]
-    return hashed.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w")).select(
-        *keys, "at", "w.*"
-    )
+def word_hashes(text: Column) -> Column:
+    return F.transform(normal_words(text), lambda w: F.xxhash64(w))
+
+
+def word_windows(rows: DataFrame, keys: list[str], hashes: str) -> DataFrame:
+    """One row per place of ``hashes``: keys, ``at``, and ``w0``... the hashes from there on, null past the
+    end."""
+    shifted = [F.slice(hashes, k + 1, F.size(hashes)).alias(f"w{k}") for k in range(SPAN)]
+    return rows.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w")).select(*keys, "at", "w.*")
 
 
 def pair_key() -> Column:
@@ -48,6 +49,28 @@ def seed_keys() -> Column:
     return F.array_compact(F.array(*keys))
 
 
+def best_part(places: Column, least_words: int, least_share: float) -> Column:
+    """(n_equal, n_places, item_place) of the part of a stretch with the most equal words that counts, of
+    equal ones the shortest and then the first; null if none does. ``places`` are its equal places, ascending."""
+
+    def ending(place: Column, k: Column) -> Column:
+        def counts(first: Column) -> Column:
+            n = k - first + 1
+            return (n >= least_words) & (n >= least_share * (place - F.get(places, first) + 1))
+
+        first = F.array_min(F.filter(F.sequence(F.lit(0), k), counts))
+        start = F.get(places, first)
+        return F.when(first.isNotNull(), F.struct((k - first + 1).alias("n"), (start - place - 1).alias("less"), (-start).alias("back")))
+
+    best = F.array_max(F.transform(places, ending))
+    return F.when(best.isNotNull(), stretch_row(best["n"], -best["less"], -best["back"]))
+
+
+def stretch_row(n_equal: Column, n_places: Column, item_place: Column) -> Column:
+    parts = {"n_equal": n_equal, "n_places": n_places, "item_place": item_place}
+    return F.struct(*[part.cast("long").alias(name) for name, part in parts.items()])
+
+
 def find_passages(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
@@ -55,54 +78,66 @@ def find_passages(
 ) -> DataFrame:
     """Pairs of a document and a test item of which it holds a passage, substitutions allowed.
 
-    Every place of every text is looked up under each mask among the places of the items. Around a hit all
-    words of the two windows are compared; equal places on one diagonal (document place minus item place)
-    are joined into stretches, which a gap of more than GAP places ends. A stretch counts if it has
-    ``least_words`` equal words and ``least_share`` of its places are equal; for an item of fewer words,
-    ``least_share`` of its words.
-
-    Returns, for each pair, its best stretch: id, item id, n_equal, n_places, n_item_words, doc_place,
-    item_place (in words from 0). Item windows are broadcast only while they are few (broadcast_if_small);
-    beyond that both lookups are ordinary joins. Null and empty texts match nothing, nor do items of fewer
-    than six words; rows with one id count as one document, null ids as one too; repeated items and equal
-    items each get their pairs. Empty tables give no rows; other columns are ignored.
+    Every place of every text is looked up under each mask among the places of the items. A hit names a
+    diagonal (document place minus item place), on which all words of the item are compared with the
+    document's; equal places are joined into stretches, which a gap of more than GAP places ends. A stretch
+    counts if some part of it has ``least_words`` equal words and ``least_share`` of that part's places are
+    equal; for an item of fewer words, if ``least_share`` of the item's words are in it.
+
+    Returns, for each pair, its best stretch or part: id, item id, n_equal, n_places, n_item_words, doc_place,
+    item_place (in words from 0). Item windows and hits are broadcast only while they are few
+    (broadcast_if_small); beyond that the lookups are ordinary joins. Null and empty texts match nothing, nor
+    do items of fewer than six words; of rows with one id each is compared by itself, and the best counts,
+    of null ids too; repeated items and equal items each get their pairs. Empty tables give no rows; other
+    columns are ignored.
     """
-    tests = items.select(F.col(item_col).alias("_item"), normal_words(F.col(item_text_col)).alias("_words")).distinct()
-    tests = tests.withColumn("_n", F.size("_words")).filter(F.col("_n") >= len(MASKS[0]))
-    windows = cut_lineage(word_windows(tests, ["_item", "_n"], "_words"), "test-windows")
+    tests = items.select(F.col(item_col).alias("_item"), word_hashes(F.col(item_text_col)).alias("_wanted")).distinct()
+    tests = tests.withColumn("_n", F.size("_wanted")).filter(F.col("_n") >= len(MASKS[0]))
+    tests = cut_lineage(tests.withColumn("_test", F.xxhash64("_item", "_wanted")), "tests")
+    windows = cut_lineage(word_windows(tests, ["_test"], "_wanted"), "test-windows")
     pairs = broadcast_if_small(windows.filter("w1 IS NOT NULL").select(pair_key().alias("_pair")).distinct())
-    seeds = windows.select("_item", "_n", F.col("at").alias("_at"), *[F.col(f"w{k}").alias(f"t{k}") for k in range(SPAN)],
-                           F.explode(seed_keys()).alias("_seed"))
-    seeds = broadcast_if_small(seeds)
+    seeds = broadcast_if_small(windows.select("_test", F.col("at").alias("_at"), F.explode(seed_keys()).alias("_seed")))
 
-    texts = docs.select(F.col(id_col).alias("_id"), normal_words(F.col(text_col)).alias("_words"))
-    places = word_windows(texts, ["_id"], "_words").withColumn("_pair", pair_key()).join(pairs, "_pair", "left_semi")
+    texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"), word_hashes(F.col(text_col)).alias("_words"))
+    places = word_windows(texts, ["_id", "_text"], "_words").withColumn("_pair", pair_key()).join(pairs, "_pair", "left_semi")
     hits = places.withColumn("_seed", F.explode(seed_keys())).join(seeds, "_seed")
-    equal = F.array_compact(F.array(*[F.when(F.col(f"w{k}") == F.col(f"t{k}"), F.col("_at") + k) for k in range(SPAN)]))
-    met = hits.select("_id", "_item", "_n", (F.col("at") - F.col("_at")).alias("_diagonal"), F.explode(equal).alias("_place"))
-    met = met.distinct()
-
-    line = Window.partitionBy("_id", "_item", "_diagonal").orderBy("_place")  # as long as the item at most
+    hits = hits.select(F.col("_id").alias("_hit"), F.col("_text").alias("_hit_text"), "_test", (F.col("at") - F.col("_at")).alias("_diagonal"))
+    hits = broadcast_if_small(cut_lineage(hits.distinct(), "seed-hits"))
+
+    lines = texts.join(hits, F.col("_id").eqNullSafe(F.col("_hit")) & (F.col("_text") == F.col("_hit_text")))
+    from_doc, from_item = F.greatest("_diagonal", F.lit(0)), F.greatest(-F.col("_diagonal"), F.lit(0))
+    # Only the words beside the item's go on.
+    lines = lines.join(broadcast_if_small(tests.select("_test", "_n")), "_test").select(
+        "_id", "_text", "_test", "_diagonal", from_item.alias("_from"), F.slice("_words", from_doc + 1, F.col("_n") - from_item).alias("_beside")
+    )
+    lines = lines.distinct().join(broadcast_if_small(tests), "_test")
+    wanted = F.slice("_wanted", F.col("_from") + 1, F.size("_beside"))
+    same = F.zip_with("_beside", wanted, lambda x, y: x == y)
+    is_short = F.col("_n") < least_words
+    lines = lines.withColumn("_same", same).withColumn("_total", F.size(F.filter("_same", lambda x: x)))
+    lines = lines.filter(F.when(is_short, F.col("_total") >= least_share * F.col("_n")).otherwise(F.col("_total") >= least_words))
+    met = lines.select("_id", "_text", "_test", "_item", "_n", "_diagonal", "_from", F.posexplode("_same").alias("_k", "_equal")).filter("_equal")
+    met = met.withColumn("_place", F.col("_from") + F.col("_k"))
+
+    line = Window.partitionBy("_id", "_text", "_test", "_diagonal").orderBy("_place")  # as long as the item at most
     parted = met.withColumn("_new", (F.col("_place") - F.lag("_place", 1, -1 - GAP).over(line) > GAP).cast("int"))
     parted = parted.withColumn("_stretch", F.sum("_new").over(line))
-    stretches = parted.groupBy("_id", "_item", "_diagonal", "_stretch").agg(
-        F.count(F.lit(1)).alias("n_equal"), (F.max("_place") - F.min("_place") + 1).cast("long").alias("n_places"),
-        F.min("_place").alias("item_place"), F.first("_n").alias("n_item_words"),
+    stretches = parted.groupBy("_id", "_text", "_test", "_item", "_n", "_diagonal", "_stretch").agg(F.sort_array(F.collect_list("_place")).alias("_places"))
+    n_equal, start = F.size("_places"), F.get("_places", F.lit(0))
+    n_places = F.element_at("_places", -1) - start + 1
+    whole = stretch_row(n_equal, n_places, start)
+    part = (
+        F.when(is_short, F.when(n_equal >= least_share * F.col("_n"), whole))
+        .when((n_equal >= least_words) & (n_equal >= least_share * n_places), whole)
+        .when(n_equal >= least_words, best_part(F.col("_places"), least_words, least_share))
     )
-    enough = F.when(
-        F.col("n_item_words") >= least_words,
-        (F.col("n_equal") >= least_words) & (F.col("n_equal") >= least_share * F.col("n_places")),
-    ).otherwise(F.col("n_equal") >= least_share * F.col("n_item_words"))
-    found = stretches.filter(enough).withColumn("doc_place", F.col("_diagonal") + F.col("item_place"))
+    found = stretches.withColumn("_part", part).filter("_part IS NOT NULL").select("_id", "_item", "_n", "_diagonal", "_part.*")
+    found = found.withColumn("n_item_words", F.col("_n").cast("long")).withColumn("doc_place", F.col("_diagonal") + F.col("item_place"))
     best = F.max_by(
         F.struct("n_equal", "n_places", "n_item_words", "doc_place", "item_place"),
         F.struct("n_equal", -F.col("n_places"), -F.col("doc_place"), -F.col("item_place")),
     )
-    return found.groupBy("_id", "_item").agg(best.alias("b")).select(
-        F.col("_id").alias(id_col), F.col("_item").alias(item_col), "b.n_equal", "b.n_places",
-        F.col("b.n_item_words").cast("long").alias("n_item_words"), F.col("b.doc_place").cast("long").alias("doc_place"),
-        F.col("b.item_place").cast("long").alias("item_place"),
-    )
+    return found.groupBy("_id", "_item").agg(best.alias("b")).select(F.col("_id").alias(id_col), F.col("_item").alias(item_col), "b.*")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
