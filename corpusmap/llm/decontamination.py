@@ -1,4 +1,4 @@
-"""Passages of test items in training texts, found by spaced seeds."""
+"""Passages of test items in training texts, found by the runs of equal words that each must have."""
 
 from __future__ import annotations
 
@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from corpusmap.session import broadcast_if_small, cut_lineage
 
-# Words a seed compares; at the other places it takes any word. All masks compare the first two, so that
-# one lookup of word pairs stands before all of them.
-MASKS = ("111111", "110110011", "110010111")
-SPAN = max(map(len, MASKS))
+# Items of fewer words cannot be looked for.
+LEAST_ITEM = 6
+# Words a seed compares at most.
+LONGEST_SEED = 6
 # A passage counts with this many equal words and this share of equal words in its stretch; an item
 # that is shorter counts when this share of its words is there.
 LEAST_WORDS = 13
@@ -28,25 +28,36 @@ def word_hashes(text: Column) -> Column:
     return F.transform(normal_words(text), lambda w: F.xxhash64(w))
 
 
-def word_windows(rows: DataFrame, keys: list[str], hashes: str) -> DataFrame:
-    """One row per place of ``hashes``: keys, ``at``, and ``w0``... the hashes from there on, null past the
-    end."""
-    shifted = [F.slice(hashes, k + 1, F.size(hashes)).alias(f"w{k}") for k in range(SPAN)]
-    return rows.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w")).select(*keys, "at", "w.*")
-
+def sure_run(n_words: int | None, least_words: int, least_share: float) -> int:
+    """Length of a run of equal words that is in every passage of an item of ``n_words``, or, for None, of any
+    item of ``least_words`` or more; LONGEST_SEED at most.
 
-def pair_key() -> Column:
-    return F.xxhash64("w0", "w1")
+    Unequal words cut a passage with n equal ones into no more than one run more than they are.
+    """
+    if n_words is not None:
+        n = next(n for n in range(n_words + 1) if n >= least_share * n_words)
+        runs = [-(-n // (n_words - n + 1))]
+    else:
+        runs, n, unequal = [least_words], least_words, 1
+        # Once the share asks for more than least_words, the runs of ever more unequal words grow.
+        while least_share < 1 and unequal <= least_words + 1 and runs[-1] > 1:
+            while n < least_share * (n + unequal):
+                n += 1
+            runs.append(-(-n // (unequal + 1)))
+            unequal += 1
+    return max(1, min(LONGEST_SEED, *runs))
+
+
+def word_windows(rows: DataFrame, keys: list[str], hashes: str, width: int) -> DataFrame:
+    """One row per place of ``hashes``: keys, ``at``, and ``w0``... the ``width`` hashes from there on, null
+    past the end."""
+    shifted = [F.slice(hashes, k + 1, F.size(hashes)).alias(f"w{k}") for k in range(width)]
+    return rows.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w")).select(*keys, "at", "w.*")
 
 
-def seed_keys() -> Column:
-    """Hashes of the window under every mask that fits into the text; the mask's number is part of it."""
-    keys = []
-    for number, mask in enumerate(MASKS):
-        held = [f"w{k}" for k, bit in enumerate(mask) if bit == "1"]
-        fits = F.col(f"w{len(mask) - 1}").isNotNull()
-        keys.append(F.when(fits, F.xxhash64(F.lit(number), *held)))
-    return F.array_compact(F.array(*keys))
+def run_key(length: int) -> Column:
+    """Hash of the first ``length`` words of a window, its length included; null if the text ends before."""
+    return F.when(F.col(f"w{length - 1}").isNotNull(), F.xxhash64(F.lit(length), *[f"w{k}" for k in range(length)]))
 
 
 def best_part(places: Column, least_words: int, least_share: float) -> Column:
@@ -78,29 +89,37 @@ def find_passages(
 ) -> DataFrame:
     """Pairs of a document and a test item of which it holds a passage, substitutions allowed.
 
-    Every place of every text is looked up under each mask among the places of the items. A hit names a
-    diagonal (document place minus item place), on which all words of the item are compared with the
+    Every passage has a run of equal words of a known length (sure_run; four words at the given bounds, three
+    for some items of fewer than 13). Every run of that length in every text is looked up among those of the
+    items. A hit names a diagonal (document place minus item place), on which all words of the item are compared with the
     document's; equal places are joined into stretches, which a gap of more than GAP places ends. A stretch
     counts if some part of it has ``least_words`` equal words and ``least_share`` of that part's places are
     equal; for an item of fewer words, if ``least_share`` of the item's words are in it.
 
     Returns, for each pair, its best stretch or part: id, item id, n_equal, n_places, n_item_words, doc_place,
-    item_place (in words from 0). Item windows and hits are broadcast only while they are few
+    item_place (in words from 0). Item runs and hits are broadcast only while they are few
     (broadcast_if_small); beyond that the lookups are ordinary joins. Null and empty texts match nothing, nor
     do items of fewer than six words; of rows with one id each is compared by itself, and the best counts,
     of null ids too; repeated items and equal items each get their pairs. Empty tables give no rows; other
     columns are ignored.
     """
     tests = items.select(F.col(item_col).alias("_item"), word_hashes(F.col(item_text_col)).alias("_wanted")).distinct()
-    tests = tests.withColumn("_n", F.size("_wanted")).filter(F.col("_n") >= len(MASKS[0]))
-    tests = cut_lineage(tests.withColumn("_test", F.xxhash64("_item", "_wanted")), "tests")
-    windows = cut_lineage(word_windows(tests, ["_test"], "_wanted"), "test-windows")
-    pairs = broadcast_if_small(windows.filter("w1 IS NOT NULL").select(pair_key().alias("_pair")).distinct())
-    seeds = broadcast_if_small(windows.select("_test", F.col("at").alias("_at"), F.explode(seed_keys()).alias("_seed")))
+    tests = tests.withColumn("_n", F.size("_wanted")).filter(F.col("_n") >= LEAST_ITEM)
+    lengths = {n: sure_run(n, least_words, least_share) for n in range(LEAST_ITEM, least_words)}
+    run = F.lit(sure_run(None, least_words, least_share))
+    for n, length in lengths.items():
+        run = F.when(F.col("_n") == n, length).otherwise(run)
+    tests = cut_lineage(tests.withColumn("_test", F.xxhash64("_item", "_wanted")).withColumn("_run", run), "tests")
+    used = sorted(row["_run"] for row in tests.select("_run").distinct().collect()) or [1]  # LONGEST_SEED at most
+    windows = word_windows(tests, ["_test", "_run"], "_wanted", used[-1])
+    seed = F.coalesce(*[F.when(F.col("_run") == length, run_key(length)) for length in used])
+    seeds = windows.select("_test", F.col("at").alias("_at"), seed.alias("_seed")).filter("_seed IS NOT NULL")
+    seeds = broadcast_if_small(cut_lineage(seeds, "test-seeds"))
 
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"), word_hashes(F.col(text_col)).alias("_words"))
-    places = word_windows(texts, ["_id", "_text"], "_words").withColumn("_pair", pair_key()).join(pairs, "_pair", "left_semi")
-    hits = places.withColumn("_seed", F.explode(seed_keys())).join(seeds, "_seed")
+    places = word_windows(texts, ["_id", "_text"], "_words", used[-1])
+    keys = run_key(used[0]) if len(used) == 1 else F.explode(F.array_compact(F.array(*map(run_key, used))))
+    hits = places.select("_id", "_text", "at", keys.alias("_seed")).join(seeds, "_seed")
     hits = hits.select(F.col("_id").alias("_hit"), F.col("_text").alias("_hit_text"), "_test", (F.col("at") - F.col("_at")).alias("_diagonal"))
     hits = broadcast_if_small(cut_lineage(hits.distinct(), "seed-hits"))
 

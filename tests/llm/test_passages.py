@@ -1,5 +1,6 @@
 """Passages with substituted words, against a comparison of all places."""
 
+import itertools
 import random
 
 from corpusmap.llm import decontamination
@@ -31,8 +32,7 @@ def test_equal_words_beside_hits_count(spark):
         docs += [replaced(n, set(chance.sample(range(n), max(1, n // 5))), chance.randrange(4)) for _ in range(40)]
     items = [(n, item_text(n)) for n in ITEM_WORDS]
     found, expected = found_and_expected(spark, list(enumerate(docs)), items)
-    assert len(expected) > 300
-    assert {x for x in expected if x[0] < 14} <= found <= expected
+    assert len(expected) > 300 and found == expected
 
 
 def test_chance_words_beside_a_passage_do_not_dilute_it(spark):
@@ -44,3 +44,30 @@ def test_chance_words_beside_a_passage_do_not_dilute_it(spark):
     items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
     # Words 10 to 22 are equal; with the words 6 and 26 it is 15 of 21.
     assert [(r.n_equal, r.n_places, r.item_place) for r in decontamination.find_passages(df, items).collect()] == [(14, 17, 6)]
+
+
+def test_every_pattern_of_short_items_and_every_period_of_long_ones(spark):
+    docs = [
+        replaced(n, set(places)) for n in range(6, 13) for most in range(n // 5 + 2) for places in itertools.combinations(range(n), most)
+    ]
+    short = len(docs)
+    docs += [replaced(n, set(range(at, n, period))) for n in ITEM_WORDS for period in range(2, 15) for at in range(period)]
+    items = [(n, item_text(n)) for n in (*range(6, 13), *ITEM_WORDS)]
+    found, expected = found_and_expected(spark, list(enumerate(docs)), items)
+    assert found == expected
+    assert {n for i, n in expected if i < short} == set(range(6, 13))
+    assert all(any(x[1] == n for x in expected if "other" in docs[x[0]]) for n in (37, 50, 57))
+
+
+def test_sure_runs_are_in_all_passages():
+    """Every pattern of equal and unequal words that counts has the run."""
+    for least, share in ((13, 0.8), (5, 0.6), (6, 0.75), (4, 0.5), (7, 0.9), (5, 1.0)):
+        for n in range(1, 17):
+            for pattern in itertools.product("10", repeat=n):
+                pattern = "".join(pattern)
+                equal = pattern.count("1")
+                if n < least and equal >= share * n:
+                    assert "1" * decontamination.sure_run(n, least, share) in pattern
+                if equal >= least and equal >= share * n:
+                    assert "1" * decontamination.sure_run(None, least, share) in pattern
+    assert decontamination.sure_run(None, 13, 0.8) == 4
