@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ BLOCK_ROWS = 2000
 # Shingles of one label that are compared by one task with the sets that visit them.
 BLOCK_SHINGLES = 1 << 17
 KEY_BITS = 48
+# Share of the pairs at the least similarity that may differ too much to be confirmed.
+MISSED = 5e-8
 
 
 @dataclass(frozen=True)
@@ -30,8 +33,9 @@ class Signature:
     Two signatures that differ in at most parts * (errors + 1) - 1 values have, by pigeonhole, a chunk that
     differs in at most ``errors`` = 1 value. Every chunk is looked up once with each of its values left out,
     which finds all such pairs. At a similarity of 0.8, of 96 values 19.2 differ on average, with a
-    deviation of 3.9: all pairs up to 31 differences, three deviations more, are sure to be met, and others
-    are met unless every chunk differs twice (1 in 10^7 at 0.8).
+    deviation of 3.9: all pairs up to 31 differences, three deviations more, are sure to share a key, and
+    others do unless every chunk differs twice (4 in 10^8 at 0.8). Pairs that share a key are confirmed unless
+    they differ in more than ``tolerance`` values (42 at 0.8, exceeded in 4 in 10^8 pairs).
     """
 
     parts: int = 16
@@ -46,6 +50,12 @@ class Signature:
     def distance(self) -> int:
         return self.parts * (self.errors + 1) - 1
 
+    def tolerance(self, least: int) -> int:
+        """Differences that pairs with ``least`` percent in common exceed in at most MISSED of all cases."""
+        differ = max(0.0, 1 - least / 100)
+        chance = [math.comb(self.values, k) * differ**k * (1 - differ) ** (self.values - k) for k in range(self.values + 1)]
+        return next(d for d in range(self.values + 1) if sum(chance[d + 1 :]) <= MISSED)
+
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): the distinct shingles of each text of a column, ascending, one text after another.
@@ -224,7 +234,7 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
 
 
 def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int) -> DataFrame:
-    """(a, b), a < b: all pairs of labels with nodes that have a common key, at most ``distance`` differences,
+    """(a, b), a < b: all pairs of labels with nodes that have a common key, at most ``tolerance`` differences,
     and sizes that allow ``least`` percent.
 
     ``nodes`` has node, label, n_shingles and sig. Keys whose nodes all have one label are told apart first
@@ -232,6 +242,8 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
     a task of their own. However many nodes of two labels are close, a task reports the labels once.
     """
 
+    tolerance = signature.tolerance(least)
+
     def publish(table: pa.Table) -> pa.Table:
         keys, rows, _ = _entries(table, signature)
         labels = _column(table, "label")[rows]
@@ -309,7 +321,7 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
             fits = (label[a] != label[b]) & ((side[a] == 0) | (side[a] != side[b]))
             a, b = a[fits], b[fits]
             same = sigs[order[a]] == sigs[order[b]]
-            near = same.sum(1) >= signature.values - signature.distance
+            near = same.sum(1) >= signature.values - tolerance
             near &= first_common_key(same, signature) == number[a]  # a pair counts at one of its keys
             a, b = label[a[near]].view(np.int64), label[b[near]].view(np.int64)
             found.append(np.unique(np.array([np.minimum(a, b), np.maximum(a, b)]), axis=1))

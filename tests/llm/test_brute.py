@@ -103,6 +103,27 @@ def test_near_copies_that_stars_do_not_join(spark, monkeypatch):
     assert found == brute.components(rows)
 
 
+def test_labels_with_unlucky_signatures_are_compared(spark):
+    """Pairs above 0.8 whose signatures differ in more than 31 values, yet share a key."""
+    signature = near_dedup.Signature()
+    random = np.random.default_rng(11)
+    one = random.integers(0, 256, (24, signature.values), dtype=np.uint8)
+    two = one.copy()
+    for k, row in enumerate(two):
+        row[6 + random.choice(signature.values - 6, 32 + k % 11, replace=False)] ^= 1
+    nodes = [(2 * k + side, 2 * k + side, 100, bytearray(sigs[k].tobytes())) for k in range(24) for side, sigs in enumerate((one, two))]
+    df = spark.createDataFrame(nodes, "node long, label long, n_shingles long, sig binary")
+    found = {(r.a, r.b) for r in near_dedup.mixed_labels(df, signature, 3, 80).collect()}
+    assert found == {(2 * k, 2 * k + 1) for k in range(24)}
+
+
+def test_tolerance_meets_the_stated_share():
+    signature = near_dedup.Signature()
+    assert signature.tolerance(80) == 42 and signature.tolerance(100) == 0 and signature.tolerance(50) > 65
+    random = np.random.default_rng(2)
+    assert (random.binomial(96, 0.2, 1_000_000) <= signature.tolerance(80)).all()
+
+
 def test_pairs_within_the_distance_share_a_key():
     signature = near_dedup.Signature()
     random = np.random.default_rng(5)
