@@ -32,13 +32,17 @@ def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; of rows that share their id
-    one stays."""
-    found = near_dedup.near_duplicates(docs, width=5, least=80).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    found = cut_lineage(found.select(F.col("doc_id").alias("_kept"), "n"), "kept-ids")
-    same = F.col("doc_id").eqNullSafe(F.col("_kept"))
-    once = docs.join(broadcast_if_small(found.filter("n = 1").select("_kept"), 1_000_000), same, "left_semi")
-    again = docs.join(broadcast_if_small(found.filter("n > 1").select("_kept")), same, "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group of near copies, the one with the smallest id; rows that share an id are told
+    apart by their texts, and of rows alike in both one stays."""
+    text = F.xxhash64("text")
+    # null ids come last, as they do in near_duplicates
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), text.alias("text"))
+    found = near_dedup.near_duplicates(docs.select(key.alias("key"), "text"), width=5, least=80, id_col="key").filter("kept")
+    found = found.groupBy(F.col("key.id").alias("_kept"), F.col("key.text").alias("_kept_text")).agg(F.count(F.lit(1)).alias("n"))
+    found = cut_lineage(found, "kept-ids")
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (text == F.col("_kept_text"))
+    once = docs.join(broadcast_if_small(found.filter("n = 1").drop("n"), 1_000_000), same, "left_semi")
+    again = docs.join(broadcast_if_small(found.filter("n > 1").drop("n")), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(again).select(*COLUMNS)
 
 

@@ -82,27 +82,12 @@ def stretch_row(n_equal: Column, n_places: Column, item_place: Column) -> Column
     return F.struct(*[part.cast("long").alias(name) for name, part in parts.items()])
 
 
-def find_passages(
+def stretches_found(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
     least_words: int = LEAST_WORDS, least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """Pairs of a document and a test item of which it holds a passage, substitutions allowed.
-
-    Every passage has a run of equal words of a known length (sure_run; four words at the given bounds, three
-    for some items of fewer than 13). Every run of that length in every text is looked up among those of the
-    items. A hit names a diagonal (document place minus item place), on which all words of the item are compared with the
-    document's; equal places are joined into stretches, which a gap of more than GAP places ends. A stretch
-    counts if some part of it has ``least_words`` equal words and ``least_share`` of that part's places are
-    equal; for an item of fewer words, if ``least_share`` of the item's words are in it.
-
-    Returns, for each pair, its best stretch or part: id, item id, n_equal, n_places, n_item_words, doc_place,
-    item_place (in words from 0). Item runs and hits are broadcast only while they are few
-    (broadcast_if_small); beyond that the lookups are ordinary joins. Null and empty texts match nothing, nor
-    do items of fewer than six words; of rows with one id each is compared by itself, and the best counts,
-    of null ids too; repeated items and equal items each get their pairs. Empty tables give no rows; other
-    columns are ignored.
-    """
+    """All stretches that count, as find_passages says, with the id and the hash of the text they are in."""
     tests = items.select(F.col(item_col).alias("_item"), word_hashes(F.col(item_text_col)).alias("_wanted")).distinct()
     tests = tests.withColumn("_n", F.size("_wanted")).filter(F.col("_n") >= LEAST_ITEM)
     lengths = {n: sure_run(n, least_words, least_share) for n in range(LEAST_ITEM, least_words)}
@@ -150,8 +135,32 @@ def find_passages(
         .when((n_equal >= least_words) & (n_equal >= least_share * n_places), whole)
         .when(n_equal >= least_words, best_part(F.col("_places"), least_words, least_share))
     )
-    found = stretches.withColumn("_part", part).filter("_part IS NOT NULL").select("_id", "_item", "_n", "_diagonal", "_part.*")
-    found = found.withColumn("n_item_words", F.col("_n").cast("long")).withColumn("doc_place", F.col("_diagonal") + F.col("item_place"))
+    found = stretches.withColumn("_part", part).filter("_part IS NOT NULL").select("_id", "_text", "_item", "_n", "_diagonal", "_part.*")
+    return found.withColumn("n_item_words", F.col("_n").cast("long")).withColumn("doc_place", F.col("_diagonal") + F.col("item_place"))
+
+
+def find_passages(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+    least_words: int = LEAST_WORDS, least_share: float = LEAST_SHARE,
+) -> DataFrame:
+    """Pairs of a document and a test item of which it holds a passage, substitutions allowed.
+
+    Every passage has a run of equal words of a known length (sure_run; four words at the given bounds, three
+    for some items of fewer than 13). Every run of that length in every text is looked up among those of the
+    items. A hit names a diagonal (document place minus item place), on which all words of the item are
+    compared with the document's; equal places are joined into stretches, which a gap of more than GAP places ends. A stretch
+    counts if some part of it has ``least_words`` equal words and ``least_share`` of that part's places are
+    equal; for an item of fewer words, if ``least_share`` of the item's words are in it.
+
+    Returns, for each pair, its best stretch or part: id, item id, n_equal, n_places, n_item_words, doc_place,
+    item_place (in words from 0). Item runs and hits are broadcast only while they are few
+    (broadcast_if_small); beyond that the lookups are ordinary joins. Null and empty texts match nothing, nor
+    do items of fewer than six words; of rows with one id each is compared by itself, and the best counts,
+    of null ids too; repeated items and equal items each get their pairs. Empty tables give no rows; other
+    columns are ignored.
+    """
+    found = stretches_found(docs, items, id_col, text_col, item_col, item_text_col, least_words, least_share)
     best = F.max_by(
         F.struct("n_equal", "n_places", "n_item_words", "doc_place", "item_place"),
         F.struct("n_equal", -F.col("n_places"), -F.col("doc_place"), -F.col("item_place")),
@@ -159,8 +168,10 @@ def find_passages(
     return found.groupBy("_id", "_item").agg(best.alias("b")).select(F.col("_id").alias(id_col), F.col("_item").alias(item_col), "b.*")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of an item; columns as they are."""
-    found = find_passages(docs, items, id_col, **options).select(F.col(id_col).alias("_id")).distinct()
-    found = broadcast_if_small(cut_lineage(found, "contaminated"))
-    return docs.join(found, docs[id_col].eqNullSafe(found["_id"]), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no passage of an item, whatever other rows share their id;
+    columns as they are."""
+    found = stretches_found(docs, items, id_col, text_col, **options).select(F.col("_id").alias("_held"), F.col("_text").alias("_held_text"))
+    found = broadcast_if_small(cut_lineage(found.distinct(), "contaminated"))
+    held = docs[id_col].eqNullSafe(found["_held"]) & (F.xxhash64(docs[text_col]) == found["_held_text"])
+    return docs.join(found, held, "left_anti")

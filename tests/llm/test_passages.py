@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import corpus_pipeline
 from corpusmap.llm import decontamination
 from test_pipeline import holds
 
@@ -71,3 +72,22 @@ def test_sure_runs_are_in_all_passages():
                 if equal >= least and equal >= share * n:
                     assert "1" * decontamination.sure_run(None, least, share) in pattern
     assert decontamination.sure_run(None, 13, 0.8) == 4
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, sf_dir):
+    passage = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    clean = ["one clean text about rivers and lakes", "another clean text about hills and woods", None]
+    rows = [(i, t, "en", "a", 1) for i in (None, 5) for t in (*clean, clean[0], f"before {passage} after")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+    def texts(frame):
+        return sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr)
+
+    expected = [(i, t) for i in (None, 5) for t in (*clean, clean[0])]
+    assert texts(corpus_pipeline.decontaminate(spark, df, sf_dir)) == sorted(expected, key=repr)
+    # of the copies the row with an id stays; rows without a word are no copies
+    expected = [(None, None), (5, clean[0]), (5, clean[1]), (5, None), (5, f"before {passage} after")]
+    assert texts(corpus_pipeline.near_copies(spark, df, sf_dir)) == sorted(expected, key=repr)
+    alone = df.filter("doc_id IS NULL")
+    expected = [(None, t) for t in (*clean, f"before {passage} after")]
+    assert texts(corpus_pipeline.near_copies(spark, alone, sf_dir)) == sorted(expected, key=repr)
