@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmap.llm import bpe, decontamination, language, line_dedup, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
+from corpusmap.llm import (
+    bpe, byte_bpe, conversation_trie, decontamination, language, line_dedup, near_dedup, quality, secret_scan, sharding, source_divergence,
+    substring_dedup, token_counts,
+)
 from corpusmap.session import broadcast_if_small, cut_lineage, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +193,114 @@ def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     poor = broadcast_if_small(cut_lineage(poor, "poor"), 1_000_000)  # texts stay where they are while the ids are few
     ledger.apply(3, docs.join(poor, "doc_id", "left_semi").withColumn("change", F.lit("revise")), pieces)
     return ledger.totals()
+
+
+@query("op11_byte_bpe")
+def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = byte_bpe.encode_and_decode(documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_source_divergence", """
+    WITH docs AS (
+        SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ),
+    occ AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[a-z\\x{80}-\\x{10FFFF}]+')) AS term FROM docs),
+    kept AS (SELECT lang, term FROM occ GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+    found AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+    sources AS (SELECT DISTINCT lang, source FROM docs),
+    counts AS (
+        SELECT s.lang, s.source, k.term, coalesce(f.n, 0) AS n
+        FROM sources s JOIN kept k USING (lang) LEFT JOIN found f USING (lang, source, term)
+    ),
+    shares AS (
+        SELECT *, (1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g))::BIGINT AS p
+        FROM counts WINDOW g AS (PARTITION BY lang, source)
+    ),
+    langs AS (SELECT lang, term, sum(n) AS n FROM counts GROUP BY lang, term),
+    lang_shares AS (
+        SELECT *, (1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g))::BIGINT AS q
+        FROM langs WINDOW g AS (PARTITION BY lang)
+    ),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item,
+               coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term)
+                         WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+        FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    ),
+    terms AS (
+        SELECT s.lang, s.source, s.term AS item, s.p - l.q AS value
+        FROM shares s JOIN lang_shares l USING (lang, term) WHERE s.n > 0 AND s.p > l.q
+    ),
+    ranked AS (
+        SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+        UNION ALL
+        SELECT * FROM (
+            SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms
+        ) WHERE rank <= 50
+    )
+    SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked
+""")
+def divergence_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(documents(spark, sf_dir), min_docs=30, top_terms=50)
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+@query("op13_conversation_trie", """
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    ids AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base,
+               xor(4294967295, list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+                   lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                       lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))
+               )) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM turns)
+    ),
+    rebuilt AS (
+        SELECT d.conv_id, 0 AS part, t.i, t.role, t.text FROM ids d JOIN turns t ON t.conv_id = d.base AND t.i <= d.h
+        UNION ALL
+        SELECT d.conv_id, 1, t.i, t.role, t.text FROM ids d JOIN turns t ON t.conv_id = d.conv_id AND t.i > d.h
+    ),
+    prefixes AS (
+        SELECT conv_id, row_number() OVER w AS depth, strlen(text) AS bytes,
+               string_agg(sha256(strlen(role) || ':' || role || text), ',') OVER w AS key
+        FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)
+        UNION ALL
+        SELECT conv_id, 0, 0, '' FROM ids
+    ),
+    nodes AS (
+        SELECT key, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n, any_value(bytes) AS bytes,
+               CASE WHEN any_value(depth) > 0 THEN left(key, greatest(length(key) - 65, 0)) END AS above
+        FROM prefixes GROUP BY key
+    ),
+    kids AS (SELECT above AS key, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+    below AS (
+        SELECT p.key, sum((n.n - 1) * n.bytes) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+        FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids k ON k.key = n.key
+        GROUP BY p.key
+    ),
+    ends AS (
+        SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+        FROM (SELECT *, max(depth) OVER (PARTITION BY conv_id) AS most FROM prefixes) WHERE depth = most GROUP BY key
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves,
+           b.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+    FROM nodes n LEFT JOIN nodes p ON p.key = n.above LEFT JOIN kids k ON k.key = n.key JOIN below b ON b.key = n.key
+    LEFT JOIN ends e ON e.key = n.key
+""")
+def trie_of_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(conversations(spark, sf_dir)).select(
+        "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
