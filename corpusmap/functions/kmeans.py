@@ -15,6 +15,11 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 # Rounds in which candidates for the first centres are drawn, and how many of them per centre and round.
 DRAW_ROUNDS = 2
 DRAWS_PER_CENTRE = 2
+# Rows of a batch, and batches drawn from a node: the centres of a larger node come from that many rows and one
+# pass over all of them.
+BATCH_DOCS = 1024
+BATCHES = 48
+BATCH_TURN = 10_000
 # Squared shift of all centres, as a share of their squared length, that ends the improvement: what is
 # left when no row moves but sums are added up in another order.
 STILL = 1e-16
@@ -63,8 +68,7 @@ def pick_centres(ids: np.ndarray, x: np.ndarray, weights: np.ndarray, k: int, se
 
 
 def starting_centres(ids: np.ndarray, x: np.ndarray, k: int, seed: int, name: str) -> np.ndarray:
-    """First centres of a node whose rows are all here; ``clustering.starting_centres`` finds the same ones by
-    scans. Candidates are drawn from all rows in a few rounds, each time by their distance to the
+    """First centres of a node from its drawn rows. Candidates are drawn from all rows in a few rounds, each time by their distance to the
     candidates so far, and weighted with the rows that are nearest to them."""
     found = first_drawn(ids, x, np.ones(len(x)), draws(ids, seed, name, 0), 1)
     for turn in range(1, DRAW_ROUNDS + 1):
@@ -95,6 +99,55 @@ def improve(x: np.ndarray, centres: np.ndarray, max_iter: int) -> tuple[np.ndarr
     return centres, nearest(x, centres)
 
 
+def batch_rows(ids: np.ndarray, seed: int, name: str) -> np.ndarray:
+    """Places of the rows that the batches of a node are cut from, in the order of their draws."""
+    race = draws(ids, seed, name, BATCH_TURN)
+    order = np.lexsort((ids, race))
+    return order[: BATCH_DOCS * BATCHES]
+
+
+def batch_bound(n: float) -> float:
+    """A draw that the rows of all batches stay under in a node of ``n`` rows, but for a chance below 1e-20."""
+    wanted = BATCH_DOCS * BATCHES
+    chance = (wanted + 10 * np.sqrt(wanted)) / n
+    return float("inf") if chance >= 1 else float(-np.log1p(-chance))
+
+
+def mini_batches(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Centres after each batch of rows has moved them, each at a rate that falls with the rows it has had."""
+    centres, seen = centres.copy(), np.zeros(len(centres))
+    for a in range(0, len(x), BATCH_DOCS):
+        batch = x[a : a + BATCH_DOCS]
+        counts, sums = slot_sums(batch, nearest(batch, centres), len(centres))
+        seen += counts
+        filled = counts > 0
+        centres[filled] += (sums[filled] - counts[filled, None] * centres[filled]) / seen[filled, None]
+    return centres
+
+
+def trained(ids: np.ndarray, x: np.ndarray, centres: np.ndarray, max_iter: int, seed: int, name: str) -> np.ndarray:
+    """Centres of the drawn rows: moved batch by batch, then at rest on all drawn rows."""
+    return improve(x, mini_batches(x[batch_rows(ids, seed, name)], centres), max_iter)[0]
+
+
+def settled(counts: np.ndarray, sums: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Centres as the means of all rows nearest to them; in single precision, so that the order in which the
+    rows were added up does not show."""
+    moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+    return moved.astype(np.float32).astype(np.float64)
+
+
+def fit(ids: np.ndarray, x: np.ndarray, k: int, max_iter: int, seed: int, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, labels) of a node whose rows are all here; ``clustering.train`` finds the same centres for a node
+    spread over a table."""
+    some = np.sort(batch_rows(ids, seed, name))
+    centres = starting_centres(ids[some], x[some], k, seed, name)
+    centres = trained(ids[some], x[some], centres, max_iter, seed, name)
+    if len(some) < len(ids):
+        centres = settled(*slot_sums(x, nearest(x, centres), len(centres)), centres)
+    return centres, nearest(x, centres)
+
+
 def unit_rows(x: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(x, axis=1, keepdims=True)
     return np.divide(x, norms, out=np.zeros_like(x), where=norms > 0)

@@ -12,82 +12,58 @@ from corpusmap.functions.grouped import (
     SUM_SCHEMA, add_up, by_group, float_lists, matrix, scan_with_tables, slots_to_table, sum_rows,
 )
 from corpusmap.functions.kmeans import nearest, silhouettes, slot_sums, unit_rows
-from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.session import broadcast_if_small, cut_lineage
 
+
 def split_count(docs: Column, leaf_target: int, max_k: int) -> Column:
     """How many clusters a node of ``docs`` pages is split into; 1 or less means a leaf."""
     return F.least(F.lit(max_k), F.ceil(docs / F.lit(leaf_target)).cast("int"))
 
 
-def _drawn(rows: DataFrame, key: str, vector: str, tables: DataFrame, table_bytes: int, n: int, turn: int, seed: int) -> DataFrame:
-    """(key, page_id, vector) of the rows of each node that win the draw of this turn against the candidates
-    in ``tables``, at most ``n`` per node. Each task sends its own winners only."""
+def _drawn(rows: DataFrame, sizes: DataFrame, key: str, vector: str, seed: int) -> DataFrame:
+    """(key, page_id, vector) of the rows that the batches of each node in ``sizes`` (key, n, k) are cut from.
+
+    A row's draw comes from a hash of its id, so one scan finds them, at most a bounded number of each node.
+    """
+    bounded = broadcast_if_small(sizes.select(key, "n"))
 
-    def run(batches, held):
-        best: dict[str, tuple] = {}
+    def run(batches):
         for batch in batches:
+            out = []
             for name, part in by_group(batch, key):
-                if name not in held:
-                    continue
-                x, ids = matrix(part.column(vector)), part.column("page_id").to_numpy()
-                race = kmeans.draws(ids, seed, name, turn), kmeans.gaps(x, held[name] if turn else x[:0])
-                if name in best:
-                    ids, x = np.concatenate([best[name][0], ids]), np.vstack([best[name][1], x])
-                    race = tuple(np.concatenate([a, b]) for a, b in zip(best[name][2], race))
-                won = kmeans.first_drawn(ids, x, race[1], race[0], n)
-                best[name] = ids[won], x[won], (race[0][won], race[1][won])
-        for name, (ids, x, race) in best.items():
-            with np.errstate(divide="ignore"):
-                place = race[0] / race[1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(ids), pa.string()), pa.array(ids, pa.int64()), float_lists(x, pa.float64()), pa.array(place)],
-                names=[key, "page_id", "values", "race"],
-            )
-
-    found = scan_with_tables(
-        rows.select(key, "page_id", vector), key, tables, table_bytes, run, f"{key} string, page_id bigint, values array<double>, race double"
-    )
-    return first_n_per_group(found, [key], ["race", "page_id"], n, rank="rank")
+                bound = kmeans.batch_bound(part.column("n")[0].as_py())
+                near = kmeans.draws(part.column("page_id").to_numpy(), seed, name, kmeans.BATCH_TURN) <= bound
+                out.append(part.filter(pa.array(near)) if not near.all() else part)
+            yield from (part.select([key, "page_id", vector]) for part in out if part.num_rows)
 
+    found = rows.select(key, "page_id", vector).join(bounded, key)
+    kinds = dict(rows.dtypes)
+    return found.mapInArrow(run, f"`{key}` {kinds[key]}, page_id bigint, `{vector}` {kinds[vector]}")
 
-def starting_centres(
-    rows: DataFrame, sizes: DataFrame, key: str, vector: str, max_k: int, dims: int, seed: int
-) -> DataFrame:
-    """(key, values): first centres of each node in ``sizes`` (key, n, k), drawn from all of its rows.
 
-    The same candidates and choices as ``kmeans.starting_centres``: one scan finds the first candidate, one each
-    of the later rounds, and one counts the rows nearest to each candidate. A node has at most
-    1 + DRAW_ROUNDS * DRAWS_PER_CENTRE * k candidates, whatever its size.
-    """
-    most = 1 + kmeans.DRAW_ROUNDS * kmeans.DRAWS_PER_CENTRE * max_k
-    table_bytes = most * dims * 8
-    none = F.array().cast("array<array<double>>")
-    tables = sizes.select(key, none.alias("values"))
-    parts = None
-    for turn in range(kmeans.DRAW_ROUNDS + 1):
-        n = kmeans.DRAWS_PER_CENTRE * max_k if turn else 1
-        found = _drawn(rows, key, vector, tables, table_bytes, n, turn, seed)
-        if turn:  # nodes may differ in k
-            found = found.join(broadcast_if_small(sizes.select(key, "k")), key).filter(F.col("rank") <= kmeans.DRAWS_PER_CENTRE * F.col("k"))
-        found = cut_lineage(found.select(key, "page_id", "values"), "drawn")
-        parts = found if parts is None else parts.unionByName(found)
-        listed = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("page_id", "values"))).alias("_c"))
-        tables = cut_lineage(listed.select(key, F.col("_c.values").alias("values"), F.col("_c.page_id").alias("ids")), "candidates")
-    counts = slots_to_table(_slot_sum_scan(rows, key, vector, tables.select(key, "values"), table_bytes), key).select(key, "counts")
-    known = tables.join(counts, key).join(broadcast_if_small(sizes.select(key, "k")), key)
+def _sorted_rows(group: pa.Table, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    ids = group.column("page_id").to_numpy()
+    order = np.argsort(ids)
+    return ids[order], matrix(group.column(vector).combine_chunks())[order]
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for name, ids, values, weights, k in zip(*(batch.column(c).to_pylist() for c in (key, "ids", "values", "counts", "k"))):
-                x = np.array(values, np.float64)
-                out.append(kmeans.pick_centres(np.array(ids), x, np.array(weights, np.float64), k, seed, name).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(out, pa.list_(pa.list_(pa.float64())))], names=[key, "values"]
-            )
 
-    return known.select(key, "ids", "values", "counts", "k").mapInArrow(run, f"{key} string, values array<array<double>>")
+def _centre_rows(key: str, names: list[str], centres: list[np.ndarray]) -> pa.Table:
+    values = pa.array([c.tolist() for c in centres], pa.list_(pa.list_(pa.float64())))
+    return pa.table([pa.array(names, pa.string()), values], names=[key, "values"])
+
+
+def starting_centres(rows: DataFrame, sizes: DataFrame, key: str, vector: str, seed: int) -> DataFrame:
+    """(key, values): first centres of each node in ``sizes`` (key, n, k), chosen in one task from its drawn rows,
+    see ``kmeans.starting_centres``."""
+    drawn = _drawn(rows, sizes, key, vector, seed).join(broadcast_if_small(sizes.select(key, "k")), key)
+
+    def run(group: pa.Table) -> pa.Table:
+        name, k = group.column(key)[0].as_py(), group.column("k")[0].as_py()
+        ids, x = _sorted_rows(group, vector)
+        some = np.sort(kmeans.batch_rows(ids, seed, name))
+        return _centre_rows(key, [name], [kmeans.starting_centres(ids[some], x[some], k, seed, name)])
+
+    return drawn.groupBy(key).applyInArrow(run, f"`{key}` string, values array<array<double>>")
 
 
 def _slot_sum_scan(rows: DataFrame, key: str, vector: str, centres: DataFrame, table_bytes: int) -> DataFrame:
@@ -114,35 +90,42 @@ def _slot_sum_scan(rows: DataFrame, key: str, vector: str, centres: DataFrame, t
 def train(
     rows: DataFrame, sizes: DataFrame, key: str, vector: str, max_k: int, dims: int, max_iter: int = 50, seed: int = 42,
 ) -> DataFrame:
-    """Centres (key, values) of all nodes in ``sizes``, as ``kmeans.improve`` finds them for the rows of one node.
+    """Centres (key, values) of all nodes in ``sizes``, as ``kmeans.fit`` finds them for the rows of one node.
 
-    Each pass is one scan with map-side sums per (node, cluster); the centres rest when no row has moved.
+    Mini-batch k-means: one scan draws BATCHES batches of BATCH_DOCS rows of each node by a hash of their ids. A task per
+    node chooses first centres among them, lets every batch move them at falling rates, and goes on until they rest on
+    the drawn rows (``max_iter`` rounds at most). Where a node has more rows than that, a second scan makes each centre the
+    mean of all rows nearest to it. A task holds the drawn rows of one node, whatever the node's size.
     """
-    table_bytes = max_k * dims * 8
-    centres = cut_lineage(starting_centres(rows, sizes, key, vector, max_k, dims, seed), "centres")
-    for _ in range(max_iter):
-        totals = _slot_sum_scan(rows, key, vector, centres, table_bytes)
-        moved = slots_to_table(
-            totals.withColumn("mean", F.transform("total", lambda v: v / F.greatest("n", F.lit(1)))), key, "mean"
-        ).select(key, F.col("values").alias("new"), "counts")
-        # a cluster without rows keeps its centre
-        kept = F.zip_with(
-            F.zip_with("new", "counts", lambda m, n: F.struct(m.alias("m"), n.alias("n"))), "values",
-            lambda s, old: F.when(s["n"] > 0, s["m"]).otherwise(old),
-        )
-        joined = cut_lineage(centres.join(moved, key).select(key, kept.alias("next"), F.col("values").alias("old")), "centres")
-        shift = _squares(F.flatten("next"), F.flatten("old"))
-        length = _squares(F.flatten("old"), None)
-        worst = joined.select(F.max(shift / F.greatest(length, F.lit(1e-12)))).first()[0]
-        centres = joined.select(key, F.col("next").alias("values"))
-        if worst is None or worst <= kmeans.STILL:
-            break
-    return centres
-
-
-def _squares(left: Column, right: Column | None) -> Column:
-    gaps = left if right is None else F.zip_with(left, right, lambda a, b: a - b)
-    return F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x * x)
+    drawn = cut_lineage(_drawn(rows, sizes, key, vector, seed), "drawn")
+    start = starting_centres(drawn, sizes, key, vector, seed)
+
+    def run(group: pa.Table, first: pa.Table) -> pa.Table:
+        if not len(group) or not len(first):
+            return _centre_rows(key, [], [])
+        name = group.column(key)[0].as_py()
+        ids, x = _sorted_rows(group, vector)
+        some = np.sort(kmeans.batch_rows(ids, seed, name))
+        centres = np.array(first.column("values")[0].as_py(), np.float64)
+        return _centre_rows(key, [name], [kmeans.trained(ids[some], x[some], centres, max_iter, seed, name)])
+
+    found = drawn.groupBy(key).cogroup(start.groupBy(key)).applyInArrow(run, f"`{key}` string, values array<array<double>>")
+    centres = cut_lineage(found, "centres")
+    large = sizes.filter(F.col("n") > kmeans.BATCH_DOCS * kmeans.BATCHES).select(key)
+    if large.isEmpty():
+        return centres
+    large = broadcast_if_small(large)
+    few = centres.join(large, key, "left_semi")
+    sums = slots_to_table(_slot_sum_scan(rows.join(large, key, "left_semi"), key, vector, few, max_k * dims * 8), key)
+
+    def settle(batches):
+        for batch in batches:
+            names, old, totals, counts = (batch.column(c).to_pylist() for c in (key, "values", "totals", "counts"))
+            moved = [kmeans.settled(np.array(n), np.array(t, np.float64), np.array(o, np.float64)) for o, t, n in zip(old, totals, counts)]
+            yield from _centre_rows(key, names, moved).to_batches()
+
+    moved = few.join(sums.withColumnRenamed("values", "totals"), key).mapInArrow(settle, f"`{key}` string, values array<array<double>>")
+    return cut_lineage(centres.join(large, key, "left_anti").unionByName(moved), "centres")
 
 
 def assign(

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmap import schemas
-from corpusmap.functions.kmeans import improve, mean_silhouette, starting_centres
+from corpusmap.functions import kmeans
 from corpusmap.functions.ranking import first_n_per_group, number_rows
 from corpusmap.operators import clustering
 from corpusmap.operators.updates import assign_leaves, with_child_counts
@@ -96,12 +96,11 @@ def split(ids: np.ndarray, x: np.ndarray, namespace: str, path: str, depth: int,
     n, k = len(x), settings.clusters(len(x))
     if n <= settings.leaf_target or depth >= settings.max_depth or k <= 1:
         return None, None
-    centres = starting_centres(ids, x, k, settings.seed, f"{namespace}/{path}")
-    centres, labels = improve(x, centres, settings.max_iter)
+    centres, labels = kmeans.fit(ids, x, k, settings.max_iter, settings.seed, f"{namespace}/{path}")
     filled = len(np.unique(labels))
     if filled < 2:
         return None, None
-    if filled < n and mean_silhouette(x, labels, len(centres)) < settings.min_silhouette:
+    if filled < n and kmeans.mean_silhouette(x, labels, len(centres)) < settings.min_silhouette:
         return None, None
     return centres, labels
 
@@ -145,7 +144,7 @@ def _split_big_nodes(rows: DataFrame, big: DataFrame, depth: int, settings: Tree
     step = F.concat(F.lpad(F.col("cluster").cast("string"), settings.digits, "0"), F.lit("."))
     deeper = judged.filter("splits").select("namespace", "page_id", "x", F.concat("path", step).alias("path"))
     leaves = judged.filter("not splits").select(*PAGES)
-    samples = _samples(rows, depth)
+    samples = first_pages(rows, depth)
     nodes = verdicts.select(
         "namespace", "path", F.lit(depth).alias("depth"), F.col("n").alias("doc_count"),
         F.when(F.col("splits"), F.col("centroid")).alias("centroid"),
@@ -153,7 +152,7 @@ def _split_big_nodes(rows: DataFrame, big: DataFrame, depth: int, settings: Tree
     return deeper, leaves, nodes.select(*NODES)
 
 
-def _samples(rows: DataFrame, depth: int) -> DataFrame:
+def first_pages(rows: DataFrame, depth: int) -> DataFrame:
     """The first page ids of each big node; the root has none."""
     first = first_n_per_group(rows.select(*PAGES), ["namespace", "path"], ["page_id"], SAMPLE_DOCS)
     lists = first.groupBy("namespace", "path").agg(F.array_sort(F.collect_list("page_id")).alias("sample_doc_ids"))
@@ -196,7 +195,7 @@ def build_trees(
             big_nodes.append(
                 big.select("namespace", "path", F.lit(depth).alias("depth"), F.col("n").alias("doc_count"),
                            F.lit(None).cast(schemas.FLOATS).alias("centroid"))
-                .join(_samples(rows, depth), ["namespace", "path"], "left").select(*NODES)
+                .join(first_pages(rows, depth), ["namespace", "path"], "left").select(*NODES)
             )
             break
         rows, leaves, split_nodes = _split_big_nodes(rows, big, depth, settings)
