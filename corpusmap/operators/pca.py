@@ -72,6 +72,11 @@ def _mean_and_covariance(pdf: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray
 
 
 def covariances(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """``moment_covariances`` of the vectors in ``df``."""
+    return moment_covariances(moment_sums(df, key, vector), key)
+
+
+def moment_covariances(moments: DataFrame, key: str) -> DataFrame:
     """(key, i, j, n, mean_i, covariance) of every pair of components, in long form."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -82,12 +87,23 @@ def covariances(df: DataFrame, key: str, vector: str) -> DataFrame:
             "mean_i": np.repeat(mean, d), "covariance": cov.ravel(),
         })
 
-    return moment_sums(df, key, vector).groupBy(key).applyInPandas(
+    return moments.groupBy(key).applyInPandas(
         run, f"{key} string, i int, j int, n bigint, mean_i double, covariance double"
     )
 
 
+def merged_moments(moments: DataFrame, more: DataFrame, key: str) -> DataFrame:
+    """The moments of two sets of rows together; neither set is read again."""
+    columns = [key, "slot", "n", "total"]
+    return add_up(moments.select(*columns).unionByName(more.select(*columns)), key)
+
+
 def fit(df: DataFrame, key: str, vector: str, target_dim: int) -> DataFrame:
+    """``fit_moments`` of the vectors in ``df``."""
+    return fit_moments(moment_sums(df, key, vector), key, target_dim)
+
+
+def fit_moments(moments: DataFrame, key: str, target_dim: int) -> DataFrame:
     """Mean and leading components of each group: (key, n, values, explained, total_variance).
 
     ``values`` lists the mean first, then the components by falling variance. The largest loading of
@@ -109,7 +125,7 @@ def fit(df: DataFrame, key: str, vector: str, target_dim: int) -> DataFrame:
             "explained": [variances[::-1][:target_dim].tolist()], "total_variance": [float(np.trace(cov))],
         })
 
-    return moment_sums(df, key, vector).groupBy(key).applyInPandas(
+    return moments.groupBy(key).applyInPandas(
         run, f"{key} string, n bigint, values array<array<double>>, explained array<double>, total_variance double"
     )
 
@@ -138,6 +154,12 @@ def transform(df: DataFrame, key: str, vector: str, bases: DataFrame, target_dim
     return scan_with_tables(df, key, bases, (target_dim + 1) * width * 8, run, schema)
 
 
+def check_target(target_dim: int, batch_size: int) -> None:
+    check_limit(target_dim, "target_dim")
+    if target_dim > batch_size:
+        raise ValueError("batch_size must be at least target_dim")
+
+
 def reduce_vectors(
     vectors: DataFrame,
     target_dim: int = 100,
@@ -150,9 +172,7 @@ def reduce_vectors(
     ``strict`` refuses a namespace with fewer embeddings than ``target_dim``; otherwise it is left
     out. ``batch_size`` only keeps its old check: the pass is not batched.
     """
-    check_limit(target_dim, "target_dim")
-    if target_dim > batch_size:
-        raise ValueError("batch_size must be at least target_dim")
+    check_target(target_dim, batch_size)
     rows = vectors_with(vectors, ["embedding_vector"], namespace)
     bases = cut_lineage(fit(rows, "namespace", "embedding_vector", target_dim), "pca")
     if strict:

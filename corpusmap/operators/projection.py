@@ -3,22 +3,20 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmap.functions.grouped import float_lists, map_small_groups, matrix
 from corpusmap.functions.kmeans import unit_rows
-from corpusmap.functions.ranking import first_n_per_group, take_in_order
-from corpusmap.operators import pca
+from corpusmap.functions.ranking import take_in_order
+from corpusmap.operators import layout, pca
+from corpusmap.operators.neighbours import BLOCK_ROWS, NEIGHBOURS, cluster_neighbours, pairs_compared
 from corpusmap.operators.worklists import check_limit, in_namespace
 from corpusmap.session import broadcast_if_small, cut_lineage
 
-# Neighbours per page, dimensions of the projection.
-NEIGHBOURS = 30
+# Fixed value: dimensions of the projection.
 DIMENSIONS = 3
-BLOCK_ROWS = 2000
 METHODS = ("pca3", "neighbour")
 
 
@@ -40,64 +38,6 @@ def top_neighbours(query_ids, query: np.ndarray, ids: np.ndarray, unit: np.ndarr
     return query_ids[rows[keep]], ids[cols[keep]], found[keep]
 
 
-def cluster_neighbours(
-    rows: DataFrame, keys: list[str], vector: str, k: int = NEIGHBOURS, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """(keys, page_id, neighbour_id, distance, rank): the k nearest pages of the same cluster by cosine
-    distance, exact, ties by id.
-
-    A cluster of up to ``block_rows`` pages is one block and one task. A larger one is cut into blocks
-    by id hash and each pair of blocks is a task of its own that keeps k candidates per page; the
-    best k of all blocks follow from a rank per page. Memory per task is two blocks whatever the
-    cluster's size; the work is that of an exact search, quadratic in the cluster's distinct vectors.
-
-    Of the copies of one vector only the first k + 1 are searched: no later one can be among the k
-    nearest of any page, and its own neighbours are the first k copies.
-    """
-    rows = rows.select(*keys, "page_id", vector)
-    searched = cut_lineage(first_n_per_group(rows, [*keys, vector], ["page_id"], k + 1, rank="_copy"), "searched")
-    sizes = cut_lineage(
-        searched.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks")), "blocks"
-    )
-    several = sizes.filter(F.col("_blocks") > 1)  # at most one row per block_rows pages
-    placed = searched.drop("_copy").join(broadcast_if_small(several), keys, "left").withColumn(
-        "_blocks", F.coalesce("_blocks", F.lit(1))
-    ).withColumn("_block", F.pmod(F.xxhash64("page_id"), F.col("_blocks")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    # a page is asked about in its own row of the block grid and offered in its own column
-    asked = placed.select("*", F.explode(others).alias("_other")).select(
-        *keys, "page_id", vector, F.col("_block").alias("_ask"), F.col("_other").alias("_offer"),
-        F.lit(True).alias("_asks"), (F.col("_block") == F.col("_other")).alias("_offers"),
-    )
-    offered = placed.select("*", F.explode(F.array_except(others, F.array("_block"))).alias("_other")).select(
-        *keys, "page_id", vector, F.col("_other").alias("_ask"), F.col("_block").alias("_offer"),
-        F.lit(False).alias("_asks"), F.lit(True).alias("_offers"),
-    )
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keys), "page_id bigint, neighbour_id bigint, distance double"])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        unit = unit_rows(np.array(pdf[vector].tolist(), np.float64))
-        ids = pdf["page_id"].to_numpy()
-        asks, offers = pdf["_asks"].to_numpy(bool), pdf["_offers"].to_numpy(bool)
-        left, right, distance = top_neighbours(ids[asks], unit[asks], ids[offers], unit[offers], k)
-        frame = pd.DataFrame({"page_id": left, "neighbour_id": right, "distance": distance})
-        for name in reversed(keys):
-            frame.insert(0, name, pdf[name].iloc[0])
-        return frame
-
-    candidates = asked.unionByName(offered).groupBy(*keys, "_ask", "_offer").applyInPandas(run, schema)
-    found = first_n_per_group(candidates, [*keys, "page_id"], ["distance", "neighbour_id"], k, rank="rank")
-    many = searched.groupBy(*keys, vector).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_copy").alias("rank"), F.col("page_id").alias("neighbour_id")))).alias("_copies")
-    ).filter(F.size("_copies") > k).withColumn("_copies", F.slice("_copies", 1, k))
-    later = rows.join(searched.select(*keys, "page_id"), [*keys, "page_id"], "left_anti")
-    copies = later.join(broadcast_if_small(cut_lineage(many, "copies")), [*keys, vector]).select(
-        *keys, "page_id", F.inline("_copies")
-    )
-    return found.unionByName(copies.withColumn("distance", F.lit(0.0)).select(*found.columns))
-
-
 def neighbour_layout(ids: np.ndarray, x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     """Spectral layout of the k-neighbour graph: the three smoothest directions over its links."""
     n = len(x)
@@ -145,8 +85,8 @@ def project_clusters(
     pages without coordinates.
 
     Clusters of up to ``max_group_docs`` pages are laid out by one task each. Larger ones go through
-    the grouped principal components, whose scan needs no cluster in one place. The layout of ``neighbour``
-    has to see the whole graph of a cluster, so a larger one fails with its name.
+    the grouped principal components, or for ``neighbour`` through the search by pivots and the spectral layout over
+    the edge table; neither needs a cluster in one place.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
@@ -162,7 +102,7 @@ def project_clusters(
     small = wanted.filter(F.col("n") <= max_group_docs).select(*keys)
     large = wanted.filter(F.col("n") > max_group_docs).select(*keys)  # at most one row per max_group_docs pages
 
-    def layout(group: pa.Table) -> pa.Table:
+    def placed_group(group: pa.Table) -> pa.Table:
         x = matrix(group.column("x").combine_chunks())
         if method == "neighbour":
             placed = neighbour_layout(group.column("page_id").to_numpy(), x)
@@ -174,15 +114,17 @@ def project_clusters(
         })
 
     done = map_small_groups(
-        rows.join(broadcast_if_small(small), keys, "left_semi"), keys, ["page_id"], layout,
+        rows.join(broadcast_if_small(small), keys, "left_semi"), keys, ["page_id"], placed_group,
         "namespace string, page_id bigint, three_d_vector array<float>",
     )
-    first = large.orderBy(*keys).first()
-    if first is None:
+    if large.isEmpty():
         return done
+    wide = rows.join(broadcast_if_small(large), keys, "left_semi").withColumn("node", F.to_json(F.struct(*keys))).drop("cluster")
     if method == "neighbour":
-        raise ValueError(f"cluster {first['cluster']} of {first['namespace']} has more than {max_group_docs} pages to lay out by neighbours")
-    wide = rows.join(broadcast_if_small(large), keys, "left_semi").withColumn("node", F.concat_ws("/", *keys)).drop("cluster")
-    bases = cut_lineage(pca.fit(wide, "node", "x", DIMENSIONS), "bases")
-    placed = pca.transform(wide, "node", "x", bases, DIMENSIONS, "three_d_vector")
+        near = cut_lineage(cluster_neighbours(wide, ["node"], "x", block_rows=max_group_docs), "neighbours")
+        placed = layout.neighbour_coordinates(wide.select("node", "page_id", "x"), near, "x", DIMENSIONS)
+        placed = placed.withColumn("namespace", F.get_json_object("node", "$.namespace"))
+    else:
+        bases = cut_lineage(pca.fit(wide, "node", "x", DIMENSIONS), "bases")
+        placed = pca.transform(wide, "node", "x", bases, DIMENSIONS, "three_d_vector")
     return done.unionByName(placed.select("namespace", "page_id", "three_d_vector"))

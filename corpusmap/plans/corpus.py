@@ -40,6 +40,9 @@ TABLES = {
     "reduced_vector": (_vector_part("reduced_vector"), PAGE_KEY),
     "cluster_node_id": (_vector_part("cluster_node_id"), PAGE_KEY),
     "three_d_vector": (_vector_part("three_d_vector"), PAGE_KEY),
+    # sums over the embeddings in changes up to ``upto`` of base ``base``
+    "pca_moments": (schemas.struct(namespace=schemas.S, slot=T.IntegerType(), n=schemas.L, total=T.ArrayType(schemas.D), base=schemas.L, upto=schemas.L), ["namespace", "slot"]),
+    "pca_basis": (schemas.struct(namespace=schemas.S, n=schemas.L, values=T.ArrayType(T.ArrayType(schemas.D)), explained=T.ArrayType(schemas.D), total_variance=schemas.D), ["namespace"]),
     "embedding_error": (schemas.struct(namespace=schemas.S, page_id=schemas.L, error=schemas.S), PAGE_KEY),
 }
 VECTOR_PARTS = ["embedding_vector", "reduced_vector", "cluster_node_id", "three_d_vector"]
@@ -95,7 +98,10 @@ class Corpus:
             self.compact(name)
 
     def compact(self, name: str) -> None:
+        seen = self._folders(name)
         self.replace(name, self.table(name))
+        if name == "embedding_vector":
+            self._moments_after_compaction(seen)
 
     def _keys(self, name: str) -> DataFrame:
         """Keys that have a vector part, the part itself stood in for by a flag."""
@@ -164,11 +170,66 @@ class Corpus:
             self.replace("embedding_error", others.unionByName(failed))
         return self.table("embedding_error")
 
-    def reduce(self, target_dim: int = 100, batch_size: int = 10_000, namespace: str | None = None) -> None:
+    # ------------------------------------------------------------ principal components
+    def _new_embeddings(self) -> tuple[DataFrame | None, tuple[int, int]]:
+        """(embeddings that the stored moments lack, None if all have to be gathered, (base, last change)).
+
+        Embeddings are only ever added, as change folders, so what is new since a fit are the folders since.
+        """
+        base, changes = self._folders("embedding_vector")
+        at = (base, (changes or [0])[-1])
+        seen = self.table("pca_moments").select("base", "upto").first()
+        if seen is None or seen["base"] != base:
+            return None, at
+        fresh = [c for c in changes if c > seen["upto"]]
+        if not fresh:
+            return self.spark.createDataFrame([], TABLES["embedding_vector"][0]), at
+        return self._read("embedding_vector", "{" + ",".join(f"v{base}-{c}" for c in fresh) + "}"), at
+
+    def _moments_after_compaction(self, seen: tuple[int, list[int]]) -> None:
+        """Folding the changes into a new base changes no row: moments that were up to date still are."""
+        moments = self.table("pca_moments")
+        held = moments.select("base", "upto").first()
+        if held is not None and (held["base"], held["upto"]) == (seen[0], (seen[1] or [0])[-1]):
+            base, _ = self._folders("embedding_vector")
+            self.replace("pca_moments", moments.withColumn("base", F.lit(base)).withColumn("upto", F.lit(0)))
+
+    def update_moments(self) -> int:
+        """Add the embeddings made since the last call to the stored moments; returns how many there were. Only their
+        folders are read, unless there are no moments yet."""
+        new, (base, upto) = self._new_embeddings()
         with scratch(self.spark):
-            self.change("reduced_vector", pca.reduce_vectors(
-                self.table("embedding_vector"), target_dim, batch_size, namespace, strict=namespace is not None
-            ))
+            rows = self.table("embedding_vector") if new is None else new
+            more = cut_lineage(pca.moment_sums(rows.filter(F.col("embedding_vector").isNotNull()), "namespace", "embedding_vector"), "moments")
+            added = more.filter("slot = 0").agg(F.sum("n")).first()[0] or 0
+            if added or new is None:
+                both = more if new is None else pca.merged_moments(self.table("pca_moments"), more, "namespace")
+                self.replace("pca_moments", both.withColumn("base", F.lit(base)).withColumn("upto", F.lit(upto)))
+        return added
+
+    def reduce(
+        self, target_dim: int = 100, batch_size: int = 10_000, namespace: str | None = None, only_new: bool = False
+    ) -> None:
+        """Reduced vectors of all embedded pages, by components fitted to all of them.
+
+        The fit comes from the stored moments, to which only new embeddings are added. ``only_new`` keeps the components of
+        the last fit and places only pages without a reduced vector, so that the others stay where they are.
+        """
+        pca.check_target(target_dim, batch_size)
+        with scratch(self.spark):
+            rows = worklists.vectors_with(self.table("embedding_vector"), ["embedding_vector"], namespace)
+            if only_new:
+                bases = self.table("pca_basis")
+                rows = rows.join(self.table("reduced_vector").select(*PAGE_KEY), PAGE_KEY, "left_anti")
+            else:
+                self.update_moments()
+                bases = cut_lineage(pca.fit_moments(self.table("pca_moments"), "namespace", target_dim), "bases")
+                if namespace is not None:
+                    bases = bases.filter(F.col("namespace") == namespace)
+                    if bases.isEmpty():
+                        raise ValueError(f"fewer than {target_dim} embeddings in {namespace}")
+                self.change("pca_basis", bases)
+            self.change("reduced_vector", pca.transform(rows, "namespace", "embedding_vector", bases, target_dim, "reduced_vector"))
 
     def recursive_cluster(self, settings: tree.TreeSettings = tree.TreeSettings(), namespace: str | None = None) -> int:
         """Throw the trees away and build them anew; returns the number of nodes made."""

@@ -57,17 +57,30 @@ COVARIANCE = """
                     CAST(generate_subscripts(embedding_vector, 1) - 1 AS INT) AS i FROM page_vector)"""
 
 
-@query("f2b_covariances", with_views("page_vector", f"""
+F2B_SQL = with_views("page_vector", f"""
     WITH {COVARIANCE}
     SELECT a.namespace, a.i, b.i AS j, count(*) AS n, round(avg(a.x), 6) AS mean_i,
            round(covar_samp(a.x, b.x), 6) AS covariance
     FROM flat a JOIN flat b ON a.namespace = b.namespace AND a.page_id = b.page_id
-    GROUP BY a.namespace, a.i, b.i"""))
+    GROUP BY a.namespace, a.i, b.i""")
+
+
+@query("f2b_covariances", F2B_SQL)
 def f2b(spark, sf):
     rows = pca.covariances(fx.page_vector(spark, sf), "namespace", "embedding_vector")
     return rows.withColumns({"mean_i": F.round("mean_i", 6), "covariance": F.round("covariance", 6)})
 
 
+@query("f2_merged_moments", F2B_SQL)
+def f2_merged(spark, sf):
+    """The moments of the pages with and without coordinates, gathered one after the other and added up."""
+    rows = fx.page_vector(spark, sf)
+    done = F.col("three_d_vector").isNotNull()
+    stored = cut_lineage(pca.moment_sums(rows.filter(done), "namespace", "embedding_vector"), "moments")
+    both = pca.merged_moments(stored, pca.moment_sums(rows.filter(~done), "namespace", "embedding_vector"), "namespace")
+    return pca.moment_covariances(both, "namespace").withColumns({"mean_i": F.round("mean_i", 6), "covariance": F.round("covariance", 6)})
+
+
 @query("f2_pca_invariants", with_views("page_vector", f"""
     WITH {COVARIANCE}, spread AS (SELECT namespace, i, var_samp(x) AS v FROM flat GROUP BY namespace, i),
          total AS (SELECT namespace, round(sum(v), 5) AS total_variance FROM spread GROUP BY namespace)
@@ -132,7 +145,7 @@ def f4(spark, sf):
         F.lit("all").alias("node"), F.col("vec_id").alias("page_id"), F.col("embedding").alias("x")
     )
     sizes = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.lit(10).alias("k")), "sizes")
-    start = cut_lineage(clustering.starting_centres(rows, sizes, "node", "x", 10, 64, 42), "start")
+    start = cut_lineage(clustering.starting_centres(rows, sizes, "node", "x", 42), "start")
     centres = clustering.train(rows, sizes, "node", "x", 10, 64)
 
     def gaps(found, name):
@@ -275,7 +288,10 @@ def f7(spark, sf):
              row_number() OVER (PARTITION BY namespace, cluster_node_id ORDER BY page_id) AS pos FROM page_vector)
     WHERE pos <= 10"""))
 def f8(spark, sf):
-    return fx.sample_docs(fx.page_vector(spark, sf))
+    """The samples that the tree gives its nodes, here for the stored clusters."""
+    rows = fx.page_vector(spark, sf).select("namespace", "page_id", F.col("cluster_node_id").cast("string").alias("path"))
+    listed = tree.first_pages(rows, 1).select("namespace", F.col("path").cast("bigint").alias("cluster_node_id"), F.posexplode("sample_doc_ids").alias("pos", "page_id"))
+    return listed.withColumn("pos", F.col("pos") + 1)
 
 
 @query("f9_project_clusters", with_views("page_vector", """
@@ -311,3 +327,31 @@ def f9b(spark, sf):
     rows = table(spark, sf, "embeddings").select("label", F.col("vec_id").alias("page_id"), F.col("embedding").alias("x"))
     found = projection.cluster_neighbours(rows, ["label"], "x", block_rows=20)
     return found.withColumn("distance", F.round("distance", 6))
+
+
+@query("f9b_pairs_compared", """
+    SELECT label, count(*) AS pages, true AS at_most_all FROM embeddings GROUP BY label""")
+def f9b_pairs(spark, sf):
+    """How many comparisons the search by pivots makes; these vectors have no close groups, so little is skipped."""
+    rows = table(spark, sf, "embeddings").select("label", F.col("vec_id").alias("page_id"), F.col("embedding").alias("x"))
+    found = projection.pairs_compared(rows, ["label"], "x", block_rows=20)
+    return found.select("label", "pages", (F.col("compared") <= F.col("pages") * (F.col("pages") + 20)).alias("at_most_all"))
+
+
+@query("f9_neighbour_layout", """
+    SELECT label, count(*) AS pages, true AS orthogonal, true AS of_length FROM embeddings GROUP BY label""")
+def f9_layout(spark, sf):
+    """Clusters laid out by neighbours over the edge table: columns orthogonal, as long as the root of the pages."""
+    vectors = table(spark, sf, "embeddings").select(
+        F.lit("all").alias("namespace"), F.col("vec_id").alias("page_id"), F.col("label").cast("bigint").alias("cluster_node_id"),
+        F.col("embedding").cast("array<float>").alias("reduced_vector"), F.lit(None).cast("array<float>").alias("three_d_vector"),
+    )
+    placed = projection.project_clusters(vectors, "neighbour", max_group_docs=20)
+    v = [F.get("three_d_vector", F.lit(i)).cast("double") for i in range(3)]
+    sums = placed.join(vectors.select("page_id", "cluster_node_id"), "page_id").groupBy("cluster_node_id").agg(
+        F.count(F.lit(1)).alias("pages"), F.greatest(*[F.abs(F.sum(v[i] * v[j])) for i, j in ((0, 1), (0, 2), (1, 2))]).alias("cross"),
+        F.greatest(*[F.abs(F.sum(c * c) - F.count(F.lit(1))) for c in v]).alias("off"),
+    )
+    near = F.col("pages") * 1e-4
+    return sums.select(F.col("cluster_node_id").cast(dict(table(spark, sf, "embeddings").dtypes)["label"]).alias("label"), "pages",
+                       (F.col("cross") < near).alias("orthogonal"), (F.col("off") < near).alias("of_length"))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmap import fixtures as fx
+from corpusmap.operators import pca
 from corpusmap.operators.tree import TreeSettings
 from corpusmap.plans.corpus import Corpus
 from corpusmap.queries.sources import page_lines
@@ -104,3 +105,37 @@ def test_changes_lie_over_the_base_and_fold_in(spark, tmp_path, monkeypatch):
     (tmp_path / "cluster_node_id" / "v50").mkdir()  # a step that did not finish
     (tmp_path / "cluster_node_id" / f"v{base}-40").mkdir()
     assert rows() == [(i, i) for i in range(6)] + [(99, 5)]
+
+
+def test_components_follow_new_embeddings_without_reading_the_old(spark, tmp_path, monkeypatch):
+    corpus = Corpus(spark, str(tmp_path), fx.languages(spark))
+    x = np.random.default_rng(2).random((300, 7))
+    schema = "namespace string, page_id bigint, embedding_vector array<float>"
+
+    def add(a, b):
+        corpus.change("embedding_vector", spark.createDataFrame([("n", i, x[i].tolist()) for i in range(a, b)], schema))
+
+    def basis():
+        return np.array(corpus.table("pca_basis").first()["values"])
+
+    def placed():
+        return {r.page_id: np.array(r.reduced_vector) for r in corpus.table("reduced_vector").collect()}
+
+    add(0, 200)
+    corpus.reduce(target_dim=3)
+    first, before = basis(), placed()
+    add(200, 260)
+    corpus.reduce(target_dim=3, only_new=True)
+    assert np.array_equal(basis(), first) and len(placed()) == 260
+    assert all(np.array_equal(before[i], placed()[i]) for i in range(200))
+    read = []
+    gather = pca.moment_sums
+    monkeypatch.setattr(pca, "moment_sums", lambda rows, *a: read.append(sorted(r.page_id for r in rows.select("page_id").collect())) or gather(rows, *a))
+    assert corpus.update_moments() == 60 and corpus.update_moments() == 0
+    assert read == [list(range(200, 260)), []]
+    corpus.compact("embedding_vector")
+    add(260, 300)
+    corpus.reduce(target_dim=3)
+    assert read[2:] == [list(range(260, 300))]
+    whole = pca.fit(corpus.table("embedding_vector"), "namespace", "embedding_vector", 3).first()
+    assert np.allclose(basis(), whole["values"], atol=1e-9) and len(placed()) == 300

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmap.functions import grouped, kmeans
-from corpusmap.operators import clustering, embedding, pca, projection, tree
+from corpusmap.operators import clustering, embedding, neighbours, pca, projection, tree
 
 SCHEMA = "namespace string, page_id bigint, reduced_vector array<float>"
 
@@ -74,6 +74,16 @@ def test_pca_against_numpy_in_skewed_groups(spark):
         pca.reduce_vectors(df, 20, strict=False).collect()
 
 
+def test_moments_of_two_parts_are_those_of_the_whole(spark):
+    x = np.random.default_rng(3).random((400, 12), np.float32) + 5
+    whole = frame(spark, x, column="embedding_vector").repartition(5)
+    early, late = (pca.moment_sums(whole.filter(c), "namespace", "embedding_vector") for c in ("page_id < 250", "page_id >= 250"))
+    one = pca.fit(whole, "namespace", "embedding_vector", 4).first()
+    two = pca.fit_moments(pca.merged_moments(early, late, "namespace"), "namespace", 4).first()
+    assert one["n"] == two["n"] == 400
+    assert np.allclose(one["values"], two["values"], atol=1e-9) and np.allclose(one["explained"], two["explained"], atol=1e-9)
+
+
 # ------------------------------------------------------------ silhouette, k-means
 def brute_silhouette(x, labels):
     unit = kmeans.unit_rows(x.astype(np.float64))
@@ -260,11 +270,7 @@ def test_projection_covers_every_page(spark, method):
     df = spark.createDataFrame(
         rows, "namespace string, page_id bigint, reduced_vector array<float>, cluster_node_id bigint, three_d_vector array<float>"
     )
-    most = 100 if method == "neighbour" else 50
-    if method == "neighbour":
-        with pytest.raises(ValueError, match="cluster 0 of n"):
-            projection.project_clusters(df, method, max_group_docs=50)
-    got = {r["page_id"]: r["three_d_vector"] for r in projection.project_clusters(df, method, max_group_docs=most).collect()}
+    got = {r["page_id"]: r["three_d_vector"] for r in projection.project_clusters(df, method, max_group_docs=50).collect()}
     assert set(got) == set(range(260)) and all(len(v) == 3 and np.isfinite(v).all() for v in got.values())
     with pytest.raises(ValueError):
         projection.project_clusters(df, "umap")
@@ -280,6 +286,35 @@ def test_large_and_small_clusters_project_alike(spark):
     assert np.allclose([r[2] for r in one_task], [r[2] for r in by_scan], atol=1e-4)
 
 
+def test_large_clusters_are_laid_out_by_neighbours_as_small_ones_are(spark):
+    x = np.concatenate([blobs(300, centres=5, spread=1.2), blobs(200, centres=4, seed=3, spread=1.2)])
+    rows = [("n" if i < 300 else "m", i, v.tolist(), 1, None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(
+        rows, "namespace string, page_id bigint, reduced_vector array<float>, cluster_node_id bigint, three_d_vector array<float>"
+    )
+    one_task = {r.page_id: r.three_d_vector for r in projection.project_clusters(df, "neighbour").collect()}
+    spread = {r.page_id: r.three_d_vector for r in projection.project_clusters(df, "neighbour", max_group_docs=60).collect()}
+    assert set(one_task) == set(spread) == set(range(500))
+    for ids in (range(300), range(300, 500)):
+        a, b = np.array([one_task[i] for i in ids]), np.array([spread[i] for i in ids])
+        assert np.abs(a - b * np.sign((a * b).sum(0))).max() < 1e-3
+        assert np.allclose(b.T @ b / len(b), np.eye(3), atol=1e-4)
+
+
+def test_search_by_pivots_compares_few_pairs(spark):
+    x = blobs(4000, 8, centres=40, spread=0.05)
+    rows = [("n", i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "g string, page_id bigint, x array<float>").repartition(6)
+    got = neighbours.pairs_compared(df, ["g"], "x", k=10, block_rows=100).collect()
+    assert [r.pages for r in got] == [4000] and got[0].compared < 4000 * 4000 / 5
+    found = {(r.page_id, r["rank"]): r.neighbour_id for r in neighbours.cluster_neighbours(df, ["g"], "x", 10, 100).filter("page_id < 40").collect()}
+    unit = kmeans.unit_rows(x.astype(np.float64))
+    for i in range(40):
+        gap = np.round(1 - unit[i] @ unit.T, 12)
+        gap[i] = np.inf
+        assert [found[i, k] for k in range(1, 11)] == np.lexsort((np.arange(4000), gap))[:10].tolist()
+
+
 def test_interleaved_groups_are_ranged_first(spark, monkeypatch):
     """Many small groups in every task, and one with a third of the rows: sums must still be right."""
     x = blobs(1200, 5, seed=9)
@@ -295,6 +330,24 @@ def test_interleaved_groups_are_ranged_first(spark, monkeypatch):
             assert np.allclose([[got[name, i, j]["covariance"] for j in range(5)] for i in range(5)], expected, atol=1e-5)
 
 
+@pytest.mark.parametrize("big_node_docs", [10_000, 100])
+def test_nodes_with_more_rows_than_their_batches(spark, monkeypatch, big_node_docs):
+    """Centres come from the drawn rows and one pass over all; who does the work does not matter."""
+    monkeypatch.setattr(kmeans, "BATCH_DOCS", 40)
+    monkeypatch.setattr(kmeans, "BATCHES", 3)
+    x = blobs(600)
+    settings = tree.TreeSettings(leaf_target=30, max_k=5, min_silhouette=0.0, big_node_docs=big_node_docs)
+    nodes, assigned = tree.build_trees(frame(spark, x), settings=settings)
+    check_tree(nodes.collect(), assigned.collect(), 600, settings)
+    ids = np.arange(600)
+    centres, labels = kmeans.fit(ids, x.astype(np.float64), 5, 50, 42, "n/")
+    rows = frame(spark, x).withColumn("node", F.lit("n/"))
+    sizes = spark.createDataFrame([("n/", 600, 5)], "node string, n bigint, k int")
+    got = np.array(clustering.train(rows, sizes, "node", "reduced_vector", 5, 6).first()["values"])
+    assert np.array_equal(got, centres)
+    assert len(kmeans.batch_rows(ids, 42, "n/")) == 120
+
+
 def test_training_keeps_the_centre_of_an_emptied_cluster(spark, monkeypatch):
     """A start centre no row is nearest to stays where it is."""
     start = [[0.0, 0.0], [10.0, 10.0], [500.0, 500.0]]
