@@ -18,7 +18,7 @@ def must(df: DataFrame, condition: Column, message: Column) -> DataFrame:
 
 
 MODES = ("failfast", "permissive")
-_BROKEN = "_broken"
+BROKEN = "_broken"
 
 
 def json_rows(lines: DataFrame, schema: T.StructType, mode: str = "failfast") -> DataFrame:
@@ -29,21 +29,22 @@ def json_rows(lines: DataFrame, schema: T.StructType, mode: str = "failfast") ->
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    parsed = _parsed(lines, schema)
-    whole = F.col("_row").isNotNull() & F.col(f"_row.{_BROKEN}").isNull()
+    parsed = parsed_json(lines, schema)
+    whole = F.col("_row").isNotNull() & F.col(f"_row.{BROKEN}").isNull()
     message = F.concat(F.lit("not a JSON object of the expected shape: "), F.substring(F.coalesce("line", F.lit("")), 1, 100))
     good = must(parsed, whole, message) if mode == "failfast" else parsed.filter(whole)
-    return good.withColumn("_row", F.col("_row").dropFields(_BROKEN)).drop("line")
+    return good.withColumn("_row", F.col("_row").dropFields(BROKEN)).drop("line")
 
 
 def rejected_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """The lines that ``json_rows`` leaves out."""
-    parsed = _parsed(lines, schema)
-    return parsed.filter(F.col("_row").isNull() | F.col(f"_row.{_BROKEN}").isNotNull()).drop("_row")
+    parsed = parsed_json(lines, schema)
+    return parsed.filter(F.col("_row").isNull() | F.col(f"_row.{BROKEN}").isNotNull()).drop("_row")
 
 
-def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    with_broken = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
-    row = F.from_json("line", with_broken, {"columnNameOfCorruptRecord": _BROKEN})
+def parsed_json(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """``lines`` with ``_row``, the members of ``line`` by ``schema``; its member BROKEN holds a line that does not fit."""
+    with_broken = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    row = F.from_json("line", with_broken, {"columnNameOfCorruptRecord": BROKEN})
     # through a generator, as the optimizer would put a copy of the parser wherever a member is read
     return lines.select("*", F.explode(F.array(row)).alias("_row"))

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from corpusmap import fixtures as fx
 from corpusmap.fixtures import with_views
 from corpusmap.operators import selection
+from corpusmap.operators.parts import PartedTable
 from corpusmap.queries.registry import query
 from corpusmap.queries.sources import page_lines
 from corpusmap.session import new_folder
-from corpusmap.sources import archives, articles
+from corpusmap.sources import archives, articles, hourly
 from corpusmap.streaming import changes
 
 
@@ -60,6 +61,16 @@ def a1(spark, sf):
     return pages.select("namespace", "page_id", "title", "url", "abstract")
 
 
+@query("a1_archives_of_a_namespace", with_views("page_log", """
+    SELECT namespace, page_id, title FROM page_log WHERE namespace IN ('enwiki_namespace_0', 'frwiki_namespace_0')"""))
+def a1_some(spark, sf):
+    """Only the archives of two namespaces are opened."""
+    folder = _folder(spark, "archives")
+    pack_archives(page_lines(spark, sf), folder)
+    lines = archives.read_archives(spark, folder, namespaces={"enwiki_namespace_0", "frwiki_namespace_0"})
+    return articles.pages_from_lines(lines).select("namespace", "page_id", "title")
+
+
 @query("a1b_all_members_scan", with_views("page_log", """
     SELECT namespace, 'pages.ndjson' AS member, count(*) AS lines FROM page_log GROUP BY namespace
     UNION ALL SELECT namespace, 'count.ndjson', count(*) FROM page_log GROUP BY namespace"""))
@@ -104,6 +115,43 @@ def h1(spark, sf):
     )
 
 
+def land_hours(rows, folder):
+    """Write change records as ``folder/YYYY-MM-DD/HH/part-*.ndjson`` by their time of publication."""
+
+    def run(batches):
+        for number, batch in enumerate(batches):
+            for hour, lines in batch.groupby("hour"):
+                files, local = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+                files.create_dir(f"{local}/{hour}")
+                with files.open_output_stream(f"{local}/{hour}/part-{TaskContext.get().partitionId()}-{number}.ndjson") as out:
+                    out.write(("\n".join(lines["line"]) + "\n").encode())
+                yield pd.DataFrame({"files": [1]})
+
+    hour = F.date_format("event.datePublished", "yyyy-MM-dd/HH")
+    lines = rows.select(hour.alias("hour"), F.to_json(F.struct(*rows.columns)).alias("line")).repartition("hour").sortWithinPartitions("hour")
+    return lines.mapInPandas(run, "files int").agg(F.sum("files")).first()[0]
+
+
+@query("h1_hourly_changes", """
+    SELECT user_id % 4 AS part, event_type, count(*) AS records, min(event_id) AS first_offset, max(event_id) AS last_offset
+    FROM events WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' AND (user_id % 4 <> 2 OR event_id >= 3000) GROUP BY 1, 2""")
+def h1_hourly(spark, sf):
+    """Hourly folders as a stream from a first hour on, one partition from an offset on; every line once."""
+    folder, out = _folder(spark, "hours"), new_folder(spark, "delivered")
+    rows = fx.article_events(spark, sf)
+    land_hours(rows, folder)
+
+    def handle(batch, batch_id):
+        batch.select("event.*").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    stream = hourly.hourly_changes(spark, folder, rows.schema, since="2024-01-03/00", offsets={2: 3000})
+    changes.deliver(stream, handle, new_folder(spark, "offsets")).awaitTermination()
+    delivered = spark.read.schema(rows.schema["event"].dataType).parquet(out)
+    return delivered.groupBy(F.col("partition").alias("part"), F.col("eventType").alias("event_type")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
+    )
+
+
 @query("h2_replay", """
     SELECT user_id AS identifier, event_id AS "offset", event_type FROM events
     WHERE user_id % 4 IN (0, 2, 3) AND ts >= TIMESTAMP '2024-01-03 00:00:00'
@@ -137,3 +185,13 @@ def h3(spark, sf):
 def h3_batch(spark, sf):
     rows = changes.newest_events(fx.article_events(spark, sf))
     return rows.select(*EVENT_COLUMNS, F.col("event.offset").alias("offset"))
+
+
+@query("h3_upserted_state", with_views("article_events", LATEST))
+def h3_upserted(spark, sf):
+    """The stream, each event once, laid over a table in parts batch by batch."""
+    folder, schema = event_files(spark, sf, "parquet")
+    table = PartedTable(spark, new_folder(spark, "articles"), schema, changes.ARTICLE_KEY, parts=8)
+    stream = changes.article_stream(spark, folder, schema, "parquet", files_per_batch=2)
+    changes.upsert_stream(stream, table, new_folder(spark, "offsets")).awaitTermination()
+    return table.read().select(*EVENT_COLUMNS, F.col("event.offset").alias("offset"))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from corpusmap import fixtures as fx
 from corpusmap.fixtures import table, with_views
 from corpusmap.operators import updates
+from corpusmap.operators.parts import PartedTable
 from corpusmap.queries.registry import query
+from corpusmap.schemas import PAGE_KEY, PAGE_LOG
+from corpusmap.session import new_folder
 
 EN = "enwiki_namespace_0"
 AS_OF = "2024-06-01 12:00:00"
@@ -46,17 +49,29 @@ def page_changes(spark, sf):
     return web.unionByName(items)
 
 
-@query("e1_upsert_pages", with_views("page_log", f"""
+E1_SQL = with_views("page_log", f"""
     WITH {PAGE_CHANGES_SQL}
     SELECT namespace, page_id, title, chunk_name, url, CAST(extracted_at AS VARCHAR) AS extracted_at, abstract
     FROM page_log ANTI JOIN latest USING (namespace, page_id)
     UNION ALL
-    SELECT namespace, page_id, title, chunk_name, url, '{AS_OF}', abstract FROM latest"""))
+    SELECT namespace, page_id, title, chunk_name, url, '{AS_OF}', abstract FROM latest""")
+
+
+@query("e1_upsert_pages", E1_SQL)
 def e1(spark, sf):
     merged = updates.upsert_pages(fx.page_log(spark, sf), page_changes(spark, sf), F.lit(AS_OF), ["seq"])
     return _text(merged, "extracted_at")
 
 
+@query("e1_upsert_in_parts", E1_SQL)
+def e1_parts(spark, sf):
+    """The same into a table in parts, of which the changes rewrite only those they touch."""
+    pages = PartedTable(spark, new_folder(spark, "page-parts"), PAGE_LOG, PAGE_KEY, parts=16)
+    pages.replace(fx.page_log(spark, sf))
+    latest = updates.last_per_key(page_changes(spark, sf), PAGE_KEY, ["seq"])
+    pages.upsert(latest.withColumn("extracted_at", F.lit(AS_OF).cast("timestamp")))
+    return _text(pages.read(), "extracted_at")
+
 
 
 @query("e2_upsert_chunks", with_views("page_log page_vector chunk_log", f"""

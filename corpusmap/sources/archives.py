@@ -6,20 +6,20 @@ batches and are never held whole.
 
 from __future__ import annotations
 
+import re
 import tarfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusmap.session import hadoop_path
 
 BATCH_LINES = 4096
 BATCH_BYTES = 16 << 20
-COLUMNS = "archive string, member string, line_no bigint, line string"
+COLUMNS = "namespace string, chunk_name string, archive string, member string, line_no bigint, line string"
 
 
 class ArchiveError(ValueError):
@@ -31,6 +31,13 @@ class ArchivePartition(InputPartition):
         self.path = path
 
 
+def place_of(path: str) -> dict[str, str | None]:
+    """The columns that an archive's path gives: ``.../{namespace}/{chunk_name}.tar.gz``."""
+    archive = re.sub("^file:/+", "/", path)
+    parts = archive.split("/")
+    return {"namespace": parts[-2] if len(parts) > 1 else None, "chunk_name": parts[-1].removesuffix(".tar.gz"), "archive": archive}
+
+
 def list_archives(spark: SparkSession, path: str) -> list[str]:
     """Archive paths for a file, a folder or a pattern, as the session's file systems see them: one listing,
     recursive for a folder."""
@@ -74,6 +81,8 @@ class ArchiveReader(DataSourceReader):
         return [ArchivePartition(p) for p in self.path.split("\n") if p]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no archive is left
+            return
         files, local = open_filesystem(partition.path)
         with files.open_input_stream(local, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
             seen = 0
@@ -105,10 +114,10 @@ def _line_batches(archive: str, member: str, lines) -> Iterator[pa.RecordBatch]:
 
 
 def _batch(archive: str, member: str, numbers: list[int], texts: list[str]) -> pa.RecordBatch:
-    n = len(texts)
+    n, place = len(texts), place_of(archive)
     return pa.RecordBatch.from_arrays(
-        [pa.array([archive] * n), pa.array([member] * n), pa.array(numbers, pa.int64()), pa.array(texts, pa.string())],
-        names=["archive", "member", "line_no", "line"],
+        [*(pa.array([value] * n, pa.string()) for value in place.values()), pa.array([member] * n), pa.array(numbers, pa.int64()), pa.array(texts, pa.string())],
+        names=[*place, "member", "line_no", "line"],
     )
 
 
@@ -127,19 +136,20 @@ class ChunkArchiveSource(DataSource):
         return ArchiveReader(self.options)
 
 
-def read_archives(spark: SparkSession, path: str | Sequence[str], members: str = "first") -> DataFrame:
+def read_archives(
+    spark: SparkSession, path: str | Sequence[str], members: str = "first", namespaces: Collection[str] | None = None,
+    chunks: Collection[str] | None = None,
+) -> DataFrame:
     """Lines of the archives; namespace and chunk name come from ``.../{namespace}/{chunk}.tar.gz``.
 
     ``path`` is a file, folder or pattern, or a list of archives, which is taken as it is. Paths without a
-    scheme are on the cluster's default file system.
+    scheme are on the cluster's default file system. Only archives of the given namespaces and chunks are opened. That is
+    an argument and no pushed filter, as scans of one Python source share what was pushed to any of them.
     """
     spark.dataSource.register(ChunkArchiveSource)
     paths = list_archives(spark, path) if isinstance(path, str) else [qualified(spark, p) for p in path]
-    lines = spark.read.format("chunk_archive").option("members", members).load("\n".join(paths))
-    lines = lines.withColumn("archive", F.regexp_replace("archive", "^file:/+", "/"))
-    parts = F.split("archive", "/")
-    return lines.select(
-        F.element_at(parts, -2).alias("namespace"),
-        F.regexp_replace(F.element_at(parts, -1), r"\.tar\.gz$", "").alias("chunk_name"),
-        "archive", "member", "line_no", "line",
-    )
+    wanted = [
+        p for p in paths
+        if (namespaces is None or place_of(p)["namespace"] in namespaces) and (chunks is None or place_of(p)["chunk_name"] in chunks)
+    ]
+    return spark.read.format("chunk_archive").option("members", members).load("\n".join(wanted))

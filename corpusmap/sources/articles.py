@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmap.functions.checks import json_rows, must, rejected_json
+from corpusmap.functions.checks import BROKEN, json_rows, must, parsed_json, rejected_json
 from corpusmap.schemas import ARTICLE, PAGE_LINE
 
 # Fixed value: how article dates are written.
 DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 ARTICLE_DATES = ["date_created", "date_modified", "date_previously_modified"]
-_BROKEN = "_broken"
 
 
 def parse_page_lines(lines: DataFrame) -> DataFrame:
@@ -20,12 +19,10 @@ def parse_page_lines(lines: DataFrame) -> DataFrame:
 
     The id is ``identifier``, or ``id`` where that is missing. All other input columns stay.
     """
-    schema = T.StructType([*PAGE_LINE.fields, T.StructField(_BROKEN, T.StringType())])
-    parsed = lines.withColumn("_page", F.from_json("line", schema, {"columnNameOfCorruptRecord": _BROKEN}))
-    page = F.col("_page")
+    page = F.col("_row")
     page_id = F.coalesce(page["identifier"], page["id"])
-    broken = F.col("_page").isNull() | page[_BROKEN].isNotNull()
-    return parsed.select(
+    broken = page.isNull() | page[BROKEN].isNotNull()
+    return parsed_json(lines, PAGE_LINE).select(
         *lines.columns,
         page_id.alias("page_id"),
         page["name"].alias("title"),

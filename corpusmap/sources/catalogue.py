@@ -18,9 +18,18 @@ def _schema(kind: str):
     return CATALOGUE[kind]
 
 
-def read_catalogue(spark: SparkSession, kind: str, path: str) -> DataFrame:
-    """A listing as a table; partition folders such as ``dt=/hour=`` become columns."""
-    return spark.read.schema(_schema(kind)).json(path)
+def read_catalogue(spark: SparkSession, kind: str, path: str, mode: str = "failfast") -> DataFrame:
+    """A listing as a table; partition folders such as ``dt=/hour=`` become columns.
+
+    A line that is no entry of the listing stops the job, or is left to ``rejected_catalogue`` over
+    ``catalogue_lines`` in mode ``permissive``.
+    """
+    return parse_catalogue(catalogue_lines(spark, path), kind, mode)
+
+
+def catalogue_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a listing's files; empty ones are left out, as a file's last line end makes one."""
+    return spark.read.text(path).withColumnRenamed("value", "line").filter(F.trim("line") != "")
 
 
 def parse_catalogue(lines: DataFrame, kind: str, mode: str = "failfast") -> DataFrame:
@@ -46,9 +55,9 @@ def batches_of_hour(batches: DataFrame, time: datetime.datetime) -> DataFrame:
     return batches.filter((F.col("dt") == f"{time:%Y-%m-%d}") & (F.col("hour") == f"{time:%H}"))
 
 
-def read_batches_of_hour(spark: SparkSession, root: str, time: datetime.datetime) -> DataFrame:
+def read_batches_of_hour(spark: SparkSession, root: str, time: datetime.datetime, mode: str = "failfast") -> DataFrame:
     """The listing that landed under ``root/batches/YYYY-MM-DD/HH``."""
-    return read_catalogue(spark, "batches", f"{root}/batches/{time:%Y-%m-%d}/{time:%H}")
+    return read_catalogue(spark, "batches", f"{root}/batches/{time:%Y-%m-%d}/{time:%H}", mode)
 
 
 def register_chunks(

@@ -16,20 +16,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusmap.functions.checks import json_rows, rejected_json
+from corpusmap.operators.parts import PartedTable
 from corpusmap.operators.updates import last_per_key
 
 ARTICLE_KEY = ["namespace", "identifier"]
 EVENT_ORDER = ["event.datePublished", "event.offset"]
 
 
-def article_stream(spark: SparkSession, path: str, schema: T.StructType, kind: str = "json", files_per_batch: int | None = None) -> DataFrame:
-    """Change records as they land in a folder, one JSON line or Parquet row each."""
-    reader = spark.readStream.schema(schema).format(kind)
+def article_stream(
+    spark: SparkSession, path: str, schema: T.StructType, kind: str = "json", files_per_batch: int | None = None, mode: str = "failfast"
+) -> DataFrame:
+    """Change records as they land in a folder, one JSON line or Parquet row each.
+
+    A line that is no record of ``schema`` stops the stream, or is left to ``rejected_lines`` in mode ``permissive``.
+    """
+    if kind != "json":
+        return _landed(spark, path, kind, files_per_batch, schema)
+    return json_rows(_lines(spark, path, files_per_batch), schema, mode).select("_row.*")
+
+
+def rejected_lines(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """The stream of lines that ``article_stream`` leaves out."""
+    return rejected_json(_lines(spark, path, files_per_batch), schema)
+
+
+def _landed(spark: SparkSession, path: str, kind: str, files_per_batch: int | None, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.readStream.format(kind)
+    if schema is not None:
+        reader = reader.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
 
 
+def _lines(spark: SparkSession, path: str, files_per_batch: int | None) -> DataFrame:
+    return _landed(spark, path, "text", files_per_batch).select(F.col("value").alias("line")).filter(F.trim("line") != "")
+
+
 def deliver(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Hand every micro-batch to ``handle(batch, batch_id)`` until the landed files are used up."""
     return (
@@ -84,3 +108,28 @@ def _upto(rows: DataFrame, last: int, schema: T.StructType, base: DataFrame | No
     # batches may go on arriving while the base is written
     rows = rows.filter(F.col("batch_id") <= last).select(*schema.fieldNames())
     return rows if base is None else base.unionByName(rows)
+
+
+def upsert_into(table: PartedTable) -> Callable[[DataFrame, int], None]:
+    """A batch handler that lays the newest event of every article over ``table``, unless it holds a newer one. A batch
+    that comes again changes nothing."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(newest_events(batch, table.keys), newest=EVENT_ORDER)
+
+    return handle
+
+
+def upsert_stream(stream: DataFrame, table: PartedTable, checkpoint: str, memory: str = "1 hour") -> StreamingQuery:
+    """Keep ``table`` at the newest event of every article until the landed files are used up.
+
+    Events come through once each: the state store keeps the id of every event until the watermark, ``memory`` behind the
+    last arrival, has passed it. The watermark goes by arrival, as one by publication would drop events that come late;
+    it bounds the state only. A copy that arrives after that changes nothing, as the table holds the same event or a newer
+    one by then. Events without an id are told apart by partition and offset.
+    """
+    event = F.col("event")
+    known = F.coalesce(event["identifier"], F.concat_ws("/", event["partition"], event["offset"]))
+    arrived = stream.select("*", F.current_timestamp().alias("_arrived"), known.alias("_event"))
+    once = arrived.withWatermark("_arrived", memory).dropDuplicatesWithinWatermark(["_event"]).drop("_arrived", "_event")
+    return deliver(once, upsert_into(table), checkpoint)

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmap.sources import articles, catalogue, columnar, structured
+from corpusmap.queries.sources import page_lines
+from corpusmap.queries.streams import pack_archives
+from corpusmap.sources import archives, articles, catalogue, columnar, structured
 from corpusmap.sources.archives import read_archives
 
 
@@ -234,3 +236,33 @@ def test_articles_written_and_read_back(spark, tmp_path):
     back = articles.read_articles(spark, str(tmp_path / "out"))
     assert back.first() == rows.first()
     assert back.first()["version"]["scores"]["revert_risk"]["probability"]["false"] == 0.25
+
+
+def test_only_the_archives_asked_for_are_opened(spark, sf_dir, tmp_path):
+    pack_archives(page_lines(spark, sf_dir), str(tmp_path))
+    lines = archives.read_archives(spark, str(tmp_path))
+    rows = lines.groupBy("namespace", "chunk_name").count().collect()
+    names = sorted({r.namespace for r in rows})
+    some = archives.read_archives(spark, str(tmp_path), namespaces=names[:2])
+    assert some.rdd.getNumPartitions() == sum(len(list((tmp_path / n).glob("*.tar.gz"))) for n in names[:2]) < lines.rdd.getNumPartitions()
+    assert some.count() == sum(r["count"] for r in rows if r.namespace in names[:2])
+    one = archives.read_archives(spark, str(tmp_path), namespaces={rows[0].namespace}, chunks={rows[0].chunk_name})
+    assert one.rdd.getNumPartitions() == 1 and one.count() == rows[0]["count"]
+    assert archives.read_archives(spark, str(tmp_path), namespaces=()).count() == 0
+
+
+def test_broken_lines_of_a_listing(spark, tmp_path):
+    (tmp_path / "batches").mkdir()
+    (tmp_path / "batches" / "a.json").write_text('{"identifier": "one", "version": "1"}\n\n{broken\n[3]\n')
+    with pytest.raises(Exception, match="not a JSON object"):
+        catalogue.read_catalogue(spark, "batches", str(tmp_path / "batches")).collect()
+    good = catalogue.read_catalogue(spark, "batches", str(tmp_path / "batches"), "permissive")
+    assert [r.identifier for r in good.collect()] == ["one"]
+    bad = catalogue.rejected_catalogue(catalogue.catalogue_lines(spark, str(tmp_path / "batches")), "batches")
+    assert sorted(r.line for r in bad.collect()) == ["[3]", "{broken"]
+
+
+def test_page_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([("n", "c", 1, '{"identifier": 1, "name": "a"}')], "namespace string, chunk_name string, line_no long, line string")
+    plan = articles.pages_from_lines(lines, "permissive")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
