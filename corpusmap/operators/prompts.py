@@ -7,6 +7,7 @@ import re
 import time
 from collections import Counter
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.functions.text import collapse_whitespace, page_text
 from corpusmap.operators.joins import child_topics, neighbouring_topics
+from corpusmap.operators.worklists import check_limit
 from corpusmap.schemas import NODE_KEY, PAGE_KEY
 from corpusmap.session import broadcast_if_small, cut_lineage
 from corpusmap.sources.languages import with_language
@@ -132,31 +134,38 @@ def call_labeler(labeler: Labeler, system: str, prompt: str, pause: tuple[float,
 
 def label_prompts(
     prompts: DataFrame, systems: DataFrame, labeler: Labeler, calls: int | None = None,
-    pause: tuple[float, float] = PAUSE,
+    pause: tuple[float, float] = PAUSE, per_task: int = 1,
 ) -> DataFrame:
     """(namespace, node_id, label, errors); a NULL prompt gives ``ready_label``, if there is that column,
     or a NULL label, without a call.
 
-    ``systems`` has one row per namespace. ``calls`` caps how many tasks call at a time. Write the
-    result out before using it twice.
+    ``systems`` has one row per namespace. ``calls`` caps how many calls are made at a time over all tasks; without it
+    every task makes its own. A task has up to ``per_task`` of them in flight on a pool of threads and gives the
+    results in the order of its rows, so the labeler must bear being called from several threads if ``per_task`` is
+    more than 1. Write the result out before using it twice.
     """
+    check_limit(per_task, "per_task")
+    check_limit(calls, "calls")
+    if calls is not None:
+        per_task = min(per_task, calls)
     ready = F.col("ready_label") if "ready_label" in prompts.columns else F.lit(None).cast("string")
     work = prompts.withColumn("ready_label", ready).join(broadcast_if_small(systems), "namespace").select(
         *NODE_KEY, "system_prompt", "prompt", "ready_label"
     )
     if calls is not None:
-        work = work.repartition(calls)
+        work = work.repartition(calls // per_task)
+
+    def label(system: str, prompt: str | None, ready: str | None) -> tuple[str | None, int]:
+        return (ready, 0) if prompt is None else call_labeler(labeler, system, prompt, pause)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [
-                (ready, 0) if prompt is None else call_labeler(labeler, system, prompt, pause)
-                for system, prompt, ready in zip(batch["system_prompt"], batch["prompt"], batch["ready_label"])
-            ]
-            yield pd.DataFrame({
-                "namespace": batch["namespace"].to_numpy(), "node_id": batch["node_id"].to_numpy(),
-                "label": [label for label, _ in found], "errors": [errors for _, errors in found],
-            })
+        with ThreadPoolExecutor(per_task) as pool:
+            for batch in batches:
+                found = list(pool.map(label, batch["system_prompt"], batch["prompt"], batch["ready_label"]))
+                yield pd.DataFrame({
+                    "namespace": batch["namespace"].to_numpy(), "node_id": batch["node_id"].to_numpy(),
+                    "label": [label for label, _ in found], "errors": [errors for _, errors in found],
+                })
 
     return work.mapInPandas(run, "namespace string, node_id bigint, label string, errors int")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import threading
+import time
 
 from pyspark.sql import functions as F
 
@@ -143,6 +145,47 @@ def g4(spark, sf):
     return prompts.label_prompts(asked, systems, digest_labeler, calls=8, pause=(0, 0))
 
 
+class InFlight:
+    """A stand-in for a model that answers with how many of its calls are under way in this worker."""
+
+    def __init__(self):
+        self.now = 0
+
+    def __getstate__(self):
+        return {"now": 0}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.lock = threading.Lock()
+
+    def __call__(self, system: str, prompt: str) -> str:
+        with self.lock:
+            self.now += 1
+            seen = self.now
+        time.sleep(0.002)
+        with self.lock:
+            self.now -= 1
+        return f"{seen} {prompt[-20:]}"
+
+
+@query("g9_calls_in_flight", with_views("page_log page_vector cluster_tree", f"""
+    WITH {LINES}, asked AS (SELECT namespace, node_id, {PAGES_ONLY} AS prompt
+                            FROM cluster_tree JOIN lines USING (namespace, node_id) WHERE depth = 2)
+    SELECT namespace, node_id, true AS within_bound, trim(right(prompt, 20)) AS asked_last FROM asked"""))
+def g9(spark, sf):
+    """Six calls at a time over all tasks, three on the threads of each; answers stay with their nodes."""
+    nodes = fx.cluster_tree(spark, sf)
+    asked = prompts.leaf_prompts(leaf_nodes(nodes), g2_lines(spark, sf))
+    systems = prompts.system_prompts(nodes, fx.languages(spark))
+    found = prompts.label_prompts(asked, systems, InFlight(), calls=6, per_task=3)
+    tasks = found.withColumn("_task", F.spark_partition_id())
+    seen = F.split_part("label", F.lit(" "), F.lit(1)).cast("int")
+    return tasks.select(
+        "namespace", "node_id", (seen.between(1, 3) & (F.col("_task") < 2)).alias("within_bound"),
+        F.trim(F.expr("substring(label, instr(label, ' ') + 1)")).alias("asked_last"),
+    )
+
+
 @query("g4b_node_top_terms", with_views("page_log page_vector", r"""
     WITH words AS (SELECT namespace, cluster_node_id AS node_id,
                           unnest(regexp_split_to_array(lower(concat_ws(chr(10), title, abstract)), '[^\p{L}\p{N}]+')) AS term
