@@ -1,0 +1,186 @@
+"""Byte-level encoding, source audit and conversation trie against plain versions and at their edges."""
+
+import base64
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+import brute_new
+from corpusmap.llm import byte_bpe, conversation_trie, queries, source_divergence
+
+SF_DIR = "/root/testdata/sf0.01"
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def model():
+    return byte_bpe.ByteBpe(PATH, public_tokenizers.PATTERN)
+
+
+# ------------------------------------------------------------ byte-level encoding
+def test_op11(spark, library):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet'").fetchall()
+    expected = {}
+    for i, text in rows:
+        ids = library.encode_ordinary(text or "")
+        expected[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode_bytes(ids)).hexdigest())
+    found = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.QUERIES["op11_byte_bpe"](spark, SF_DIR).collect()}
+    assert found == expected
+
+
+def encoded(model, texts):
+    ids, offsets = model.encode_batch(texts)
+    return [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])]
+
+
+def test_mixed_texts_encode_as_the_library_does(model, library):
+    pick = random.Random(5)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "'s", "'", "é", "字", "٣", "²", "ՠ", "࢏", "😀", "_", "12", "\x1c", "\x85", "\xa0", "　",
+             "Don't", "'LL", "\U00011de0", "aaaa", "the", "ing", "́", "<|endoftext|>", "\x00", "\x01"]
+    texts = ["".join(pick.choice(parts) for _ in range(pick.randint(0, 50))) for _ in range(3000)]
+    assert encoded(model, texts) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_long_splits_and_long_texts(model, library, monkeypatch):
+    pick = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    long = ["a" * 5000, "ab" * 4000, "x" * (byte_bpe.LONG - 1), "x" * byte_bpe.LONG, "字" * 3000, " " * 5000, "".join(pick.choices(letters, k=20_000)), ""]
+    assert encoded(model, long) == [library.encode_ordinary(t) for t in long]
+    monkeypatch.setattr(byte_bpe, "STRETCH", 50)
+    monkeypatch.setattr(byte_bpe, "CELLS", 64)
+    text = " ".join("".join(pick.choices(letters, k=pick.randint(1, 30))) + pick.choice(["", "  ", "\n\n ", "!?", " \t"]) for _ in range(800))
+    texts = [text, "", text[:70], "\n" * 300, "y" * 300]
+    assert encoded(model, texts) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_a_matrix_merges_as_the_heap_does(model):
+    pick = random.Random(7)
+    for _ in range(200):
+        word = bytes(pick.choices(b"etaoin srhldcu", k=pick.randint(2, 60)))
+        symbols = model.first[np.frombuffer(word, np.uint8)]
+        ((_, ids),) = model.merge_rows(symbols[None, :].copy(), np.array([len(word)]))
+        assert ids[0].tolist() == model.merge_long(symbols).tolist()
+
+
+def test_encoding_of_odd_tables(spark, library):
+    rows = [(1, "one two", "x"), (None, None, "y"), (1, "one two", None), (4, "", "z"), (None, "﻿é 字", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    got = byte_bpe.encode(df, PATH, public_tokenizers.PATTERN)
+    assert got.columns == ["doc_id", "ids"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(((i, library.encode_ordinary(t or "")) for i, t, _ in rows), key=repr)
+    back = byte_bpe.decode(got, PATH, public_tokenizers.PATTERN)
+    assert sorted((bytes(r.decoded) for r in back.collect())) == sorted((t or "").encode() for _, t, _ in rows)
+    assert byte_bpe.encode(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {bytes(r.decoded) for r in byte_bpe.decode(none, PATH, public_tokenizers.PATTERN).collect()} == {b""}
+    with pytest.raises(Exception, match="ids must lie between"):
+        byte_bpe.decode(spark.createDataFrame([(1, [60000])], "doc_id long, ids array<int>"), PATH, public_tokenizers.PATTERN).collect()
+
+
+# ------------------------------------------------------------ source audit
+def test_quadtree_sums_every_difference():
+    rng = np.random.default_rng(1)
+    for n, c, share in ((1, 1, 1.0), (2, 1, 0.5), (20, 37, 0.3), (20, 1000, 0.1), (130, 300, 0.02), (5, 0, 0), (3, 5000, 0.001), (9, 8, 0.0)):
+        zeros = rng.integers(1, 1000, n)
+        whole = np.repeat(zeros[:, None], c, 1)
+        rows, columns = np.nonzero(rng.random((n, c)) < share)
+        values = rng.integers(1, 10**9, len(rows))
+        whole[rows, columns] = values
+        expected = np.array([np.abs(whole - row).sum(1) for row in whole]).reshape(n, n)
+        assert (source_divergence.Quadtree(rows, columns, values, zeros, c).distances() == expected).all()
+
+
+def audit(df, **options):
+    return sorted(tuple(r) for r in source_divergence.divergence(df, **options).select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+def words(pick, n):
+    return " ".join(pick.choice(["Ab", "ab", "ÄB", "äb", "c1d", "x_y", "ſt", "字", "q", "w", "rr"]) for _ in range(n))
+
+
+@pytest.mark.parametrize("cells", [(128, 1 << 17), (2, 3)])
+def test_audit_of_odd_tables(spark, monkeypatch, cells):
+    monkeypatch.setattr(source_divergence, "ROW_BLOCK", cells[0])
+    monkeypatch.setattr(source_divergence, "CELL_ENTRIES", cells[1])
+    monkeypatch.setattr(source_divergence, "HELD_TERMS", 7)
+    monkeypatch.setattr(source_divergence, "STRETCH", 16)
+    pick = random.Random(3)
+    rows = [(words(pick, pick.randint(0, 30)), pick.choice(["en", None, "", "de"]), pick.choice(["s1", "s2", None, "", "Z", "ä", "s3"])) for _ in range(150)]
+    rows += [(None, "fr", "only"), ("", "it", "a"), ("x", "it", "b"), (rows[0])] + [("hot word", "en", "s1")] * 80
+    df = spark.createDataFrame([(i, *r, "t") for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, term string")
+    assert audit(df, min_docs=3, top_terms=4) == brute_new.divergence(rows, 3, 4)
+    assert audit(df, min_docs=10_000) == brute_new.divergence(rows, 10_000)
+    assert source_divergence.divergence(df.limit(0)).count() == 0
+
+
+def test_shares_are_exact_beyond_doubles(spark):
+    cases = [(5, 7), (3, 3), (10**15 - 1, 9 * 10**15 // 1000), (123456789, 987654321987), (1, 9 * 10**12)]
+    df = spark.createDataFrame(cases, "n long, total long")
+    found = df.select("n", "total", source_divergence.share(df["n"], df["total"]).alias("p")).collect()
+    assert all(r.p == 1 + 10**9 * r.n // r.total for r in found if r.n <= r.total)
+
+
+# ------------------------------------------------------------ conversation trie
+def trie(df):
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return sorted((tuple(r) for r in conversation_trie.conversation_trie(df).select(*columns).collect()), key=repr)
+
+
+def expected(rows):
+    return sorted(brute_new.trie(rows), key=repr)
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("few", [1 << 14, 20])
+def test_trie_of_skewed_conversations(spark, monkeypatch, few):
+    monkeypatch.setattr(conversation_trie, "FEW_TURNS", few)
+    monkeypatch.setattr(conversation_trie, "SHRINK", 3)
+    monkeypatch.setattr(conversation_trie, "IDS_PER_PACK", 5)
+    pick = random.Random(11)
+    rows = []
+    for c in range(400):
+        kind = pick.random()
+        turns = 6 if kind < 0.35 else 40 if kind > 0.99 else pick.randint(1, 9)
+        for t in range(turns):
+            text = "same" if kind < 0.35 else "first" if t == 0 and kind < 0.8 else pick.choice(["a", "bb", "é", "", None])
+            rows.append((c * pick.choice([1, 1, 1]), t, "user" if t % 2 else pick.choice(["user", None, ""]), text))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    assert trie(df) == expected(rows)
+
+
+def test_trie_of_odd_tables(spark):
+    rows = [
+        (0, None, None, None), (0, 3, "u", "x"), (3, 1, "u", "x"), (-7, 1, "u", "ä"), (-5, 2, "s", "y"), (-5, 1, "s", ""), (11, 0, "u", "alone"),
+        (10, 5, "a", "b"), (14, 1, "u", "q"), (13, 2, "u", "q"), (2**62, 1, "u", "z" * 100_000), (None, 1, "u", "lost"),
+    ]
+    df = spark.createDataFrame([(*r, "k") for r in rows], SCHEMA + ", key string")
+    assert trie(df) == expected(rows)
+    assert trie(df.limit(0)) == []
+    # turns of one number stay in a fixed order, whatever the partitions
+    ties = spark.createDataFrame([(5, 1, "u", t) for t in "abcd"] + [(10, 1, "u", t) for t in "dcba"], SCHEMA)
+    assert trie(ties.repartition(5)) == trie(ties.coalesce(1))
+    whole = conversation_trie.conversation_trie(ties, rebuild=False).orderBy("depth").collect()
+    assert [(r.conv_id, r.depth, r.n_convs, r.n_leaves) for r in whole] == [(5, d, 2, 1) for d in range(5)]
+
+
+def test_conversations_without_turns_are_members_of_the_root(spark):
+    """An absent base leaves nothing of a conversation that is not longer than its h."""
+    import zlib
+
+    ids = [c for c in range(1, 200) if c % 5 and zlib.crc32(str(c).encode()) % 9 >= 2][:6]
+    rows = [(c, t, "u", str(t)) for c in ids for t in range(2)]
+    assert trie(spark.createDataFrame(rows, SCHEMA)) == expected(rows)
