@@ -1,16 +1,25 @@
-"""Passages of test items in training texts, found by the runs of equal words that each must have."""
+"""Passages of test items in training texts, found by spaced seeds: masks of words that are compared and words that are
+ignored. A family of masks is taken that no passage allowed by the bounds escapes, whatever words were replaced."""
 
 from __future__ import annotations
 
+import functools
+import itertools
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmap.session import broadcast_if_small, cut_lineage
 
-# Items of fewer words cannot be looked for.
+# Items of fewer words are not looked for, see ``unsought_items``.
 LEAST_ITEM = 6
-# Words a seed compares at most.
-LONGEST_SEED = 6
+# Families of masks, 1 for a word that is compared and 0 for one that is ignored, from the most selective on. The last two
+# are for items of a few words.
+FAMILIES = (
+    ("110111", "111101"), ("110111", "111011", "111101"), ("11011", "11101"), ("11011", "11101", "10111"), ("1101", "1011"), ("1101",),
+    ("101",), ("11",), ("1",),
+)
 # A passage counts with this many equal words and this share of equal words in its stretch; an item
 # that is shorter counts when this share of its words is there.
 LEAST_WORDS = 13
@@ -28,24 +37,48 @@ def word_hashes(text: Column) -> Column:
     return F.transform(normal_words(text), lambda w: F.xxhash64(w))
 
 
-def sure_run(n_words: int | None, least_words: int, least_share: float) -> int:
-    """Length of a run of equal words that is in every passage of an item of ``n_words``, or, for None, of any
-    item of ``least_words`` or more; LONGEST_SEED at most.
+def _ends_hit(equal: str, masks: tuple[str, ...]) -> bool:
+    """Whether some mask's compared places are all equal at the end of a row of 1 (equal) and 0 (replaced)."""
+    return any(len(equal) >= len(m) and all(e == "1" for e, x in zip(equal[-len(m) :], m) if x == "1") for m in masks)
+
+
+@functools.lru_cache
+def hits_all(masks: tuple[str, ...], n_words: int | None, least_words: int, least_share: float) -> bool:
+    """Whether no passage escapes the masks: of an item of ``n_words``, every way to keep ``least_share`` of its words; for
+    None, stretches of any length with ``least_words`` equal words that are ``least_share`` of it.
 
-    Unequal words cut a passage with n equal ones into no more than one run more than they are.
+    For the latter, of all rows of equal and replaced words without a hit, told apart by their last places and their
+    equal words up to ``least_words``, the one is followed in which equal words outweigh the others most.
     """
+    share = Fraction(least_share).limit_denominator(1000)
     if n_words is not None:
-        n = next(n for n in range(n_words + 1) if n >= least_share * n_words)
-        runs = [-(-n // (n_words - n + 1))]
-    else:
-        runs, n, unequal = [least_words], least_words, 1
-        # Once the share asks for more than least_words, the runs of ever more unequal words grow.
-        while least_share < 1 and unequal <= least_words + 1 and runs[-1] > 1:
-            while n < least_share * (n + unequal):
-                n += 1
-            runs.append(-(-n // (unequal + 1)))
-            unequal += 1
-    return max(1, min(LONGEST_SEED, *runs))
+        rows = ("".join(r) for r in itertools.product("10", repeat=n_words))
+        return all(any(_ends_hit(r[: k + 1], masks) for k in range(n_words)) for r in rows if r.count("1") >= share * n_words)
+    gain, loss = share.denominator - share.numerator, share.numerator
+    kept = max(map(len, masks)) - 1
+    best = {("", 0): 0}
+    open_ = dict(best)
+    while open_:
+        further: dict[tuple[str, int], int] = {}
+        for (end, equal), weight in open_.items():
+            for word in "10":
+                row = end + word
+                if _ends_hit(row, masks):
+                    continue
+                to = (row[len(row) - min(kept, len(row)) :], min(least_words, equal + (word == "1")))
+                now = weight + (gain if word == "1" else -loss)
+                if to[1] == least_words and now >= 0:
+                    return False
+                if to not in best or now > best[to]:
+                    best[to] = further[to] = now
+        open_ = further
+    return True
+
+
+@functools.lru_cache
+def family(n_words: int | None, least_words: int, least_share: float) -> int:
+    """Place in FAMILIES of the first family that no passage of such an item escapes."""
+    return next(k for k, masks in enumerate(FAMILIES) if hits_all(masks, n_words, least_words, least_share))
 
 
 def word_windows(rows: DataFrame, keys: list[str], hashes: str, width: int) -> DataFrame:
@@ -55,9 +88,16 @@ def word_windows(rows: DataFrame, keys: list[str], hashes: str, width: int) -> D
     return rows.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w")).select(*keys, "at", "w.*")
 
 
-def run_key(length: int) -> Column:
-    """Hash of the first ``length`` words of a window, its length included; null if the text ends before."""
-    return F.when(F.col(f"w{length - 1}").isNotNull(), F.xxhash64(F.lit(length), *[f"w{k}" for k in range(length)]))
+def seed_key(mask: str) -> Column:
+    """Hash of the words of a window that a mask compares, with the mask; null if the text ends before."""
+    held = [f"w{k}" for k, bit in enumerate(mask) if bit == "1"]
+    return F.when(F.col(f"w{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(mask), *held))
+
+
+def unsought_items(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(item, n_words) of the items that are too short to be looked for."""
+    counted = items.select(F.col(item_col), F.coalesce(F.size(normal_words(F.col(item_text_col))), F.lit(0)).alias("n_words"))
+    return counted.filter(F.col("n_words") < LEAST_ITEM)
 
 
 def best_part(places: Column, least_words: int, least_share: float) -> Column:
@@ -90,20 +130,21 @@ def stretches_found(
     """All stretches that count, as find_passages says, with the id and the hash of the text they are in."""
     tests = items.select(F.col(item_col).alias("_item"), word_hashes(F.col(item_text_col)).alias("_wanted")).distinct()
     tests = tests.withColumn("_n", F.size("_wanted")).filter(F.col("_n") >= LEAST_ITEM)
-    lengths = {n: sure_run(n, least_words, least_share) for n in range(LEAST_ITEM, least_words)}
-    run = F.lit(sure_run(None, least_words, least_share))
-    for n, length in lengths.items():
-        run = F.when(F.col("_n") == n, length).otherwise(run)
-    tests = cut_lineage(tests.withColumn("_test", F.xxhash64("_item", "_wanted")).withColumn("_run", run), "tests")
-    used = sorted(row["_run"] for row in tests.select("_run").distinct().collect()) or [1]  # LONGEST_SEED at most
-    windows = word_windows(tests, ["_test", "_run"], "_wanted", used[-1])
-    seed = F.coalesce(*[F.when(F.col("_run") == length, run_key(length)) for length in used])
-    seeds = windows.select("_test", F.col("at").alias("_at"), seed.alias("_seed")).filter("_seed IS NOT NULL")
+    chosen = F.lit(family(None, least_words, least_share))
+    for n in range(LEAST_ITEM, least_words):
+        chosen = F.when(F.col("_n") == n, family(n, least_words, least_share)).otherwise(chosen)
+    tests = cut_lineage(tests.withColumn("_test", F.xxhash64("_item", "_wanted")).withColumn("_family", chosen), "tests")
+    used = sorted(row["_family"] for row in tests.select("_family").distinct().collect()) or [0]  # at most len(FAMILIES)
+    masks = sorted({mask for k in used for mask in FAMILIES[k]})
+    span = max(map(len, masks))
+    windows = word_windows(tests, ["_test", "_family"], "_wanted", span)
+    own = [F.when(F.col("_family").isin([k for k in used if mask in FAMILIES[k]]), seed_key(mask)) for mask in masks]
+    seeds = windows.select("_test", F.col("at").alias("_at"), F.explode(F.array_compact(F.array(*own))).alias("_seed"))
     seeds = broadcast_if_small(cut_lineage(seeds, "test-seeds"))
 
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"), word_hashes(F.col(text_col)).alias("_words"))
-    places = word_windows(texts, ["_id", "_text"], "_words", used[-1])
-    keys = run_key(used[0]) if len(used) == 1 else F.explode(F.array_compact(F.array(*map(run_key, used))))
+    places = word_windows(texts, ["_id", "_text"], "_words", span)
+    keys = F.explode(F.array_compact(F.array(*map(seed_key, masks))))
     hits = places.select("_id", "_text", "at", keys.alias("_seed")).join(seeds, "_seed")
     hits = hits.select(F.col("_id").alias("_hit"), F.col("_text").alias("_hit_text"), "_test", (F.col("at") - F.col("_at")).alias("_diagonal"))
     hits = broadcast_if_small(cut_lineage(hits.distinct(), "seed-hits"))
@@ -146,17 +187,18 @@ def find_passages(
 ) -> DataFrame:
     """Pairs of a document and a test item of which it holds a passage, substitutions allowed.
 
-    Every passage has a run of equal words of a known length (sure_run; four words at the given bounds, three
-    for some items of fewer than 13). Every run of that length in every text is looked up among those of the
-    items. A hit names a diagonal (document place minus item place), on which all words of the item are
+    Fixed masks ignore the words at some of their places (FAMILIES); each item takes the most selective family that no
+    passage of it escapes (``hits_all`` tries all of them): at the given bounds two masks of five compared words, for
+    some items of fewer than 13 words masks of three or four. At every place of every text the compared words are hashed
+    and looked up among those of the items. A hit names a diagonal (document place minus item place), on which all words of the item are
     compared with the document's; equal places are joined into stretches, which a gap of more than GAP places ends. A stretch
     counts if some part of it has ``least_words`` equal words and ``least_share`` of that part's places are
     equal; for an item of fewer words, if ``least_share`` of the item's words are in it.
 
     Returns, for each pair, its best stretch or part: id, item id, n_equal, n_places, n_item_words, doc_place,
-    item_place (in words from 0). Item runs and hits are broadcast only while they are few
+    item_place (in words from 0). Item seeds and hits are broadcast only while they are few
     (broadcast_if_small); beyond that the lookups are ordinary joins. Null and empty texts match nothing, nor
-    do items of fewer than six words; of rows with one id each is compared by itself, and the best counts,
+    do items of fewer than six words, which ``unsought_items`` lists; of rows with one id each is compared by itself, and the best counts,
     of null ids too; repeated items and equal items each get their pairs. Empty tables give no rows; other
     columns are ignored.
     """

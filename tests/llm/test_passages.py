@@ -60,18 +60,44 @@ def test_every_pattern_of_short_items_and_every_period_of_long_ones(spark):
     assert all(any(x[1] == n for x in expected if "other" in docs[x[0]]) for n in (37, 50, 57))
 
 
-def test_sure_runs_are_in_all_passages():
-    """Every pattern of equal and unequal words that counts has the run."""
+def hit(masks, pattern):
+    return any(all(e == "1" for e, m in zip(pattern[k:], mask) if m == "1") for mask in masks for k in range(len(pattern) - len(mask) + 1))
+
+
+def test_no_passage_escapes_its_masks():
+    """Every pattern of equal and unequal words that counts is hit by the chosen family."""
     for least, share in ((13, 0.8), (5, 0.6), (6, 0.75), (4, 0.5), (7, 0.9), (5, 1.0)):
-        for n in range(1, 17):
+        chosen = {n: decontamination.FAMILIES[decontamination.family(n, least, share)] for n in (None, *range(1, least))}
+        for n in range(1, 18):
             for pattern in itertools.product("10", repeat=n):
                 pattern = "".join(pattern)
                 equal = pattern.count("1")
                 if n < least and equal >= share * n:
-                    assert "1" * decontamination.sure_run(n, least, share) in pattern
+                    assert hit(chosen[n], pattern)
                 if equal >= least and equal >= share * n:
-                    assert "1" * decontamination.sure_run(None, least, share) in pattern
-    assert decontamination.sure_run(None, 13, 0.8) == 4
+                    assert hit(chosen[None], pattern)
+    assert decontamination.family(None, 13, 0.8) == 0
+    assert all("0" in mask for n in (None, *range(6, 13)) for mask in decontamination.FAMILIES[decontamination.family(n, 13, 0.8)])
+
+
+def test_a_family_that_misses_a_pattern_is_not_taken():
+    """What ``hits_all`` says of all lengths, against all patterns of up to 20 places."""
+    for masks in (("11011",), ("110111", "111011"), ("111111",), ("110111", "111101"), ("1101111", "1111101")):
+        missed = any(
+            not hit(masks, pattern) for n in range(13, 21) for pattern in map("".join, itertools.product("10", repeat=n))
+            if pattern[0] == pattern[-1] == "1" and pattern.count("1") >= max(13, 0.8 * n)
+        )
+        assert decontamination.hits_all(masks, None, 13, 0.8) == (not missed)
+
+
+def test_a_common_phrase_is_no_hit(spark):
+    """Texts and items that share four words, and nothing else, do not meet."""
+    docs = [(i, f"d{i}a d{i}b which of the following d{i}c d{i}d") for i in range(300)]
+    items = [(k, f"i{k}a i{k}b i{k}c which of the following i{k}d " + " ".join(f"i{k}w{j}" for j in range(10))) for k in range(100)]
+    found, expected = found_and_expected(spark, docs, items)
+    assert found == expected == set()
+    rows = spark.createDataFrame([(1, "a b c"), (2, None), (3, "a b c d e f")], "item_id long, text string")
+    assert sorted(map(tuple, decontamination.unsought_items(rows).collect())) == [(1, 3), (2, 0)]
 
 
 def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, sf_dir):
