@@ -81,8 +81,25 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         made = _folders[before:]
         del _folders[before:]
         for folder in made:
-            files, path = hadoop_path(spark, folder)
-            files.delete(path, True)
+            drop_folder(spark, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder made by ``new_folder``; frames read from it end with it."""
+    files, path = hadoop_path(spark, folder)
+    files.delete(path, True)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Batches of at most ``size`` bytes to Python for what runs inside the block, as rows may be long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if held is None else spark.conf.set(name, held)
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
