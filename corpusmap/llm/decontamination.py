@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -144,8 +145,12 @@ def stretches_found(
 
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"), word_hashes(F.col(text_col)).alias("_words"))
     places = word_windows(texts, ["_id", "_text"], "_words", span)
-    keys = F.explode(F.array_compact(F.array(*map(seed_key, masks))))
-    hits = places.select("_id", "_text", "at", keys.alias("_seed")).join(seeds, "_seed")
+    # the words that all masks compare first; one lookup of them stands before the masks
+    held = os.path.commonprefix([mask.split("0")[0] for mask in masks])
+    first = F.xxhash64(*[f"w{k}" for k in range(len(held))])
+    begins = broadcast_if_small(cut_lineage(windows.select(first.alias("_first")).distinct(), "test-begins"))
+    places = places.withColumn("_first", first).join(begins, "_first", "left_semi")
+    hits = places.select("_id", "_text", "at", F.explode(F.array(*map(seed_key, masks))).alias("_seed")).join(seeds, "_seed")
     hits = hits.select(F.col("_id").alias("_hit"), F.col("_text").alias("_hit_text"), "_test", (F.col("at") - F.col("_at")).alias("_diagonal"))
     hits = broadcast_if_small(cut_lineage(hits.distinct(), "seed-hits"))
 
