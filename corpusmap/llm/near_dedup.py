@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 
 from corpusmap.llm import chunks as C
 from corpusmap.llm import words as W
+from corpusmap.llm.shared import give_back, tidy
 from corpusmap.session import broadcast_if_small, cut_lineage
 
 U64 = np.uint64
 NODES_PER_CHUNK = 1 << 15
 # Rows of one key that are compared by one task; the rows of a larger key are dealt out in blocks.
 BLOCK_ROWS = 2000
-# Shingles of one label that are compared by one task with the sets that visit them.
+# Shingles that are compared by one task with the sets that visit them; a label with more is heavy.
 BLOCK_SHINGLES = 1 << 17
+VISITING_SHINGLES = 1 << 22
+PAIRS_HELD = 1 << 20
 KEY_BITS = 48
 # Share of the pairs at the least similarity that may differ too much to be confirmed.
 MISSED = 5e-8
@@ -138,7 +141,7 @@ def signed_texts(docs: DataFrame, width: int, signature: Signature, id_col: str,
                 names=["_id", "n_shingles", "node", "sig"],
             )
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, n_shingles bigint, node bigint, sig binary")
+    return rows.mapInArrow(tidy(run), f"_id {dict(rows.dtypes)['_id']}, n_shingles bigint, node bigint, sig binary")
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
@@ -223,6 +226,7 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
         own = _starts(a)
         rank = np.arange(len(a)) - np.repeat(own, np.diff(np.append(own, len(a))))
         a, b = a[rank < centres], b[rank < centres]
+        give_back()
         return pa.table({
             "a": pa.array(np.concatenate([a, marked]).view(np.int64)),
             "b": pa.concat_arrays([pa.array(b.view(np.int64)), pa.nulls(len(marked), pa.int64())]),
@@ -233,13 +237,32 @@ def star_pairs(nodes: DataFrame, signature: Signature, chunks: int, centres: int
     return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(pair, "a bigint, b bigint")
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One pair (smallest, other) for each value but the smallest of every set that the pairs connect."""
+    names, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    label = np.arange(len(names))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        for at in (x, y, label[x], label[y]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            moved = label != np.arange(len(names))
+            return names[label[moved]], names[moved]
+        label = new
+
+
 def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int) -> DataFrame:
-    """(a, b), a < b: all pairs of labels with nodes that have a common key, at most ``tolerance`` differences,
-    and sizes that allow ``least`` percent.
+    """(a, b, star): labels with nodes that have a common key, at most ``tolerance`` differences, and sizes that
+    allow ``least`` percent.
 
-    ``nodes`` has node, label, n_shingles and sig. Keys whose nodes all have one label are told apart first
+    ``nodes`` has node, label, n_shingles, heavy and sig. Keys whose nodes all have one label are told apart first
     and need no comparison. Rows of a key beyond BLOCK_ROWS are dealt out by blocks, each two of which meet in
-    a task of their own. However many nodes of two labels are close, a task reports the labels once.
+    a task of their own. A pair with a heavy label is reported as it is, once by a task. Of the pairs of other labels a task
+    reports a star for each set that they connect, so that the rows are no more than the labels compared, however many of
+    them are close to one another.
     """
 
     tolerance = signature.tolerance(least)
@@ -282,6 +305,7 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
         hit = shared[at] == keys
         keys, rows, number, total = keys[hit], rows[hit], number[hit], total[at[hit]].astype(np.int64)
         nodes_here, labels, sizes = (_column(table, c) for c in ("node", "label", "n_shingles"))
+        heavy = _column(table, "heavy")
         sigs = rows_of_bytes(table.column("sig"), signature.values)
         blocks = -(-total // BLOCK_ROWS)
         entry = np.repeat(np.arange(len(keys)), blocks)
@@ -291,7 +315,7 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
         cell = W.mix(W.mix(keys[entry]) + (low * blocks[entry] + high).astype(U64))
         # 0: all rows of the cell are compared; 1 and 2: the rows of one block with those of the other.
         side = np.where(low == high, 0, np.where(own == low, 1, 2))
-        side = (number[entry] * 4 + side).astype(U64)
+        side = (number[entry] * 8 + side).astype(U64) + heavy[rows[entry]] * U64(4)
         order = np.argsort(cell)
         cell, side, rows = cell[order], side[order], rows[entry][order]
         bounds = C.bucket_bounds(cell, chunks)
@@ -308,8 +332,9 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
         sigs = rows_of_bytes(table.column("sigs"), signature.values)
         order = np.lexsort((size, cell))
         cell, side, label, size = (x[order] for x in (cell, side, label, size))
-        size, number, side = size.astype(np.int64), (side >> U64(2)).astype(np.int64), side & U64(3)
-        found = [np.empty((2, 0), np.int64)]
+        size, number, heavy, side = size.astype(np.int64), (side >> U64(3)).astype(np.int64), (side & U64(4)) > 0, side & U64(3)
+        nothing = np.empty((2, 0), np.int64)
+        direct, light = [nothing], [nothing]
         left = np.arange(len(cell))
         step = 1
         while True:  # each row with the one ``step`` places on, while that is in its cell and small enough
@@ -323,17 +348,25 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
             same = sigs[order[a]] == sigs[order[b]]
             near = same.sum(1) >= signature.values - tolerance
             near &= first_common_key(same, signature) == number[a]  # a pair counts at one of its keys
-            a, b = label[a[near]].view(np.int64), label[b[near]].view(np.int64)
-            found.append(np.unique(np.array([np.minimum(a, b), np.maximum(a, b)]), axis=1))
+            a, b = a[near], b[near]
+            pairs = np.sort(label[np.array([a, b])].view(np.int64).reshape(2, -1), axis=0)
+            one_heavy = heavy[a] | heavy[b]
+            direct.append(np.unique(pairs[:, one_heavy], axis=1))
+            light.append(pairs[:, ~one_heavy])
+            if sum(x.shape[1] for x in light) > PAIRS_HELD:
+                light = [np.array(forest(*np.concatenate(light, axis=1)))]
             step += 1
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+        pairs = np.unique(np.concatenate(direct, axis=1), axis=1)
+        stars = np.array(forest(*np.concatenate(light, axis=1)), np.int64).reshape(2, -1)
+        found = np.concatenate([pairs, stars], axis=1)
+        give_back()
+        return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1]), "star": pa.array(np.arange(found.shape[1]) >= pairs.shape[1])})
 
-    cols = [C.chunk_of(chunks, "node").alias("chunk"), "node", "label", "n_shingles", "sig"]
+    cols = [C.chunk_of(chunks, "node").alias("chunk"), "node", "label", "n_shingles", F.col("heavy").cast("long").alias("heavy"), "sig"]
     by_chunk = nodes.select(*cols).groupBy("chunk")
     told = C.ask(by_chunk.applyInArrow(publish, f"bucket int, chunk int, {C.planes(4)}"), answer, 2)
     dealt = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(deal, f"bucket int, chunk int, {C.planes(4)}, sigs binary")
-    return dealt.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return dealt.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint, star boolean").distinct()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -351,7 +384,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_
             sets = [C.pack(hashes[bounds[k] : bounds[k + 1]], True) for k in filled]
             yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    sets = rows.mapInArrow(run, "node bigint, set binary")
+    sets = rows.mapInArrow(tidy(run), "node bigint, set binary")
     # Rows of one id may differ in text, and those alike have one node.
     nodes = broadcast_if_small(wanted.select("node").distinct())
     return sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("set").alias("set"))
@@ -376,14 +409,15 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def linked_labels(pairs: DataFrame, named: DataFrame, sets: DataFrame, least: int) -> DataFrame:
-    """The pairs of labels (a, b) of which some nodes' full sets have ``least`` percent in common.
+    """The pairs of labels (a, b) of which some nodes' full sets have ``least`` percent in common; the larger label of
+    each is heavy.
 
-    The nodes of the larger label stay in blocks of bounded size, sent once; every node of the smaller label
-    visits the blocks. So no pair of nodes becomes a row.
+    The nodes of the larger label stay in blocks of bounded size; every node of the smaller label visits the blocks. So no
+    pair of nodes becomes a row. Where the visitors of a block outgrow a task they come in parts, each with the block.
     """
     totals = named.groupBy("label").agg(F.sum("n_shingles").alias("total"))
     one = totals.select(F.col("label").alias("a"), F.col("total").alias("total_a"))
@@ -392,57 +426,107 @@ def linked_labels(pairs: DataFrame, named: DataFrame, sets: DataFrame, least: in
     first = F.col("total_a") >= F.col("total_b")
     sized = sized.select(
         F.when(first, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("label"),
-        F.ceil(F.greatest("total_a", "total_b") / BLOCK_SHINGLES).alias("blocks"),
+        F.ceil(F.greatest("total_a", "total_b") / BLOCK_SHINGLES).alias("blocks"), F.least("total_a", "total_b").alias("visiting"),
     )
+    sized = cut_lineage(sized, "sized")
+    parts = sized.groupBy("big").agg(F.ceil(F.sum("visiting") / VISITING_SHINGLES).alias("parts"))
+    sized = sized.join(broadcast_if_small(cut_lineage(parts, "parts")), "big")  # at most a row for each heavy label
     held = named.select("node", "label").join(sets, "node")
-    asking = held.select("label", "set").join(sized, "label").select(
-        "big", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("label").alias("small"), F.col("set").alias("visitor")
+    asking = held.select("node", "label", "set").join(sized, "label").select(
+        "big", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"),
+        F.col("label").alias("small"), F.col("set").alias("visitor"),
     )
-    there = held.join(sized.select(F.col("big").alias("label"), "blocks").distinct(), "label").select(
-        F.col("label").alias("big"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("set").alias("member")
+    there = held.join(sized.select(F.col("big").alias("label"), "blocks", "parts").distinct(), "label").select(
+        F.col("label").alias("big"), F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("set").alias("member"),
     )
     cells = 16 * C.partitions(pairs)
 
     def compare(asked: pa.Table, blocks: pa.Table) -> pa.Table:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         members: dict[tuple, list] = {}
-        for key, packed in zip(zip(blocks.column("big").to_pylist(), blocks.column("block").to_pylist()), blocks.column("member").to_pylist()):
-            members.setdefault(key, []).append(packed)
+        for *key, packed in zip(*(blocks.column(c).to_pylist() for c in ("big", "block", "part", "member"))):
+            members.setdefault(tuple(key), []).append(packed)
         visits: dict[tuple, dict] = {}
-        for key, small, packed in zip(
-            zip(asked.column("big").to_pylist(), asked.column("block").to_pylist()), asked.column("small").to_pylist(),
-            asked.column("visitor").to_pylist(),
-        ):
-            visits.setdefault(key, {}).setdefault(small, []).append(packed)
+        for *key, small, packed in zip(*(asked.column(c).to_pylist() for c in ("big", "block", "part", "small", "visitor"))):
+            visits.setdefault(tuple(key), {}).setdefault(small, []).append(packed)
         found = []
         for key, labels in visits.items():
-            sets_here = [C.unpack(x, True) for x in members.get(key, ())]
-            if not sets_here:
+            if key not in members:
                 continue
-            sizes = np.array([len(x) for x in sets_here])
-            hashes = np.concatenate(sets_here)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.argsort(hashes, kind="stable")
-            hashes, owner = hashes[order], owner[order]
+            index = _index([C.unpack(x, True) for x in members[key]])
             for small, packs in labels.items():
-                if any(_meets(C.unpack(x, True), hashes, owner, sizes, least) for x in packs):
+                if any(len(_meets(C.unpack(x, True), *index, least)) for x in packs):
                     found.append((key[0], small))
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
     def cell(df: DataFrame) -> DataFrame:
-        return df.select(C.chunk_of(cells, "big", "block").alias("cell"), *df.columns)
+        return df.select(C.chunk_of(cells, "big", "block", "part").alias("cell"), *df.columns)
 
     met = cell(asking).groupBy("cell").cogroup(cell(there).groupBy("cell")).applyInArrow(compare, "a bigint, b bigint")
     return met.distinct()
 
 
-def _meets(mine: np.ndarray, hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray, least: int) -> bool:
-    """Whether a set has ``least`` percent in common with one of the sets in a sorted list of hashes."""
+def linked_families(stars: DataFrame, named: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """Pairs of labels (a, b) that connect the same labels as all pairs of nodes with ``least`` percent in common do,
+    among the labels that ``stars`` (a, b) connects.
+
+    A family, the labels that stars connect, is dealt by node into blocks of bounded size, and each two blocks meet in a
+    task, which looks every set up in an index of the others' shingles. A set is sent once for each block of its family.
+    """
+    families = connect(stars).select(F.col("node").alias("label"), F.col("label").alias("family"))
+    held = named.join(families, "label").select("family", "label", "node", "n_shingles")
+    blocks = held.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
+    held = held.join(blocks, "family").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    met = held.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "label", "set"
+    )
+    cells = 16 * C.partitions(stars)
+    met = met.withColumn("cell", C.chunk_of(cells, "family", "low", "high"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        groups: dict[tuple, list] = {}
+        for *key, own, label, packed in zip(*(table.column(c).to_pylist() for c in ("family", "low", "high", "own", "label", "set"))):
+            groups.setdefault(tuple(key), []).append((own, label, packed))
+        out = [np.empty((2, 0), np.int64)]
+        for (_, low, high), rows in groups.items():
+            here = [(label, C.unpack(x, True)) for own, label, x in rows if own == high]
+            asking = here if low == high else [(label, C.unpack(x, True)) for own, label, x in rows if own == low]
+            if not here or not asking:
+                continue
+            labels = np.array([label for label, _ in here], np.int64)
+            index = _index([x for _, x in here])
+            pairs = out[:1]
+            for label, mine in asking:
+                near = np.unique(labels[_meets(mine, *index, least)])
+                near = near[near != label]
+                if len(near):
+                    pairs.append(np.array([np.full(len(near), label), near]))
+                if sum(x.shape[1] for x in pairs) > PAIRS_HELD:
+                    pairs = [np.array(forest(*np.concatenate(pairs, axis=1)))]
+            out.append(np.array(forest(*np.concatenate(pairs, axis=1)), np.int64).reshape(2, -1))
+        found = np.concatenate(out, axis=1)
+        return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1])})
+
+    return met.groupBy("cell").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _index(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, owners, sizes): the hashes of all sets in order, the set each is of, and the sets' sizes."""
+    sizes = np.array([len(x) for x in sets])
+    hashes = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], owner[order], sizes
+
+
+def _meets(mine: np.ndarray, hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    """The indexed sets that have ``least`` percent in common with a set."""
     low, high = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
     runs = high - low
     places = np.arange(runs.sum()) + np.repeat(low - (np.cumsum(runs) - runs), runs)
     same = np.bincount(owner[places], minlength=len(sizes))
-    return bool((100 * same >= least * (len(mine) + sizes - same)).any())
+    return np.flatnonzero(100 * same >= least * (len(mine) + sizes - same))
 
 
 def connect(links: DataFrame) -> DataFrame:
@@ -473,8 +557,8 @@ def near_duplicates(
 
     Texts are linked if 100 * shingles in common >= ``least`` * shingles of either. Texts with equal sets
     are one node; nodes that share a key of their signatures are candidates, and all candidates are confirmed
-    on their full sets unless they are connected already:
-    first each node with the smallest nodes of its keys, then all that still have different labels.
+    on their full sets unless they are connected already: first each node with the smallest nodes of its keys, then all that
+    still have different labels, block against block, so that no pair of nodes or labels becomes a row.
 
     A-Z count as lower case, words are runs of anything but ASCII white space. A null text or one without
     words has an empty set and is a component of its own. A null id comes after all others: a component
@@ -498,9 +582,14 @@ def near_duplicates(
     links = cut_lineage(confirm(tried, sets, least), "confirmed")
     labels = connect(links)
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = cut_lineage(named, "named")
+    heavy = named.groupBy("label").agg(F.sum("n_shingles").alias("_total")).filter(F.col("_total") > BLOCK_SHINGLES)
+    heavy = broadcast_if_small(cut_lineage(heavy.select("label", F.lit(True).alias("heavy")), "heavy"))
+    named = cut_lineage(named.join(heavy, "label", "left").na.fill(False, ["heavy"]), "named")
     met = cut_lineage(mixed_labels(named, signature, chunks, least), "mixed")
-    more = cut_lineage(linked_labels(met, named.select("node", "label", "n_shingles"), sets, least), "linked")
+    narrow = named.select("node", "label", "n_shingles")
+    ways = ((linked_labels, met.filter("NOT star")), (linked_families, met.filter("star")))
+    found = [cut_lineage(way(rows.select("a", "b"), narrow, sets, least), "linked") for way, rows in ways if not rows.isEmpty()]
+    more = found[0].unionByName(found[-1]) if found else links.limit(0)
     if not more.isEmpty():
         merged = connect(more).select(F.col("node").alias("label"), F.col("label").alias("to"))
         labels = named.join(broadcast_if_small(merged), "label", "left").select("node", F.coalesce("to", "label").alias("label"))

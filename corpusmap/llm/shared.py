@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 
-from pyspark import cloudpickle
+import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import SparkSession
 
+_sent: list[Broadcast] = []
+
 
 def share(spark: SparkSession, value) -> Callable[[], object]:
     """A function that gives ``value`` inside tasks.
@@ -16,6 +21,7 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
     one object it has unpacked, and what that has learned, over its tasks.
     """
     sent = spark.sparkContext.broadcast([cloudpickle.dumps(value)])
+    _sent.append(sent)
 
     def get():
         held = sent.value
@@ -24,3 +30,26 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
         return held[0]
 
     return get
+
+
+def take_back() -> None:
+    """Remove the objects shared so far from the executors; one that is used again is sent again."""
+    while _sent:
+        _sent.pop().unpersist()
+
+
+def give_back() -> None:
+    """Return the memory that work in this process has freed to the system, as the process will outlive the task."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over batches, with freed memory given back at its end."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied

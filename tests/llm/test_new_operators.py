@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 
 import brute_new
-from corpusmap.llm import byte_bpe, conversation_trie, queries, source_divergence
+from corpusmap.llm import byte_bpe, conversation_trie, near_dedup, queries, source_divergence
 
 SF_DIR = "/root/testdata/sf0.01"
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -184,3 +184,57 @@ def test_conversations_without_turns_are_members_of_the_root(spark):
     ids = [c for c in range(1, 200) if c % 5 and zlib.crc32(str(c).encode()) % 9 >= 2][:6]
     rows = [(c, t, "u", str(t)) for c in ids for t in range(2)]
     assert trie(spark.createDataFrame(rows, SCHEMA)) == expected(rows)
+
+
+# ------------------------------------------------------------ near copies: families that are close but not linked
+def family_of(n, seed=0, words=130, share=None, gone=6):
+    """Variants of one text: each with ``gone`` of its words replaced, or with each word kept by a chance of root(share). Of
+    130 words with 6 replaced any two share about seven tenths of their word pairs."""
+    pick = random.Random(seed)
+    out = []
+    for i in range(n):
+        lost = set(pick.sample(range(words), gone)) if share is None else {k for k in range(words) if pick.random() >= share**0.5}
+        out.append(" ".join(f"o{seed}x{i}x{k}" if k in lost else f"w{seed}x{k}" for k in range(words)))
+    return out
+
+
+def stored_rows(spark, monkeypatch, texts, least):
+    held = {}
+    write = near_dedup.cut_lineage
+
+    def keep(df, label="stage"):
+        out = write(df, label)
+        held[label] = held.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "cut_lineage", keep)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_dedup.near_duplicates(df, width=2, least=least).collect()
+    return held, {r.doc_id: r.component_id for r in rows}
+
+
+def test_close_families_make_no_row_per_pair(spark, monkeypatch):
+    few, _ = stored_rows(spark, monkeypatch, family_of(100), 80)
+    many, found = stored_rows(spark, monkeypatch, family_of(300), 80)
+    assert len(found) == 300
+    assert many["mixed"] < 6 * few["mixed"] + 300 and many["mixed"] < 300 * 100
+    assert sum(many.values()) < 5 * sum(few.values())
+
+
+@pytest.mark.parametrize("block", [1 << 17, 500])
+def test_families_and_heavy_labels_in_blocks(spark, monkeypatch, block):
+    """Families next to the bound, some with a label of many nodes, against all pairs."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(near_dedup, "VISITING_SHINGLES", 2 * block)
+    monkeypatch.setattr(near_dedup, "PAIRS_HELD", 20)
+    texts = family_of(60, 1, share=0.93) + family_of(60, 2, share=0.9) + family_of(40, 3, share=0.97) + family_of(30, 4, share=0.8)
+    sets = [{tuple(t.lower().split()[k : k + 2]) for k in range(len(t.split()) - 1)} for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    _, found = stored_rows(spark, monkeypatch, texts, 80)
+    assert found == dict(enumerate(group))
+    assert len(set(group)) > 20 and max(group.count(g) for g in set(group)) > 5
