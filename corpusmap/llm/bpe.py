@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmap.llm import words as W
-from corpusmap.llm.shared import share
+from corpusmap.llm.shared import share, tidy
 
 NEVER = 1 << 62
 FINAL = 256  # added to the last byte of a word, which is a symbol of its own
 CACHE = 150_000  # entries of a worker's memory of words and of pairs; it starts anew when full
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 def byte_characters() -> list[str]:
@@ -282,7 +282,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             ids = model.encode_batch(piece.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays([piece.column("_id"), _lists(ids)], names=["_id", "ids"])
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, ids array<int>").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {dict(rows.dtypes)['_id']}, ids array<int>").withColumnRenamed("_id", id_col)
 
 
 def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,7 +300,7 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
             )
 
     schema = f"_id {dict(rows.dtypes)['_id']}, ids array<int>, decoded string"
-    return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), schema).withColumnRenamed("_id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
@@ -314,4 +314,4 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
             texts = [model.decode(row) for row in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(texts, pa.string())], names=["_id", "decoded"])
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, decoded string").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {dict(rows.dtypes)['_id']}, decoded string").withColumnRenamed("_id", id_col)

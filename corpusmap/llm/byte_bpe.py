@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmap.llm import words as W
-from corpusmap.llm.shared import share
+from corpusmap.llm.shared import share, tidy
 
 NONE = np.int32(2**31 - 1)  # rank of a pair that no merge makes
 EMPTY = np.uint64(2**64 - 1)
@@ -350,7 +350,7 @@ def _over_texts(docs: DataFrame, path: str, pattern: str, id_col: str, text_col:
             ids, offsets = model.encode_batch(piece.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays([piece.column("_id"), *build(model, ids, offsets)], names=names)
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, {columns}").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {dict(rows.dtypes)['_id']}, {columns}").withColumnRenamed("_id", id_col)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -386,4 +386,4 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id")
             data, ends = model.decode_batch(lists.flatten().to_numpy(zero_copy_only=False), offsets)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), _binary(data, ends)], names=["_id", "decoded"])
 
-    return rows.mapInArrow(run, f"_id {dict(rows.dtypes)['_id']}, decoded binary").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(tidy(run), f"_id {dict(rows.dtypes)['_id']}, decoded binary").withColumnRenamed("_id", id_col)

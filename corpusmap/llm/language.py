@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmap.functions.ranking import first_n_per_group
 from corpusmap.llm import words as W
-from corpusmap.llm.shared import share
+from corpusmap.llm.shared import share, tidy
 from corpusmap.session import cut_lineage
 
 ORDER = 3
@@ -115,7 +115,7 @@ def _counted(texts: DataFrame, index: dict[str, int], class_of: np.ndarray, clas
                 names=["language", "code", "n"],
             )
 
-    return texts.mapInArrow(run, "language bigint, code bigint, n bigint").groupBy("language", "code").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(run), "language bigint, code bigint, n bigint").groupBy("language", "code").agg(F.sum("n").alias("n"))
 
 
 def train(
@@ -215,7 +215,7 @@ def predict(
             )
 
     schema = f"_id {kinds['_id']}, lang_pred string, score double, bits_per_byte double"
-    found = rows.mapInArrow(run, ", ".join([schema, *(f"{c} {kinds[c]}" for c in carried)]))
+    found = rows.mapInArrow(tidy(run), ", ".join([schema, *(f"{c} {kinds[c]}" for c in carried)]))
     return found.withColumnsRenamed({"_id": id_col, **dict(zip(carried, carry))})
 
 
