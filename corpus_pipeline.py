@@ -9,24 +9,38 @@ from pyspark.sql import functions as F
 
 from corpusmap.llm import bpe, decontamination, language, line_dedup, near_dedup
 from corpusmap.llm.queries import documents, tokenizer_path
-from corpusmap.session import broadcast_if_small, cut_lineage
+from corpusmap.llm.shared import take_back
+from corpusmap.session import arrow_batches, broadcast_if_small, cut_lineage, drop_folder, new_folder, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Below this a text is as likely in the other languages together as in its own.
 MIN_SCORE = 0.5
+# Of a batch of rows that goes to Python.
+BATCH_BYTES = 4 << 20
 # No SQL expresses language models, near copies or byte-pair encoding.
 ORACLE_SQL = None
 
 
+# Every stage but the last returns COLUMNS; further columns of its input are not carried on, whatever their names.
+# Repeated rows are rows of their own, except to near_copies; an empty table gives none.
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language known from the labels; those without letters or without a clear language go."""
+    """Documents of a language known from the labels; those without letters or without a clear language go.
+
+    A null or empty text has no letters. Rows without a language are judged by the others' labels; without any label, no
+    row stays. Of languages that fit a text equally well the first by name counts. Rows with null ids are judged too.
+    """
     model = language.train(docs)
     found = language.predict(docs, model, carry=COLUMNS[1:])
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
 
 
 def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sources share; ``n_chars`` follows the text."""
+    """All documents, without the lines that many sources share; ``n_chars`` follows the text.
+
+    A null text stays null, as does its ``n_chars``; a null source is no source, though its rows lose such lines too.
+    """
     cleaned = line_dedup.dedup_lines(docs.select(*COLUMNS))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -47,13 +61,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark, each row judged by its own text; null and empty texts stay."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.drop_contaminated(docs, items).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every document; a null or empty text has none."""
     encoded = bpe.encode(docs, tokenizer_path("word_bpe_49k.json"))
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -69,8 +83,20 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again before the next stage."""
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    """All stages over ``documents``; each result is written and read again before the next stage.
+
+    What a stage wrote on its way, and its input, are removed once its result is there.
+    """
+    docs, before = documents(spark, sf_dir), None
+    with arrow_batches(spark, BATCH_BYTES):
+        for name, stage in STAGES:
+            folder = new_folder(spark, f"pipeline-{name}")
+            with scratch(spark):
+                result = stage(spark, docs, sf_dir)
+                result.write.parquet(folder)
+            docs = spark.read.schema(result.schema).parquet(folder)
+            take_back()
+            if before:
+                drop_folder(spark, before)
+            before = folder
     return docs
