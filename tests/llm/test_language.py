@@ -1,0 +1,98 @@
+"""Language identification: code lengths against a plain version, many languages, ties and foreign texts."""
+
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from corpusmap.llm import language
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def learned(texts):
+    """How often each byte follows the last 3, 2, 1 and 0 bytes."""
+    seen = [defaultdict(Counter) for _ in range(4)]
+    for text in texts:
+        data = bytes(3) + text
+        for i in range(3, len(data)):
+            for order in range(4):
+                seen[order][data[i - order : i]][data[i]] += 1
+    return seen
+
+
+def plain_bits(seen, text):
+    data, out = bytes(3) + text, 0.0
+    for i in range(3, len(data)):
+        left_out, weight, chance = set(), 1.0, None
+        for order in (3, 2, 1, 0):
+            counts = {s: n for s, n in seen[order].get(data[i - order : i], {}).items() if s not in left_out}
+            total, distinct = sum(counts.values()), len(counts)
+            if not total:
+                continue
+            if data[i] in counts:
+                chance = weight * counts[data[i]] / (total + distinct)
+                break
+            weight *= distinct / (total + distinct)
+            left_out |= set(counts)
+        out -= np.log2(weight / (256 - len(left_out)) if chance is None else chance)
+    return out
+
+
+def test_code_lengths_of_a_whole_table(spark):
+    rows = duckdb.sql("SELECT doc_id, text, lang FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    rows = [(i, t[:600] if t else t, lang) for i, t, lang in rows] + [(9000, "ÿ\x00 ŧ字", "en"), (9001, None, "en"), (9002, "", "de"), (9003, "x", None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    model = language.train(df)
+    assert model.languages == sorted({lang for _, t, lang in rows if t and lang})
+    known = [learned([t.encode() for _, t, lang in rows if t and lang == name]) for name in model.languages]
+    found = {r.doc_id: r for r in language.predict(df, model).collect()}
+    for i, text, _ in rows:
+        bits = [plain_bits(seen, (text or "").encode()) for seen in known]
+        if any(c.isalpha() for c in text or ""):
+            assert found[i].lang_pred == model.languages[int(np.argmin(bits))]
+            assert found[i].bits_per_byte == pytest.approx(min(bits) / len(text.encode()), abs=1e-4)
+            assert found[i].score == pytest.approx(1 / sum(2.0 ** max(min(bits) - b, -1000) for b in bits), abs=1e-3)
+        else:
+            assert found[i].lang_pred == "und" and found[i].score == 0
+
+
+def test_a_hundred_languages(spark):
+    """No bound on languages: each of them has words of its own and is told from the others."""
+    pick = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüéèñç"
+
+    def text(k, n):
+        words = random.Random(k)
+        own = ["".join(words.choices(letters, k=words.randint(3, 8))) for _ in range(40)]
+        return " ".join(pick.choice(own) for _ in range(n))
+
+    rows = [(100 * k + i, text(k, 60), f"l{k:03d}") for k in range(100) for i in range(4)]
+    model = language.train(spark.createDataFrame(rows, SCHEMA))
+    assert model.languages == [f"l{k:03d}" for k in range(100)]
+    probes = spark.createDataFrame([(k, text(k, 12), None) for k in range(100)], SCHEMA)
+    assert all(r.lang_pred == f"l{r.doc_id:03d}" for r in language.predict(probes, model).collect())
+
+
+def test_of_equal_languages_the_first_by_name_counts(spark):
+    rows = [(k, "the same words for both", lang) for k, lang in enumerate(["zz", "aa"])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [(r.lang_pred, round(r.score, 6)) for r in language.predict(df, language.train(df)).collect()] == [("aa", 0.5)] * 2
+
+
+def test_texts_that_no_language_shortens_are_rejected(spark):
+    pick = random.Random(8)
+    docs = duckdb.sql("SELECT doc_id, text, lang, source, n_chars FROM '/root/testdata/sf0.001/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    own = next(t for _, t, lang, _, _ in docs if lang == "en" and len(t) > 300)
+    noise = "".join(chr(pick.randint(33, 591)) for _ in range(400)) + "a"
+    strange = [(-1, "Это предложение написано на другом языке, которого нет среди меток.", "en", "s", 1), (-2, noise, "en", "s", 1), (-3, own, None, "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    df = spark.createDataFrame(docs, schema)
+    probes = spark.createDataFrame(strange, schema)
+    found = {r.doc_id: r for r in language.predict(probes, language.train(df)).collect()}
+    assert found[-1].bits_per_byte > corpus_pipeline.MOST_BITS < found[-2].bits_per_byte and found[-3].bits_per_byte < 4
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, df.unionByName(probes.filter("doc_id = -3")), "").collect()}
+    assert -3 in kept
