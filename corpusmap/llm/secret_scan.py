@@ -37,29 +37,58 @@ KINDS = (*BASE, PRIVATE_KEY, SIGNED, PREFIXED)
 
 # A value seen under this many owners is an example that has been copied around.
 COPIED_OWNERS = 3
+# Matches whose places are summed up together.
+BLOCK = 64
 # A live-looking value has at least this many different characters.
 LIVE_CHARACTERS = 8
 
 
-def _spans(text: Column, kind: Kind, number: int) -> Column:
-    """Spans of one kind, leftmost first, without overlaps; positions in code points, end exclusive."""
+def _parts(text: Column, kind: Kind) -> Column:
+    """Of each match of one kind, leftmost first, without overlaps: characters before it since the last one, its own, its
+    value; one entry more with the characters behind the last. None without a match."""
     pattern = F.lit(kind.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else found
     between = F.split(text, kind.pattern, -1)  # one part more than there are matches
-    parts = F.arrays_zip(between.alias("gap"), found.alias("whole"), values.alias("value"))
+    parts = F.arrays_zip(
+        F.transform(between, F.length).alias("gap"), F.transform(found, F.length).alias("whole"), values.alias("value")
+    )
+    return F.when(text.rlike(kind.pattern), parts).otherwise(F.array().cast("array<struct<gap:int,whole:int,value:string>>"))
+
+
+def _spans(parts: Column, kind: Kind, number: int) -> Column:
+    """Spans of one kind; positions in code points, end exclusive.
+
+    Positions are sums of the lengths before, first over blocks of BLOCK matches and then within each block, so that the
+    work follows the number of matches. ``parts`` must be a column, as it is read again for every block.
+    """
     none = F.array().cast("array<struct<start:int,number:int,end:int,value:string>>")
+    blocks = F.sequence(F.lit(0), F.greatest(F.floor((F.size(parts) - 1) / BLOCK), F.lit(0)).cast("int"))
+
+    def members(block: Column) -> Column:
+        return F.slice(parts, block * BLOCK + 1, F.lit(BLOCK))
+
+    def length(block: Column) -> Column:
+        return F.aggregate(members(block), F.lit(0), lambda total, p: total + p["gap"] + F.coalesce(p["whole"], F.lit(0)))
+
+    def add(done: Column, size: Column) -> Column:
+        return F.struct((done["at"] + size).alias("at"), F.array_append(done["starts"], done["at"]).alias("starts"))
+
+    nowhere = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate(F.transform(blocks, length), nowhere, add, lambda done: done["starts"])
 
     def step(done: Column, part: Column) -> Column:
-        start = done["at"] + F.length(part["gap"])
-        end = start + F.length(part["whole"])
+        start = done["at"] + part["gap"]
+        end = start + part["whole"]
         span = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), part["value"].alias("value"))
         return F.struct(F.coalesce(end, start).alias("at"), F.when(
             F.length(part["value"]) >= kind.least, F.array_append(done["spans"], span)
         ).otherwise(done["spans"]).alias("spans"))
 
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda done: done["spans"])
-    return F.when(text.rlike(kind.pattern), walked).otherwise(none)
+    def walked(block: Column, at: Column) -> Column:
+        return F.aggregate(members(block), F.struct(at.alias("at"), none.alias("spans")), step, lambda done: done["spans"])
+
+    return F.flatten(F.zip_with(blocks, starts, walked))
 
 
 def find_secrets(
@@ -71,8 +100,11 @@ def find_secrets(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(owner_col).alias("_owner"), text.alias("_text"))
-    found = F.array_sort(F.concat(*[_spans(F.col("_text"), kind, k) for k, kind in enumerate(kinds)]))
-    return rows.select("_id", "_owner", F.xxhash64("_text").alias("text_key"), found.alias("spans"))
+    matched = rows.select(
+        "_id", "_owner", F.xxhash64("_text").alias("text_key"), *[_parts(F.col("_text"), kind).alias(f"_parts{k}") for k, kind in enumerate(kinds)]
+    )
+    found = F.array_sort(F.concat(*[_spans(F.col(f"_parts{k}"), kind, k) for k, kind in enumerate(kinds)]))
+    return matched.select("_id", "_owner", "text_key", found.alias("spans"))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
