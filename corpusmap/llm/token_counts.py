@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmap.llm import words as W
 from corpusmap.llm.shared import share
-from corpusmap.session import exists, list_folder
+from corpusmap.session import drop_folder, exists, list_folder
 
 GROUP = ("source", "lang", "tokenizer")
 KINDS = ("insert", "delete", "revise")
@@ -86,11 +86,12 @@ class TokenLedger:
     documents it changed, and the sums of its signed changes per group, written last; a batch counts
     once the second is complete. Applying a committed batch again changes nothing, and what a broken run
     left of a batch is written anew, so a batch may be retried at any time. Batches are applied in the order
-    of their numbers.
+    of their numbers. Every ``fold_after`` batches they are folded into a base, the state of the documents that are there and
+    the totals, by the same rule; from then on only the base and later batches are read.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, fold_after: int = 32):
+        self.spark, self.root, self.fold_after = spark, root.rstrip("/"), fold_after
 
     def _folder(self, table: str, batch: int) -> str:
         return f"{self.root}/{table}/batch={batch}"
@@ -106,6 +107,41 @@ class TokenLedger:
     def _read(self, table: str, batches: list[int]) -> DataFrame:
         return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*(self._folder(table, b) for b in batches))
 
+    def _base_folder(self, upto: int) -> str:
+        return f"{self.root}/base/upto={upto}"
+
+    def base(self) -> int | None:
+        """The last batch that is folded into the base, None without one."""
+        found = [int(name[5:]) for name in list_folder(self.spark, f"{self.root}/base") if name.startswith("upto=")]
+        return max((b for b in found if exists(self.spark, f"{self._base_folder(b)}/deltas/_SUCCESS")), default=None)
+
+    def _since(self) -> list[int]:
+        base = self.base()
+        return [b for b in self.batches() if base is None or b > base]
+
+    def _rows(self, table: str) -> DataFrame | None:
+        """All rows of a table: those of the base, with its last batch, and of the batches since."""
+        base, since = self.base(), self._since()
+        rows = self._read(table, since) if since else None
+        if base is not None:
+            folded = self.spark.read.parquet(f"{self._base_folder(base)}/{table}").withColumn("batch", F.lit(base))
+            rows = folded if rows is None else folded.unionByName(rows)
+        return rows
+
+    def fold(self) -> int | None:
+        """Fold all batches into a base and remove the states that it replaces; returns its last batch."""
+        base, batches = self.base(), self.batches()
+        if not batches or batches[-1] == base:
+            return base
+        upto = batches[-1]
+        _latest(self._rows("state")).filter("live").write.mode("overwrite").parquet(f"{self._base_folder(upto)}/state")
+        _summed(self._rows("deltas")).write.mode("overwrite").parquet(f"{self._base_folder(upto)}/deltas")
+        for batch in batches:  # the small tables of deltas stay, as they tell which batches have been applied
+            drop_folder(self.spark, self._folder("state", batch))
+        if base is not None:
+            drop_folder(self.spark, self._base_folder(base))
+        return upto
+
     def apply(self, batch: int, changes: DataFrame, counter, id_col: str = "doc_id") -> bool:
         """Apply one batch; False if it had been committed before.
 
@@ -137,14 +173,15 @@ class TokenLedger:
         signed = state.filter("live").select(*GROUP, F.lit(1).alias("_sign"), "n_tokens")
         if earlier:
             ids = state.select(F.col("_id").alias("_changed"))
-            before = self._read("state", earlier)
-            before = before.join(ids, F.col("_id").eqNullSafe(F.col("_changed")), "left_semi")
-            last = before.groupBy("_id").agg(F.max(F.struct("batch", "live", "n_tokens", *GROUP)).alias("s")).select("s.*")
+            before = self._rows("state").join(ids, F.col("_id").eqNullSafe(F.col("_changed")), "left_semi")
+            last = _latest(before)
             signed = signed.unionByName(last.filter("live").select(*GROUP, F.lit(-1).alias("_sign"), "n_tokens"))
         deltas = signed.groupBy(*GROUP).agg(
             F.sum("_sign").cast("long").alias("n_docs"), F.sum(F.col("_sign") * F.col("n_tokens")).alias("n_tokens")
         )
         deltas.write.mode("overwrite").parquet(self._folder("deltas", batch))
+        if len(self._since()) >= self.fold_after:
+            self.fold()
         return True
 
     def totals(self) -> DataFrame:
@@ -152,7 +189,15 @@ class TokenLedger:
         batches = self.batches()
         if not batches:
             return self.spark.createDataFrame([], "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint")
-        summed = self._read("deltas", batches).groupBy(*GROUP).agg(
-            F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
-        )
-        return summed.filter("n_docs <> 0")
+        return _summed(self._rows("deltas"))
+
+
+def _latest(states: DataFrame) -> DataFrame:
+    """The last state of every document, of several in one batch one by a fixed order."""
+    return states.groupBy("_id").agg(F.max(F.struct("batch", "live", "n_tokens", *GROUP)).alias("s")).select("_id", "s.*")
+
+
+def _summed(deltas: DataFrame) -> DataFrame:
+    """Totals of the groups that have documents."""
+    summed = deltas.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    return summed.filter("n_docs <> 0")
