@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from corpusmap.llm import bpe, decontamination, language, line_dedup, near_dedup
 from corpusmap.llm.queries import documents, tokenizer_path
-from corpusmap.llm.shared import take_back
+from corpusmap.llm.shared import give_back, take_back
 from corpusmap.session import arrow_batches, broadcast_if_small, cut_lineage, drop_folder, new_folder, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Below this a text is as likely in the other languages together as in its own.
 MIN_SCORE = 0.5
+# Bits a byte from which on the best language's statistics do not shorten a text.
+MOST_BITS = 8.0
 # Of a batch of rows that goes to Python.
 BATCH_BYTES = 4 << 20
 # No SQL expresses language models, near copies or byte-pair encoding.
@@ -26,14 +28,16 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language known from the labels; those without letters or without a clear language go.
+    """Documents of a language known from the labels; those without letters, without a clear language or such that no
+    learned language makes them shorter (foreign scripts, noise) go.
 
     A null or empty text has no letters. Rows without a language are judged by the others' labels; without any label, no
     row stays. Of languages that fit a text equally well the first by name counts. Rows with null ids are judged too.
     """
     model = language.train(docs)
     found = language.predict(docs, model, carry=COLUMNS[1:])
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
+    told = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE) & (F.col("bits_per_byte") < MOST_BITS)
+    return found.filter(told).select(*COLUMNS)
 
 
 def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -96,6 +100,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
                 result.write.parquet(folder)
             docs = spark.read.schema(result.schema).parquet(folder)
             take_back()
+            give_back()
             if before:
                 drop_folder(spark, before)
             before = folder
