@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import pickle
 import sys
 from collections.abc import Callable, Iterator
@@ -32,10 +33,14 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
     return get
 
 
-def take_back() -> None:
-    """Remove the objects shared so far from the executors; one that is used again is sent again."""
+def take_back(spark: SparkSession) -> None:
+    """Let go of what finished work has left: objects shared so far go from the executors (one that is used again is
+    sent again), and the driver drops its references, so that Spark removes shuffle files and broadcasts nobody reads."""
     while _sent:
         _sent.pop().unpersist()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    give_back()
 
 
 def give_back() -> None:
