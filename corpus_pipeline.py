@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmap.llm import bpe, decontamination, language, line_dedup, near_dedup
 from corpusmap.llm.queries import documents, tokenizer_path
-from corpusmap.llm.shared import give_back, take_back
+from corpusmap.llm.shared import take_back
 from corpusmap.session import arrow_batches, broadcast_if_small, cut_lineage, drop_folder, new_folder, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -99,8 +99,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
                 result = stage(spark, docs, sf_dir)
                 result.write.parquet(folder)
             docs = spark.read.schema(result.schema).parquet(folder)
-            take_back()
-            give_back()
+            take_back(spark)
             if before:
                 drop_folder(spark, before)
             before = folder
