@@ -15,8 +15,9 @@ from corpusmap.session import arrow_batches, broadcast_if_small, cut_lineage, dr
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Below this a text is as likely in the other languages together as in its own.
 MIN_SCORE = 0.5
-# Bits a byte from which on the best language's statistics do not shorten a text.
-MOST_BITS = 8.0
+# A text goes if the best language's statistics make it longer than its bytes, and by more than what a key or a rare
+# name in a short text costs.
+MOST_BITS, SPARE_BITS = 8, 256
 # Of a batch of rows that goes to Python.
 BATCH_BYTES = 4 << 20
 # No SQL expresses language models, near copies or byte-pair encoding.
@@ -36,8 +37,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = language.train(docs)
     found = language.predict(docs, model, carry=COLUMNS[1:])
-    told = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE) & (F.col("bits_per_byte") < MOST_BITS)
-    return found.filter(told).select(*COLUMNS)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    excess = (F.col("bits_per_byte") - MOST_BITS) * F.octet_length("text")
+    return found.filter(known & (excess <= SPARE_BITS)).select(*COLUMNS)
 
 
 def line_cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
