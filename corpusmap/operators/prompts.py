@@ -136,9 +136,12 @@ def label_prompts(
     prompts: DataFrame, systems: DataFrame, labeler: Labeler, calls: int | None = None,
     pause: tuple[float, float] = PAUSE, per_task: int = 1,
 ) -> DataFrame:
-    """(namespace, node_id, label, errors); a NULL prompt gives ``ready_label``, if there is that column,
+    """(namespace, node_id, label, errors, failure); a NULL prompt gives ``ready_label``, if there is that column,
     or a NULL label, without a call.
 
+    ``errors`` counts failed attempts. Where the last attempt met a server error too, the label is NULL and ``failure``
+    says why; the other labels of the job stay. Any other error of the labeler ends the job.
+
     ``systems`` has one row per namespace. ``calls`` caps how many calls are made at a time over all tasks; without it
     every task makes its own. A task has up to ``per_task`` of them in flight on a pool of threads and gives the
     results in the order of its rows, so the labeler must bear being called from several threads if ``per_task`` is
@@ -155,8 +158,15 @@ def label_prompts(
     if calls is not None:
         work = work.repartition(calls // per_task)
 
-    def label(system: str, prompt: str | None, ready: str | None) -> tuple[str | None, int]:
-        return (ready, 0) if prompt is None else call_labeler(labeler, system, prompt, pause)
+    def label(system: str, prompt: str | None, ready: str | None) -> tuple[str | None, int, str | None]:
+        if prompt is None:
+            return ready, 0, None
+        try:
+            return *call_labeler(labeler, system, prompt, pause), None
+        except ServerError as error:
+            if not 500 <= error.status_code <= 599:
+                raise
+            return None, ATTEMPTS, str(error)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(per_task) as pool:
@@ -164,10 +174,11 @@ def label_prompts(
                 found = list(pool.map(label, batch["system_prompt"], batch["prompt"], batch["ready_label"]))
                 yield pd.DataFrame({
                     "namespace": batch["namespace"].to_numpy(), "node_id": batch["node_id"].to_numpy(),
-                    "label": [label for label, _ in found], "errors": [errors for _, errors in found],
+                    "label": [label for label, _, _ in found], "errors": [errors for _, errors, _ in found],
+                    "failure": [failure for _, _, failure in found],
                 })
 
-    return work.mapInPandas(run, "namespace string, node_id bigint, label string, errors int")
+    return work.mapInPandas(run, "namespace string, node_id bigint, label string, errors int, failure string")
 
 
 def keyword_labeler(system: str, prompt: str) -> str | None:

@@ -142,7 +142,9 @@ def g4(spark, sf):
     nodes = fx.cluster_tree(spark, sf)
     asked = prompts.leaf_prompts(leaf_nodes(nodes), g2_lines(spark, sf))
     systems = prompts.system_prompts(nodes, fx.languages(spark))
-    return prompts.label_prompts(asked, systems, digest_labeler, calls=8, pause=(0, 0))
+    found = prompts.label_prompts(asked, systems, digest_labeler, calls=8, pause=(0, 0))
+    answered = F.when(F.col("failure").isNull(), F.col("errors"))  # NULL: no number of attempts was enough
+    return found.select("namespace", "node_id", "label", answered.alias("errors"))
 
 
 class InFlight:
