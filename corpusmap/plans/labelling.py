@@ -30,11 +30,13 @@ from corpusmap.session import cut_lineage
 
 @dataclass
 class LabelRun:
-    """The tree with its new labels, how many node-passes each namespace took, failed calls."""
+    """The tree with its new labels, how many node-passes each namespace took, failed calls, and prompts
+    that every attempt failed on: their labels are NULL, and ``resume`` asks for them again."""
 
     nodes: DataFrame
     processed: dict[str, int]
     errors: int
+    failed: int = 0
 
 
 def first_nodes(work: DataFrame, order: Sequence, remaining: dict[str, int]) -> DataFrame:
@@ -93,7 +95,7 @@ def label_trees(
         """Get labels for prompts and put them into the state."""
         nonlocal state
         found = cut_lineage(prompts.label_prompts(asked, systems, labeler, calls, pause), "labels")
-        answers.append(found.select("errors"))
+        answers.append(found.select("errors", "failure"))
         labels = found.select(*NODE_KEY, F.col("label").alias(column))
         state = cut_lineage(set_labels(state, labels, [column]), "labels")
 
@@ -133,5 +135,5 @@ def label_trees(
     roots = root_labels(state.filter(F.col("namespace").isin(finished)), languages, root_suffix)
     both = roots.select(*NODE_KEY, F.col("root_label").alias("first_label"), F.col("root_label").alias("final_label"))
     state = cut_lineage(set_labels(state, both, ["first_label", "final_label"]), "labels")
-    errors = reduce(DataFrame.unionByName, answers).agg(F.sum("errors")).first()[0] or 0
-    return LabelRun(set_labels(nodes, state, ["first_label", "final_label"]), used, errors)
+    errors, failed = reduce(DataFrame.unionByName, answers).agg(F.sum("errors"), F.count("failure")).first()
+    return LabelRun(set_labels(nodes, state, ["first_label", "final_label"]), used, errors or 0, failed)

@@ -113,3 +113,25 @@ def test_calls_bound_the_tasks_that_call(spark):
     systems = spark.createDataFrame([(NS, "s")], "namespace string, system_prompt string")
     found = prompts.label_prompts(asked, systems, lambda system, prompt: "label", calls=3)
     assert found.select(F.spark_partition_id().alias("task")).distinct().count() <= 3 and found.count() == 60
+
+
+def test_a_prompt_that_no_attempt_answers_leaves_the_others_labelled(spark, small):
+    def narrow(system, prompt):
+        if "Ten" in prompt:
+            raise prompts.ServerError(500, "too long")
+        return "fine"
+
+    run = label_trees(*small, narrow, "refresh", pause=(0, 0))
+    got = labels(run)
+    assert got[4] == (None, None) and got[5] == ("fine", "fine") and got[3] == ("fine", "fine")
+    assert run.failed == 2 and run.errors == 2 * prompts.ATTEMPTS
+    again = label_trees(run.nodes, *small[1:], lambda system, prompt: "later", "resume", pause=(0, 0))
+    assert labels(again)[4] == ("later", "later") and labels(again)[5] == ("fine", "fine") and again.failed == 0
+
+
+def test_a_refused_prompt_ends_the_job(small):
+    def refuse(system, prompt):
+        raise prompts.ServerError(400)
+
+    with pytest.raises(Exception, match="server error 400"):
+        label_trees(*small, refuse, "refresh", pause=(0, 0))
