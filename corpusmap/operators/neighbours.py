@@ -3,7 +3,9 @@
 Vectors are taken as points on the unit sphere, where cosine distance is half the squared distance. A large cluster is
 cut into cells around pivots and each cell into shells by distance to its pivot. Every block first searches itself; what
 its pages have found by then, and how far the other blocks lie at least, tells which blocks can still hold a nearer page.
-Only those are sent there, nearest first, and stream past the pages that ask, which keep their best k.
+Only those are sent there, nearest first, and stream past the pages that ask, which keep their best k. Blocks grow with
+their cluster up to a fixed size and travel packed, so that where nothing can be skipped a page is sent once for each of a
+few dozen blocks, or for each BLOCK_ROWS pages of a very large cluster.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusmap.functions.grouped import by_group, map_small_groups, matrix, scan_with_tables
 from corpusmap.functions.kmeans import unit_rows
 from corpusmap.functions.ranking import first_n_per_group
-from corpusmap.session import broadcast_if_small, cut_lineage
+from corpusmap.session import arrow_batches, broadcast_if_small, cut_lineage
 
 # Fixed value: neighbours per page.
 NEIGHBOURS = 30
@@ -26,7 +28,10 @@ BLOCK_ROWS = 2000
 MAX_PIVOTS = 512
 FINE = 2048  # distances to a pivot are counted in steps of 1 / FINE
 SLACK = 1e-5  # rounding of a distance of nearly equal points
-COLUMNS = 1024  # offers compared at a time
+GRAIN = 1e-11  # more than a distance is rounded by
+COLUMNS = 2048  # offers compared at a time
+BLOCKS = 32  # a cluster has about so many blocks until they are of BLOCK_ROWS pages
+BATCH_BYTES = 16 << 20
 FAR = np.iinfo(np.int64).max
 BLOCK = ["node", "pivot", "shell", "part"]
 ROW = "node string, pivot int, shell int, part int, page_id bigint"
@@ -39,9 +44,9 @@ def points(x: np.ndarray) -> np.ndarray:
     return np.column_stack([unit, ~unit.any(1)])
 
 
-def gaps_between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine distances of points, rounded so that equal vectors tie whatever block they are met in."""
-    return np.maximum(np.round(1.0 - a @ b.T, 12), 0.0)
+def rounded(minus_cosine: np.ndarray) -> np.ndarray:
+    """Cosine distances, rounded so that equal vectors tie whatever block they are met in."""
+    return np.maximum(np.round(1.0 + minus_cosine, 12), 0.0)
 
 
 def lengths_between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,18 +73,21 @@ class Asking:
             if not len(near):
                 continue
             self.compared[near] += len(part)
-            gap = gaps_between(self.at[near], there)
-            gap[self.ids[near][:, None] == part[None, :]] = np.inf
+            alike = self.at[near] @ there.T
             most = self.gaps[near, -1]
-            if len(part) > self.k:
-                most = np.minimum(most, np.partition(gap, self.k - 1, axis=1)[:, self.k - 1])
-            row, column = np.nonzero((gap <= most[:, None]) & (gap < np.inf))
+            short = np.flatnonzero(np.isinf(most))
+            if len(short) and len(part) > self.k:  # the page itself may be among its first k + 1
+                most[short] = rounded(np.partition(-alike[short], self.k, axis=1)[:, self.k])
+            row, column = np.nonzero(alike >= (1.0 - most - GRAIN)[:, None])
+            gap = rounded(-alike[row, column])
+            kept = (gap <= most[row]) & (self.ids[near[row]] != part[column])
+            row, column, gap = row[kept], column[kept], gap[kept]
             if not len(row):
                 continue
             touched = np.unique(row)
             held = near[touched]
             rows = np.concatenate([np.repeat(touched, self.k), row])
-            found = np.concatenate([self.gaps[held].ravel(), gap[row, column]])
+            found = np.concatenate([self.gaps[held].ravel(), gap])
             pages = np.concatenate([self.best[held].ravel(), part[column]])
             order = np.lexsort((pages, found, rows))
             rows = rows[order]
@@ -106,8 +114,10 @@ class Asking:
 def _blocks(rows: DataFrame, vector: str, block_rows: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     """(rows with their block, pivots per cluster, blocks of large clusters, vector width)."""
     sizes = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    pivots = F.least(F.ceil(F.col("n") / block_rows), F.lit(MAX_PIVOTS)).cast("int")
-    large = broadcast_if_small(sizes.filter(F.col("n") > block_rows).select("node", pivots.alias("pivots")))
+    block = F.greatest(F.lit(block_rows), F.least(F.ceil(F.col("n") / BLOCKS), F.lit(BLOCK_ROWS))).cast("int")
+    pivots = F.least(F.ceil(F.col("n") / F.col("block")), F.lit(MAX_PIVOTS)).cast("int")
+    large = sizes.filter(F.col("n") > block_rows).withColumn("block", block).select("node", "block", pivots.alias("pivots"))
+    large = broadcast_if_small(large)
     one = rows.join(large.select("node"), "node", "left_anti").select(
         *[(F.lit(0) if c in BLOCK else F.col(c)).alias(c) for c in ("node", "pivot", "shell", "part", "page_id", vector) if c != "node"], "node"
     )
@@ -132,18 +142,21 @@ def _blocks(rows: DataFrame, vector: str, block_rows: int) -> tuple[DataFrame, D
     schema = f"node string, page_id bigint, `{vector}` {kind}, pivot int, gap double"
     placed = cut_lineage(scan_with_tables(several.select("node", "page_id", vector), "node", tables, MAX_PIVOTS * width * 8, place, schema), "cells")
     step = F.floor(F.col("gap") * FINE).cast("int")
-    cell = Window.partitionBy("node", "pivot")
+    cell = Window.partitionBy("node", "pivot")  # at most a row for each step of a cell
     counts = placed.groupBy("node", "pivot", step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("gap").alias("lo"), F.max("gap").alias("hi"))
     before = F.sum("n").over(cell.orderBy("step")) - F.col("n")
     total = F.sum("n").over(cell)
-    shells = F.greatest(F.floor(total / block_rows), F.lit(1))
-    steps = cut_lineage(counts.select("*", F.floor(before * shells / total).cast("int").alias("shell")), "steps")
-    blocks = cut_lineage(steps.groupBy("node", "pivot", "shell").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")), "blocks")
-    parts = F.ceil(F.col("n") / (2 * block_rows)).cast("int")
-    known = steps.select("node", "pivot", "step", "shell").join(blocks.select("node", "pivot", "shell", parts.alias("parts")), ["node", "pivot", "shell"])
-    dealt = placed.withColumn("step", step).join(broadcast_if_small(cut_lineage(known, "shells"), 1_000_000), ["node", "pivot", "step"])
-    part = F.pmod(F.xxhash64("page_id"), F.col("parts")).cast("int")
-    dealt = dealt.select("node", "page_id", vector, "pivot", "shell", part.alias("part"))
+    shells = F.greatest(F.floor(total / F.col("block")), F.lit(1))
+    steps = counts.join(large.select("node", "block"), "node").select("*", F.floor(before * shells / total).cast("int").alias("shell"))
+    blocks = cut_lineage(steps.groupBy("node", "pivot", "shell").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("step").alias("step"),
+        F.ceil(F.sum("n") / (2 * F.first("block"))).cast("int").alias("parts"),
+    ), "blocks")
+    cells = blocks.groupBy("node", "pivot").agg(F.array_sort(F.collect_list(F.struct("step", "shell", "parts"))).alias("_shells"))
+    dealt = placed.withColumn("step", step).join(broadcast_if_small(cut_lineage(cells, "shells")), ["node", "pivot"])
+    own = F.element_at(F.filter("_shells", lambda s: s["step"] <= F.col("step")), -1)
+    part = F.pmod(F.xxhash64("page_id"), F.col("_own.parts")).cast("int")
+    dealt = dealt.withColumn("_own", own).select("node", "page_id", vector, "pivot", F.col("_own.shell").alias("shell"), part.alias("part"))
     return cut_lineage(one.unionByName(dealt), "placed"), tables, blocks, width
 
 
@@ -207,11 +220,12 @@ def neighbour_search(rows: DataFrame, vector: str, k: int = NEIGHBOURS, block_ro
     """(node, page_id, ids, gaps, compared): the k nearest other pages of the same node by cosine distance, ties by id,
     and how many pages each was compared with. Ids are unique within a node.
 
-    A node of up to ``block_rows`` pages is one block. Of a larger one a task holds the pages of one block that
-    ask and a batch of offers; no candidates are shuffled. How much is skipped depends on how the vectors cluster: at worst
-    every block is sent to every other one.
+    A node of up to ``block_rows`` pages is one block. Of a larger one, whose blocks have that many pages or more, up to
+    twice BLOCK_ROWS, a task holds the pages of one block that ask and a batch of offers; no candidates are shuffled. How
+    much is skipped depends on how the vectors cluster: at worst every block is sent to every other one.
     """
     kind = dict(rows.dtypes)[vector]
+    number = np.dtype(np.float64 if kind == "array<double>" else np.float32)
     placed, tables, blocks, width = _blocks(rows.select("node", "page_id", vector), vector, block_rows)
     names = [*BLOCK, "page_id", vector, "ids", "gaps", "compared"]
 
@@ -228,14 +242,29 @@ def neighbour_search(rows: DataFrame, vector: str, k: int = NEIGHBOURS, block_ro
         return done
     open_ = found.join(broadcast_if_small(tables.select("node")), "node", "left_semi")
     needs = cut_lineage(_needs(open_, tables, blocks, vector, width, k), "needs")
-    offers = placed.select("node", F.col("pivot").alias("to_pivot"), F.col("shell").alias("to_shell"), F.col("part").alias("own_part"), "page_id", vector)
-    offers = offers.join(needs, ["node", "to_pivot", "to_shell"]).filter(  # a block's own part has been searched
+
+    def pack(group: pa.Table) -> pa.Table:
+        x = matrix(group.column(vector).combine_chunks(), number)
+        most = max(1, BATCH_BYTES // (8 * max(x.nbytes // len(x), 1)))  # pages of a pack
+        cuts = range(0, len(x), most)
+        ids = group.column("page_id").to_numpy()
+        same = {c: pa.array([group.column(c)[0].as_py()] * len(cuts), pa.string() if c == "node" else pa.int32()) for c in BLOCK}
+        return pa.table({
+            **same, "first": pa.array([ids[a] for a in cuts], pa.int64()),
+            "their_ids": pa.array([ids[a : a + most].tobytes() for a in cuts], pa.binary()),
+            "their_x": pa.array([x[a : a + most].tobytes() for a in cuts], pa.binary()),
+        })
+
+    theirs = "first bigint, their_ids binary, their_x binary"
+    large = placed.select(*names[:6]).join(broadcast_if_small(tables.select("node")), "node", "left_semi")
+    packs = map_small_groups(large, BLOCK, ["page_id"], pack, f"node string, pivot int, shell int, part int, {theirs}")
+    packs = packs.withColumnsRenamed({"pivot": "to_pivot", "shell": "to_shell", "part": "own_part"})
+    offers = cut_lineage(packs, "packs").join(needs, ["node", "to_pivot", "to_shell"]).filter(  # a block's own part has been searched
         ~((F.col("to_pivot") == F.col("pivot")) & (F.col("to_shell") == F.col("shell")) & (F.col("own_part") == F.col("part")))
     )
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("ids", "array<bigint>"), ("gaps", "array<double>"), ("compared", "bigint"))]
-    both = open_.select(*names, F.lit(-1.0).alias("bound"), F.lit(False).alias("offered")).unionByName(
-        offers.select(*BLOCK, "page_id", vector, *none, "bound", F.lit(True).alias("offered"))
-    )
+    asked = open_.select(*names, F.lit(-1.0).alias("bound"), F.lit(False).alias("offered"))
+    offers = offers.select(*BLOCK, F.col("first").alias("page_id"), "their_ids", "their_x", "bound", F.lit(True).alias("offered"))
+    both = asked.unionByName(offers, allowMissingColumns=True)
     arranged = both.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "offered", "bound", "page_id")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,13 +304,17 @@ def neighbour_search(rows: DataFrame, vector: str, k: int = NEIGHBOURS, block_ro
                     continue
                 if asks:
                     held = start()
-                held.offer(part.column("page_id").to_numpy(), points(matrix(part.column(vector))))
+                for ids, x in zip(part.column("their_ids"), part.column("their_x")):
+                    ids = np.frombuffer(ids.as_buffer(), np.int64)
+                    held.offer(ids, points(np.frombuffer(x.as_buffer(), number).reshape(len(ids), -1)))
         if asks:
             held = start()
         if held is not None:
             yield finished(held)
 
-    return done.unionByName(arranged.mapInArrow(stream, f"node string, page_id bigint, {STATE}"))
+    with arrow_batches(rows.sparkSession, BATCH_BYTES):
+        searched = cut_lineage(arranged.mapInArrow(stream, f"node string, page_id bigint, {STATE}"), "searched")
+    return done.unionByName(searched)
 
 
 def _keyed(rows: DataFrame, keys: list[str], vector: str, k: int) -> tuple[DataFrame, DataFrame]:

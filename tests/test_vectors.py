@@ -315,6 +315,15 @@ def test_search_by_pivots_compares_few_pairs(spark):
         assert [found[i, k] for k in range(1, 11)] == np.lexsort((np.arange(4000), gap))[:10].tolist()
 
 
+def test_blocks_grow_with_their_cluster(spark):
+    """Of small blocks a cluster has a bounded number, so that a page is not sent to one block for every few pages."""
+    rows = [("n", i, v.tolist()) for i, v in enumerate(blobs(3000, 8, spread=1.0))]
+    df = spark.createDataFrame(rows, "node string, page_id bigint, x array<float>")
+    placed, _, made, _ = neighbours._blocks(df, "x", 20)
+    assert made.count() <= 2 * neighbours.BLOCKS and placed.count() == 3000
+    assert made.agg(F.sum("n")).first()[0] == 3000
+
+
 def test_interleaved_groups_are_ranged_first(spark, monkeypatch):
     """Many small groups in every task, and one with a third of the rows: sums must still be right."""
     x = blobs(1200, 5, seed=9)
