@@ -3,7 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmap.functions import grouped, kmeans
-from corpusmap.operators import clustering, embedding, neighbours, pca, projection, tree
+from corpusmap.operators import clustering, embedding, layout, neighbours, pca, projection, tree
+from corpusmap.session import cut_lineage
 
 SCHEMA = "namespace string, page_id bigint, reduced_vector array<float>"
 
@@ -301,6 +302,22 @@ def test_large_clusters_are_laid_out_by_neighbours_as_small_ones_are(spark):
         assert np.allclose(b.T @ b / len(b), np.eye(3), atol=1e-4)
 
 
+def test_layouts_in_a_task_and_over_the_edge_table_agree(spark, monkeypatch):
+    x = blobs(220, centres=4, spread=1.2)
+    df = spark.createDataFrame([("n", i, v.tolist()) for i, v in enumerate(x)], "node string, page_id bigint, x array<float>")
+    near = cut_lineage(neighbours.cluster_neighbours(df, ["node"], "x", k=12, block_rows=60), "near")
+    seen = []
+    whole = layout.spectral_columns
+    monkeypatch.setattr(layout, "spectral_columns", lambda *given: seen.append(1) or whole(*given))
+    placed = []
+    for most in (220, 219):  # the second is beyond what a task may hold
+        monkeypatch.setattr(layout, "TASK_PAGES", most)
+        rows = layout.neighbour_coordinates(df, near, "x", 3).collect()
+        placed.append(np.array([v for _, v in sorted((r.page_id, r.three_d_vector) for r in rows)]))
+        assert len(seen) == len(placed) - 1
+    assert np.abs(placed[0] - placed[1]).max() < 1e-3
+
+
 def test_search_by_pivots_compares_few_pairs(spark):
     x = blobs(4000, 8, centres=40, spread=0.05)
     rows = [("n", i, v.tolist()) for i, v in enumerate(x)]
