@@ -18,6 +18,8 @@ from corpusmap.session import broadcast_if_small, cut_lineage
 
 U64 = np.uint64
 NODES_PER_CHUNK = 1 << 15
+# Every two chunks exchange packed rows, so chunks of fewer nodes than this cost more than they spread.
+LEAST_NODES_PER_CHUNK = 1 << 8
 # Rows of one key that are compared by one task; the rows of a larger key are dealt out in blocks.
 BLOCK_ROWS = 2000
 # Shingles that are compared by one task with the sets that visit them; a label with more is heavy.
@@ -258,7 +260,7 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
     """(a, b, star): labels with nodes that have a common key, at most ``tolerance`` differences, and sizes that
     allow ``least`` percent.
 
-    ``nodes`` has node, label, n_shingles, heavy and sig. Keys whose nodes all have one label are told apart first
+    ``nodes`` has node, label, n_shingles and sig, and heavy where some labels are. Keys whose nodes all have one label are told apart first
     and need no comparison. Rows of a key beyond BLOCK_ROWS are dealt out by blocks, each two of which meet in
     a task of their own. A pair with a heavy label is reported as it is, once by a task. Of the pairs of other labels a task
     reports a star for each set that they connect, so that the rows are no more than the labels compared, however many of
@@ -362,7 +364,8 @@ def mixed_labels(nodes: DataFrame, signature: Signature, chunks: int, least: int
         give_back()
         return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1]), "star": pa.array(np.arange(found.shape[1]) >= pairs.shape[1])})
 
-    cols = [C.chunk_of(chunks, "node").alias("chunk"), "node", "label", "n_shingles", F.col("heavy").cast("long").alias("heavy"), "sig"]
+    heavy = F.col("heavy") if "heavy" in nodes.columns else F.lit(False)
+    cols = [C.chunk_of(chunks, "node").alias("chunk"), "node", "label", "n_shingles", heavy.cast("long").alias("heavy"), "sig"]
     by_chunk = nodes.select(*cols).groupBy("chunk")
     told = C.ask(by_chunk.applyInArrow(publish, f"bucket int, chunk int, {C.planes(4)}"), answer, 2)
     dealt = by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(deal, f"bucket int, chunk int, {C.planes(4)}, sigs binary")
@@ -549,6 +552,11 @@ def connect(links: DataFrame) -> DataFrame:
             return labels
 
 
+def chunk_number(nodes: int, partitions: int) -> int:
+    """Chunks for all partitions to work on, as long as the chunks are not too small; more where they would be too large."""
+    return max(min(2 * partitions, nodes // LEAST_NODES_PER_CHUNK + 1), nodes // NODES_PER_CHUNK + 1)
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, least: int = 80, id_col: str = "doc_id", text_col: str = "text",
     signature: Signature = Signature(),
@@ -571,7 +579,7 @@ def near_duplicates(
         F.min("_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")
     )
     every = nodes = cut_lineage(nodes, "nodes")
-    chunks = max(2 * C.partitions(docs), nodes.count() // NODES_PER_CHUNK + 1)
+    chunks = chunk_number(nodes.count(), C.partitions(docs))
 
     stars = cut_lineage(star_pairs(nodes, signature, chunks), "stars")
     active = broadcast_if_small(stars.filter("b IS NULL").select(F.col("a").alias("node")))

@@ -117,6 +117,11 @@ def test_labels_with_unlucky_signatures_are_compared(spark):
     assert found == {(2 * k, 2 * k + 1) for k in range(24)}
 
 
+def test_chunks_are_not_smaller_than_their_exchange_is_worth():
+    assert near_dedup.chunk_number(45_000, 211) == 176 and near_dedup.chunk_number(45_000, 8) == 16
+    assert near_dedup.chunk_number(0, 211) == 1 and near_dedup.chunk_number(1 << 30, 200) == (1 << 15) + 1
+
+
 def test_tolerance_meets_the_stated_share():
     signature = near_dedup.Signature()
     assert signature.tolerance(80) == 42 and signature.tolerance(100) == 0 and signature.tolerance(50) > 65
