@@ -83,3 +83,16 @@ def test_stages_take_awkward_and_empty_tables(spark, place):
 
 def test_stage_names_are_in_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "bpe"]
+
+
+def test_stages_called_one_by_one_keep_no_models(spark, tmp_path):
+    """Each stage lets go of what earlier ones sent to the workers, run after run."""
+    from corpusmap.llm import shared
+
+    for turn in range(2):
+        docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{turn}-{name}")
+            docs = spark.read.parquet(f"{tmp_path}/{turn}-{name}")
+            assert len(shared._sent) <= 1
+    assert docs.count() > 0
